@@ -53,3 +53,98 @@ SELECT round(sum(value), 2) AS total, count(*) AS key_count,
        (SELECT count(DISTINCT date) FROM fact
          WHERE date >= {COUNTER_DAY} - 30 AND date < {COUNTER_DAY}) AS history_days
 FROM growth"""
+
+
+def _kw(days: int, tail: str) -> str:
+    D = COUNTER_DAY
+    return f"""
+WITH kwd AS (
+  SELECT DISTINCT CAST(ts AS DATE) AS date, CAST(user_id AS VARCHAR) || ':' || event_type AS kw
+  FROM events WHERE CAST(ts AS DATE) BETWEEN {D} - {days} AND {D}
+),
+recs AS (
+  SELECT date, row_number() OVER (ORDER BY date DESC) AS rn
+  FROM (SELECT DISTINCT date FROM kwd WHERE date < {D}) t
+),
+n AS (SELECT count(*) AS n_hist, least(count(*), 5) AS n_recent, greatest(count(*) - 5, 0) AS n_older FROM recs),
+m AS (
+  SELECT k.kw, bool_or(k.date = {D}) AS today, count(r.rn) AS df,
+         count(*) FILTER (WHERE r.rn <= 5) AS recent_count,
+         count(*) FILTER (WHERE r.rn > 5) AS older_count
+  FROM kwd k LEFT JOIN recs r USING (date) GROUP BY k.kw
+),
+c AS (
+  SELECT m.*, recent_count / greatest(n_recent, 1) AS recent_rate,
+         CASE WHEN n_older > 0 THEN older_count / n_older ELSE 0.0 END AS older_rate
+  FROM m, n
+),
+k AS (
+  SELECT *, CASE WHEN today AND df = 0 THEN 'new'
+                 WHEN today AND recent_rate > older_rate + 0.2 THEN 'rising'
+                 WHEN NOT today AND df >= 3 AND recent_count = 0 THEN 'fading' END AS kind
+  FROM c
+),
+trends AS (
+  SELECT kind, kw, df, round(recent_rate, 6) AS recent_rate, round(older_rate, 6) AS older_rate
+  FROM k WHERE kind IS NOT NULL AND EXISTS (SELECT 1 FROM kwd WHERE date = {D})
+)
+{tail}"""
+
+
+SQL["keyword_trends"] = _kw(30, "SELECT * FROM trends")
+SQL["keyword_trends_7"] = _kw(7, "SELECT * FROM trends")
+_KW_LISTS = """SELECT kind, rank, kw FROM (
+  SELECT kind, kw, row_number() OVER (PARTITION BY kind ORDER BY kw) AS rank FROM trends) t
+WHERE rank <= 10"""
+SQL["keyword_lists"] = _kw(30, _KW_LISTS)
+SQL["keyword_lists_5"] = _kw(5, _KW_LISTS)
+
+_STAR_PAT = r"(?i)([\d,\.]+)\s*(k|K)?\s*stars?"
+
+_STARS = f"""
+stars AS (
+  SELECT CAST(ts AS DATE) AS date, event_id AS pos,
+         CASE WHEN event_type = 'error' THEN ', stars'
+              WHEN cents >= 100000 THEN CAST(cents // 1000 AS VARCHAR) || '.' || CAST((cents % 1000) // 100 AS VARCHAR) || 'k stars'
+              ELSE format('{{:,}}', cents) || ' stars today' END AS stars
+  FROM (SELECT *, CAST(round(value * 100) AS BIGINT) AS cents FROM events) e
+),
+parsed AS (
+  SELECT *, CASE WHEN regexp_matches(stars, '{_STAR_PAT}') THEN
+      try_cast(trunc(try_cast(replace(regexp_extract(stars, '{_STAR_PAT}', 1), ',', '') AS DOUBLE)
+           * CASE WHEN regexp_extract(stars, '{_STAR_PAT}', 2) <> '' THEN 1000.0 ELSE 1.0 END) AS BIGINT)
+    END AS parsed
+  FROM stars
+)"""
+
+SQL["star_parse"] = f"""WITH {_STARS}
+SELECT pos, stars, parsed, coalesce(parsed, 0) AS parsed_or_zero FROM parsed"""
+
+_SERIES = f"""WITH {_STARS},
+series AS (
+  SELECT 'stars' AS metric, date, CAST(sum(coalesce(parsed, 0)) AS DOUBLE) AS value FROM parsed
+  WHERE date > {COUNTER_DAY} - 30 AND date <= {COUNTER_DAY} GROUP BY date
+  UNION ALL
+  SELECT 'downloads' AS metric, CAST(ts AS DATE) AS date, round(sum(value), 2) AS value FROM events
+  WHERE CAST(ts AS DATE) > {COUNTER_DAY} - 30 AND CAST(ts AS DATE) <= {COUNTER_DAY} GROUP BY 2
+)"""
+SQL["daily_series"] = _SERIES + "\nSELECT * FROM series"
+SQL["chart_table"] = _SERIES + """
+SELECT metric, date, value, strftime(date, '%m-%d') AS label,
+       ((rn - 1) % greatest(1, n // 7)) = 0 AS show_tick
+FROM (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY date) AS rn,
+             count(*) OVER (PARTITION BY metric) AS n FROM series) s
+WHERE n >= 2"""
+
+TEXT_DAY = "DATE '2024-01-31'"
+_DAY_TEXTS = """
+day_texts AS (
+  SELECT CAST(DATE '2024-01-01' + CAST(doc_id % 31 AS INTEGER) AS DATE) AS date, lang AS scope, text
+  FROM documents
+)"""
+SQL["history_window"] = f"""WITH {_DAY_TEXTS}
+SELECT date, count(*) AS texts, CAST(sum(length(text)) AS BIGINT) AS chars FROM day_texts
+WHERE date >= {TEXT_DAY} - 30 AND date < {TEXT_DAY} GROUP BY date"""
+SQL["chart_window"] = f"""
+SELECT CAST(ts AS DATE) AS date, count(*) AS events FROM events
+WHERE CAST(ts AS DATE) > {COUNTER_DAY} - 30 AND CAST(ts AS DATE) <= {COUNTER_DAY} GROUP BY 1"""

@@ -56,3 +56,86 @@ def q_counter_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = CT.counter_totals(B.counter_fact(spark, sf_dir), B.COUNTER_DAY)
     return t.select(F.round("total", 2).alias("total"), "key_count", "history_days")
 FLAGSHIP = "counter_growth"
+
+
+def _since(day, days):
+    import datetime as _dt
+    return day - _dt.timedelta(days=days)
+
+
+# ---------------------------------------------------------------- keyword trends (T4, K4)
+
+from tidewatch.operators import keywords as KW  # noqa: E402
+
+
+def _kw_trends(spark, sf_dir, days):
+    kwd = B.day_keywords(spark, sf_dir, since=_since(B.COUNTER_DAY, days), until=B.COUNTER_DAY)
+    return KW.keyword_trends(kwd, B.COUNTER_DAY, days=days)
+
+
+@register("keyword_trends")
+def q_keyword_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kw_trends(spark, sf_dir, 30)
+
+
+@register("keyword_trends_7")
+def q_keyword_trends_7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kw_trends(spark, sf_dir, 7)
+
+
+@register("keyword_lists")
+def q_keyword_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = KW.keyword_lists(_kw_trends(spark, sf_dir, 30))
+    return lists.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@register("keyword_lists_5")
+def q_keyword_lists_5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = KW.keyword_lists(_kw_trends(spark, sf_dir, 5))
+    return lists.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+# ---------------------------------------------------------------- counter text, series, windows
+
+from tidewatch.functions.counters import parse_counter, counter_or_zero  # noqa: E402
+from tidewatch.operators._util import window_filter  # noqa: E402
+
+
+@register("star_parse")
+def q_star_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = B.star_texts(spark, sf_dir)
+    return st.select("pos", "stars", parse_counter("stars").alias("parsed"),
+                     counter_or_zero("stars").alias("parsed_or_zero"))
+
+
+def _series(spark, sf_dir):
+    since = _since(B.COUNTER_DAY, 29)
+    stars = B.star_texts(spark, sf_dir, since=since, until=B.COUNTER_DAY)
+    ev = B.events_by_day(spark, sf_dir, since=since, until=B.COUNTER_DAY)
+    s1 = CT.daily_series(stars, B.COUNTER_DAY, counter_or_zero("stars"), metric="stars")
+    s2 = CT.daily_series(ev, B.COUNTER_DAY, F.col("value"), metric="downloads")
+    s2 = s2.withColumn("value", F.round("value", 2))
+    return s1.withColumn("value", F.col("value").cast("double")).unionByName(s2)
+
+
+@register("daily_series")
+def q_daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _series(spark, sf_dir)
+
+
+@register("chart_table")
+def q_chart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return CT.chart_table(_series(spark, sf_dir))
+
+
+@register("history_window")
+def q_history_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = window_filter(B.day_texts(spark, sf_dir), B.TEXT_DAY, 30)
+    return texts.groupBy("date").agg(F.count("*").alias("texts"),
+                                     F.sum(F.length("text")).cast("bigint").alias("chars"))
+
+
+@register("chart_window")
+def q_chart_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = window_filter(B.events_by_day(spark, sf_dir), B.COUNTER_DAY, 30, inclusive=True)
+    return ev.groupBy("date").agg(F.count("*").alias("events"))

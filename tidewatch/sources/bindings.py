@@ -63,6 +63,11 @@ def seen_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             .dropDuplicates(["aid"]))
 
 
+def events_by_day(spark: SparkSession, sf_dir: str, since=None, until=None) -> DataFrame:
+    """``events`` with a ``date`` column."""
+    return _events(spark, sf_dir, since, until).withColumn("date", F.to_date("ts"))
+
+
 def day_texts(spark: SparkSession, sf_dir: str, combined: bool = False) -> DataFrame:
     """``(date, scope, text)``; one row per document, whole text.
 
@@ -77,26 +82,37 @@ def day_texts(spark: SparkSession, sf_dir: str, combined: bool = False) -> DataF
     return base.select("date", F.explode(scopes).alias("scope"), "text")
 
 
-def counter_fact(spark: SparkSession, sf_dir: str, key: str = "user_id") -> DataFrame:
-    """``(date, key, value, pos)`` with one row per day and key."""
+def _events(spark: SparkSession, sf_dir: str, since=None, until=None) -> DataFrame:
+    """``events`` with an optional ``[since, until]`` day range written on ``ts``
+    itself, so it reaches the parquet scan as a pushed filter."""
     ev = table(spark, sf_dir, "events")
+    if since is not None:
+        ev = ev.filter(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
+    if until is not None:
+        ev = ev.filter(F.col("ts") < F.date_add(F.lit(until), 1).cast("timestamp_ntz"))
+    return ev
+
+
+def counter_fact(spark: SparkSession, sf_dir: str, key: str = "user_id", since=None, until=None) -> DataFrame:
+    """``(date, key, value, pos)`` with one row per day and key."""
+    ev = _events(spark, sf_dir, since, until)
     return (ev.groupBy(F.to_date("ts").alias("date"), F.col(key).cast("string").alias("key"))
             .agg(F.round(F.sum("value"), 2).alias("value"), F.min("event_id").alias("pos")))
 
 
-def day_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+def day_keywords(spark: SparkSession, sf_dir: str, since=None, until=None) -> DataFrame:
+    ev = _events(spark, sf_dir, since, until)
     return ev.select(F.to_date("ts").alias("date"),
                      F.concat_ws(":", F.col("user_id").cast("string"), F.col("event_type")).alias("kw"))
 
 
-def star_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def star_texts(spark: SparkSession, sf_dir: str, since=None, until=None) -> DataFrame:
     """Counter texts: ``(date, repo, stars, pos)``.
 
     cents = round(value * 100); >= 100000 gives ``'<k>.<d>k stars'``, otherwise
     ``'<n with commas> stars today'``; ``error`` events give ``', stars'`` (unparsable).
     """
-    ev = table(spark, sf_dir, "events")
+    ev = _events(spark, sf_dir, since, until)
     cents = F.round(F.col("value") * 100).cast("bigint")
     k_form = F.concat((cents / 1000).cast("bigint").cast("string"), F.lit("."),
                       ((cents % 1000) / 100).cast("bigint").cast("string"), F.lit("k stars"))
