@@ -1,24 +1,46 @@
-"""Character n-grams inside word boundaries (``char_wb``), as one array expression (V1)."""
+"""Character n-grams inside word boundaries (``char_wb``) (V1).
+
+Rule: lower-cased word padded with one blank on both sides; every substring of
+length n (lo <= n <= hi) that fits in the padded word.  N-grams never cross
+words, so counts of a text are the sum over its words.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
-def char_wb_ngrams(word: str | Column, lo: int = 2, hi: int = 4) -> Column:
-    """All substrings of length lo..hi of ``' ' + word + ' '`` (n <= padded length).
+def _col(c: str | Column) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
-    Apply it to *distinct* words (after counting them) so the explode runs once
-    per word and day, not once per occurrence.
-    """
-    w = F.col(word) if isinstance(word, str) else word
-    padded = F.concat(F.lit(" "), w, F.lit(" "))
+
+def char_wb_ngrams(word: str | Column, lo: int = 2, hi: int = 4) -> Column:
+    """Array of the word's n-grams (for expressions and tests; the bulk path
+    is :func:`explode_ngrams`, which stays inside whole-stage codegen)."""
+    padded = F.concat(F.lit(" "), _col(word), F.lit(" "))
     plen = F.length(padded)
-    per_n = [
-        F.when(
-            plen >= n,
-            F.transform(F.sequence(F.lit(1), plen - n + 1), lambda i, n=n: F.substring(padded, i, n)),
+
+    def grams(n: int) -> Column:
+        return F.when(
+            plen >= n, F.transform(F.sequence(F.lit(1), plen - n + 1), lambda i: F.substring(padded, i, F.lit(n)))
         ).otherwise(F.array().cast("array<string>"))
-        for n in range(lo, hi + 1)
-    ]
-    return F.flatten(F.array(*per_n))
+
+    return F.flatten(F.array(*[grams(n) for n in range(lo, hi + 1)]))
+
+
+def explode_ngrams(df: DataFrame, word: str = "word", lo: int = 2, hi: int = 4,
+                   keep: list[str] | None = None) -> DataFrame:
+    """One row per n-gram occurrence of each word row: ``keep..., term``.
+
+    Positions 1..len-lo+1 of the padded word are exploded once; each position
+    yields the n-grams of every length that fits (plain ``substring`` calls,
+    no higher-order functions, so the whole step is code-generated).
+    """
+    keep = [c for c in (keep if keep is not None else df.columns) if c != word]
+    padded = F.concat(F.lit(" "), F.col(word), F.lit(" "))
+    x = df.select(*keep, padded.alias("_p")).withColumn("_l", F.length("_p"))
+    x = x.select(*keep, "_p", "_l", F.explode(F.sequence(F.lit(1), F.col("_l") - (lo - 1))).alias("_i"))
+    parts = [F.when(F.col("_i") + (n - 1) <= F.col("_l"), F.substring(F.col("_p"), F.col("_i"), F.lit(n)))
+             for n in range(lo, hi + 1)]
+    return (x.select(*keep, F.explode(F.array(*parts)).alias("term"))
+            .filter(F.col("term").isNotNull()))

@@ -54,3 +54,17 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int | None, row_bytes: int = 6
     if limit > 0 and max_rows * row_bytes <= limit:
         return F.broadcast(df)
     return df
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` with a reliable checkpoint in the shared folder named by
+    ``spark.checkpoint.dir`` (set only when the session has none).
+
+    Used for intermediates that several branches of one plan read (the term
+    table): they are computed once, and a lost executor re-reads files instead
+    of recomputing the lineage.
+    """
+    from tidewatch.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -148,3 +148,140 @@ WHERE date >= {TEXT_DAY} - 30 AND date < {TEXT_DAY} GROUP BY date"""
 SQL["chart_window"] = f"""
 SELECT CAST(ts AS DATE) AS date, count(*) AS events FROM events
 WHERE CAST(ts AS DATE) > {COUNTER_DAY} - 30 AND CAST(ts AS DATE) <= {COUNTER_DAY} GROUP BY 1"""
+
+
+# ---------------------------------------------------------------- text vectors (V1-V6), detectors
+
+from tidewatch.functions.text import PY_WHITESPACE_CLASS as _WS  # noqa: E402
+
+
+def _tf_sql(days: int = 30, day: str = TEXT_DAY) -> str:
+    """CTEs ``day_texts, texts, words, padded, grams, tf`` for the query window."""
+    return f"""{_DAY_TEXTS},
+texts AS (SELECT * FROM day_texts WHERE date >= {day} - {days} AND date <= {day}),
+words AS (
+  SELECT scope, date, word, count(*) AS n
+  FROM (SELECT scope, date, unnest(string_split_regex(lower(text), '{_WS}+')) AS word FROM texts) t
+  WHERE word <> '' GROUP BY ALL
+),
+padded AS (SELECT scope, date, n, ' ' || word || ' ' AS p, length(' ' || word || ' ') AS l FROM words),
+grams AS (
+  SELECT scope, date, n, substring(p, i, k) AS term
+  FROM (SELECT scope, date, n, p, l, unnest(generate_series(1, l - 1)) AS i FROM padded) x,
+       (VALUES (2), (3), (4)) ks(k)
+  WHERE i + k - 1 <= l
+),
+tf AS (SELECT scope, date, term, CAST(sum(n) AS BIGINT) AS tf FROM grams GROUP BY ALL)"""
+
+
+def _members_sql(days: int = 30, day: str = TEXT_DAY, scopes: str = "SELECT DISTINCT scope FROM day_texts") -> str:
+    return f"""
+recs AS (SELECT DISTINCT date FROM day_texts WHERE date >= {day} - {days} AND date <= {day}),
+scopes AS ({scopes}),
+members AS (SELECT s.scope, r.date, r.date = {day} AS is_query FROM scopes s, recs r)"""
+
+
+def _sims_sql(maxf: int = 5000, tf: str = "tf", members: str = "members", key: str = "scope") -> str:
+    """CTEs ``ct, sizes, stats, vocab, docs, sims`` for corpus key ``key``."""
+    return f"""
+ct AS (SELECT m.{key}, m.date, m.is_query, t.term, t.tf FROM {tf} t JOIN {members} m USING (scope, date)),
+n_docs AS (SELECT {key}, count(*) AS n_docs FROM {members} GROUP BY {key}),
+n_nb AS (SELECT {key}, count(DISTINCT date) AS n_nonblank FROM ct GROUP BY {key}),
+sizes AS (
+  SELECT d.{key}, n_docs, coalesce(n_nonblank, 0) AS n_nonblank
+  FROM n_docs d LEFT JOIN n_nb USING ({key}) WHERE coalesce(n_nonblank, 0) >= 2
+),
+stats AS (
+  SELECT {key}, term, CAST(sum(tf) AS BIGINT) AS ctf, count(*) AS df,
+         max(CASE WHEN is_query THEN tf END) AS qtf
+  FROM ct GROUP BY {key}, term
+),
+vocab AS (
+  SELECT s.{key}, term, ctf, df, rank, ln((n_docs + 1.0) / (df + 1.0)) + 1.0 AS idf,
+         coalesce(qtf, 0) * (ln((n_docs + 1.0) / (df + 1.0)) + 1.0) AS wq
+  FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY ctf DESC, term) AS rank FROM stats) s
+  JOIN sizes z USING ({key}) WHERE rank <= {maxf}
+),
+docs AS (
+  SELECT ct.{key}, ct.date, ct.is_query, sum((tf * idf) * (tf * idf)) AS nn, sum((tf * idf) * wq) AS dot
+  FROM ct JOIN vocab USING ({key}, term) GROUP BY ALL
+),
+sims AS (
+  SELECT m.{key}, m.date, coalesce(d.dot / sqrt(d.nn * q.nn), 0.0) AS sim
+  FROM {members} m JOIN sizes USING ({key})
+  LEFT JOIN docs d ON d.{key} = m.{key} AND d.date = m.date AND NOT d.is_query
+  LEFT JOIN docs q ON q.{key} = m.{key} AND q.is_query
+  WHERE NOT m.is_query
+)"""
+
+
+_TEXT_SIMS = "WITH " + _tf_sql() + "," + _members_sql() + "," + _sims_sql()
+
+SQL["char_ngrams"] = "WITH " + _tf_sql() + "\nSELECT * FROM tf"
+SQL["vocabulary"] = _TEXT_SIMS + """
+SELECT scope, term, ctf, df, round(idf, 9) AS idf, rank FROM vocab"""
+SQL["tfidf_weights"] = _TEXT_SIMS + """,
+w AS (SELECT ct.scope, ct.date, ct.term, tf * idf AS w FROM ct JOIN vocab USING (scope, term)),
+norms AS (SELECT scope, date, sqrt(sum(w * w)) AS norm FROM w GROUP BY ALL)
+SELECT scope, date, term, round(w / norm, 9) AS weight FROM w JOIN norms USING (scope, date)"""
+SQL["day_similarity"] = _TEXT_SIMS + "\nSELECT scope, date, round(sim, 9) AS sim FROM sims"
+
+
+def _measures_sql(spike_delta="0.15", spike_min="0.3", cont_ratio="0.6", em_max="0.25", em_mean="0.15") -> str:
+    return f""",
+x AS (
+  SELECT scope, date, sim, least(sim, 1.0) AS s,
+         row_number() OVER (PARTITION BY scope ORDER BY date DESC) AS rn,
+         lag(least(sim, 1.0)) OVER (PARTITION BY scope ORDER BY date) AS prev
+  FROM sims
+),
+agg AS (
+  SELECT scope, count(*) AS n,
+         avg(sim) FILTER (WHERE rn <= 3) AS recent, avg(sim) FILTER (WHERE rn > 3) AS older,
+         max(sim) AS mx, avg(sim) AS mean,
+         count(*) FILTER (WHERE rn <= 6 AND prev IS NOT NULL AND s >= prev) AS inner_up
+  FROM x GROUP BY scope
+),
+measures AS (
+  SELECT scope, n AS history_days, round(recent, 3) AS recent_sim, round(older, 3) AS older_sim,
+         round(mx, 3) AS max_sim, round(mean, 3) AS mean_sim,
+         inner_up + 1 AS up_steps, least(n, 7) + 1 AS trend_days,
+         round((inner_up + 1) / least(n, 7), 2) AS monotonic_ratio,
+         coalesce(n >= 3 AND older IS NOT NULL AND recent > older + {spike_delta} AND recent > {spike_min}, false) AS spike,
+         coalesce(n >= 4 AND (inner_up + 1) / least(n, 7) >= {cont_ratio}, false) AS continuous,
+         coalesce(n >= 3 AND mx < {em_max} AND mean < {em_mean}, false) AS emerging,
+         round(least((recent - older) / 0.3, 1.0), 2) AS spike_confidence,
+         round(1.0 - mx, 2) AS novelty_score,
+         recent AS recent_raw, older AS older_raw, mx AS max_raw
+  FROM agg
+)"""
+
+
+_MEASURE_COLS = """scope, history_days, recent_sim, older_sim, max_sim, mean_sim, up_steps, trend_days,
+       monotonic_ratio, spike, continuous, emerging, spike_confidence, novelty_score"""
+SQL["trend_measures"] = _TEXT_SIMS + _measures_sql() + f"\nSELECT {_MEASURE_COLS} FROM measures"
+
+_SIGNALS = """
+SELECT 'sudden_spike' AS type, scope AS dimension,
+       scope || '近3天内容相似度(' || printf('%.2f', recent_raw) || ')显著高于更早期均值(' || printf('%.2f', older_raw) || ')，表明该方向话题突然增强。' AS description,
+       spike_confidence AS confidence, recent_sim AS recent_similarity, older_sim AS older_similarity,
+       CAST(NULL AS BIGINT) AS trend_days, CAST(NULL AS DOUBLE) AS monotonic_ratio,
+       CAST(NULL AS DOUBLE) AS max_historical_similarity, CAST(NULL AS DOUBLE) AS mean_historical_similarity,
+       CAST(NULL AS DOUBLE) AS novelty_score
+FROM measures WHERE spike
+UNION ALL
+SELECT 'continuous_trend', scope,
+       scope || '的话题向量在最近' || trend_days || '天内呈现持续增强趋势（' || up_steps || '/' || (trend_days - 1) || '天递增），表明该方向正在持续升温。',
+       monotonic_ratio, NULL, NULL, trend_days, monotonic_ratio, NULL, NULL, NULL
+FROM measures WHERE continuous
+UNION ALL
+SELECT 'emerging_topic', scope,
+       scope || '出现全新话题（与历史最大相似度仅' || printf('%.2f', max_raw) || '），这可能是一个新兴方向的早期信号。',
+       NULL, NULL, NULL, NULL, NULL, max_sim, mean_sim, novelty_score
+FROM measures WHERE emerging"""
+SQL["trend_signals"] = _TEXT_SIMS + _measures_sql("-1.0", "0.0", "0.5", "1.01", "1.01") + _SIGNALS
+
+SQL["overall_novelty"] = "WITH " + _tf_sql() + """,
+tf_all AS (SELECT '_combined' AS scope, date, term, CAST(sum(tf) AS BIGINT) AS tf FROM tf GROUP BY date, term),""" + \
+    _members_sql(scopes="SELECT '_combined' AS scope") + "," + _sims_sql(tf="tf_all") + """
+SELECT scope, round(1.0 - avg(sim), 3) AS novelty, count(*) AS history_days FROM sims GROUP BY scope"""

@@ -139,3 +139,87 @@ def q_history_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_chart_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = window_filter(B.events_by_day(spark, sf_dir), B.COUNTER_DAY, 30, inclusive=True)
     return ev.groupBy("date").agg(F.count("*").alias("events"))
+
+
+# ---------------------------------------------------------------- text vectors and detectors (V, T, M1, M5)
+
+from tidewatch import constants as C  # noqa: E402
+from tidewatch.operators import detectors as DT  # noqa: E402
+from tidewatch.operators import vectors as V  # noqa: E402
+
+
+def _texts(spark, sf_dir, day=None, days=30):
+    day = day or B.TEXT_DAY
+    texts = B.day_texts(spark, sf_dir)
+    return window_filter(texts, day, days + 1, inclusive=True)
+
+
+def _text_tf(spark, sf_dir, day=None, days=30):
+    from tidewatch.operators._util import cut_lineage
+    return cut_lineage(V.term_counts(_texts(spark, sf_dir, day, days)))
+
+
+def _members(spark, sf_dir, day=None, days=30, scopes=None):
+    day = day or B.TEXT_DAY
+    texts = B.day_texts(spark, sf_dir)
+    if scopes is None:
+        scopes = texts.select("scope").distinct()
+    return V.day_members(texts.select("date"), scopes, day, days)
+
+
+def _lang_sims(spark, sf_dir):
+    tf = _text_tf(spark, sf_dir)
+    return V.tfidf_similarity(tf, _members(spark, sf_dir))
+
+
+@register("char_ngrams")
+def q_char_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text_tf(spark, sf_dir).withColumn("tf", F.col("tf").cast("bigint"))
+
+
+@register("vocabulary")
+def q_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    voc = V.vocabulary(_text_tf(spark, sf_dir), _members(spark, sf_dir))
+    return voc.select("scope", "term", F.col("ctf").cast("bigint").alias("ctf"),
+                      F.col("df").cast("bigint").alias("df"), F.round("idf", 9).alias("idf"),
+                      F.col("rank").cast("bigint").alias("rank"))
+
+
+@register("tfidf_weights")
+def q_tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = V.tfidf_weights(_text_tf(spark, sf_dir), _members(spark, sf_dir))
+    return w.select("scope", "date", "term", F.round("weight", 9).alias("weight"))
+
+
+@register("day_similarity")
+def q_day_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lang_sims(spark, sf_dir).select("scope", "date", F.round("sim", 9).alias("sim"))
+
+
+@register("trend_measures")
+def q_trend_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DT.trend_measures(_lang_sims(spark, sf_dir).select("scope", "date", "sim"))
+
+
+# Lowered thresholds: the synthetic days are all alike (similarities near 1),
+# so the default thresholds never fire; these make every detector fire somewhere.
+LOW_THRESHOLDS = DT.TrendParams(spike_delta=-1.0, spike_min_recent=0.0, continuous_min_ratio=0.5,
+                                emerging_max=1.01, emerging_mean=1.01)
+
+
+@register("trend_signals")
+def q_trend_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = DT.trend_measures(_lang_sims(spark, sf_dir).select("scope", "date", "sim"),
+                          params=LOW_THRESHOLDS, keep_raw=True)
+    return DT.trend_signals(m)
+
+
+@register("overall_novelty")
+def q_overall_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tf = V.merge_scopes(_text_tf(spark, sf_dir))
+    scopes = spark.range(1).select(F.lit(C.COMBINED_SCOPE).alias("scope"))
+    sims = V.tfidf_similarity(tf, _members(spark, sf_dir, scopes=scopes))
+    return DT.overall_novelty(sims.select("scope", "date", "sim"))
+
+
+FLAGSHIP = "trend_measures"
