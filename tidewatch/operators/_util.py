@@ -68,3 +68,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when the scan yields fewer partitions than
+    the cluster can run at once (e.g. one large row group).
+
+    On a large input (thousands of files / row groups) this is a no-op, so it
+    never adds a shuffle of raw data at scale.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F, Window
 from tidewatch import constants as C
 from tidewatch.functions.ngrams import explode_ngrams
 from tidewatch.functions.text import PY_WHITESPACE_CLASS
-from tidewatch.operators._util import day_lit
+from tidewatch.operators._util import broadcast_if_bounded, day_lit, spread
 
 
 def term_counts(texts: DataFrame, keys: Sequence[str] = ("scope",), date_col: str = "date",
@@ -40,10 +40,14 @@ def term_counts(texts: DataFrame, keys: Sequence[str] = ("scope",), date_col: st
     joined by blanks): n-grams never cross words, so counts just add up.
     """
     keys = list(keys)
-    split = F.split(F.lower(F.col(text_col)), PY_WHITESPACE_CLASS + "+")
-    w = (texts.select(*keys, F.col(date_col).alias("date"), F.explode(split).alias("word"))
+    texts = spread(texts.select(*keys, F.col(date_col).alias("date"), F.col(text_col).alias("text")))
+    # split before lower-casing (case never changes whitespace): lower() then runs
+    # once per distinct word instead of over every character of every text
+    split = F.split(F.col("text"), PY_WHITESPACE_CLASS + "+")
+    w = (texts.select(*keys, "date", F.explode(split).alias("word"))
          .filter(F.col("word") != ""))
     wc = w.groupBy(*keys, "date", "word").agg(F.count("*").alias("n"))
+    wc = wc.select(*keys, "date", F.lower("word").alias("word"), "n")
     grams = explode_ngrams(wc, "word", lo, hi, keep=[*keys, "date", "n"])
     return grams.groupBy(*keys, "date", "term").agg(F.sum("n").alias("tf"))
 
@@ -105,6 +109,12 @@ def _vocab(ct: DataFrame, sizes: DataFrame, ck: list[str], max_features: int) ->
                     (F.coalesce(F.col("qtf"), F.lit(0)) * idf).alias("wq")))
 
 
+def _n_corpora(members: DataFrame, ck: list[str]) -> int:
+    """Number of corpora: a small action on the membership table (at most
+    corpora x (days + 1) rows), giving the size bound for broadcasts."""
+    return members.select(*ck).distinct().count()
+
+
 def tfidf_similarity(tf: DataFrame, members: DataFrame, text_keys: Sequence[str] = ("scope",),
                      corpus_keys: Sequence[str] = ("scope",), max_features: int = C.MAX_FEATURES,
                      min_nonblank: int = 2) -> DataFrame:
@@ -115,25 +125,47 @@ def tfidf_similarity(tf: DataFrame, members: DataFrame, text_keys: Sequence[str]
     non-query members of corpora with at least ``min_nonblank`` non-blank
     documents; a blank or vocabulary-less member has ``sim = 0``.
 
-    ``tf`` should be materialised (:func:`tidewatch.operators._util.cut_lineage`)
-    when it comes from a long lineage: it is read by three aggregations.
-    The query vector rides along in the vocabulary (``wq``), so the dot
-    products and norms come out of one aggregation without a self-join.
+    Plan: ``tf`` (materialise it when it comes from a long lineage) is read by
+    two aggregations only: corpus statistics (which also carry the query day's
+    count, so no self-join for the query vector) and per-document ``dot``/``norm``
+    sums.  Membership and vocabulary are broadcast behind a proven row bound
+    (corpora x days, corpora x ``max_features``); the per-corpus query norm and
+    non-blank count come from a window over the tiny per-document table.
     """
     ck = list(corpus_keys)
-    ct = corpus_terms(tf, members, text_keys, corpus_keys)
-    sizes = corpus_sizes(ct, members, ck, min_nonblank)
-    vocab = _vocab(ct, sizes, ck, max_features).select(*ck, "term", "idf", "wq")
+    tk = list(text_keys)
+    n_corpora = _n_corpora(members, ck)
+    mem = members.select(*list(dict.fromkeys(ck + tk + ["date", "is_query"])))
+    mem_b = broadcast_if_bounded(mem, n_corpora * 400, 64)
+    ct = tf.join(mem_b, tk + ["date"], "inner").select(*ck, "date", "is_query", "term", "tf")
+    n_docs = mem.groupBy(*ck).agg(F.count("*").alias("n_docs"))
+
+    stats = ct.groupBy(*ck, "term").agg(
+        F.sum("tf").alias("ctf"), F.count("*").alias("df"),
+        F.max(F.when(F.col("is_query"), F.col("tf"))).alias("qtf"))
+    rank = Window.partitionBy(*ck).orderBy(F.col("ctf").desc(), F.col("term"))
+    idf = F.log((F.col("n_docs") + 1.0) / (F.col("df") + 1.0)) + 1.0
+    vocab = (stats.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= max_features)
+             .join(n_docs, ck, "inner")
+             .select(*ck, "term", idf.alias("idf"), (F.coalesce(F.col("qtf"), F.lit(0)) * idf).alias("wq")))
+    vocab = broadcast_if_bounded(vocab, n_corpora * max_features, 64)
+
+    # every non-blank member document keeps a row (left join), even without kept terms
     w = F.col("tf") * F.col("idf")
-    docs = (ct.join(vocab, ck + ["term"], "inner")
-            .groupBy(*ck, "date", "is_query")
-            .agg(F.sum(w * w).alias("nn"), F.sum(w * F.col("wq")).alias("dot")))
-    qnorm = docs.filter("is_query").select(*ck, F.col("nn").alias("qnn"))
-    hist = members.filter(~F.col("is_query")).select(*ck, "date").distinct()
-    sim = F.coalesce(F.col("dot") / F.sqrt(F.col("nn") * F.col("qnn")), F.lit(0.0))
-    return (hist.join(sizes, ck, "inner")
-            .join(docs.filter(~F.col("is_query")).drop("is_query"), ck + ["date"], "left")
-            .join(qnorm, ck, "left")
+    docs = (ct.join(vocab, ck + ["term"], "left")
+            .groupBy(*ck, "date")
+            .agg(F.coalesce(F.sum(w * w), F.lit(0.0)).alias("nn"),
+                 F.coalesce(F.sum(w * F.col("wq")), F.lit(0.0)).alias("dot"),
+                 F.lit(True).alias("nonblank")))
+    per_corpus = Window.partitionBy(*ck)
+    out = (mem.select(*ck, "date", "is_query").distinct()
+           .join(docs, ck + ["date"], "left")
+           .join(n_docs, ck, "inner")
+           .withColumn("qnn", F.max(F.when(F.col("is_query"), F.col("nn"))).over(per_corpus))
+           .withColumn("n_nonblank", F.count("nonblank").over(per_corpus)))
+    sim = F.when((F.col("nn") > 0) & (F.col("qnn") > 0),
+                 F.col("dot") / F.sqrt(F.col("nn") * F.col("qnn"))).otherwise(F.lit(0.0))
+    return (out.filter(~F.col("is_query") & (F.col("n_nonblank") >= min_nonblank))
             .select(*ck, "date", sim.alias("sim"), "n_docs", "n_nonblank"))
 
 

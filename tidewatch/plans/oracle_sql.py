@@ -285,3 +285,85 @@ SQL["overall_novelty"] = "WITH " + _tf_sql() + """,
 tf_all AS (SELECT '_combined' AS scope, date, term, CAST(sum(tf) AS BIGINT) AS tf FROM tf GROUP BY date, term),""" + \
     _members_sql(scopes="SELECT '_combined' AS scope") + "," + _sims_sql(tf="tf_all") + """
 SELECT scope, round(1.0 - avg(sim), 3) AS novelty, count(*) AS history_days FROM sims GROUP BY scope"""
+
+
+# ---------------------------------------------------------------- ingest
+
+_ITEMS = """
+catalog AS (SELECT source, row_number() OVER (ORDER BY source) - 1 AS src_rank, 'scrape' AS method
+            FROM (SELECT DISTINCT source FROM documents) s),
+items AS (SELECT source, lang AS category, doc_id AS pos, text AS title,
+                 substr(sha256('|' || text), 1, 16) AS aid FROM documents),
+seen AS (SELECT DISTINCT substr(sha256('|' || text), 1, 16) AS aid FROM documents WHERE doc_id % 7 = 0),
+fresh AS (
+  SELECT source, aid, min(pos) AS pos FROM items
+  WHERE aid NOT IN (SELECT aid FROM seen) GROUP BY source, aid
+)"""
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{_WS}+|{_WS}+$', '', 'g')"
+
+
+SQL["item_ids"] = f"""WITH {_ITEMS}
+SELECT source, pos, aid, substring({_strip('title')}, 1, 80) AS title80,
+       substring({_strip('title')}, 1, 1000) AS summary1000 FROM items"""
+
+_REL = r"(?i)(machine[^\n]?learning|deep[^\n]?learning|neural|transformer|llm|gpt|diffusion|langchain|rag|agent|vision|nlp|reinforcement|generative|embedding|fine[^\n]?tun|train|inference|model|ai([^\p{L}\p{N}_]|$)|ml([^\p{L}\p{N}_]|$))"
+SQL["relevance_filter"] = f"""
+SELECT source, doc_id AS pos, lang AS category FROM documents
+WHERE regexp_matches(coalesce(source, '') || ' ' || coalesce(text, ''), '{_REL}')"""
+
+SQL["dedup_global_first"] = f"""WITH {_ITEMS},
+firsts AS (
+  SELECT aid, arg_min(source, src_rank * 1000000000000 + pos) AS source,
+         min(src_rank * 1000000000000 + pos) AS k
+  FROM fresh JOIN catalog USING (source) GROUP BY aid
+),
+g AS (SELECT f.aid, f.source, c.src_rank, f.k - c.src_rank * 1000000000000 AS pos FROM firsts f JOIN catalog c USING (source)),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY pos, aid) AS rank FROM g)
+SELECT source, src_rank, pos, aid, rank FROM r WHERE rank <= 10"""
+
+SQL["dedup_capped_exact"] = f"""WITH RECURSIVE {_ITEMS},
+ranked AS (SELECT f.*, c.src_rank, row_number() OVER (PARTITION BY f.source ORDER BY pos, aid) AS rank
+           FROM fresh f JOIN catalog c USING (source)),
+cands AS (SELECT src_rank, list(aid ORDER BY rank) AS aids FROM ranked GROUP BY src_rank),
+fold(s, acc, new) AS (
+  SELECT -1, []::VARCHAR[], []::VARCHAR[]
+  UNION ALL
+  SELECT f.s + 1,
+         list_concat(f.acc, list_slice(list_filter(coalesce(c.aids, []::VARCHAR[]), lambda x: NOT list_contains(f.acc, x)), 1, 10)),
+         list_slice(list_filter(coalesce(c.aids, []::VARCHAR[]), lambda x: NOT list_contains(f.acc, x)), 1, 10)
+  FROM fold f JOIN catalog k ON k.src_rank = f.s + 1 LEFT JOIN cands c ON c.src_rank = k.src_rank
+),
+accepted AS (SELECT s AS src_rank, unnest(new) AS aid FROM fold WHERE s >= 0)
+SELECT r.source, r.src_rank, r.pos, r.aid, r.rank FROM ranked r JOIN accepted a USING (src_rank, aid)"""
+
+_STATS = f"""WITH RECURSIVE {_ITEMS},
+ranked AS (SELECT f.*, c.src_rank, row_number() OVER (PARTITION BY f.source ORDER BY pos, aid) AS rank
+           FROM fresh f JOIN catalog c USING (source)),
+cands AS (SELECT src_rank, list(aid ORDER BY rank) AS aids FROM ranked GROUP BY src_rank),
+fold(s, acc, new) AS (
+  SELECT -1, []::VARCHAR[], []::VARCHAR[]
+  UNION ALL
+  SELECT f.s + 1,
+         list_concat(f.acc, list_slice(list_filter(coalesce(c.aids, []::VARCHAR[]), lambda x: NOT list_contains(f.acc, x)), 1, 10)),
+         list_slice(list_filter(coalesce(c.aids, []::VARCHAR[]), lambda x: NOT list_contains(f.acc, x)), 1, 10)
+  FROM fold f JOIN catalog k ON k.src_rank = f.s + 1 LEFT JOIN cands c ON c.src_rank = k.src_rank
+),
+accepted AS (SELECT s AS src_rank, unnest(new) AS aid FROM fold WHERE s >= 0),
+stats AS (
+  SELECT c.source, c.method,
+         CASE WHEN coalesce(f.n, 0) > 0 THEN 'ok' ELSE 'fail' END AS status,
+         CAST(coalesce(f.n, 0) AS BIGINT) AS fetched, CAST(coalesce(a.n, 0) AS BIGINT) AS new,
+         CAST(NULL AS DOUBLE) AS elapsed_s
+  FROM catalog c
+  LEFT JOIN (SELECT source, count(*) AS n FROM items GROUP BY source) f USING (source)
+  LEFT JOIN (SELECT k.source, count(*) AS n FROM accepted x JOIN catalog k USING (src_rank) GROUP BY k.source) a USING (source)
+)"""
+SQL["ingest_stats"] = _STATS + "\nSELECT * FROM stats"
+SQL["run_totals"] = _STATS + """
+SELECT source, CAST(sum(fetched) AS BIGINT) AS fetched, CAST(sum(new) AS BIGINT) AS new,
+       round(sum(elapsed_s), 1) AS elapsed_s,
+       count(*) FILTER (WHERE status = 'ok') AS ok_count, count(*) FILTER (WHERE status = 'fail') AS fail_count
+FROM stats GROUP BY ROLLUP (source)"""

@@ -154,9 +154,18 @@ def _texts(spark, sf_dir, day=None, days=30):
     return window_filter(texts, day, days + 1, inclusive=True)
 
 
+_TERM_TABLES: dict[tuple, DataFrame] = {}
+
+
 def _text_tf(spark, sf_dir, day=None, days=30):
+    """The day-text term table of the window, materialised once per application
+    (checkpoint in the shared folder) and shared by every text analytic, like
+    the derived term table a daily job keeps next to its history."""
     from tidewatch.operators._util import cut_lineage
-    return cut_lineage(V.term_counts(_texts(spark, sf_dir, day, days)))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), str(day or B.TEXT_DAY), days)
+    if key not in _TERM_TABLES:
+        _TERM_TABLES[key] = cut_lineage(V.term_counts(_texts(spark, sf_dir, day, days)))
+    return _TERM_TABLES[key]
 
 
 def _members(spark, sf_dir, day=None, days=30, scopes=None):
@@ -223,3 +232,61 @@ def q_overall_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FLAGSHIP = "trend_measures"
+
+
+# ---------------------------------------------------------------- ingest
+
+from tidewatch.functions.ids import item_id  # noqa: E402
+from tidewatch.functions.text import clip, is_relevant  # noqa: E402
+from tidewatch.operators import ingest as IG  # noqa: E402
+
+
+def _items(spark, sf_dir):
+    return IG.with_item_id(B.items(spark, sf_dir))
+
+
+@register("item_ids")
+def q_item_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    it = _items(spark, sf_dir)
+    return it.select("source", "pos", "aid", clip("title", 80).alias("title80"),
+                     clip("title", C.SUMMARY_CHARS).alias("summary1000"))
+
+
+@register("relevance_filter")
+def q_relevance_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    it = B.items(spark, sf_dir)
+    return it.filter(is_relevant("source", "title")).select("source", "pos", "category")
+
+
+def _dedup(spark, sf_dir, mode):
+    acc = IG.dedup_capped(_items(spark, sf_dir), B.source_catalog(spark, sf_dir),
+                          B.seen_items(spark, sf_dir), cap=C.ITEMS_PER_SOURCE, mode=mode)
+    return acc.select("source", F.col("src_rank").cast("bigint").alias("src_rank"), "pos", "aid",
+                      F.col("rank").cast("bigint").alias("rank"))
+
+
+@register("dedup_global_first")
+def q_dedup_global_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dedup(spark, sf_dir, "global_first")
+
+
+@register("dedup_capped_exact")
+def q_dedup_capped_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dedup(spark, sf_dir, "exact")
+
+
+def _stats(spark, sf_dir):
+    items = _items(spark, sf_dir)
+    cat = B.source_catalog(spark, sf_dir)
+    acc = IG.dedup_capped(items, cat, B.seen_items(spark, sf_dir), cap=C.ITEMS_PER_SOURCE)
+    return IG.ingest_stats(items, acc, cat)
+
+
+@register("ingest_stats")
+def q_ingest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stats(spark, sf_dir).drop("src_rank")
+
+
+@register("run_totals")
+def q_run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return IG.run_totals(_stats(spark, sf_dir))
