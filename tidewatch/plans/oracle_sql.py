@@ -367,3 +367,62 @@ SELECT source, CAST(sum(fetched) AS BIGINT) AS fetched, CAST(sum(new) AS BIGINT)
        round(sum(elapsed_s), 1) AS elapsed_s,
        count(*) FILTER (WHERE status = 'ok') AS ok_count, count(*) FILTER (WHERE status = 'fail') AS fail_count
 FROM stats GROUP BY ROLLUP (source)"""
+
+
+# ---------------------------------------------------------------- harvest
+
+_ANCHOR = r'(?is)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'
+_ORIGIN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)"
+
+
+def _decode(x: str) -> str:
+    for ent, ch in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"),
+                    ("&nbsp;", " "), ("&amp;", "&")]:
+        x = f"replace({x}, '{ent}', '{ch}')"
+    return x
+
+
+def _html_text(x: str) -> str:
+    return _strip(_decode(f"regexp_replace({x}, '{_WS}*<[^>]*>{_WS}*', '', 'g')"))
+
+
+_ANCHORS = f"""
+a0 AS (
+  SELECT page_id, url, regexp_extract(url, '{_ORIGIN}', 1) AS origin,
+         regexp_extract_all(html, '{_ANCHOR}', 1) AS hrefs, regexp_extract_all(html, '{_ANCHOR}', 2) AS inners
+  FROM pages
+),
+a AS (
+  SELECT page_id, origin, i AS pos, {_decode('hrefs[i]')} AS href, {_html_text('inners[i]')} AS title
+  FROM (SELECT *, unnest(generate_series(1, len(hrefs))) AS i FROM a0) t
+)"""
+
+SQL["link_harvest_before"] = f"""WITH {_ANCHORS},
+b AS (SELECT page_id, pos, href, title, origin || href AS url FROM a WHERE starts_with(href, '/') AND href <> '/'),
+first AS (SELECT page_id, href, min(pos) AS pos, arg_min(title, pos) AS title, arg_min(url, pos) AS url
+          FROM b GROUP BY page_id, href),
+cand AS (SELECT * FROM first WHERE length(title) >= 3)
+SELECT page_id, pos, substring(title, 1, 200) AS title, url
+FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS n FROM cand) t WHERE n <= 15"""
+
+SQL["link_harvest_after"] = f"""WITH {_ANCHORS},
+b AS (SELECT page_id, pos, title, CASE WHEN starts_with(href, 'http') THEN href ELSE origin || href END AS url
+      FROM a WHERE contains(href, '/') AND regexp_replace(href, '/+$', '') <> origin AND length(title) >= 3),
+first AS (SELECT page_id, url, min(pos) AS pos, arg_min(title, pos) AS title FROM b GROUP BY page_id, url)
+SELECT page_id, pos, substring(title, 1, 200) AS title, url
+FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS n FROM first) t WHERE n <= 15"""
+
+_BLOCKS = f"""
+b0 AS (SELECT page_id, url, regexp_extract_all(html, '(?is)<article[\\s>](.*?)</article>', 1) AS blocks FROM pages),
+b AS (SELECT page_id, url, i AS pos, blocks[i] AS block FROM (SELECT *, unnest(generate_series(1, len(blocks))) AS i FROM b0) t),
+items AS (
+  SELECT page_id, CAST(pos AS BIGINT) AS pos, url,
+         {_html_text("regexp_extract(block, '(?is)<h1(?:\\s[^>]*)?>(.*?)(?:</h1>)', 1)")} AS title,
+         {_html_text("regexp_extract(block, '(?is)<p(?:\\s[^>]*)?>(.*?)(?:</p>|<p[\\s>]|$)', 1)")} AS description
+  FROM b WHERE regexp_matches(block, '(?is)<h1(?:\\s[^>]*)?>.*?</h1>')
+)"""
+SQL["block_harvest"] = f"""WITH {_BLOCKS}
+SELECT page_id, pos, title, description, substring(description, 1, 1000) AS summary FROM items"""
+SQL["block_harvest_relevant"] = f"""WITH {_BLOCKS}
+SELECT page_id, pos, title FROM items
+WHERE regexp_matches(coalesce(title, '') || ' ' || coalesce(description, ''), '{_REL}')"""

@@ -290,3 +290,36 @@ def q_ingest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("run_totals")
 def q_run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return IG.run_totals(_stats(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- harvest
+
+from tidewatch.sources import harvest as HV  # noqa: E402
+
+# Binding: every link of the test pages is site-relative ('/word') and titles
+# are short, so the prefix is '/' and the title minimum is 3.
+LINK_MIN_TITLE_TEST = 3
+
+
+@register("link_harvest_before")
+def q_link_harvest_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = B.table(spark, sf_dir, "pages")
+    return HV.harvest_links(pages, "prefix", "/", min_title=LINK_MIN_TITLE_TEST, dedup="before")
+
+
+@register("link_harvest_after")
+def q_link_harvest_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = B.table(spark, sf_dir, "pages")
+    return HV.harvest_links(pages, "contains", "/", min_title=LINK_MIN_TITLE_TEST, dedup="after")
+
+
+@register("block_harvest")
+def q_block_harvest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = B.table(spark, sf_dir, "pages")
+    return HV.harvest_blocks(pages, relevance=False).select("page_id", "pos", "title", "description", "summary")
+
+
+@register("block_harvest_relevant")
+def q_block_harvest_relevant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = B.table(spark, sf_dir, "pages")
+    return HV.harvest_blocks(pages, relevance=True).select("page_id", "pos", "title")
