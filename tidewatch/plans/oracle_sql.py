@@ -426,3 +426,40 @@ SELECT page_id, pos, title, description, substring(description, 1, 1000) AS summ
 SQL["block_harvest_relevant"] = f"""WITH {_BLOCKS}
 SELECT page_id, pos, title FROM items
 WHERE regexp_matches(coalesce(title, '') || ' ' || coalesce(description, ''), '{_REL}')"""
+
+
+# ---------------------------------------------------------------- text shift (M1), novelty series (M5)
+
+SQL["text_shift"] = "WITH " + _tf_sql() + f""",
+recs AS (SELECT DISTINCT date FROM day_texts WHERE date >= {TEXT_DAY} - 30 AND date < {TEXT_DAY}),
+today AS (SELECT scope, count(*) AS text_count FROM day_texts WHERE date = {TEXT_DAY} AND length(text) > 0 GROUP BY scope),
+hist_nb AS (SELECT DISTINCT scope, date FROM tf WHERE date < {TEXT_DAY}),
+nb AS (SELECT scope, count(*) AS nonblank_history_days FROM hist_nb GROUP BY scope),
+sc AS (SELECT t.scope, t.text_count, coalesce(nb.nonblank_history_days, 0) AS nonblank_history_days
+       FROM today t LEFT JOIN nb USING (scope)),
+eligible AS (SELECT scope FROM sc WHERE nonblank_history_days >= 3),
+members AS (
+  SELECT scope, date, false AS is_query FROM hist_nb WHERE scope IN (SELECT scope FROM eligible)
+  UNION ALL SELECT scope, {TEXT_DAY}, true FROM eligible
+),""" + _sims_sql().replace("WHERE coalesce(n_nonblank, 0) >= 2", "WHERE coalesce(n_nonblank, 0) >= 1") + """,
+agg AS (SELECT scope, avg(sim) AS mean_sim FROM sims GROUP BY scope)
+SELECT sc.scope, true AS has_data, (SELECT count(*) FROM recs) AS history_days,
+       CAST(nonblank_history_days AS BIGINT) AS nonblank_history_days, CAST(text_count AS BIGINT) AS text_count,
+       round(1.0 - mean_sim, 3) AS capability_score, round(mean_sim, 3) AS mean_similarity,
+       CASE WHEN mean_sim IS NULL THEN 'unknown' WHEN 1.0 - mean_sim > 0.4 THEN '跃迁'
+            WHEN mean_sim > 0.5 THEN '延续' ELSE '渐进' END AS trend
+FROM sc LEFT JOIN agg USING (scope)"""
+
+SQL["novelty_series"] = "WITH " + _tf_sql() + f""",
+recs AS (SELECT DISTINCT date FROM day_texts WHERE date > {TEXT_DAY} - 30 AND date <= {TEXT_DAY}),
+scopes AS (SELECT DISTINCT scope FROM day_texts),
+spine AS (SELECT s.scope, r.date, lag(r.date) OVER (PARTITION BY s.scope ORDER BY r.date) AS prev FROM scopes s, recs r),
+pairs AS (SELECT scope, date AS pair_end, prev FROM spine WHERE prev IS NOT NULL),
+members AS (
+  SELECT scope, scope || '|' || CAST(pair_end AS VARCHAR) AS pk, pair_end, prev AS date, false AS is_query FROM pairs
+  UNION ALL
+  SELECT scope, scope || '|' || CAST(pair_end AS VARCHAR), pair_end, pair_end, true FROM pairs
+),""" + _sims_sql(maxf=3000, key="pk") + """
+SELECT p.scope, p.pair_end AS date,
+       CASE WHEN s.sim IS NULL THEN 0.0 ELSE round(1.0 - s.sim, 3) END AS novelty
+FROM pairs p LEFT JOIN sims s ON s.pk = p.scope || '|' || CAST(p.pair_end AS VARCHAR)"""

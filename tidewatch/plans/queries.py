@@ -323,3 +323,23 @@ def q_block_harvest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_block_harvest_relevant(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = B.table(spark, sf_dir, "pages")
     return HV.harvest_blocks(pages, relevance=True).select("page_id", "pos", "title")
+
+
+# ---------------------------------------------------------------- text shift (M1) and novelty series (M5)
+
+from tidewatch.operators import shift as SH  # noqa: E402
+
+
+@register("text_shift")
+def q_text_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = B.day_texts(spark, sf_dir)
+    today = (texts.filter((F.col("date") == F.lit(B.TEXT_DAY)) & (F.length("text") > 0))
+             .groupBy("scope").agg(F.count("*").alias("text_count")))
+    return SH.text_shift(_text_tf(spark, sf_dir), today, texts.select("date"), B.TEXT_DAY)
+
+
+@register("novelty_series")
+def q_novelty_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = B.day_texts(spark, sf_dir)
+    return SH.novelty_series(_text_tf(spark, sf_dir), texts.select("date"),
+                             texts.select("scope").distinct(), B.TEXT_DAY)
