@@ -82,3 +82,26 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() < want:
         return df.repartition(want)
     return df
+
+
+def consecutive_index(df: DataFrame, order: list, name: str = "idx", partitions: int | None = None) -> DataFrame:
+    """Add a 1-based consecutive row number over a total ``order`` without a
+    single-task window.
+
+    Range-partition on the order (hot keys spread over several ranges, since
+    the order is total), freeze the assignment with a reliable checkpoint,
+    number rows inside each range, and add the counts of all earlier ranges
+    (one row per range, broadcast).
+    """
+    from pyspark.sql import Window
+
+    spark = df.sparkSession
+    n = partitions or max(1, spark.sparkContext.defaultParallelism)
+    ranged = cut_lineage(df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()))
+    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
+    counts = ranged.groupBy("_pid").agg(F.count("*").alias("_cnt"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    return (local.join(F.broadcast(offsets), "_pid", "inner")
+            .withColumn(name, (F.col("_off") + F.col("_local")).cast("bigint"))
+            .drop("_pid", "_local", "_off"))

@@ -463,3 +463,57 @@ members AS (
 SELECT p.scope, p.pair_end AS date,
        CASE WHEN s.sim IS NULL THEN 0.0 ELSE round(1.0 - s.sim, 3) END AS novelty
 FROM pairs p LEFT JOIN sims s ON s.pk = p.scope || '|' || CAST(p.pair_end AS VARCHAR)"""
+
+
+# ---------------------------------------------------------------- reports
+
+SQL["digest_lines"] = f"""
+WITH items AS (
+  SELECT source, coalesce(lang, 'other') AS category, doc_id AS pos, substring({_strip('text')}, 1, 80) AS title,
+         '' AS url, substring({_strip('text')}, 1, 1000) AS summary FROM documents
+),
+cats AS (SELECT * FROM (VALUES ('en', 0, 'English'), ('fr', 1, 'Français'), ('de', 2, 'Deutsch')) t(category, cat_rank, label)),
+listed AS (SELECT * FROM items JOIN cats USING (category)),
+numbered AS (SELECT *, row_number() OVER (ORDER BY cat_rank, pos, source, title) AS idx FROM listed),
+header AS (
+  SELECT -1 AS section, CAST(0 AS BIGINT) AS item, line, text FROM (VALUES
+    (0, '今日日期: 2024-01-31'), (1, '信息条目数: ' || (SELECT count(*) FROM items)), (2, ''),
+    (3, '以下是今日新增的AI信息列表（按来源分类）：'), (4, '')) t(line, text)
+),
+groups AS (SELECT cat_rank, label, count(*) AS n FROM listed GROUP BY ALL),
+group_lines AS (
+  SELECT cat_rank AS section, CAST(0 AS BIGINT) AS item, 0 AS line, '### ' || label || '（' || n || ' 条）' AS text FROM groups
+  UNION ALL SELECT cat_rank, 0, 1, '' FROM groups
+),
+item_lines AS (
+  SELECT cat_rank AS section, idx AS item, 0 AS line, idx || '. [' || source || '] ' || title AS text FROM numbered
+  UNION ALL SELECT cat_rank, idx, 1, '   URL: ' || url FROM numbered
+  UNION ALL SELECT cat_rank, idx, 2, '   摘要: ' || substring(summary, 1, 400) FROM numbered WHERE summary <> ''
+  UNION ALL SELECT cat_rank, idx, 3, '' FROM numbered
+)
+SELECT * FROM header UNION ALL SELECT * FROM group_lines UNION ALL SELECT * FROM item_lines"""
+
+SQL["reference_list"] = f"""
+WITH catalog AS (
+  SELECT source, ['papers', 'company', 'opensource', 'industry'][(row_number() OVER (ORDER BY source) - 1) % 4 + 1] AS category
+  FROM (SELECT DISTINCT source FROM documents) s
+),
+ev AS (
+  SELECT CAST(DATE '2024-01-01' + CAST(doc_id % 31 AS INTEGER) AS DATE) AS date,
+         coalesce(CASE lang WHEN 'en' THEN 0 WHEN 'de' THEN 1 WHEN 'fr' THEN 2 WHEN 'es' THEN 3 END, 4) AS dim_rank,
+         doc_id AS pos, substring({_strip('text')}, 1, 80) AS title, source, '' AS url
+  FROM documents
+),
+cats AS (SELECT * FROM (VALUES ('papers', 0, '论文'), ('company', 1, '公司动态'), ('opensource', 2, '开源生态'),
+                                ('industry', 3, '资本与行业'), ('other', 4, '其他')) t(category, cat_rank, label)),
+e AS (SELECT ev.*, coalesce(c.category, 'other') AS category FROM ev LEFT JOIN catalog c USING (source)),
+first AS (
+  SELECT cat_rank, label, title, url, source, min(date) AS d0,
+         arg_min(dim_rank, (date, dim_rank, pos)) AS r0, arg_min(pos, (date, dim_rank, pos)) AS p0
+  FROM e JOIN cats USING (category) GROUP BY cat_rank, label, title, url, source
+),
+numbered AS (SELECT *, row_number() OVER (ORDER BY cat_rank, d0, r0, p0, title, url, source) AS item FROM first)
+SELECT cat_rank AS section, CAST(0 AS BIGINT) AS item, 0 AS line, '### ' || label AS text
+FROM (SELECT DISTINCT cat_rank, label FROM first) h
+UNION ALL
+SELECT cat_rank, item, 0, '- [' || coalesce(title, '') || '](' || coalesce(url, '') || ') — ' || coalesce(source, '') FROM numbered"""

@@ -343,3 +343,18 @@ def q_novelty_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = B.day_texts(spark, sf_dir)
     return SH.novelty_series(_text_tf(spark, sf_dir), texts.select("date"),
                              texts.select("scope").distinct(), B.TEXT_DAY)
+
+
+# ---------------------------------------------------------------- reports
+
+from tidewatch.operators import reports as RP  # noqa: E402
+
+
+@register("digest_lines")
+def q_digest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return RP.digest_lines(B.digest_items(spark, sf_dir), B.TEXT_DAY, B.DIGEST_ORDER, B.DIGEST_LABELS)
+
+
+@register("reference_list")
+def q_reference_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return RP.reference_list(B.evidence(spark, sf_dir), B.source_categories(spark, sf_dir))

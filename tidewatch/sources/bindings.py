@@ -123,3 +123,37 @@ def star_texts(spark: SparkSession, sf_dir: str, since=None, until=None) -> Data
                      F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("/"),
                               F.col("event_type")).alias("repo"),
                      text.alias("stars"), F.col("event_id").alias("pos"))
+
+
+# ---- digest and reference-list bindings ----
+# The digest lists these categories (languages) in this order; 'es' is left
+# out on purpose so its items count in the header but are not listed.
+DIGEST_ORDER = ["en", "fr", "de"]
+DIGEST_LABELS = {"en": "English", "fr": "Français", "de": "Deutsch"}
+# Evidence of a day is filed under a dimension by language.
+LANG_DIMENSION = {"en": 0, "de": 1, "fr": 2, "es": 3}
+
+
+def digest_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewatch.functions.text import clip
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("source", F.col("lang").alias("category"), F.col("doc_id").alias("pos"),
+                       clip("text", 80).alias("title"), F.lit("").alias("url"),
+                       clip("text", 1000).alias("summary"))
+
+
+def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence rows: every document of a day, filed under a dimension by language."""
+    from tidewatch.functions.text import clip
+    docs = table(spark, sf_dir, "documents")
+    dim = F.create_map(*[x for k, v in LANG_DIMENSION.items() for x in (F.lit(k), F.lit(v))])
+    return docs.select(F.date_add(F.lit(TEXT_EPOCH), (F.col("doc_id") % TEXT_DAYS).cast("int")).alias("date"),
+                       F.coalesce(dim[F.col("lang")], F.lit(4)).alias("dim_rank"),
+                       F.col("doc_id").alias("pos"), clip("text", 80).alias("title"), "source",
+                       F.lit("").alias("url"))
+
+
+def source_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog with a category per source: the four item categories in turn, by source rank."""
+    cats = F.array(F.lit("papers"), F.lit("company"), F.lit("opensource"), F.lit("industry"))
+    return source_catalog(spark, sf_dir).withColumn("category", F.element_at(cats, (F.col("src_rank") % 4 + 1).cast("int")))
