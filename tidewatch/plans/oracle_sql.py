@@ -517,3 +517,14 @@ SELECT cat_rank AS section, CAST(0 AS BIGINT) AS item, 0 AS line, '### ' || labe
 FROM (SELECT DISTINCT cat_rank, label FROM first) h
 UNION ALL
 SELECT cat_rank, item, 0, '- [' || coalesce(title, '') || '](' || coalesce(url, '') || ') — ' || coalesce(source, '') FROM numbered"""
+
+
+# ---------------------------------------------------------------- streaming twins (batch equivalents)
+
+SQL["stream_dedup"] = "SELECT DISTINCT substr(sha256('|' || text), 1, 16) AS aid FROM documents"
+SQL["stream_daily"] = """
+SELECT CAST(date_trunc('day', ts) AS DATE) AS date, CAST(user_id AS VARCHAR) || ':' || event_type AS kw,
+       count(*) AS n, round(sum(value), 2) AS value
+FROM events GROUP BY 1, 2
+-- append mode: a day is emitted once the watermark (max event time - 1 day) passes its end
+HAVING CAST(date_trunc('day', min(ts)) AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"""

@@ -358,3 +358,22 @@ def q_digest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("reference_list")
 def q_reference_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RP.reference_list(B.evidence(spark, sf_dir), B.source_categories(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- streaming
+
+from tidewatch.streaming import streams as ST  # noqa: E402
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, state = ST.scratch_dirs(spark, "stream-dedup")
+    ST.run_available_now(ST.stream_dedup(ST.document_stream(spark, sf_dir)), out, state)
+    return spark.read.parquet(out).select("aid")
+
+
+@register("stream_daily")
+def q_stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, state = ST.scratch_dirs(spark, "stream-daily")
+    ST.run_available_now(ST.stream_daily_keywords(ST.event_stream(spark, sf_dir)), out, state)
+    return spark.read.parquet(out).select("date", "kw", "n", F.round("value", 2).alias("value"))
