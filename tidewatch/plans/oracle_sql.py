@@ -176,9 +176,9 @@ tf AS (SELECT scope, date, term, CAST(sum(n) AS BIGINT) AS tf FROM grams GROUP B
 
 def _members_sql(days: int = 30, day: str = TEXT_DAY, scopes: str = "SELECT DISTINCT scope FROM day_texts") -> str:
     return f"""
-recs AS (SELECT DISTINCT date FROM day_texts WHERE date >= {day} - {days} AND date <= {day}),
+trecs AS (SELECT DISTINCT date FROM day_texts WHERE date >= {day} - {days} AND date <= {day}),
 scopes AS ({scopes}),
-members AS (SELECT s.scope, r.date, r.date = {day} AS is_query FROM scopes s, recs r)"""
+members AS (SELECT s.scope, r.date, r.date = {day} AS is_query FROM scopes s, trecs r)"""
 
 
 def _sims_sql(maxf: int = 5000, tf: str = "tf", members: str = "members", key: str = "scope") -> str:
@@ -227,13 +227,14 @@ SELECT scope, date, term, round(w / norm, 9) AS weight FROM w JOIN norms USING (
 SQL["day_similarity"] = _TEXT_SIMS + "\nSELECT scope, date, round(sim, 9) AS sim FROM sims"
 
 
-def _measures_sql(spike_delta="0.15", spike_min="0.3", cont_ratio="0.6", em_max="0.25", em_mean="0.15") -> str:
+def _measures_sql(spike_delta="0.15", spike_min="0.3", cont_ratio="0.6", em_max="0.25", em_mean="0.15",
+                  source="sims") -> str:
     return f""",
 x AS (
   SELECT scope, date, sim, least(sim, 1.0) AS s,
          row_number() OVER (PARTITION BY scope ORDER BY date DESC) AS rn,
          lag(least(sim, 1.0)) OVER (PARTITION BY scope ORDER BY date) AS prev
-  FROM sims
+  FROM {source}
 ),
 agg AS (
   SELECT scope, count(*) AS n,
@@ -528,3 +529,32 @@ SELECT CAST(date_trunc('day', ts) AS DATE) AS date, CAST(user_id AS VARCHAR) ||
 FROM events GROUP BY 1, 2
 -- append mode: a day is emitted once the watermark (max event time - 1 day) passes its end
 HAVING CAST(date_trunc('day', min(ts)) AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"""
+
+
+# ---------------------------------------------------------------- composite reports
+
+_RD = COUNTER_DAY
+SQL["trend_report_flat"] = _kw(30, ", " + _tf_sql(day=_RD) + f""",
+tf2 AS (SELECT * FROM tf UNION ALL SELECT '_combined', date, term, CAST(sum(tf) AS BIGINT) FROM tf GROUP BY date, term),""" +
+    _members_sql(day=_RD, scopes="SELECT DISTINCT scope FROM day_texts UNION SELECT '_combined'") + "," +
+    _sims_sql(tf="tf2") + """,
+sims_d AS (SELECT * FROM sims WHERE scope <> '_combined')""" + _measures_sql(source="sims_d") + f""",
+nov AS (SELECT round(1.0 - avg(sim), 3) AS novelty FROM sims WHERE scope = '_combined'),
+hist AS (SELECT count(*) AS n FROM trecs WHERE date < {_RD}),
+lists AS (SELECT kind, kw, row_number() OVER (PARTITION BY kind ORDER BY kw) AS rank FROM trends)
+SELECT {_RD} AS date, n >= 3 AS has_enough_history, n AS history_days,
+       CASE WHEN n >= 3 THEN coalesce((SELECT novelty FROM nov), 1.0) ELSE 1.0 END AS overall_novelty,
+       CASE WHEN n >= 3 THEN (SELECT count(*) FILTER (WHERE spike) + count(*) FILTER (WHERE continuous)
+                                     + count(*) FILTER (WHERE emerging) FROM measures) ELSE 0 END AS signal_count,
+       CASE WHEN n >= 3 THEN coalesce((SELECT string_agg(kw, ',' ORDER BY kw) FROM lists WHERE kind = 'new' AND rank <= 10), '') ELSE '' END AS new_keywords,
+       CASE WHEN n >= 3 THEN coalesce((SELECT string_agg(kw, ',' ORDER BY kw) FROM lists WHERE kind = 'rising' AND rank <= 10), '') ELSE '' END AS rising_keywords,
+       CASE WHEN n >= 3 THEN coalesce((SELECT string_agg(kw, ',' ORDER BY kw) FROM lists WHERE kind = 'fading' AND rank <= 10), '') ELSE '' END AS fading_keywords
+FROM hist""")
+
+SQL["run_summary"] = _STATS + """
+SELECT count(*) AS sources, count(*) FILTER (WHERE status = 'ok') AS ok_count,
+       count(*) FILTER (WHERE status = 'fail') AS fail_count,
+       CAST(coalesce(sum(fetched), 0) AS BIGINT) AS fetched, CAST(coalesce(sum(new), 0) AS BIGINT) AS new,
+       round(coalesce(sum(elapsed_s), 0.0), 1) AS fetch_time_s,
+       CAST(0 AS BIGINT) AS stage1_tokens, CAST(0 AS BIGINT) AS stage2_tokens, CAST(0 AS BIGINT) AS total_tokens
+FROM stats"""

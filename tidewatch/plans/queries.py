@@ -377,3 +377,62 @@ def q_stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, state = ST.scratch_dirs(spark, "stream-daily")
     ST.run_available_now(ST.stream_daily_keywords(ST.event_stream(spark, sf_dir)), out, state)
     return spark.read.parquet(out).select("date", "kw", "n", F.round("value", 2).alias("value"))
+
+
+# ---------------------------------------------------------------- composite reports
+
+from tidewatch.operators import analysis as AN  # noqa: E402
+from tidewatch.plans import reports as PR  # noqa: E402
+
+REPORT_DAY = B.COUNTER_DAY  # texts, keywords and counters all exist on this day
+
+
+def _report_tf(spark, sf_dir):
+    tf = _text_tf(spark, sf_dir, day=REPORT_DAY)
+    return tf.unionByName(V.merge_scopes(tf))
+
+
+def _trend_report(spark, sf_dir):
+    texts = B.day_texts(spark, sf_dir)
+    kwd = B.day_keywords(spark, sf_dir, since=_since(REPORT_DAY, 30), until=REPORT_DAY)
+    return PR.trend_report(_report_tf(spark, sf_dir), texts.select("date"), kwd, REPORT_DAY)
+
+
+@register("trend_report")
+def q_trend_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _trend_report(spark, sf_dir)
+
+
+@register("trend_report_flat")
+def q_trend_report_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PR.flat_trend_report(_trend_report(spark, sf_dir))
+
+
+def _metrics_report(spark, sf_dir):
+    texts = B.day_texts(spark, sf_dir)
+    tf = V.merge_scopes(_text_tf(spark, sf_dir, day=REPORT_DAY))
+    counts = (texts.filter((F.col("date") == F.lit(REPORT_DAY)) & (F.length("text") > 0))
+              .agg(F.count("*").alias("text_count")).select(F.lit(C.COMBINED_SCOPE).alias("scope"), "text_count"))
+    since = _since(REPORT_DAY, 30)
+    stars = B.star_texts(spark, sf_dir, since=since, until=REPORT_DAY)
+    downloads = B.counter_fact(spark, sf_dir, since=since, until=REPORT_DAY)
+    return PR.metrics_report(REPORT_DAY, tf, texts.select("date"), counts, stars, downloads)
+
+
+@register("metrics_report")
+def q_metrics_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _metrics_report(spark, sf_dir)
+
+
+@register("report_bundle")
+def q_report_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    analysis = AN.default_analysis(spark, str(REPORT_DAY))
+    return PR.bundle(REPORT_DAY, analysis, _trend_report(spark, sf_dir), _metrics_report(spark, sf_dir),
+                     q_chart_table(spark, sf_dir))
+
+
+@register("run_summary")
+def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    usage = spark.createDataFrame([], "stage string, model string, prompt_tokens bigint, "
+                                      "completion_tokens bigint, total_tokens bigint")
+    return RP.run_summary(_stats(spark, sf_dir), usage)
