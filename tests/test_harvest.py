@@ -1,0 +1,49 @@
+from tidewatch.sources import harvest as HV
+
+
+def _pages(spark, html, url="https://site.example/news"):
+    return spark.createDataFrame([(1, url, html)], "page_id long, url string, html string")
+
+
+def test_link_order_rule(spark):
+    html = ('<a href="/news/x">short</a><a href="/news/x">A long enough title</a>'
+            '<a href="/news/">root</a><a href="/news/y">Another good title</a>')
+    before = [r.title for r in HV.harvest_links(_pages(spark, html), "prefix", "/news/", dedup="before").orderBy("pos").collect()]
+    after = [r.title for r in HV.harvest_links(_pages(spark, html), "contains", "/news/", dedup="after").orderBy("pos").collect()]
+    assert before == ["Another good title"]
+    assert after == ["A long enough title", "Another good title"]
+
+
+def test_link_cap_and_absolute_url(spark):
+    html = "".join(f'<a class="c" href="/blog/p{i}">Blog post number {i}</a>' for i in range(20))
+    out = HV.harvest_links(_pages(spark, html, "https://ai.example/blog/"), "contains", "/blog/",
+                           root="https://ai.example/blog", dedup="after").orderBy("pos").collect()
+    assert len(out) == 15 and out[0].url == "https://ai.example/blog/p0"
+
+
+def test_feed_first_entries_then_title_filter(spark):
+    items = "".join(f"<item><title>{'' if i == 0 else f' T{i} '}</title><link> https://f/{i} </link>"
+                    f"<description>d{i}</description></item>" for i in range(20))
+    xml = f"<rss><channel><title>F</title>{items}</channel></rss>"
+    df = spark.createDataFrame([("Feed", "papers", xml), ("Bad", "papers", "<rss><chan")],
+                               "source string, category string, xml string")
+    out = HV.harvest_feed(df).orderBy("pos").collect()
+    assert len(out) == 14 and out[0].title == "T1" and out[0].url == "https://f/1" and out[0].pos == 2
+
+
+def test_api_payload(spark):
+    body = '[{"id": "org/m1", "pipeline_tag": "text-generation", "downloads": 12345, "likes": 7}, {"id": ""}]'
+    df = spark.createDataFrame([("HF", "opensource", body), ("HF", "opensource", "not json")],
+                               "source string, category string, body string")
+    out = HV.harvest_api(df).collect()
+    assert len(out) == 1 and out[0].summary == "Pipeline: text-generation  |  Downloads: 12,345  |  Likes: 7"
+
+
+def test_repo_blocks(spark):
+    html = ('<article class="Box-row"><h2><a href="/org/llm-kit/">x</a></h2><p> Fast inference </p>'
+            '<span class="d-inline-block float-sm-right">1,077 stars today</span></article>'
+            '<article class="Box-row"><p>no link</p></article>'
+            '<article class="Box-row"><h2><a href="/org/cooking">x</a></h2><p>Recipes</p></article>')
+    out = HV.harvest_repo_blocks(_pages(spark, html)).collect()
+    assert [r.title for r in out] == ["org / llm-kit"]
+    assert out[0].summary == "Fast inference  ⭐ 1,077 stars today" and out[0].url == "https://github.com/org/llm-kit"
