@@ -63,3 +63,11 @@ def test_run_totals_golden(spark):
     stats = spark.createDataFrame(rows, "source string, method string, status string, fetched long, new long, elapsed_s double")
     t = IG.run_totals(stats).filter(F.col("source").isNull()).first()
     assert (t.fetched, t.new, t.ok_count, t.fail_count) == (128, 23, 10, 3)
+
+
+def test_pandas_fold_path_for_large_catalogs(spark, monkeypatch):
+    monkeypatch.setattr(IG, "JVM_FOLD_LIMIT", 0)
+    rng = random.Random(5)
+    pool = [f"i{k}" for k in range(10)]
+    sources = [[rng.choice(pool) for _ in range(8)] for _ in range(4)]
+    assert _accepted(spark, sources, 2, {"i0"}) == sorted(capped_first_wins(sources, {"i0"}, 2))

@@ -32,13 +32,14 @@ def _whitespace_class() -> str:
 
 #: Regex character class of Python's whitespace (``str.isspace``).
 PY_WHITESPACE_CLASS = _whitespace_class()
+#: The same characters as a plain string (for character-set trims).
+PY_WHITESPACE_CHARS = "".join(chr(cp) for cp in range(0x10000) if chr(cp).isspace())
 _NON_WS = "[^" + PY_WHITESPACE_CLASS[1:]
 
 
 def py_strip(c: str | Column) -> Column:
-    """``str.strip()`` with Unicode whitespace."""
-    ws = PY_WHITESPACE_CLASS
-    return F.regexp_replace(_col(c), f"^{ws}+|{ws}+$", "")
+    """``str.strip()`` with Unicode whitespace (a character-set trim, no regex)."""
+    return F.btrim(_col(c), F.lit(PY_WHITESPACE_CHARS))
 
 
 def clip(c: str | Column, n: int, strip: bool = True) -> Column:

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F, Window
 
 from tidewatch import constants as C
 from tidewatch.functions.ids import item_id
+from tidewatch.operators._util import broadcast_if_bounded
 
 
 def with_item_id(items: DataFrame, url: str = "url", title: str = "title") -> DataFrame:
@@ -82,6 +83,34 @@ def _fold_pdf(pdf: pd.DataFrame, cap: int) -> pd.DataFrame:
     return pd.DataFrame({"run": [run] * len(out_aid), "src_rank": out_src, "aid": out_aid})
 
 
+#: Largest candidate bound folded by the JVM ``aggregate`` (quadratic in the
+#: candidates); larger catalogs use the linear pandas fold.
+JVM_FOLD_LIMIT = 20000
+
+
+def _fold_jvm(cand: DataFrame, cap: int) -> DataFrame:
+    """The sequential fold as one ``aggregate`` over the sorted candidates
+    (bounded by the catalog), entirely JVM-side."""
+    cs = cand.agg(F.array_sort(F.collect_list(F.struct("src_rank", "rank", "aid"))).alias("cs"))
+    init = F.struct(F.array().cast("array<string>").alias("taken"), F.lit(-1).alias("src"),
+                    F.lit(0).alias("cnt"),
+                    F.array().cast("array<struct<src_rank:int,aid:string>>").alias("out"))
+
+    def step(acc, x):
+        cnt = F.when(x["src_rank"] != acc["src"], F.lit(0)).otherwise(acc["cnt"])
+        take = (cnt < cap) & ~F.array_contains(acc["taken"], x["aid"])
+        return F.struct(
+            F.when(take, F.concat(acc["taken"], F.array(x["aid"]))).otherwise(acc["taken"]).alias("taken"),
+            x["src_rank"].alias("src"),
+            F.when(take, cnt + 1).otherwise(cnt).alias("cnt"),
+            F.when(take, F.concat(acc["out"], F.array(F.struct(x["src_rank"].cast("int").alias("src_rank"),
+                                                                x["aid"].alias("aid")))))
+            .otherwise(acc["out"]).alias("out"))
+
+    return (cs.select(F.explode(F.aggregate("cs", init, step)["out"]).alias("a"))
+            .select("a.src_rank", "a.aid"))
+
+
 def dedup_capped(items: DataFrame, catalog: DataFrame, seen: DataFrame | None = None,
                  cap: int = C.ITEMS_PER_SOURCE, mode: str = "exact") -> DataFrame:
     """Accepted items of one run.
@@ -89,36 +118,47 @@ def dedup_capped(items: DataFrame, catalog: DataFrame, seen: DataFrame | None =
     ``items``: ``source, aid, pos, ...``; ``catalog``: ``source, src_rank`` (0-based
     order); ``seen``: ``aid``.  Returns the accepted item rows with ``src_rank``
     and in-source ``rank``.
+
+    The dedup itself runs on the narrow keys ``(source, aid, pos)``; the
+    accepted rows (at most ``cap`` per source, so bounded by the catalog) are
+    fetched back from ``items`` in one pass with a broadcast semi-join.
     """
-    fresh = first_per_source(items, seen)
+    keys = items.select("source", "aid", "pos")
+    fresh = first_per_source(keys, seen)
     n_sources = catalog.count()  # size of a small dimension: bounds every limit below
+    cat = F.broadcast(catalog.select("source", "src_rank"))
     if mode == "global_first":
-        cat = F.broadcast(catalog.select("source", "src_rank"))
         g = fresh.join(cat, "source", "inner")
-        cols = [c for c in g.columns if c not in ("aid", "src_rank", "pos", "source")]
-        firsts = (g.groupBy("aid")
-                  .agg(F.min(F.struct("src_rank", "pos", "source", *cols)).alias("_r"))
+        firsts = (g.groupBy("aid").agg(F.min(F.struct("src_rank", "pos", "source")).alias("_r"))
                   .select("aid", "_r.*"))
         w = Window.partitionBy("source").orderBy("pos", "aid")
-        return (firsts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= cap))
-    if mode != "exact":
+        acc = firsts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= cap)
+    elif mode == "exact":
+        ranked = _ranked(fresh, catalog, cap * max(n_sources, 1))
+        cand = ranked.filter(F.col("rank") <= F.lit(cap) * (F.col("src_rank") + 1))
+        # free = no earlier source lists the id; the windows see the bounded candidate set only
+        by_aid = Window.partitionBy("aid")
+        by_src = Window.partitionBy("source").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+        cand = (cand.withColumn("_first_src", F.min("src_rank").over(by_aid))
+                .withColumn("_free", (F.col("_first_src") == F.col("src_rank")).cast("int"))
+                .withColumn("_free_before", F.coalesce(F.sum("_free").over(by_src), F.lit(0)))
+                .filter(F.col("_free_before") < cap)
+                .drop("_first_src", "_free", "_free_before"))
+        bound = cap * n_sources * (n_sources + 1) // 2
+        if bound <= JVM_FOLD_LIMIT:
+            accepted = _fold_jvm(cand.withColumn("src_rank", F.col("src_rank").cast("int")), cap)
+        else:
+            fold_in = cand.select(F.lit(0).alias("run"), "src_rank", "rank", "aid")
+            accepted = (fold_in.groupBy("run")
+                        .applyInPandas(lambda pdf: _fold_pdf(pdf, cap), "run int, src_rank int, aid string")
+                        .drop("run"))
+        acc = cand.withColumn("src_rank", F.col("src_rank").cast("int")).join(accepted, ["src_rank", "aid"], "left_semi")
+    else:
         raise ValueError(f"unknown mode {mode!r}")
-
-    ranked = _ranked(fresh, catalog, cap * max(n_sources, 1))
-    cand = ranked.filter(F.col("rank") <= F.lit(cap) * (F.col("src_rank") + 1))
-    # free = no earlier source lists the id; the window holds the bounded candidate set only
-    by_aid = Window.partitionBy("aid")
-    by_src = Window.partitionBy("source").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    cand = (cand.withColumn("_first_src", F.min("src_rank").over(by_aid))
-            .withColumn("_free", (F.col("_first_src") == F.col("src_rank")).cast("int"))
-            .withColumn("_free_before", F.coalesce(F.sum("_free").over(by_src), F.lit(0)))
-            .filter(F.col("_free_before") < cap)
-            .drop("_first_src", "_free", "_free_before"))
-    keys = cand.select(F.lit(0).alias("run"), "src_rank", "rank", "aid")
-    accepted = (keys.groupBy("run")
-                .applyInPandas(lambda pdf: _fold_pdf(pdf, cap), "run int, src_rank int, aid string")
-                .drop("run"))
-    return cand.join(accepted, ["src_rank", "aid"], "left_semi")
+    acc = broadcast_if_bounded(acc.select("source", "pos", "aid", "src_rank", "rank"), cap * max(n_sources, 1), 96)
+    # (source, pos) identifies an item; the id comes from the accepted side so the
+    # hash over the whole row is not computed again
+    return items.drop("aid").join(acc, ["source", "pos"], "inner")
 
 
 def ingest_stats(raw: DataFrame, accepted: DataFrame, catalog: DataFrame,

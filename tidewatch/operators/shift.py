@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, Window
 
 from tidewatch import constants as C
-from tidewatch.operators._util import broadcast_if_bounded, day_lit, window_filter
+from tidewatch.operators._util import broadcast_if_bounded, cut_lineage, day_lit, window_filter
 from tidewatch.operators.detectors import shift_label
 from tidewatch.operators.vectors import tfidf_similarity
 
@@ -35,12 +35,13 @@ def text_shift(tf: DataFrame, today_counts: DataFrame, records: DataFrame, day,
     there is no text today or fewer than ``min_history`` non-blank history days.
     """
     d = day_lit(day)
-    hist_nb = window_filter(nonblank_days(tf), day, days)
+    # small per-scope tables read by several branches: materialised once
+    hist_nb = cut_lineage(window_filter(nonblank_days(tf), day, days))
     n_records = window_filter(records.select("date").distinct(), day, days).select(F.count("*")).scalar()
     nb_counts = hist_nb.groupBy("scope").agg(F.count("*").alias("nonblank_history_days"))
-    scopes = (today_counts.filter(F.col("text_count") > 0).select("scope", "text_count")
-              .join(nb_counts, "scope", "left")
-              .withColumn("nonblank_history_days", F.coalesce("nonblank_history_days", F.lit(0))))
+    scopes = cut_lineage(today_counts.filter(F.col("text_count") > 0).select("scope", "text_count")
+                         .join(nb_counts, "scope", "left")
+                         .withColumn("nonblank_history_days", F.coalesce("nonblank_history_days", F.lit(0))))
     eligible = scopes.filter(F.col("nonblank_history_days") >= min_history).select("scope")
     members = (hist_nb.join(eligible, "scope", "left_semi").withColumn("is_query", F.lit(False))
                .unionByName(eligible.select("scope", d.alias("date"), F.lit(True).alias("is_query"))))

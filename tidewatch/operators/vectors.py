@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F, Window
 from tidewatch import constants as C
 from tidewatch.functions.ngrams import explode_ngrams
 from tidewatch.functions.text import PY_WHITESPACE_CLASS
-from tidewatch.operators._util import broadcast_if_bounded, day_lit, spread
+from tidewatch.operators._util import broadcast_if_bounded, cut_lineage, day_lit, spread
 
 
 def term_counts(texts: DataFrame, keys: Sequence[str] = ("scope",), date_col: str = "date",
@@ -134,8 +134,10 @@ def tfidf_similarity(tf: DataFrame, members: DataFrame, text_keys: Sequence[str]
     """
     ck = list(corpus_keys)
     tk = list(text_keys)
-    n_corpora = _n_corpora(members, ck)
-    mem = members.select(*list(dict.fromkeys(ck + tk + ["date", "is_query"])))
+    # the membership table is tiny (corpora x days) but read by four branches:
+    # materialise it once instead of re-deriving it from the source tables
+    mem = cut_lineage(members.select(*list(dict.fromkeys(ck + tk + ["date", "is_query"]))))
+    n_corpora = _n_corpora(mem, ck)
     mem_b = broadcast_if_bounded(mem, n_corpora * 400, 64)
     ct = tf.join(mem_b, tk + ["date"], "inner").select(*ck, "date", "is_query", "term", "tf")
     n_docs = mem.groupBy(*ck).agg(F.count("*").alias("n_docs"))
