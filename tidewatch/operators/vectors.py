@@ -52,12 +52,21 @@ def term_counts(texts: DataFrame, keys: Sequence[str] = ("scope",), date_col: st
     return grams.groupBy(*keys, "date", "term").agg(F.sum("n").alias("tf"))
 
 
-def merge_scopes(tf: DataFrame, scope: str = C.COMBINED_SCOPE, keys: Sequence[str] = ("scope",)) -> DataFrame:
-    """Counts of a concatenation of all scopes of a day, derived from ``tf``
-    without re-reading the texts."""
-    others = [k for k in keys if k != "scope"]
-    return (tf.groupBy(*others, "date", "term").agg(F.sum("tf").alias("tf"))
-            .select(F.lit(scope).alias("scope"), *others, "date", "term", "tf"))
+def with_combined(tf: DataFrame, scope: str = C.COMBINED_SCOPE) -> DataFrame:
+    """``tf`` plus the counts of a concatenation of all scopes of a day (scope
+    ``_combined``), derived from ``tf`` without re-reading the texts.
+
+    The scope comes out of an ``explode`` of ``[scope, '_combined']``, never as
+    a bare literal: a literal corpus key would let the optimizer fold the
+    corpus join condition to ``true`` and plan a keyless join.
+    """
+    x = tf.select(F.explode(F.array(F.col("scope"), F.lit(scope))).alias("scope"), "date", "term", "tf")
+    return x.groupBy("scope", "date", "term").agg(F.sum("tf").alias("tf"))
+
+
+def merge_scopes(tf: DataFrame, scope: str = C.COMBINED_SCOPE) -> DataFrame:
+    """Only the ``_combined`` counts of :func:`with_combined`."""
+    return with_combined(tf, scope).filter(F.col("scope") == scope)
 
 
 def day_members(texts_dates: DataFrame, scopes: DataFrame, day, days: int = C.LOOKBACK_DAYS) -> DataFrame:
@@ -176,6 +185,7 @@ def vocabulary(tf: DataFrame, members: DataFrame, text_keys: Sequence[str] = ("s
                min_nonblank: int = 2) -> DataFrame:
     """``(corpus..., term, ctf, df, idf, rank)``: the kept terms of each corpus (V3, V4)."""
     ck = list(corpus_keys)
+    members = cut_lineage(members)
     ct = corpus_terms(tf, members, text_keys, corpus_keys)
     sizes = corpus_sizes(ct, members, ck, min_nonblank)
     return _vocab(ct, sizes, ck, max_features).select(*ck, "term", "ctf", "df", "idf", "rank")
@@ -186,6 +196,7 @@ def tfidf_weights(tf: DataFrame, members: DataFrame, text_keys: Sequence[str] =
                   min_nonblank: int = 2) -> DataFrame:
     """``(corpus..., date, term, weight)``: L2-normalised weights per document (V5)."""
     ck = list(corpus_keys)
+    members = cut_lineage(members)
     ct = corpus_terms(tf, members, text_keys, corpus_keys)
     sizes = corpus_sizes(ct, members, ck, min_nonblank)
     vocab = _vocab(ct, sizes, ck, max_features).select(*ck, "term", "idf")

@@ -226,8 +226,7 @@ def q_trend_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("overall_novelty")
 def q_overall_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     tf = V.merge_scopes(_text_tf(spark, sf_dir))
-    scopes = spark.range(1).select(F.lit(C.COMBINED_SCOPE).alias("scope"))
-    sims = V.tfidf_similarity(tf, _members(spark, sf_dir, scopes=scopes))
+    sims = V.tfidf_similarity(tf, _members(spark, sf_dir, scopes=tf.select("scope").distinct()))
     return DT.overall_novelty(sims.select("scope", "date", "sim"))
 
 
@@ -388,8 +387,7 @@ REPORT_DAY = B.COUNTER_DAY  # texts, keywords and counters all exist on this day
 
 
 def _report_tf(spark, sf_dir):
-    tf = _text_tf(spark, sf_dir, day=REPORT_DAY)
-    return tf.unionByName(V.merge_scopes(tf))
+    return V.with_combined(_text_tf(spark, sf_dir, day=REPORT_DAY))
 
 
 def _trend_report(spark, sf_dir):
@@ -412,7 +410,9 @@ def _metrics_report(spark, sf_dir):
     texts = B.day_texts(spark, sf_dir)
     tf = V.merge_scopes(_text_tf(spark, sf_dir, day=REPORT_DAY))
     counts = (texts.filter((F.col("date") == F.lit(REPORT_DAY)) & (F.length("text") > 0))
-              .agg(F.count("*").alias("text_count")).select(F.lit(C.COMBINED_SCOPE).alias("scope"), "text_count"))
+              .select(F.explode(F.array(F.col("scope"), F.lit(C.COMBINED_SCOPE))).alias("scope"))
+              .groupBy("scope").agg(F.count("*").alias("text_count"))
+              .filter(F.col("scope") == C.COMBINED_SCOPE))
     since = _since(REPORT_DAY, 30)
     stars = B.star_texts(spark, sf_dir, since=since, until=REPORT_DAY)
     downloads = B.counter_fact(spark, sf_dir, since=since, until=REPORT_DAY)

@@ -18,7 +18,7 @@ from tidewatch.operators import keywords as KW
 from tidewatch.operators import reports as RP
 from tidewatch.operators import shift as SH
 from tidewatch.operators import vectors as V
-from tidewatch.operators._util import day_lit, window_filter
+from tidewatch.operators._util import cut_lineage, day_lit, window_filter
 
 _SIGNAL_FIELDS = ["type", "dimension", "description", "confidence", "recent_similarity", "older_similarity",
                   "trend_days", "monotonic_ratio", "max_historical_similarity", "mean_historical_similarity",
@@ -38,11 +38,14 @@ def trend_report(tf: DataFrame, records: DataFrame, day_keywords: DataFrame, day
     """
     d = day_lit(day)
     spark = tf.sparkSession
-    n_hist = window_filter(records.select("date").distinct(), day, days).select(F.count("*")).scalar()
+    recs = cut_lineage(window_filter(records.select("date").distinct(), day, days + 1, inclusive=True))
+    records = recs
+    n_hist = window_filter(recs, day, days).select(F.count("*")).scalar()
     if scopes is None:
         scopes = tf.select("scope").distinct()
     members = V.day_members(records.select("date"), scopes, day, days)
-    sims = V.tfidf_similarity(tf, members).select("scope", "date", "sim")
+    # per-day similarities are tiny (scopes x days) and feed three branches
+    sims = cut_lineage(V.tfidf_similarity(tf, members).select("scope", "date", "sim"))
     measures = DT.trend_measures(sims.filter(F.col("scope") != C.COMBINED_SCOPE), params=params, keep_raw=True)
     signals = DT.trend_signals(measures, label)
     sig = signals.agg(F.transform(
@@ -51,7 +54,7 @@ def trend_report(tf: DataFrame, records: DataFrame, day_keywords: DataFrame, day
             F.struct(*_SIGNAL_FIELDS).alias("s")))),
         lambda x: x["s"]).alias("signals")).scalar()
     novelty = DT.overall_novelty(sims.filter(F.col("scope") == C.COMBINED_SCOPE)).select("novelty").scalar()
-    kw = KW.keyword_report(KW.keyword_trends(day_keywords, day, days))
+    kw = cut_lineage(KW.keyword_report(KW.keyword_trends(day_keywords, day, days)))  # one row
     empty = F.array().cast("array<string>")
     enough = n_hist >= params.min_history
     message = F.format_string(C.NOT_ENOUGH_HISTORY.replace("{need}", "%d").replace("{have}", "%d"),
@@ -105,7 +108,9 @@ def metrics_report(day, text_tf: DataFrame, text_records: DataFrame, text_counts
     """
     spark = stars.sparkSession
     d = day_lit(day)
-    shift = SH.text_shift(text_tf, text_counts, text_records, day, days)
+    shift = cut_lineage(SH.text_shift(text_tf, text_counts, text_records, day, days))
+    stars = cut_lineage(window_filter(stars, day, days + 1, inclusive=True))
+    downloads = cut_lineage(window_filter(downloads, day, days + 1, inclusive=True))
     arxiv = shift.select(F.struct(
         "has_data", "capability_score", "mean_similarity", "trend", "history_days",
         F.col("text_count").alias("paper_count")).alias("a")).scalar()
@@ -151,9 +156,13 @@ def bundle(day, analysis: DataFrame, trend: DataFrame | None = None, metrics: Da
                                  analysis.select(F.to_json(F.struct("*"))).scalar().alias("analysis_json"))
     t = None
     if trend is not None:
-        t = trend.select("date", "has_enough_history", "message",
-                         F.to_json(F.struct("has_enough_history", "history_days", "overall_novelty", "signals",
-                                            "keyword_trends")).alias("trend_json"))
+        # one row per day on both sides: attached as scalar subqueries, not joined
+        tj = trend.select(F.to_json(F.struct("has_enough_history", "history_days", "overall_novelty", "signals",
+                                             "keyword_trends"))).scalar()
+        base = base.select("date", "analysis_json",
+                           trend.select("has_enough_history").scalar().alias("has_enough_history"),
+                           trend.select("message").scalar().alias("message"), tj.alias("trend_json"))
+        t = True
     mj = metrics.select(F.to_json(F.struct(*[c for c in metrics.columns]))).scalar() if metrics is not None else None
     cj = None
     if charts is not None:
