@@ -558,3 +558,29 @@ SELECT count(*) AS sources, count(*) FILTER (WHERE status = 'ok') AS ok_count,
        round(coalesce(sum(elapsed_s), 0.0), 1) AS fetch_time_s,
        CAST(0 AS BIGINT) AS stage1_tokens, CAST(0 AS BIGINT) AS stage2_tokens, CAST(0 AS BIGINT) AS total_tokens
 FROM stats"""
+
+
+# ---------------------------------------------------------------- orders by month
+
+_ORDER_GROWTH = """
+WITH fact AS (
+  SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date, CAST(o_custkey AS VARCHAR) AS key,
+         round(sum(o_totalprice), 2) AS value, min(o_orderkey) AS pos
+  FROM orders GROUP BY 1, 2
+),
+win AS (SELECT * FROM fact WHERE date >= DATE '2001-07-01' - 365 AND date <= DATE '2001-07-01'),
+st AS (
+  SELECT key, arg_max(value, pos) FILTER (WHERE date = DATE '2001-07-01') AS value,
+         max(value) FILTER (WHERE date < DATE '2001-07-01') AS prev_max,
+         min(pos) FILTER (WHERE date = DATE '2001-07-01') AS pos,
+         count(*) FILTER (WHERE date = DATE '2001-07-01') AS today_rows
+  FROM win GROUP BY key
+),
+growth AS (
+  SELECT key, value, prev_max,
+         CASE WHEN prev_max > 0 THEN round((value - prev_max) / prev_max, 3) END AS growth_pct,
+         prev_max IS NULL AS is_new, pos
+  FROM st WHERE today_rows > 0 AND value IS NOT NULL
+)"""
+SQL["order_growth"] = _ORDER_GROWTH + "\nSELECT * FROM growth"
+SQL["order_top_growth"] = _ORDER_GROWTH + "\nSELECT * FROM growth WHERE growth_pct IS NOT NULL ORDER BY growth_pct DESC, key LIMIT 10"

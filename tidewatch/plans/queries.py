@@ -436,3 +436,19 @@ def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     usage = spark.createDataFrame([], "stage string, model string, prompt_tokens bigint, "
                                       "completion_tokens bigint, total_tokens bigint")
     return RP.run_summary(_stats(spark, sf_dir), usage)
+
+
+# ---------------------------------------------------------------- second counter fact: orders by month
+
+def _order_growth(spark, sf_dir):
+    return CT.counter_growth(B.order_fact(spark, sf_dir), B.ORDER_MONTH, days=B.ORDER_LOOKBACK_DAYS)
+
+
+@register("order_growth")
+def q_order_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _order_growth(spark, sf_dir)
+
+
+@register("order_top_growth")
+def q_order_top_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return CT.top_growth(_order_growth(spark, sf_dir))

@@ -157,3 +157,16 @@ def source_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalog with a category per source: the four item categories in turn, by source rank."""
     cats = F.array(F.lit("papers"), F.lit("company"), F.lit("opensource"), F.lit("industry"))
     return source_catalog(spark, sf_dir).withColumn("category", F.element_at(cats, (F.col("src_rank") % 4 + 1).cast("int")))
+
+
+# ---- second counter fact: orders by month ----
+ORDER_MONTH = _dt.date(2001, 7, 1)   # last complete month of the orders table
+ORDER_LOOKBACK_DAYS = 365
+
+
+def order_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(date, key, value, pos)``: month, customer, total price of the month, first order key."""
+    o = table(spark, sf_dir, "orders")
+    return (o.groupBy(F.trunc(F.to_date("o_orderdate"), "month").alias("date"),
+                      F.col("o_custkey").cast("string").alias("key"))
+            .agg(F.round(F.sum("o_totalprice"), 2).alias("value"), F.min("o_orderkey").alias("pos")))
