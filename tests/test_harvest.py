@@ -47,3 +47,24 @@ def test_repo_blocks(spark):
     out = HV.harvest_repo_blocks(_pages(spark, html)).collect()
     assert [r.title for r in out] == ["org / llm-kit"]
     assert out[0].summary == "Fast inference  ⭐ 1,077 stars today" and out[0].url == "https://github.com/org/llm-kit"
+
+
+def test_snapshot_and_paper_texts(spark):
+    from pyspark.sql import functions as F
+    items = "".join(f"<item><title>P{i}</title><link>https://arxiv/{i}</link><description>{'x' * 3000}</description></item>"
+                    for i in range(3))
+    feeds = spark.createDataFrame([("arXiv cs.AI", "papers", f"<rss><channel>{items}</channel></rss>"),
+                                   ("OpenAI Blog", "company", f"<rss><channel>{items}</channel></rss>")],
+                                  "source string, category string, xml string")
+    papers = HV.papers_from_feeds(feeds)
+    assert papers.count() == 3 and papers.select(F.max(F.length("abstract"))).first()[0] == 2000
+    assert HV.harvest_feed(feeds).select(F.max(F.length("summary"))).first()[0] == 1000
+    texts = HV.paper_texts(papers.unionByName(spark.createDataFrame([("", "", "u", "s", 9)], papers.schema)))
+    assert texts.count() == 3
+    repos = spark.createDataFrame([("o/a", "10 stars", "u", "d", 1)], "repo string, stars string, url string, description string, pos long")
+    models = spark.createDataFrame([(f"m{i}", i, 0, "t", "u", i) for i in range(1, 25)],
+                                   "model_id string, downloads long, likes long, pipeline_tag string, url string, pos long")
+    snap = HV.snapshot("2026-02-28", papers, repos, models).first()
+    assert len(snap.arxiv_papers) == 3 and len(snap.hf_models) == 20 and snap.github_repos[0].repo == "o/a"
+    cat = HV.catalog_frame(spark).collect()
+    assert len(cat) == 13 and cat[0].source == "arXiv cs.AI" and cat[-1].method == "API"

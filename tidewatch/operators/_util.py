@@ -78,8 +78,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     never adds a shuffle of raw data at scale.
     """
     spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    try:
+        want = min_partitions or spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave the plan alone
+        return df
+    if have < want:
         return df.repartition(want)
     return df
 

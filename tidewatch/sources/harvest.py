@@ -139,7 +139,8 @@ RSS_SCHEMA = ("channel STRUCT<item: ARRAY<STRUCT<title: STRING, link: STRING, de
               "pubDate: STRING>>>")
 
 
-def harvest_feed(payloads: DataFrame, max_items: int = C.FEED_ENTRIES) -> DataFrame:
+def harvest_feed(payloads: DataFrame, max_items: int = C.FEED_ENTRIES,
+                 summary_chars: int = C.SUMMARY_CHARS) -> DataFrame:
     """RSS payloads ``(source, category, xml)`` to items.
 
     Takes the first ``max_items`` entries, *then* drops entries without a title;
@@ -154,7 +155,7 @@ def harvest_feed(payloads: DataFrame, max_items: int = C.FEED_ENTRIES) -> DataFr
             .select("source", "category",
                     py_strip("e.title").alias("title"),
                     py_strip(F.coalesce(F.col("e.link"), F.lit(""))).alias("url"),
-                    clip(F.coalesce(F.col("e.description"), F.lit("")), C.SUMMARY_CHARS).alias("summary"),
+                    clip(F.coalesce(F.col("e.description"), F.lit("")), summary_chars).alias("summary"),
                     F.coalesce(F.col("e.pubDate"), F.lit("")).alias("published"),
                     (F.col("pos") + 1).cast("bigint").alias("pos")))
 
@@ -199,3 +200,46 @@ def harvest_repo_blocks(pages: DataFrame, host: str = "https://github.com") -> D
     summary = F.when(F.col("stars") != "", F.concat(F.col("description"), F.lit("  ⭐ "), F.col("stars"))) \
         .otherwise(F.col("description"))
     return out.withColumn("summary", F.substring(summary, 1, C.SUMMARY_CHARS))
+
+
+# ---------------------------------------------------------------- metrics snapshot
+
+def catalog_frame(spark) -> DataFrame:
+    """The fixed source catalog (S1): ``source, category, method, src_rank``."""
+    rows = [(name, cat, method, i) for i, (name, cat, method) in enumerate(C.SOURCE_CATALOG)]
+    return spark.createDataFrame(rows, "source string, category string, method string, src_rank int")
+
+
+def papers_from_feeds(payloads: DataFrame, name_part: str = "arXiv", max_items: int = C.FEED_ENTRIES) -> DataFrame:
+    """Paper facts of the snapshot from feed payloads ``(source, category, xml)``:
+    feeds whose name contains ``name_part``, first ``max_items`` entries, entries
+    with a title, abstract cut to 2000 characters, no dedup."""
+    items = harvest_feed(payloads.filter(F.col("source").contains(name_part)), max_items, C.ABSTRACT_CHARS)
+    return items.select("title", F.col("summary").alias("abstract"), "url", "source", "pos")
+
+
+def paper_texts(papers: DataFrame) -> DataFrame:
+    """``title + ' ' + abstract`` of papers with a non-empty title or abstract."""
+    t, a = F.coalesce(F.col("title"), F.lit("")), F.coalesce(F.col("abstract"), F.lit(""))
+    return papers.filter((t != "") | (a != "")).withColumn("text", F.concat(t, F.lit(" "), a))
+
+
+def snapshot(day, papers: DataFrame, repos: DataFrame, models: DataFrame, model_limit: int = 20) -> DataFrame:
+    """Nested daily snapshot (S7): ``date, arxiv_papers, github_repos, hf_models``.
+
+    Each list is bounded by the harvest limits (15 entries per paper feed, the
+    repository blocks of one page, ``model_limit`` models), so the per-day
+    arrays stay small; order follows ``pos``.
+    """
+    spark = papers.sparkSession
+
+    def listed(df: DataFrame, cols: list[str]) -> Column:
+        return df.agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", F.struct(*cols).alias("v")))),
+                                  lambda x: x["v"]).alias("a")).scalar()
+
+    m = models.filter(F.col("pos") <= model_limit)
+    return spark.range(1).select(
+        F.lit(day).cast("date").alias("date"),
+        listed(papers, ["title", "abstract", "url", "source"]).alias("arxiv_papers"),
+        listed(repos, ["repo", "stars", "url", "description"]).alias("github_repos"),
+        listed(m, ["model_id", "downloads", "likes", "pipeline_tag", "url"]).alias("hf_models"))
