@@ -65,9 +65,9 @@ def counter_growth(fact: DataFrame, day, days: int = C.LOOKBACK_DAYS, key: str =
 
 
 def top_growth(growth: DataFrame, k: int = C.TOP_K) -> DataFrame:
-    """First ``k`` keys by growth, descending; ties by key (K2)."""
+    """First ``k`` keys by growth, descending; ties in input order (K2)."""
     return (growth.filter(F.col("growth_pct").isNotNull())
-            .orderBy(F.col("growth_pct").desc(), F.col("key"))
+            .orderBy(F.col("growth_pct").desc(), F.col("pos"), F.col("key"))
             .limit(k))
 
 

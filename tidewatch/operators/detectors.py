@@ -106,10 +106,12 @@ def trend_signals(measures: DataFrame, label: Column | None = None) -> DataFrame
     if label is None:
         m = F.create_map(*[x for k, v in C.DIMENSION_LABELS.items() for x in (F.lit(k), F.lit(v))])
         label = F.coalesce(m[F.col("scope")], F.col("scope"))
-    base = measures.withColumn("dimension", label)
+    ranks = F.create_map(*[x for i, d in enumerate(C.DIMENSIONS) for x in (F.lit(d), F.lit(i))])
+    base = (measures.withColumn("dimension", label)
+            .withColumn("dim_rank", F.coalesce(ranks[F.col("scope")], F.lit(len(C.DIMENSIONS)))))
     null_d, null_l = F.lit(None).cast("double"), F.lit(None).cast("bigint")
     spike = base.filter("spike").select(
-        F.lit("sudden_spike").alias("type"), "dimension",
+        F.lit("sudden_spike").alias("type"), F.lit(0).alias("type_rank"), "dim_rank", "dimension",
         F.format_string(C.SPIKE_DESCRIPTION.replace("{label}", "%s").replace("{recent}", "%s")
                         .replace("{older}", "%s"), F.col("dimension"), _fmt2(F.col("recent_sim_raw")),
                         _fmt2(F.col("older_sim_raw"))).alias("description"),
@@ -119,7 +121,7 @@ def trend_signals(measures: DataFrame, label: Column | None = None) -> DataFrame
         null_d.alias("max_historical_similarity"), null_d.alias("mean_historical_similarity"),
         null_d.alias("novelty_score"))
     cont = base.filter("continuous").select(
-        F.lit("continuous_trend").alias("type"), "dimension",
+        F.lit("continuous_trend").alias("type"), F.lit(1).alias("type_rank"), "dim_rank", "dimension",
         F.format_string(C.CONTINUOUS_DESCRIPTION.replace("{label}", "%s").replace("{days}", "%d")
                         .replace("{up}", "%d").replace("{steps}", "%d"),
                         F.col("dimension"), F.col("trend_days"), F.col("up_steps"),
@@ -130,7 +132,7 @@ def trend_signals(measures: DataFrame, label: Column | None = None) -> DataFrame
         null_d.alias("max_historical_similarity"), null_d.alias("mean_historical_similarity"),
         null_d.alias("novelty_score"))
     emer = base.filter("emerging").select(
-        F.lit("emerging_topic").alias("type"), "dimension",
+        F.lit("emerging_topic").alias("type"), F.lit(2).alias("type_rank"), "dim_rank", "dimension",
         F.format_string(C.EMERGING_DESCRIPTION.replace("{label}", "%s").replace("{max}", "%s"),
                         F.col("dimension"), _fmt2(F.col("max_sim_raw"))).alias("description"),
         null_d.alias("confidence"),
@@ -143,8 +145,9 @@ def trend_signals(measures: DataFrame, label: Column | None = None) -> DataFrame
 
 
 def signal_order(signals: DataFrame) -> DataFrame:
-    """Sort signals: confidence (missing = 0) descending, then dimension and type."""
-    return signals.orderBy(F.coalesce(F.col("confidence"), F.lit(0.0)).desc(), "dimension", "type")
+    """Sort signals: confidence (missing = 0) descending; ties keep the order in
+    which they are produced (dimension order, then spike, continuous, emerging)."""
+    return signals.orderBy(F.coalesce(F.col("confidence"), F.lit(0.0)).desc(), "dim_rank", "type_rank", "dimension")
 
 
 def overall_novelty(sims: DataFrame, corpus_keys: Sequence[str] = ("scope",)) -> DataFrame:

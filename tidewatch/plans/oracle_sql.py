@@ -43,7 +43,7 @@ SQL: dict[str, str] = {}
 
 SQL["counter_growth"] = _growth(30) + "\nSELECT * FROM growth"
 SQL["top_growth"] = _growth(30) + """
-SELECT * FROM growth WHERE growth_pct IS NOT NULL ORDER BY growth_pct DESC, key LIMIT 10"""
+SELECT * FROM growth WHERE growth_pct IS NOT NULL ORDER BY growth_pct DESC, pos, key LIMIT 10"""
 SQL["new_entities"] = _growth(1) + """
 SELECT * FROM growth WHERE is_new ORDER BY pos, key LIMIT 10"""
 SQL["top_values"] = _growth(30) + """
@@ -263,7 +263,7 @@ _MEASURE_COLS = """scope, history_days, recent_sim, older_sim, max_sim, mean_sim
 SQL["trend_measures"] = _TEXT_SIMS + _measures_sql() + f"\nSELECT {_MEASURE_COLS} FROM measures"
 
 _SIGNALS = """
-SELECT 'sudden_spike' AS type, scope AS dimension,
+SELECT 'sudden_spike' AS type, 0 AS type_rank, 5 AS dim_rank, scope AS dimension,
        scope || '近3天内容相似度(' || printf('%.2f', recent_raw) || ')显著高于更早期均值(' || printf('%.2f', older_raw) || ')，表明该方向话题突然增强。' AS description,
        spike_confidence AS confidence, recent_sim AS recent_similarity, older_sim AS older_similarity,
        CAST(NULL AS BIGINT) AS trend_days, CAST(NULL AS DOUBLE) AS monotonic_ratio,
@@ -271,12 +271,12 @@ SELECT 'sudden_spike' AS type, scope AS dimension,
        CAST(NULL AS DOUBLE) AS novelty_score
 FROM measures WHERE spike
 UNION ALL
-SELECT 'continuous_trend', scope,
+SELECT 'continuous_trend', 1, 5, scope,
        scope || '的话题向量在最近' || trend_days || '天内呈现持续增强趋势（' || up_steps || '/' || (trend_days - 1) || '天递增），表明该方向正在持续升温。',
        monotonic_ratio, NULL, NULL, trend_days, monotonic_ratio, NULL, NULL, NULL
 FROM measures WHERE continuous
 UNION ALL
-SELECT 'emerging_topic', scope,
+SELECT 'emerging_topic', 2, 5, scope,
        scope || '出现全新话题（与历史最大相似度仅' || printf('%.2f', max_raw) || '），这可能是一个新兴方向的早期信号。',
        NULL, NULL, NULL, NULL, NULL, max_sim, mean_sim, novelty_score
 FROM measures WHERE emerging"""
@@ -583,4 +583,4 @@ growth AS (
   FROM st WHERE today_rows > 0 AND value IS NOT NULL
 )"""
 SQL["order_growth"] = _ORDER_GROWTH + "\nSELECT * FROM growth"
-SQL["order_top_growth"] = _ORDER_GROWTH + "\nSELECT * FROM growth WHERE growth_pct IS NOT NULL ORDER BY growth_pct DESC, key LIMIT 10"
+SQL["order_top_growth"] = _ORDER_GROWTH + "\nSELECT * FROM growth WHERE growth_pct IS NOT NULL ORDER BY growth_pct DESC, pos, key LIMIT 10"

@@ -50,11 +50,12 @@ def trend_report(tf: DataFrame, records: DataFrame, day_keywords: DataFrame, day
     signals = DT.trend_signals(measures, label)
     sig = signals.agg(F.transform(
         F.array_sort(F.collect_list(F.struct(
-            (-F.coalesce(F.col("confidence"), F.lit(0.0))).alias("k"), "dimension", "type",
+            (-F.coalesce(F.col("confidence"), F.lit(0.0))).alias("k"), "dim_rank", "type_rank", "dimension",
             F.struct(*_SIGNAL_FIELDS).alias("s")))),
         lambda x: x["s"]).alias("signals")).scalar()
     novelty = DT.overall_novelty(sims.filter(F.col("scope") == C.COMBINED_SCOPE)).select("novelty").scalar()
-    kw = cut_lineage(KW.keyword_report(KW.keyword_trends(day_keywords, day, days)))  # one row
+    # records with an empty keyword list still count as records: use the record spine
+    kw = cut_lineage(KW.keyword_report(KW.keyword_trends(day_keywords, day, days, spine=records)))  # one row
     empty = F.array().cast("array<string>")
     enough = n_hist >= params.min_history
     message = F.format_string(C.NOT_ENOUGH_HISTORY.replace("{need}", "%d").replace("{have}", "%d"),
