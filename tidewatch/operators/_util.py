@@ -109,3 +109,20 @@ def consecutive_index(df: DataFrame, order: list, name: str = "idx", partitions:
     return (local.join(F.broadcast(offsets), "_pid", "inner")
             .withColumn(name, (F.col("_off") + F.col("_local")).cast("bigint"))
             .drop("_pid", "_local", "_off"))
+
+
+def enable_group_limit(spark, limit: int) -> None:
+    """Let the optimizer cut a per-group top-``limit`` window map-side.
+
+    Spark inserts ``WindowGroupLimit`` only for limits up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default); the
+    vocabulary keeps up to 5000 terms per corpus.  Raising the threshold only
+    enables the optimisation, it does not change results.
+    """
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    try:
+        current = int(spark.conf.get(key, "1000"))
+    except ValueError:
+        current = 1000
+    if 0 < current < limit:
+        spark.conf.set(key, str(limit))

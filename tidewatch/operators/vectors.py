@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F, Window
 from tidewatch import constants as C
 from tidewatch.functions.ngrams import explode_ngrams
 from tidewatch.functions.text import PY_WHITESPACE_CLASS
-from tidewatch.operators._util import broadcast_if_bounded, cut_lineage, day_lit, spread
+from tidewatch.operators._util import broadcast_if_bounded, cut_lineage, day_lit, enable_group_limit, spread
 
 
 def term_counts(texts: DataFrame, keys: Sequence[str] = ("scope",), date_col: str = "date",
@@ -107,6 +107,7 @@ def corpus_sizes(ct: DataFrame, members: DataFrame, corpus_keys: Sequence[str] =
 
 def _vocab(ct: DataFrame, sizes: DataFrame, ck: list[str], max_features: int) -> DataFrame:
     """Kept terms per corpus with ``idf``, corpus statistics and the query day's count."""
+    enable_group_limit(ct.sparkSession, max_features)
     stats = ct.groupBy(*ck, "term").agg(
         F.sum("tf").alias("ctf"), F.count("*").alias("df"),
         F.max(F.when(F.col("is_query"), F.col("tf"))).alias("qtf"))
@@ -154,6 +155,7 @@ def tfidf_similarity(tf: DataFrame, members: DataFrame, text_keys: Sequence[str]
     stats = ct.groupBy(*ck, "term").agg(
         F.sum("tf").alias("ctf"), F.count("*").alias("df"),
         F.max(F.when(F.col("is_query"), F.col("tf"))).alias("qtf"))
+    enable_group_limit(tf.sparkSession, max_features)
     rank = Window.partitionBy(*ck).orderBy(F.col("ctf").desc(), F.col("term"))
     idf = F.log((F.col("n_docs") + 1.0) / (F.col("df") + 1.0)) + 1.0
     vocab = (stats.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= max_features)
