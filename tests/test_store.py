@@ -29,3 +29,28 @@ def test_registry_default_and_append(spark):
     assert S.read_registry(spark, path).count() == 0
     S.append_registry(spark.createDataFrame([("a",), ("a",), ("b",)], "aid string"), path)
     assert sorted(r.aid for r in S.read_registry(spark, path).collect()) == ["a", "b"]
+
+
+def test_json_history_skips_unreadable_documents(spark):
+    import json as _json
+    import os
+    from pyspark.sql import types as T
+    folder = tempfile.mkdtemp(prefix="tw-json-")
+    docs = {"2024-01-29.json": {"date": "2024-01-29", "title": "a", "keywords": ["x"]},
+            "2024-01-30.json": {"date": "2024-01-30", "title": "b", "keywords": []},
+            "2023-12-01.json": {"date": "2023-12-01", "title": "old", "keywords": []},
+            "other-name.json": {"date": "2024-01-28", "title": "by content", "keywords": ["y"]}}
+    for name, d in docs.items():
+        with open(os.path.join(folder, name), "w", encoding="utf-8") as f:
+            f.write(_json.dumps(d, indent=2, ensure_ascii=False))
+    with open(os.path.join(folder, "2024-01-27.json"), "w") as f:
+        f.write('{"date": "2024-01-27", "title": ')
+    schema = T.StructType([T.StructField("date", T.StringType()), T.StructField("title", T.StringType()),
+                           T.StructField("keywords", T.ArrayType(T.StringType()))])
+    got = S.read_json_history(spark, folder, "2024-01-31", 30, schema).orderBy("date").collect()
+    assert [r.title for r in got] == ["by content", "a", "b"]
+
+
+def test_public_api_imports():
+    import tidewatch.api as api
+    assert callable(api.counter_growth) and callable(api.day_similarity) and callable(api.flatten_analysis)

@@ -121,20 +121,17 @@ def reference_list(evidence: DataFrame, catalog: DataFrame, order: list[str] | N
     return heads.unionByName(lines)
 
 
-def report_bundle(analysis_json: Column, trend: DataFrame | bool | None = None, metrics_json: Column | None = None,
+def report_bundle(analysis_json: Column, with_trend: bool = False, metrics_json: Column | None = None,
                   charts_json: Column | None = None, base: DataFrame | None = None) -> DataFrame:
     """Report bundle (R2) per day: ``date, text`` with the analysis, the trend
     report (or its "not enough history" message), the metrics report and the
     chart list as JSON blocks; absent parts are skipped (``concat_ws`` drops nulls).
 
-    ``base`` holds one row per day with the JSON columns; ``trend`` (optional)
-    one row per day with ``has_enough_history, message, trend_json``, joined on
-    ``date`` (or ``True`` when ``base`` already carries those columns).
+    ``base`` holds one row per day with ``date`` and the JSON columns; with
+    ``with_trend`` it also carries ``has_enough_history, message, trend_json``.
     """
     df = base
-    if trend is not None:
-        if not isinstance(trend, bool):
-            df = df.join(trend, "date", "left")
+    if with_trend:
         trend_part = F.when(F.col("has_enough_history"), F.concat(F.lit("\n\n## 趋势对比报告\n\n"), F.col("trend_json"))) \
             .when(F.col("message").isNotNull(), F.concat(F.lit("\n\n## 趋势对比\n"), F.col("message")))
     else:

@@ -85,19 +85,16 @@ def flat_trend_report(report: DataFrame) -> DataFrame:
           for k in ("new", "rising", "fading")])
 
 
-def _top(df: DataFrame, cols: list[str], field: str | None = None) -> Column:
-    """Bounded (<= 10 rows) frame as an array of structs in its order (``rn``);
-    with ``field`` an array of that field only."""
+def _top(df: DataFrame, cols: list[str], order: list[Column], field: str | None = None) -> Column:
+    """A top-k frame (at most k rows) as an array of structs sorted by ``order``
+    (ascending keys; negate a key for descending); with ``field`` an array of
+    that field only.  No window: the order travels in the sorted structs."""
+    keys = [o.alias(f"_k{i}") for i, o in enumerate(order)]
     pick = (lambda x: x["v"][field]) if field else (lambda x: x["v"])
-    return df.agg(F.transform(F.array_sort(F.collect_list(F.struct("rn", F.struct(*cols).alias("v")))),
+    return df.agg(F.transform(F.array_sort(F.collect_list(F.struct(*keys, F.struct(*cols).alias("v")))),
                               pick).alias("a")).scalar()
 
 
-def _ranked(df: DataFrame) -> DataFrame:
-    from pyspark.sql import Window
-    return df.withColumn("rn", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())))
-
-
 def metrics_report(day, text_tf: DataFrame, text_records: DataFrame, text_counts: DataFrame,
                    stars: DataFrame, downloads: DataFrame, days: int = C.LOOKBACK_DAYS) -> DataFrame:
     """Metrics report of ``day`` (M4): ``date, arxiv_capability, github_stars,
@@ -125,11 +122,12 @@ def metrics_report(day, text_tf: DataFrame, text_records: DataFrame, text_counts
         (s_tot.select("n").scalar() > 0).alias("has_data"),
         s_tot.select("t").scalar().cast("bigint").alias("total_stars_today"),
         s_tot.select("n").scalar().alias("repo_count"),
-        _top(_ranked(CT.top_growth(s_growth).select(
+        _top(CT.top_growth(s_growth).select(
             F.col("key").alias("repo"), F.col("value").alias("stars"), F.col("prev_max").alias("prev_stars"),
-            "growth_pct")), ["repo", "stars", "prev_stars", "growth_pct"]).alias("top_growth"),
-        _top(_ranked(CT.new_entities(s_growth).select(F.col("key").alias("repo"))), ["repo"], "repo")
-        .alias("new_repos"),
+            "growth_pct", "pos"), ["repo", "stars", "prev_stars", "growth_pct"],
+            [-F.col("growth_pct"), F.col("pos"), F.col("repo")]).alias("top_growth"),
+        _top(CT.new_entities(s_growth).select(F.col("key").alias("repo"), "pos"), ["repo"],
+             [F.col("pos"), F.col("repo")], "repo").alias("new_repos"),
         hist_days.alias("history_days"))
 
     d_growth = CT.counter_growth(downloads, day, days)
@@ -138,12 +136,13 @@ def metrics_report(day, text_tf: DataFrame, text_records: DataFrame, text_counts
         (d_tot.select("n").scalar() > 0).alias("has_data"),
         d_tot.select("t").scalar().alias("total_downloads"),
         d_tot.select("n").scalar().alias("model_count"),
-        _top(_ranked(CT.top_values(d_growth).select(F.col("key").alias("model_id"), F.col("value").alias("downloads"))),
-             ["model_id", "downloads"]).alias("top_downloads"),
-        _top(_ranked(CT.top_growth(d_growth).select(
+        _top(CT.top_values(d_growth).select(F.col("key").alias("model_id"), F.col("value").alias("downloads"), "pos"),
+             ["model_id", "downloads"], [-F.col("downloads"), F.col("pos"), F.col("model_id")]).alias("top_downloads"),
+        _top(CT.top_growth(d_growth).select(
             F.col("key").alias("model_id"), F.col("value").alias("downloads"),
-            F.col("prev_max").alias("prev_downloads"), "growth_pct")),
-            ["model_id", "downloads", "prev_downloads", "growth_pct"]).alias("top_growth"),
+            F.col("prev_max").alias("prev_downloads"), "growth_pct", "pos"),
+            ["model_id", "downloads", "prev_downloads", "growth_pct"],
+            [-F.col("growth_pct"), F.col("pos"), F.col("model_id")]).alias("top_growth"),
         hist_days.alias("history_days"))
     return spark.range(1).select(d.alias("date"), F.lit(arxiv).alias("arxiv_capability"),
                                  github.alias("github_stars"), hf.alias("huggingface_downloads"))
@@ -153,9 +152,12 @@ def bundle(day, analysis: DataFrame, trend: DataFrame | None = None, metrics: Da
            charts: DataFrame | None = None) -> DataFrame:
     """Report bundle (R2): ``date, text`` for one day."""
     spark = analysis.sparkSession
+    # the reports are one row each but are built from scalar subqueries:
+    # materialise them so their fields attach as plain scans (no nested subqueries)
+    trend = cut_lineage(trend) if trend is not None else None
+    metrics = cut_lineage(metrics) if metrics is not None else None
     base = spark.range(1).select(day_lit(day).alias("date"),
                                  analysis.select(F.to_json(F.struct("*"))).scalar().alias("analysis_json"))
-    t = None
     if trend is not None:
         # one row per day on both sides: attached as scalar subqueries, not joined
         tj = trend.select(F.to_json(F.struct("has_enough_history", "history_days", "overall_novelty", "signals",
@@ -163,9 +165,8 @@ def bundle(day, analysis: DataFrame, trend: DataFrame | None = None, metrics: Da
         base = base.select("date", "analysis_json",
                            trend.select("has_enough_history").scalar().alias("has_enough_history"),
                            trend.select("message").scalar().alias("message"), tj.alias("trend_json"))
-        t = True
     mj = metrics.select(F.to_json(F.struct(*[c for c in metrics.columns]))).scalar() if metrics is not None else None
     cj = None
     if charts is not None:
         cj = charts.agg(F.to_json(F.array_sort(F.collect_set("metric")))).scalar()
-    return RP.report_bundle(F.col("analysis_json"), t, mj, cj, base=base)
+    return RP.report_bundle(F.col("analysis_json"), trend is not None, mj, cj, base=base)

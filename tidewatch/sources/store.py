@@ -74,3 +74,24 @@ def write_latest_json(df: DataFrame, path: str) -> None:
 def append_run_log(df: DataFrame, path: str) -> None:
     """Run-log sink."""
     df.write.mode("append").parquet(path)
+
+
+def read_json_history(spark: SparkSession, path: str, day, days: int = 30, schema: T.StructType | None = None,
+                      inclusive: bool = False) -> DataFrame:
+    """Lookback over one pretty-printed JSON document per day.
+
+    Documents are read whole (``multiLine``); a document that does not parse
+    is dropped (the original skips the file with a warning) and the day key
+    is the document's own ``date`` field, not the file name.  Rows come back
+    in ascending date order when sorted by ``date``.
+    """
+    corrupt = "_corrupt_record"
+    reader = (spark.read.option("multiLine", "true").option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", corrupt).option("ignoreCorruptFiles", "true"))
+    if schema is not None:
+        reader = reader.schema(T.StructType(list(schema.fields) + [T.StructField(corrupt, T.StringType())]))
+    df = reader.json(path)
+    if corrupt in df.columns:
+        df = df.filter(F.col(corrupt).isNull()).drop(corrupt)
+    df = df.withColumn("date", F.to_date("date")).filter(F.col("date").isNotNull())
+    return window_filter(df, day, days, inclusive=inclusive)
