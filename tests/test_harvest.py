@@ -68,3 +68,10 @@ def test_snapshot_and_paper_texts(spark):
     assert len(snap.arxiv_papers) == 3 and len(snap.hf_models) == 20 and snap.github_repos[0].repo == "o/a"
     cat = HV.catalog_frame(spark).collect()
     assert len(cat) == 13 and cat[0].source == "arXiv cs.AI" and cat[-1].method == "API"
+
+
+def test_harvest_results_as_items(spark):
+    html = '<a href="/news/a">A long enough title</a>'
+    links = HV.harvest_links(_pages(spark, html), "prefix", "/news/")
+    items = HV.as_items(links, "Anthropic Blog", "company").collect()
+    assert items[0].source == "Anthropic Blog" and items[0].summary == "" and items[0].url == "https://site.example/news/a"

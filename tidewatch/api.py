@@ -22,7 +22,7 @@ from tidewatch.operators.vectors import term_counts as char_ngrams, tfidf_weight
 from tidewatch.operators.vectors import with_combined  # noqa: F401
 from tidewatch.plans.daily_run import RunPaths, daily_run  # noqa: F401
 from tidewatch.plans.reports import bundle, metrics_report, trend_report  # noqa: F401
-from tidewatch.sources.harvest import (catalog_frame, harvest_api, harvest_blocks, harvest_feed,  # noqa: F401
+from tidewatch.sources.harvest import (as_items, catalog_frame, harvest_api, harvest_blocks, harvest_feed,  # noqa: F401
                                        harvest_links, harvest_repo_blocks, paper_texts, papers_from_feeds, snapshot)
 from tidewatch.sources.store import (append_registry, append_run_log, read_days, read_json_history,  # noqa: F401
                                      read_registry, write_days, write_latest_json)

@@ -24,6 +24,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

@@ -243,3 +243,14 @@ def snapshot(day, papers: DataFrame, repos: DataFrame, models: DataFrame, model_
         listed(papers, ["title", "abstract", "url", "source"]).alias("arxiv_papers"),
         listed(repos, ["repo", "stars", "url", "description"]).alias("github_repos"),
         listed(m, ["model_id", "downloads", "likes", "pipeline_tag", "url"]).alias("hf_models"))
+
+
+def as_items(harvested: DataFrame, source: str, category: str, published: str | Column = "",
+             summary: str | None = "summary") -> DataFrame:
+    """Shape a harvest result as item rows: ``source, category, title, url,
+    summary, published, pos`` (links carry an empty summary and date, blocks
+    and API entries their summary and the run's date)."""
+    pub = F.lit(published) if isinstance(published, str) else published
+    summ = F.col(summary) if summary and summary in harvested.columns else F.lit("")
+    return harvested.select(F.lit(source).alias("source"), F.lit(category).alias("category"), "title", "url",
+                            summ.alias("summary"), pub.alias("published"), F.col("pos").cast("bigint").alias("pos"))
