@@ -25,3 +25,20 @@ def test_ntz_is_cast_for_watermark(spark):
     out, state = ST.scratch_dirs(spark, "t-ntz")
     ST.run_available_now(ST.stream_dedup(stream), out, state)
     assert spark.read.parquet(out).count() == 1
+
+
+def test_stream_daily_matches_batch_for_closed_windows(spark):
+    src = tempfile.mkdtemp(prefix="tw-stream-")
+    rows = [(f"2024-01-{1 + i % 5:02d} {i % 24:02d}:00:00", f"k{i % 3}", float(i)) for i in range(60)]
+    df = (spark.createDataFrame(rows, "ts string, kw string, value double")
+          .withColumn("ts", F.to_timestamp("ts")))
+    df.write.mode("overwrite").parquet(src)
+    stream = spark.readStream.schema(df.schema).parquet(src)
+    out, state = ST.scratch_dirs(spark, "t-daily")
+    ST.run_available_now(ST.stream_daily_keywords(stream), out, state)
+    got = sorted((r.date.isoformat(), r.kw, r.n, r.value) for r in spark.read.parquet(out).collect())
+    max_ts = df.agg(F.max("ts")).first()[0]
+    batch = (df.groupBy(F.to_date("ts").alias("date"), "kw").agg(F.count("*").alias("n"), F.sum("value").alias("value"))
+             .filter(F.col("date") <= F.date_sub(F.to_date(F.lit(max_ts)), 2)))
+    want = sorted((r.date.isoformat(), r.kw, r.n, r.value) for r in batch.collect())
+    assert got == want and len(got) > 0
