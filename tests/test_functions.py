@@ -70,3 +70,12 @@ def test_summary_parts(spark):
 def test_html_text_strips_each_node(spark):
     df = spark.createDataFrame([("  Hello <b> big </b> World &amp; co ",)], "h string")
     assert df.select(html_text("h")).first()[0] == "HellobigWorld & co"
+
+
+def test_parse_published(spark):
+    import datetime as dt
+    from tidewatch.functions import parse_published
+    df = spark.createDataFrame([("Fri, 27 Feb 2026 03:16:00 GMT",), ("27 Feb 2026 03:16:00 +0000",),
+                                ("2026-02-27T03:16:00",), ("yesterday",), ("",)], "p string")
+    got = [r[0] for r in df.select(parse_published("p")).collect()]
+    assert got[:3] == [dt.datetime(2026, 2, 27, 3, 16)] * 3 and got[3:] == [None, None]

@@ -7,6 +7,7 @@ from tidewatch.functions.text import (
 )
 from tidewatch.functions.counters import parse_counter, counter_or_zero, COUNTER_PATTERN
 from tidewatch.functions.ngrams import char_wb_ngrams, explode_ngrams
+from tidewatch.functions.dates import parse_published
 
 __all__ = [
     "item_id", "PY_WHITESPACE_CLASS", "clip", "is_blank", "not_blank", "py_strip",

@@ -54,10 +54,10 @@ def first_per_source(items: DataFrame, seen: DataFrame | None = None) -> DataFra
     return first
 
 
-def _ranked(fresh: DataFrame, catalog: DataFrame, limit: int) -> DataFrame:
+def _ranked(fresh: DataFrame, catalog: DataFrame, limit: int, n_sources: int) -> DataFrame:
     """In-source rank by position with a constant limit (``WindowGroupLimit``)."""
     w = Window.partitionBy("source").orderBy("pos", "aid")
-    cat = F.broadcast(catalog.select("source", "src_rank"))  # the catalog is a small dimension
+    cat = broadcast_if_bounded(catalog.select("source", "src_rank"), n_sources, 64)
     return (fresh.withColumn("rank", F.row_number().over(w))
             .filter(F.col("rank") <= limit)
             .join(cat, "source", "inner"))
@@ -126,7 +126,7 @@ def dedup_capped(items: DataFrame, catalog: DataFrame, seen: DataFrame | None =
     keys = items.select("source", "aid", "pos")
     fresh = first_per_source(keys, seen)
     n_sources = catalog.count()  # size of a small dimension: bounds every limit below
-    cat = F.broadcast(catalog.select("source", "src_rank"))
+    cat = broadcast_if_bounded(catalog.select("source", "src_rank"), n_sources, 64)
     if mode == "global_first":
         g = fresh.join(cat, "source", "inner")
         firsts = (g.groupBy("aid").agg(F.min(F.struct("src_rank", "pos", "source")).alias("_r"))
@@ -134,7 +134,7 @@ def dedup_capped(items: DataFrame, catalog: DataFrame, seen: DataFrame | None =
         w = Window.partitionBy("source").orderBy("pos", "aid")
         acc = firsts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= cap)
     elif mode == "exact":
-        ranked = _ranked(fresh, catalog, cap * max(n_sources, 1))
+        ranked = _ranked(fresh, catalog, cap * max(n_sources, 1), n_sources)
         cand = ranked.filter(F.col("rank") <= F.lit(cap) * (F.col("src_rank") + 1))
         # free = no earlier source lists the id; the windows see the bounded candidate set only
         by_aid = Window.partitionBy("aid")

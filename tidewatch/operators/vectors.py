@@ -119,10 +119,11 @@ def _vocab(ct: DataFrame, sizes: DataFrame, ck: list[str], max_features: int) ->
                     (F.coalesce(F.col("qtf"), F.lit(0)) * idf).alias("wq")))
 
 
-def _n_corpora(members: DataFrame, ck: list[str]) -> int:
-    """Number of corpora: a small action on the membership table (at most
-    corpora x (days + 1) rows), giving the size bound for broadcasts."""
-    return members.select(*ck).distinct().count()
+def _sizes(members: DataFrame, ck: list[str]) -> tuple[int, int]:
+    """``(rows, corpora)`` of the materialised membership table: one small
+    action giving the exact size bounds for the broadcasts below."""
+    r = members.agg(F.count("*").alias("n"), F.count_distinct(*ck).alias("c")).first()
+    return int(r["n"]), int(r["c"])
 
 
 def tfidf_similarity(tf: DataFrame, members: DataFrame, text_keys: Sequence[str] = ("scope",),
@@ -147,8 +148,8 @@ def tfidf_similarity(tf: DataFrame, members: DataFrame, text_keys: Sequence[str]
     # the membership table is tiny (corpora x days) but read by four branches:
     # materialise it once instead of re-deriving it from the source tables
     mem = cut_lineage(members.select(*list(dict.fromkeys(ck + tk + ["date", "is_query"]))))
-    n_corpora = _n_corpora(mem, ck)
-    mem_b = broadcast_if_bounded(mem, n_corpora * 400, 64)
+    n_rows, n_corpora = _sizes(mem, ck)
+    mem_b = broadcast_if_bounded(mem, n_rows, 64)
     ct = tf.join(mem_b, tk + ["date"], "inner").select(*ck, "date", "is_query", "term", "tf")
     n_docs = mem.groupBy(*ck).agg(F.count("*").alias("n_docs"))
 
