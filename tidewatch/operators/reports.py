@@ -8,10 +8,10 @@ gathered into one row unless the caller asks for the rendered single string
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, Window
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch import constants as C
-from tidewatch.operators._util import broadcast_if_bounded, consecutive_index
+from tidewatch.operators._util import consecutive_index
 
 
 def _category_dim(spark, order: list[str], labels: dict[str, str]) -> DataFrame:

@@ -11,8 +11,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidewatch import constants as C
+from tidewatch.functions.counters import parse_counter, counter_or_zero
+from tidewatch.functions.text import clip, is_relevant
+from tidewatch.operators import analysis as AN
 from tidewatch.operators import counters as CT
+from tidewatch.operators import detectors as DT
+from tidewatch.operators import ingest as IG
+from tidewatch.operators import keywords as KW
+from tidewatch.operators import reports as RP
+from tidewatch.operators import shift as SH
+from tidewatch.operators import vectors as V
+from tidewatch.operators._util import window_filter
+from tidewatch.plans import reports as PR
 from tidewatch.sources import bindings as B
+from tidewatch.sources import harvest as HV
+from tidewatch.streaming import streams as ST
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -55,7 +69,6 @@ def q_top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_counter_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = CT.counter_totals(B.counter_fact(spark, sf_dir), B.COUNTER_DAY)
     return t.select(F.round("total", 2).alias("total"), "key_count", "history_days")
-FLAGSHIP = "counter_growth"
 
 
 def _since(day, days):
@@ -65,8 +78,6 @@ def _since(day, days):
 
 # ---------------------------------------------------------------- keyword trends (T4, K4)
 
-from tidewatch.operators import keywords as KW  # noqa: E402
-
 
 def _kw_trends(spark, sf_dir, days):
     kwd = B.day_keywords(spark, sf_dir, since=_since(B.COUNTER_DAY, days), until=B.COUNTER_DAY)
@@ -97,9 +108,6 @@ def q_keyword_lists_5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- counter text, series, windows
 
-from tidewatch.functions.counters import parse_counter, counter_or_zero  # noqa: E402
-from tidewatch.operators._util import window_filter  # noqa: E402
-
 
 @register("star_parse")
 def q_star_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,10 +151,6 @@ def q_chart_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- text vectors and detectors (V, T, M1, M5)
 
-from tidewatch import constants as C  # noqa: E402
-from tidewatch.operators import detectors as DT  # noqa: E402
-from tidewatch.operators import vectors as V  # noqa: E402
-
 
 def _texts(spark, sf_dir, day=None, days=30):
     day = day or B.TEXT_DAY
@@ -235,10 +239,6 @@ FLAGSHIP = "trend_measures"
 
 # ---------------------------------------------------------------- ingest
 
-from tidewatch.functions.ids import item_id  # noqa: E402
-from tidewatch.functions.text import clip, is_relevant  # noqa: E402
-from tidewatch.operators import ingest as IG  # noqa: E402
-
 
 def _items(spark, sf_dir):
     return IG.with_item_id(B.items(spark, sf_dir))
@@ -293,7 +293,6 @@ def q_run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- harvest
 
-from tidewatch.sources import harvest as HV  # noqa: E402
 
 # Binding: every link of the test pages is site-relative ('/word') and titles
 # are short, so the prefix is '/' and the title minimum is 3.
@@ -326,8 +325,6 @@ def q_block_harvest_relevant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- text shift (M1) and novelty series (M5)
 
-from tidewatch.operators import shift as SH  # noqa: E402
-
 
 @register("text_shift")
 def q_text_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -346,8 +343,6 @@ def q_novelty_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- reports
 
-from tidewatch.operators import reports as RP  # noqa: E402
-
 
 @register("digest_lines")
 def q_digest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -361,8 +356,6 @@ def q_reference_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- streaming
 
-from tidewatch.streaming import streams as ST  # noqa: E402
-
 
 @register("stream_dedup")
 def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -380,8 +373,6 @@ def q_stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- composite reports
 
-from tidewatch.operators import analysis as AN  # noqa: E402
-from tidewatch.plans import reports as PR  # noqa: E402
 
 REPORT_DAY = B.COUNTER_DAY  # texts, keywords and counters all exist on this day
 
