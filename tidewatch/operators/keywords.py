@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, Window
 
 from tidewatch import constants as C
-from tidewatch.operators._util import broadcast_if_bounded, day_lit, window_filter
+from tidewatch.operators._util import broadcast_if_bounded, cut_lineage, day_lit, window_filter
 
 
 def record_spine(day_keywords: DataFrame, day, days: int = C.LOOKBACK_DAYS,
@@ -59,7 +59,9 @@ def keyword_trends(day_keywords: DataFrame, day, days: int = C.LOOKBACK_DAYS,
     * fading: absent today, in at least ``fade_min_df`` records, none of the last ``recent_n``.
     Nothing is reported when the day has no keywords.
     """
-    m = keyword_measures(day_keywords, day, days, recent_n, spine)
+    # one row per keyword, read by the main query and by the "any keyword today"
+    # scalar: materialised once instead of re-deriving it from the source
+    m = cut_lineage(keyword_measures(day_keywords, day, days, recent_n, spine))
     recent_rate = F.col("recent_count") / F.greatest(F.col("n_recent"), F.lit(1))
     older_rate = F.when(F.col("n_older") > 0, F.col("older_count") / F.col("n_older")).otherwise(F.lit(0.0))
     m = m.withColumn("recent_rate", recent_rate).withColumn("older_rate", older_rate)
