@@ -65,8 +65,11 @@ def with_combined(tf: DataFrame, scope: str = C.COMBINED_SCOPE) -> DataFrame:
 
 
 def merge_scopes(tf: DataFrame, scope: str = C.COMBINED_SCOPE) -> DataFrame:
-    """Only the ``_combined`` counts of :func:`with_combined`."""
-    return with_combined(tf, scope).filter(F.col("scope") == scope)
+    """Only the ``_combined`` counts of :func:`with_combined`: summed per
+    ``(date, term)`` first, the scope attached after the aggregation (through a
+    one-element explode, for the same reason as above)."""
+    merged = tf.groupBy("date", "term").agg(F.sum("tf").alias("tf"))
+    return merged.select(F.explode(F.array(F.lit(scope))).alias("scope"), "date", "term", "tf")
 
 
 def day_members(texts_dates: DataFrame, scopes: DataFrame, day, days: int = C.LOOKBACK_DAYS) -> DataFrame:
