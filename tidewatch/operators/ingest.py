@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F, Window
 
 from tidewatch import constants as C
 from tidewatch.functions.ids import item_id
-from tidewatch.operators._util import broadcast_if_bounded
+from tidewatch.operators._util import broadcast_if_bounded, enable_group_limit
 
 
 def with_item_id(items: DataFrame, url: str = "url", title: str = "title") -> DataFrame:
@@ -126,6 +126,9 @@ def dedup_capped(items: DataFrame, catalog: DataFrame, seen: DataFrame | None =
     keys = items.select("source", "aid", "pos")
     fresh = first_per_source(keys, seen)
     n_sources = catalog.count()  # size of a small dimension: bounds every limit below
+    # per-source windows are cut map-side (WindowGroupLimit) even for large catalogs,
+    # so a source holding a third of all rows never sorts in one task
+    enable_group_limit(items.sparkSession, cap * max(n_sources, 1))
     cat = broadcast_if_bounded(catalog.select("source", "src_rank"), n_sources, 64)
     if mode == "global_first":
         g = fresh.join(cat, "source", "inner")
