@@ -10,7 +10,11 @@ after the accepted items are stored):
 3. metrics report from the metrics store (lookback excludes the day);
 4. analysis document (given, else the empty one);
 5. trend report from the history store **before** the day is written, then the
-   day's history record is written (a rerun replaces the day);
+   day's history record and its term counts are written (a rerun replaces the
+   day).  Term counts of past days never change, so they are kept in a
+   date-partitioned term store: a run tokenizes only its own day and reads
+   the 30-day window of counts (partition-pruned) instead of re-tokenizing
+   the whole history;
 6. chart table from the metrics store (window includes the day);
 7. bundle and run summary, appended to the run log.
 
@@ -48,6 +52,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return S._exists(spark, path)
 
 
+def _terms_window(spark: SparkSession, path: str, day: str) -> DataFrame:
+    """Stored term counts of ``[d-30, d-1]`` (partition-pruned), empty when none."""
+    if _exists(spark, path):
+        return S.read_days(spark, path, day, C.LOOKBACK_DAYS).select("scope", "date", "term", "tf")
+    return spark.createDataFrame([], "scope string, date date, term string, tf long")
+
+
 def daily_run(spark: SparkSession, day: str, paths: RunPaths, items: DataFrame, catalog: DataFrame,
               papers: DataFrame, repos: DataFrame, models: DataFrame,
               analysis: DataFrame | None = None, usage: DataFrame | None = None,
@@ -80,10 +91,11 @@ def daily_run(spark: SparkSession, day: str, paths: RunPaths, items: DataFrame,
     r_all = spark.read.parquet(paths.repos)
     m_all = spark.read.parquet(paths.models)
 
-    # 3 metrics report
+    # 3 metrics report (paper term counts: stored per day, only today's are computed)
     paper_texts = p_all.select("date", F.lit("papers").alias("scope"),
                                F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("abstract", F.lit(""))).alias("text"))
-    paper_tf = V.term_counts(paper_texts)
+    today_paper_tf = V.term_counts(paper_texts.filter(F.col("date") == d))
+    paper_tf = _terms_window(spark, paths.paper_terms, day).unionByName(today_paper_tf)
     counts = (paper_texts.filter(F.col("date") == d).groupBy("scope").agg(F.count("*").alias("text_count"))
               .withColumn("scope", F.lit(C.COMBINED_SCOPE)))
     metrics = PR.metrics_report(day, paper_tf.withColumn("scope", F.lit(C.COMBINED_SCOPE)),
@@ -97,16 +109,21 @@ def daily_run(spark: SparkSession, day: str, paths: RunPaths, items: DataFrame,
 
     # 5 trend report before the day is stored, then the history record
     if _exists(spark, paths.history):
-        hist = spark.read.parquet(paths.history).filter(F.col("date") < d)
-        hist_texts = hist.select("date", F.explode("dimension_texts").alias("scope", "text"))
+        hist = S.read_days(spark, paths.history, day, C.LOOKBACK_DAYS)
+        hist_dates = hist.select("date")
         hist_kw = hist.select("date", F.explode("keywords").alias("kw"))
     else:
-        hist_texts = spark.createDataFrame([], "date date, scope string, text string")
+        hist_dates = spark.createDataFrame([], "date date")
         hist_kw = spark.createDataFrame([], "date date, kw string")
-    texts = hist_texts.unionByName(AN.day_texts(analysis))
+    today_texts = AN.day_texts(analysis)
+    today_tf = V.term_counts(today_texts)
+    tf = _terms_window(spark, paths.terms, day).unionByName(today_tf)
+    records = hist_dates.unionByName(today_texts.select("date"))
     keywords = hist_kw.unionByName(AN.day_keywords(analysis))
-    trend = PR.trend_report(V.term_counts(texts), texts.select("date"), keywords, day)
+    trend = PR.trend_report(tf, records, keywords, day)
     S.write_days(AN.history_records(analysis), paths.history)
+    S.write_days(today_tf, paths.terms)
+    S.write_days(today_paper_tf, paths.paper_terms)
 
     # 6 chart table (window includes the day)
     stars = CT.daily_series(r_all, day, counter_or_zero("stars"), metric="stars", spine=r_all)
