@@ -32,6 +32,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
         conf.setdefault("spark.driver.memory", os.environ.get("TIDEWATCH_DRIVER_MEMORY", "16g"))
+        # one machine with as many shuffle partitions as cores: coalescing can only
+        # lower parallelism here (on a cluster it merges thousands of small partitions)
+        conf["spark.sql.adaptive.coalescePartitions.enabled"] = "false"
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
