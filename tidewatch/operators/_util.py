@@ -67,7 +67,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     from tidewatch.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    out._tw_materialized = True
+    return out
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """``df`` itself when it already comes from :func:`cut_lineage`, else its checkpoint."""
+    return df if getattr(df, "_tw_materialized", False) else cut_lineage(df)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F, Window
 from tidewatch import constants as C
 from tidewatch.functions.ngrams import explode_ngrams
 from tidewatch.functions.text import PY_WHITESPACE_CLASS
-from tidewatch.operators._util import broadcast_if_bounded, cut_lineage, day_lit, enable_group_limit, spread
+from tidewatch.operators._util import broadcast_if_bounded, day_lit, enable_group_limit, materialized, spread
 
 
 def term_counts(texts: DataFrame, keys: Sequence[str] = ("scope",), date_col: str = "date",
@@ -150,7 +150,7 @@ def tfidf_similarity(tf: DataFrame, members: DataFrame, text_keys: Sequence[str]
     tk = list(text_keys)
     # the membership table is tiny (corpora x days) but read by four branches:
     # materialise it once instead of re-deriving it from the source tables
-    mem = cut_lineage(members.select(*list(dict.fromkeys(ck + tk + ["date", "is_query"]))))
+    mem = materialized(members).select(*list(dict.fromkeys(ck + tk + ["date", "is_query"])))
     n_rows, n_corpora = _sizes(mem, ck)
     mem_b = broadcast_if_bounded(mem, n_rows, 64)
     ct = tf.join(mem_b, tk + ["date"], "inner").select(*ck, "date", "is_query", "term", "tf")
@@ -191,7 +191,7 @@ def vocabulary(tf: DataFrame, members: DataFrame, text_keys: Sequence[str] = ("s
                min_nonblank: int = 2) -> DataFrame:
     """``(corpus..., term, ctf, df, idf, rank)``: the kept terms of each corpus (V3, V4)."""
     ck = list(corpus_keys)
-    members = cut_lineage(members)
+    members = materialized(members)
     ct = corpus_terms(tf, members, text_keys, corpus_keys)
     sizes = corpus_sizes(ct, members, ck, min_nonblank)
     return _vocab(ct, sizes, ck, max_features).select(*ck, "term", "ctf", "df", "idf", "rank")
@@ -202,7 +202,7 @@ def tfidf_weights(tf: DataFrame, members: DataFrame, text_keys: Sequence[str] =
                   min_nonblank: int = 2) -> DataFrame:
     """``(corpus..., date, term, weight)``: L2-normalised weights per document (V5)."""
     ck = list(corpus_keys)
-    members = cut_lineage(members)
+    members = materialized(members)
     ct = corpus_terms(tf, members, text_keys, corpus_keys)
     sizes = corpus_sizes(ct, members, ck, min_nonblank)
     vocab = _vocab(ct, sizes, ck, max_features).select(*ck, "term", "idf")

@@ -172,12 +172,21 @@ def _text_tf(spark, sf_dir, day=None, days=30):
     return _TERM_TABLES[key]
 
 
+_MEMBERS: dict[tuple, DataFrame] = {}
+
+
 def _members(spark, sf_dir, day=None, days=30, scopes=None):
+    """Corpus membership of the day texts (record days x scopes); the default
+    form is materialised once per application, like the term table."""
+    from tidewatch.operators._util import cut_lineage
     day = day or B.TEXT_DAY
     texts = B.day_texts(spark, sf_dir)
-    if scopes is None:
-        scopes = texts.select("scope").distinct()
-    return V.day_members(texts.select("date"), scopes, day, days)
+    if scopes is not None:
+        return V.day_members(texts.select("date"), scopes, day, days)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), str(day), days)
+    if key not in _MEMBERS:
+        _MEMBERS[key] = cut_lineage(V.day_members(texts.select("date"), texts.select("scope").distinct(), day, days))
+    return _MEMBERS[key]
 
 
 def _lang_sims(spark, sf_dir):
