@@ -25,7 +25,7 @@ lines AS (
   WHERE regexp_matches(line, '[^ \t\n\x0B\f\r]')),
 dup AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY rid),
 m AS (
-  SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::BIGINT AS word_chars,
+  SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
     (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
     coalesce(dup.n, 0)::BIGINT AS n_dup_lines,
     coalesce(c3.n, 0)::BIGINT AS n_repeat_words, coalesce(c8.n, 0)::BIGINT AS covered_words,
@@ -48,10 +48,10 @@ b AS (SELECT row_number() OVER () AS iid, item_id, ws FROM (
   SELECT DISTINCT item_id, text, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS ws FROM benchmark)),
 ds AS (SELECT DISTINCT rid, doc_id, g FROM (
   SELECT rid, doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [ws]
-    ELSE list_transform(range(1, len(ws) - 3), i -> list_slice(ws, i, i + 4)) END) AS g FROM d)),
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: list_slice(ws, i, i + 4)) END) AS g FROM d)),
 bs AS (SELECT DISTINCT iid, item_id, g FROM (
   SELECT iid, item_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [ws]
-    ELSE list_transform(range(1, len(ws) - 3), i -> list_slice(ws, i, i + 4)) END) AS g FROM b)),
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: list_slice(ws, i, i + 4)) END) AS g FROM b)),
 n AS (SELECT iid, count(*) AS n_item FROM bs GROUP BY iid),
 hit AS (SELECT rid, any_value(doc_id) AS doc_id, iid, any_value(item_id) AS item_id, count(*) AS n_shared
   FROM ds JOIN bs USING (g) GROUP BY rid, iid)

@@ -5,9 +5,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import decontaminate, packing, quality, sharding
+from tidewatch.llm import decontaminate, language, packing, quality, sharding, toxicity
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -26,6 +26,24 @@ def op4_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def fold(modulus: int) -> Column:
+    """The fold of a document: crc32 of its id as text."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
+
+
+@register
+def op6_toxicity(spark, sf_dir):
+    scored = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold(3) != 1)
+    return scored.select("doc_id", F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@register
+def op7_language_id(spark, sf_dir):
+    found = language.identify(table(spark, sf_dir, "documents"), fold(4) != 2)
+    return found.select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 @register
 def op8_quality_rules(spark, sf_dir):
     return quality.quality_rules(table(spark, sf_dir, "documents")).drop("longest_repeat")
