@@ -1,6 +1,6 @@
 """Toxicity: a counterfactual-regularised linear classifier.
 
-Features are a text's distinct words.  Loss of the logistic model over labelled texts:
+Features are a text's distinct words and their beginnings, by how often they occur.  Loss of the logistic model over labelled texts:
 
     mean logloss + L2 |w|^2 + FAIR * mean over pairs (score(x) - score(x'))^2
 
@@ -8,11 +8,12 @@ where x' is a labelled sentence x with its identity term swapped for another one
 (IDENTITY_TERMS), so the score can't lean on which group a sentence mentions.  Identity
 terms of swapped pairs are always features, other words enter if they differ more between
 the classes than chance allows for as many words (z of the log odds, with a least support).
-Copies and near copies of a text count once a label (equal smallest shingle hash), else the chance
-label of one copied text would make its words look toxic.
+Copies and near copies of a text count once a label (they share one of a few MinHash values), else
+the chance label of one copied text would make its words look toxic.
 
-Fitted in one task on a bounded sample of labelled rows (MAX_TOXIC, MAX_CLEAN: expected sizes of
-a hash sample); only ids of the sample are broadcast (about 12,000 rows), and only its words leave the scan.
+Fitted on a bounded sample of labelled rows (MAX_TOXIC, MAX_CLEAN: expected sizes of a hash sample), so the
+broadcasts of its ids (about 12,000 rows) and the single tasks that group its near copies and run the
+descent have a fixed bound; features are tallied by Spark.
 Scoring reads every whole text once, without a shuffle; the model is at most MAX_FEATURES weights.
 
 Defined cases: null and empty texts score the intercept; repeated ids in ``labels`` count
@@ -31,7 +32,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.llm.common import shingles, slices
+from tidewatch.llm.common import MEMO_ENTRIES, shared_table, shingles, slices
 from tidewatch.llm.language import hash_share
 
 MAX_TOXIC = 4_000
@@ -39,9 +40,12 @@ MAX_CLEAN = 8_000
 MAX_FEATURES = 2_000
 LEAST_SUPPORT = 5
 Z_MARGIN = 0.4              # above sqrt(2 ln m), the largest z that m unrelated words reach by chance
+PRINTS = 8                  # minima of the near-copy test in training
 L2 = 5e-5
 FAIR = 1.0
 STEPS = 400
+PREFIXES = (5, 6, 7, 8)      # lengths of word beginnings
+LEVELS = (1, 2, 4)          # occurrence counts that are features of their own
 THRESHOLD = 0.7
 
 # fixed values: group mentions that are swapped for one another, by language
@@ -60,8 +64,18 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[.!?\n]+")
 
 
-def features(text: str | None) -> set[str]:
-    return set(_LETTERS.findall(text.lower())) if text else set()
+def keys(word: str) -> list[str]:
+    """A word and its beginnings (insults inflect)."""
+    return [word, *("^" + word[:k] for k in PREFIXES if len(word) >= k)]
+
+
+def features(text: str | None, keys_of=keys) -> set[str]:
+    """Keys of a text's words, by how often they occur (once, LEVELS times ...)."""
+    counts: Counter[str] = Counter()
+    for word, n in Counter(_LETTERS.findall(text.lower())).items() if text else ():
+        for k in keys_of(word):
+            counts[k] += n
+    return {k if level == 1 else f"{k}#{level}" for k, n in counts.items() for level in LEVELS if n >= level}
 
 
 def counterfactuals(text: str | None) -> list[tuple[str, str]]:
@@ -72,29 +86,51 @@ def counterfactuals(text: str | None) -> list[tuple[str, str]]:
     return out
 
 
-def train(words: list[set[str]], toxic: list[int], swaps: list[tuple[str, str]]) -> tuple[float, dict[str, float]]:
-    """(intercept, weights) of the regularised model."""
+def _difference(a: Column, n1: int, b: Column, n0: int) -> Column:
+    """Signed root of the likelihood ratio of "a of n1 and b of n0" against one common rate
+    (standard normal if the word is unrelated to the class)."""
+    def loss(k, n, p):
+        return F.when(k > 0, k * F.log(p)).otherwise(0.0) + F.when(k < n, (F.lit(n) - k) * F.log(1 - p)).otherwise(0.0)
+
+    both = (a + b) / (n1 + n0)
+    ratio = loss(a, n1, a / n1) + loss(b, n0, b / n0) - loss(a, n1, both) - loss(b, n0, both)
+    return F.signum(a / n1 - b / n0) * F.sqrt(F.greatest(F.lit(0.0), 2 * ratio))
+
+
+def near_copies(prints: list[list[int]]) -> list[int]:
+    """A class for each text: texts that share any minimum (of PRINTS) belong together."""
+    up = list(range(len(prints)))
+
+    def root(i):
+        while up[i] != i:
+            up[i] = i = up[up[i]]
+        return i
+
+    first: dict[tuple[int, int], int] = {}
+    for i, p in enumerate(prints):
+        for k in enumerate(p):
+            up[root(i)] = root(first.setdefault(k, i))
+    return [root(i) for i in range(len(prints))]
+
+
+def fingerprint(text: str | None) -> list[int]:
+    """The smallest shingle hash in each of PRINTS ranges (one-permutation MinHash)."""
+    h = np.sort(shingles(text))
+    at = np.searchsorted(h, (np.arange(PRINTS, dtype=np.uint64) << np.uint64(64 - PRINTS.bit_length() + 1)))
+    return [int(h[i] >> np.uint64(1)) if i < len(h) else -1 - k for k, i in enumerate(at)] if len(h) else []
+
+
+def train(rows: list[set[str]], toxic: list[int], chosen: list[str], swaps: list[tuple[str, str]]) -> tuple[float, dict[str, float]]:
+    """(intercept, weights) of the regularised model over the chosen features."""
     y = np.array(toxic, float)
     n1, n0 = y.sum(), len(y) - y.sum()
     if not n1 or not n0:
-        share = float(n1 > 0)
-        return (math.log(9) if share else -math.log(9)), {}
-    with_word = [Counter(), Counter()]
-    for ws, t in zip(words, toxic):
-        with_word[t].update(ws)
-    z = {}
-    for w in with_word[0].keys() | with_word[1].keys():
-        a, b = with_word[1][w] + 0.5, with_word[0][w] + 0.5
-        if a + b - 1 >= LEAST_SUPPORT:
-            c, d = n1 - a + 1, n0 - b + 1
-            z[w] = math.log(a * d / (b * c)) / math.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
-    least = math.sqrt(2 * math.log(max(2, len(z)))) + Z_MARGIN
-    chosen = sorted((w for w in z if abs(z[w]) >= least), key=lambda w: (-abs(z[w]), w))[:MAX_FEATURES]
+        return (math.log(9) if n1 else -math.log(9)), {}
     names = sorted({*chosen, *(t for pair in swaps for t in pair)})
     index = {w: i for i, w in enumerate(names)}
     docs, cols = [], []
-    for i, ws in enumerate(words):
-        for w in ws & index.keys():
+    for i, ws in enumerate(rows):
+        for w in sorted(ws & index.keys()):
             docs.append(i)
             cols.append(index[w])
     docs, cols = np.array(docs, np.int64), np.array(cols, np.int64)
@@ -123,33 +159,60 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[float, dict[str, float]]:
     counts = {r["toxic"]: r["n"] for r in one.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     most = {0: MAX_CLEAN, 1: MAX_TOXIC}
     share = F.when(F.col("toxic") == 1, most[1] / counts.get(1, 1)).otherwise(most[0] / counts.get(0, 1))
-    sample = one.filter(hash_share(F.col("doc_id"), "toxicity") < share)  # about 12,000 rows at most
+    ids = one.filter(hash_share(F.col("doc_id"), "toxicity") < share)  # about 12,000 rows at most
+    sample = shared_table(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), "toxicity-sample")
+
+    # one text of each group of near copies and label
+    def prints(batches):
+        for b in slices(batches):
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([fingerprint(t) for t in b.column(2).to_pylist()], pa.list_(pa.int64()))],
+                                             names=["doc_id", "toxic", "print"])
+
+    def first_of_class(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["doc_id", "toxic"], kind="stable")
+        pdf["class"] = near_copies(pdf["print"].tolist())
+        return pdf.drop_duplicates(["class", "toxic"])[["doc_id", "toxic"]]
+
+    distinct = (sample.select("doc_id", "toxic", "text").mapInArrow(prints, "doc_id bigint, toxic int, print array<bigint>")
+                .groupBy(F.lit(0).alias("all")).applyInPandas(first_of_class, "doc_id bigint, toxic int"))
+    rows = shared_table(sample.join(F.broadcast(distinct), ["doc_id", "toxic"]), "toxicity-rows")
+    size = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
 
-    def words(batches):
+    def featured(batches):
         for b in slices(batches):
-            texts = b.column(0).to_pylist()
-            swaps = [counterfactuals(t) for t in texts]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([sorted(features(t)) for t in b.column(1).to_pylist()], pa.list_(pa.string()))],
+                                             names=["toxic", "features"])
+
+    n1, n0 = size.get(1, 0), size.get(0, 0)
+    chosen: list[str] = []
+    if n1 and n0:
+        tallies = (rows.select("toxic", "text").mapInArrow(featured, "toxic int, features array<string>")
+                   .select("toxic", F.explode("features").alias("feature"))
+                   .groupBy("feature").agg(F.sum("toxic").alias("a"), F.count("*").alias("n"))
+                   .filter(F.col("n") >= LEAST_SUPPORT))
+        tallies = shared_table(tallies, "toxicity-tallies")
+        least = math.sqrt(2 * math.log(max(2, tallies.count()))) + Z_MARGIN
+        top = (tallies.withColumn("z", _difference(F.col("a"), n1, F.col("n") - F.col("a"), n0)).filter(F.abs("z") >= least)
+               .orderBy(F.abs("z").desc(), "feature").limit(MAX_FEATURES).select("feature").collect())
+        chosen = [r["feature"] for r in top]
+    wanted = set(chosen)
+
+    def kept(batches):
+        for b in slices(batches):
+            texts = b.column(1).to_pylist()
+            swaps = [[list(x) for x in counterfactuals(t)] for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [b.column(1), pa.array([sorted(features(t)) for t in texts], pa.list_(pa.string())),
-                 pa.array([[list(x) for x in s] for s in swaps], pa.list_(pa.list_(pa.string()))),
-                 pa.array([str(min(shingles(t).tolist(), default="")) for t in texts])],
-                names=["toxic", "words", "swaps", "print"])
+                [b.column(0), pa.array([sorted(wanted & features(t)) for t in texts], pa.list_(pa.string())),
+                 pa.array(swaps, pa.list_(pa.list_(pa.string())))], names=["toxic", "features", "swaps"])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        seen, ws, ys, swaps = set(), [], [], []
-        for y, w, s, k in zip(pdf["toxic"], pdf["words"], pdf["swaps"], pdf["print"]):
-            if (y, k) not in seen:
-                seen.add((y, k))
-                ws.append(set(w))
-                ys.append(int(y))
-                swaps += [tuple(x) for x in s]
-        b, weights = train(ws, ys, swaps)
-        return pd.DataFrame({"word": [None, *weights], "weight": [b, *weights.values()]})
-
-    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic")
-    rows = (chosen.mapInArrow(words, "toxic int, words array<string>, swaps array<array<string>>, print string")
-            .groupBy(F.lit(0).alias("all")).applyInPandas(run, "word string, weight double").collect())
-    weights = {r["word"]: r["weight"] for r in rows}
+        swaps = [tuple(x) for s in pdf["swaps"] for x in s]
+        b, weights = train([set(x) for x in pdf["features"]], pdf["toxic"].tolist(), chosen, swaps)
+        return pd.DataFrame({"feature": [None, *weights], "weight": [b, *weights.values()]})
+
+    fitted = (rows.select("toxic", "text").mapInArrow(kept, "toxic int, features array<string>, swaps array<array<string>>")
+              .groupBy(F.lit(0).alias("all")).applyInPandas(run, "feature string, weight double").collect())
+    weights = {r["feature"]: r["weight"] for r in fitted}
     return weights.pop(None, -math.log(9)), weights
 
 
@@ -159,8 +222,18 @@ def score(docs: DataFrame, model: tuple[float, dict[str, float]]) -> DataFrame:
 
     def run(batches):
         b0, weights = shared.value
+        bases = {f.split("#")[0] for f in weights}
+
+        class Memo(dict):
+            def __missing__(self, word):
+                if len(self) >= MEMO_ENTRIES:
+                    self.clear()
+                found = self[word] = [k for k in keys(word) if k in bases]
+                return found
+
+        keys_of = Memo().__getitem__
         for b in slices(batches):
-            s = [1 / (1 + math.exp(-(b0 + sum(weights[w] for w in sorted(features(t) & weights.keys())))))
+            s = [1 / (1 + math.exp(-(b0 + sum(weights[f] for f in sorted(features(t, keys_of) & weights.keys())))))
                  for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], names=["doc_id", "score"])
 
