@@ -58,3 +58,26 @@ hit AS (SELECT rid, any_value(doc_id) AS doc_id, iid, any_value(item_id) AS item
 SELECT doc_id, item_id, n_shared::BIGINT AS n_shared, n_item::BIGINT AS n_item, n_shared / n_item AS containment
 FROM hit JOIN n USING (iid) WHERE n_shared >= 0.8 * n_item
 """
+
+# formatted_chars: per turn "### " role ": " text " </turn>\n"; a text that holds a control string or reads
+# as escaped is lengthened by the weakest escape that keeps it (ends only, else everything).
+SQL["op1_chat_formatting"] = r"""
+WITH src AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+f AS (SELECT *,
+    CASE WHEN role IN ('system', 'user', 'assistant') THEN role ELSE '=' || upper(hex(encode(role))) END AS shown,
+    regexp_matches(t, '### (System|User|Assistant|=[0-9A-F]*): ') OR contains(t, '##\# ') OR contains(t, '<\/turn>') OR contains(t, '\\') AS strong,
+    contains(t, '</turn>') AS ends FROM src),
+r AS (SELECT *, length(shown) + 15 + length(t) + CASE
+    WHEN strong THEN length(t) - length(replace(t, '\', ''))
+      + (length(t) - length(replace(t, '</turn>', ''))) // 7 + (length(t) - length(replace(t, '### ', ''))) // 4
+    WHEN ends THEN (length(t) - length(replace(t, '</turn>', ''))) // 7 ELSE 0 END AS shown_chars FROM f)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role, t)) AS turns_sha256,
+  coalesce(sum(length(t)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(t, '' ORDER BY turn, role, t) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(shown_chars)::BIGINT AS formatted_chars
+FROM r GROUP BY conv_id
+"""

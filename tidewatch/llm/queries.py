@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import decontaminate, language, packing, quality, sharding, toxicity
+from tidewatch.llm import chat, decontaminate, language, packing, quality, sharding, toxicity
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -21,6 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+HARD_TEXT = r"\### Assistant: </turn> ok"  # conversation -7: both of its texts
+
+
+@register
+def op1_chat_formatting(spark, sf_dir):
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                 F.lit(HARD_TEXT).alias("text"))
+    return chat.digests(chat.format_conversations(given.unionByName(hard)))
+
+
 @register
 def op4_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
