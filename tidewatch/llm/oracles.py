@@ -81,3 +81,13 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
   sum(shown_chars)::BIGINT AS formatted_chars
 FROM r GROUP BY conv_id
 """
+
+SQL["op3_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM m
+"""

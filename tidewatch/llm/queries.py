@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import chat, decontaminate, language, packing, quality, sharding, toxicity
+from tidewatch.llm import chat, decontaminate, language, packing, quality, secrets, sharding, toxicity, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -33,11 +33,21 @@ def op1_chat_formatting(spark, sf_dir):
     return chat.digests(chat.format_conversations(given.unionByName(hard)))
 
 
+@register
+def op3_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 @register
 def op4_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@register
+def op5_secret_scan(spark, sf_dir):
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def fold(modulus: int) -> Column:
     """The fold of a document: crc32 of its id as text."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
