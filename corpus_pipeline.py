@@ -9,9 +9,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import decontaminate, packing, quality
+from tidewatch.llm import decontaminate, neardup, packing, quality, secrets
 from tidewatch.llm.common import shared_folder
 
 
@@ -20,11 +20,21 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: one document of each class of copies and near copies stays."""
+    return neardup.keep_one(docs)
+
+
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: documents that contain a benchmark item go."""
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: secrets in the texts are masked; every document stays."""
+    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: the kept documents as pieces of sequences, with their token ids."""
     return packing.pack(docs, with_ids=True)
@@ -32,7 +42,9 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("quality_rules", quality_stage),
+    ("near_dedup", near_dedup_stage),
     ("decontamination", decontamination_stage),
+    ("secret_scan", secret_stage),
     ("best_fit_packing", packing_stage),
 ]
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import chat, decontaminate, language, packing, quality, secrets, sharding, toxicity, warc
+from tidewatch.llm import chat, decontaminate, language, neardup, packing, quality, secrets, sharding, toxicity, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -33,6 +33,11 @@ def op1_chat_formatting(spark, sf_dir):
     return chat.digests(chat.format_conversations(given.unionByName(hard)))
 
 
+@register
+def op2_near_dedup(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @register
 def op3_warc(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))
