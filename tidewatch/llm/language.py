@@ -35,18 +35,24 @@ SMOOTH = 0.05               # added to each expected count
 FLOOR = 1e-7                # probability of a letter that is no piece
 CUT = 30
 LONGEST_PIECE = 16
-MEMO_WORDS = 200_000
+MEMO_WORDS = 400_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def stretches(text: str | None) -> list[str]:
-    """Lower-cased letter runs, each marked with the vocabulary's word start, cut at CUT letters."""
-    out = []
-    for w in _LETTERS.findall(text.lower()) if text else ():
-        out.append("▁" + w[:CUT])
-        out.extend(w[i:i + CUT] for i in range(CUT, len(w), CUT))
-    return out
+def words_in(text: str | None) -> list[str]:
+    """Lower-cased letter runs."""
+    return _LETTERS.findall(text.lower()) if text else []
+
+
+def stretches(word: str) -> list[str]:
+    """A word marked with the vocabulary's word start, cut at CUT letters."""
+    return ["▁" + word[:CUT], *(word[i:i + CUT] for i in range(CUT, len(word), CUT))]
+
+
+def _roll(h: np.ndarray, letter: np.ndarray) -> np.ndarray:
+    h = (h + letter + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(29))
 
 
 class Lattice:
@@ -62,25 +68,44 @@ class Lattice:
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())
                   if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
-        self.index = {p: i for i, p in enumerate(pieces) if len(p) <= LONGEST_PIECE}
+        pieces = [p for p in pieces if len(p) <= LONGEST_PIECE]
         self.size = len(pieces) + 1  # the last stands for any other letter
         self.other = len(pieces)
-
-    def edges(self, words: list[str]):
-        """Arrays (word, start, end, piece), ordered by end."""
-        get, other = self.index.get, self.other
-        out = []
-        for w, s in enumerate(words):
-            n = len(s)
-            for i in range(n):
-                if (p := get(s[i])) is None:
-                    out.append((w, i, i + 1, other))
-                else:
-                    out.append((w, i, i + 1, p))
-                for j in range(i + 2, min(n, i + LONGEST_PIECE) + 1):
-                    if (p := get(s[i:j])) is not None:
-                        out.append((w, i, j, p))
-        e = np.array(out, np.int32).reshape(-1, 4)
+        # pieces by a hash of their letters; a bitmap answers most of the misses
+        keys = np.array([self._hash(p) for p in pieces], np.uint64)
+        by = np.argsort(keys)
+        self.keys, self.ids = keys[by], by
+        self.bitmap = np.zeros(1 << 22, bool)
+        self.bitmap[keys >> np.uint64(42)] = True
+
+    @staticmethod
+    def _hash(piece: str) -> np.uint64:
+        h = np.zeros(1, np.uint64)
+        for c in piece:
+            h = _roll(h, np.array([ord(c)], np.uint64))
+        return h[0]
+
+    def edges(self, words: list[str]) -> np.ndarray:
+        """Rows (word, start, end, piece), ordered by end; all substrings of all words at once."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        letters = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.uint64)
+        owner = np.repeat(np.arange(len(words)), sizes)
+        start = np.arange(len(letters)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        room = sizes[owner] - start
+        at, h, found = np.arange(len(letters)), np.zeros(len(letters), np.uint64), []
+        for length in range(1, LONGEST_PIECE + 1):
+            inside = room[at] >= length
+            at, h = at[inside], _roll(h[inside], letters[at[inside] + length - 1])
+            hit = np.flatnonzero(self.bitmap[h >> np.uint64(42)])
+            place = np.minimum(np.searchsorted(self.keys, h[hit]), len(self.keys) - 1)
+            real = self.keys[place] == h[hit]
+            x, piece = at[hit[real]], self.ids[place[real]]
+            if length == 1:
+                alone = np.full(len(letters), self.other)
+                alone[x] = piece
+                x, piece = at, alone
+            found.append(np.stack([owner[x], start[x], start[x] + length, piece], axis=1))
+        e = np.concatenate(found) if found else np.zeros((0, 4), np.int64)
         return e[np.argsort(e[:, 2], kind="stable")]
 
     def forward(self, words: list[str], probability: np.ndarray, edges: np.ndarray | None = None) -> np.ndarray:
@@ -97,17 +122,25 @@ class Lattice:
         return alpha
 
     def log_likelihoods(self, words: list[str], probability: np.ndarray) -> np.ndarray:
-        """(word, model) log of the sum over all segmentations."""
-        if not words:
-            return np.zeros((0, probability.shape[1]))
-        alpha = self.forward(words, probability)
-        ends = np.fromiter(map(len, words), np.int64, len(words))
-        return np.log(np.maximum(alpha[np.arange(len(words)), ends], 1e-300))
+        """(word, model) log of the sum over all segmentations, 20,000 words at a time."""
+        out = np.zeros((len(words), probability.shape[1]))
+        for lo in range(0, len(words), 20_000):
+            cut = [stretches(w) for w in words[lo:lo + 20_000]]
+            parts = [x for c in cut for x in c]
+            alpha = self.forward(parts, probability)
+            ends = np.fromiter(map(len, parts), np.int64, len(parts))
+            logs = np.log(np.maximum(alpha[np.arange(len(parts)), ends], 1e-300))
+            np.add.at(out, np.repeat(np.arange(lo, lo + len(cut)), [len(c) for c in cut]), logs)
+        return out
 
     def fit(self, counts: Counter, rounds: int = ROUNDS) -> np.ndarray:
         """Piece probabilities by EM over word counts (all segmentations weighted)."""
-        words = sorted(counts)
-        n = np.array([counts[w] for w in words], float)
+        cut: Counter = Counter()
+        for w, k in counts.items():
+            for x in stretches(w):
+                cut[x] += k
+        words = sorted(cut)
+        n = np.array([cut[w] for w in words], float)
         expected = np.zeros(self.size)
         batches = [(words[i:i + 20_000], n[i:i + 20_000]) for i in range(0, len(words), 20_000)]
         lattices = [self.edges(ws) for ws, _ in batches]
@@ -162,7 +195,7 @@ def fit(labelled: DataFrame, per_language: int = DOCS_PER_LANGUAGE, vocabulary:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         c = Counter()
         for t in pdf["text"]:
-            c.update(stretches(t))
+            c.update(words_in(t))
         return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "p": [lattice(vocabulary).fit(c).tolist()]}) if c else pd.DataFrame({"lang": [], "p": []})
 
     rows = sample.select("lang", "text").groupBy("lang").applyInPandas(run, "lang string, p array<double>").collect()
@@ -180,15 +213,14 @@ def predict(docs: DataFrame, model: list[tuple[str, np.ndarray]], vocabulary: st
         memo: dict[str, int] = {}
         scores = np.zeros((0, len(langs)))
         for b in slices(batches):
-            texts = [stretches(t) for t in b.column(1).to_pylist()]
+            texts = [words_in(t) for t in b.column(1).to_pylist()]
             if len(memo) > MEMO_WORDS:
                 memo, scores = {}, scores[:0]
             lang, score = ["und"] * len(texts), [0.0] * len(texts)
             if langs:
                 new = list({w for ws in texts for w in ws if w not in memo})
                 memo.update(zip(new, range(len(memo), len(memo) + len(new))))
-                parts = [lattice(vocabulary).log_likelihoods(new[i:i + 20_000], probability) for i in range(0, len(new), 20_000)]
-                scores = np.concatenate([scores, *parts]) if parts else scores
+                scores = np.concatenate([scores, lattice(vocabulary).log_likelihoods(new, probability)])
                 for i, ws in enumerate(texts):
                     if ws:
                         s = scores[np.fromiter(map(memo.__getitem__, ws), np.int64, len(ws))].sum(axis=0)
