@@ -56,3 +56,30 @@ def test_foreach_batch_ingest_is_idempotent(spark):
     fn(b1, 1)   # replay
     got = sorted((r.aid, r.title) for r in spark.read.parquet(items).collect())
     assert got == [("a", "y"), ("b", "z"), ("c", "v")]
+
+
+def test_day_without_papers_and_items(spark):
+    paths = RunPaths(tempfile.mkdtemp(prefix="tw-empty-"))
+    items, catalog, papers, repos, models = _inputs(spark, 0)
+    out = daily_run(spark, "2024-03-01", paths, items.limit(0), catalog, papers.limit(0), repos, models)
+    assert out["accepted"].count() == 0 and out["digest"].count() == 5
+    m = out["metrics"].first()
+    assert not m.arxiv_capability.has_data and m.arxiv_capability.message and m.arxiv_capability.paper_count == 0
+    assert m.github_stars.has_data and m.github_stars.history_days == 0
+    # the next day has papers but neither repos nor models; the first day still counts as a snapshot day
+    out = daily_run(spark, "2024-03-02", paths, items, catalog, papers, repos.limit(0), models.limit(0))
+    m = out["metrics"].first()
+    assert m.arxiv_capability.has_data and m.arxiv_capability.history_days == 0 and m.arxiv_capability.trend == "unknown"
+    assert not m.github_stars.has_data and m.github_stars.top_growth == [] and m.huggingface_downloads.model_count == 0
+    charts = {(r.metric, r.date.isoformat()): r.value for r in out["charts"].collect()}
+    assert charts == {("stars", "2024-03-01"): 1300.0, ("stars", "2024-03-02"): 0.0, ("downloads", "2024-03-01"): 1000.0,
+                      ("downloads", "2024-03-02"): 0.0, ("novelty", "2024-03-02"): 0.0}
+
+
+def test_rerun_with_an_empty_day_replaces_it(spark):
+    paths = RunPaths(tempfile.mkdtemp(prefix="tw-rerun-"))
+    items, catalog, papers, repos, models = _inputs(spark, 0)
+    daily_run(spark, "2024-03-01", paths, items, catalog, papers, repos, models)
+    out = daily_run(spark, "2024-03-01", paths, items, catalog, papers, repos.limit(0), models)
+    assert not out["metrics"].first().github_stars.has_data
+    assert os.listdir(paths.digest) and os.listdir(paths.references) and os.listdir(paths.latest)

@@ -75,3 +75,50 @@ def test_harvest_results_as_items(spark):
     links = HV.harvest_links(_pages(spark, html), "prefix", "/news/")
     items = HV.as_items(links, "Anthropic Blog", "company").collect()
     assert items[0].source == "Anthropic Blog" and items[0].summary == "" and items[0].url == "https://site.example/news/a"
+
+
+def test_link_forms_by_hand(spark):
+    html = ("<a class='c' href='/news/one'>Single quoted title</a>"
+            "<a href=/news/two data-x=\"a>b\">Unquoted address title</a>"
+            '<A title="x > y" HREF = "/news/three">It&#8217;s &#x2014; caf&eacute; &amp; tea</A>'
+            '<a name="anchor">No address at all here</a>')
+    out = HV.harvest_links(_pages(spark, html), "prefix", "/news/", dedup="before").orderBy("pos").collect()
+    assert [(r.url, r.title) for r in out] == [
+        ("https://site.example/news/one", "Single quoted title"),
+        ("https://site.example/news/two", "Unquoted address title"),
+        ("https://site.example/news/three", "It’s — caf&eacute; & tea")]
+
+
+def test_numeric_entities_by_hand(spark):
+    cases = {"&#65;&#x42;C": "ABC", "&#128512;!": "\U0001F600!", "&#0;": "�", "&#xD800;": "�",
+             "a &lt; b &#38; c": "a < b & c", "&#38;lt; &amp;#65;": "&lt; &#65;", "no entity; &# 65;": "no entity; &# 65;", "": ""}
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    got = {r.t: r.d for r in df.select("t", HV.decode_entities("t").alias("d")).collect()}
+    assert got == cases
+
+
+def test_repo_blocks_class_order_and_quotes(spark):
+    html = ("<article data-a=1 class='x Box-row y'><h2 class=\"h3\"><a data-b='1' href='/org/agent-kit'>x</a></h2><p>Tools</p>"
+            '<span class="float-sm-right d-inline-block">12 stars today</span></article>'
+            '<article class="Box-rowless"><h2><a href="/org/llm">x</a></h2></article>')
+    out = HV.harvest_repo_blocks(_pages(spark, html)).collect()
+    assert [(r.repo, r.stars) for r in out] == [("org/agent-kit", "12 stars today")]
+
+
+def test_snapshot_repo_rule(spark):
+    # the path counts for the snapshot, and the description is cut to 500 characters
+    html = f'<article class="Box-row"><h2><a href="/org/llm-kit">x</a></h2><p>{"d" * 800}</p></article>'
+    out = HV.snapshot_repos(_pages(spark, html)).collect()
+    assert [(r.repo, len(r.description)) for r in out] == [("org/llm-kit", 500)]
+
+
+def test_atom_feed(spark):
+    xml = ('<feed xmlns="http://www.w3.org/2005/Atom"><title>F</title>'
+           '<entry><title type="html">First</title><link rel="self" href="https://f/self"/><link href="https://f/1"/>'
+           '<summary>s1</summary><published>2024-01-01</published></entry>'
+           '<entry><title>Second</title><link rel="alternate" href="https://f/2"/><content type="html">c2</content><updated>2024-01-02</updated></entry>'
+           '<entry><link href="https://f/3"/></entry></feed>')
+    df = spark.createDataFrame([("F", "papers", xml)], "source string, category string, xml string")
+    out = HV.harvest_feed(df).orderBy("pos").collect()
+    assert [(r.title, r.url, r.summary, r.published, r.pos) for r in out] == [
+        ("First", "https://f/1", "s1", "2024-01-01", 1), ("Second", "https://f/2", "c2", "2024-01-02", 2)]

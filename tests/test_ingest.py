@@ -65,9 +65,13 @@ def test_run_totals_golden(spark):
     assert (t.fetched, t.new, t.ok_count, t.fail_count) == (128, 23, 10, 3)
 
 
-def test_pandas_fold_path_for_large_catalogs(spark, monkeypatch):
-    monkeypatch.setattr(IG, "JVM_FOLD_LIMIT", 0)
-    rng = random.Random(5)
-    pool = [f"i{k}" for k in range(10)]
-    sources = [[rng.choice(pool) for _ in range(8)] for _ in range(4)]
-    assert _accepted(spark, sources, 2, {"i0"}) == sorted(capped_first_wins(sources, {"i0"}, 2))
+def test_thousands_of_sources(spark):
+    # a chain: each source loses its first id to the one before, so places are refilled over several rounds
+    n = 2000
+    sources = [[f"i{s // 4}", f"i{s // 2}", f"i{s}"] for s in range(n)]
+    assert _accepted(spark, sources, 1) == sorted(capped_first_wins(sources, set(), 1))
+
+
+def test_rejected_place_is_refilled(spark):
+    sources = [["a", "b"], ["a", "b", "c", "d"], ["c", "e"]]
+    assert _accepted(spark, sources, 2) == [(0, "a"), (0, "b"), (1, "c"), (1, "d"), (2, "e")]

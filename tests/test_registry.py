@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tidewatch.plans import oracle_sql, queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -41,11 +42,12 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle_or_is_nested():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing <= {"trend_report", "metrics_report", "report_bundle"}
+    missing = set(queries.REGISTRY) - set(oracle_sql.SQL)
+    assert missing <= {"trend_report", "metrics_report", "report_bundle"}  # nested; their flat forms have one
+    assert set(queries.REGISTRY) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle_sql.SQL))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF)
     srows = [tuple(r) for r in sdf.collect()]

@@ -54,3 +54,23 @@ def test_json_history_skips_unreadable_documents(spark):
 def test_public_api_imports():
     import tidewatch.api as api
     assert callable(api.counter_growth) and callable(api.day_similarity) and callable(api.flatten_analysis)
+
+
+def test_empty_rerun_replaces_the_day(spark):
+    path = tempfile.mkdtemp(prefix="tw-day-") + "/store"
+    rows = spark.createDataFrame([("a",), ("b",)], "v string")
+    assert S.read_store(spark, path, "v string").count() == 0
+    S.replace_day(rows, path, "2024-01-01")
+    S.replace_day(rows, path, "2024-01-02")
+    S.replace_day(rows.limit(0), path, "2024-01-01")
+    assert [(r.v, r.date.isoformat()) for r in S.read_store(spark, path, "v string").orderBy("v").collect()] == [("a", "2024-01-02"), ("b", "2024-01-02")]
+
+
+def test_last_run_is_kept(spark):
+    path = tempfile.mkdtemp(prefix="tw-last-") + "/seen"
+    assert S.last_run(spark, path).first().last_run is None
+    empty = spark.createDataFrame([], "aid string")
+    S.append_registry(empty, path, "2024-01-02 00:00:00")
+    S.append_registry(empty, path, "2024-01-01 00:00:00")
+    assert S.last_run(spark, path).first().last_run == dt.datetime(2024, 1, 2)
+    assert S.read_registry(spark, path).count() == 0

@@ -27,7 +27,7 @@ def test_ntz_is_cast_for_watermark(spark):
     assert spark.read.parquet(out).count() == 1
 
 
-def test_stream_daily_matches_batch_for_closed_windows(spark):
+def test_stream_daily_has_every_day(spark):
     src = tempfile.mkdtemp(prefix="tw-stream-")
     rows = [(f"2024-01-{1 + i % 5:02d} {i % 24:02d}:00:00", f"k{i % 3}", float(i)) for i in range(60)]
     df = (spark.createDataFrame(rows, "ts string, kw string, value double")
@@ -35,10 +35,44 @@ def test_stream_daily_matches_batch_for_closed_windows(spark):
     df.write.mode("overwrite").parquet(src)
     stream = spark.readStream.schema(df.schema).parquet(src)
     out, state = ST.scratch_dirs(spark, "t-daily")
-    ST.run_available_now(ST.stream_daily_keywords(stream), out, state)
-    got = sorted((r.date.isoformat(), r.kw, r.n, r.value) for r in spark.read.parquet(out).collect())
-    max_ts = df.agg(F.max("ts")).first()[0]
-    batch = (df.groupBy(F.to_date("ts").alias("date"), "kw").agg(F.count("*").alias("n"), F.sum("value").alias("value"))
-             .filter(F.col("date") <= F.date_sub(F.to_date(F.lit(max_ts)), 2)))
+    ST.run_daily_upserts(ST.stream_daily_keywords(stream), out, state)
+    got = sorted((r.date.isoformat(), r.kw, r.n, r.value) for r in ST.read_daily(spark, out).collect())
+    batch = df.groupBy(F.to_date("ts").alias("date"), "kw").agg(F.count("*").alias("n"), F.sum("value").alias("value"))
     want = sorted((r.date.isoformat(), r.kw, r.n, r.value) for r in batch.collect())
-    assert got == want and len(got) > 0
+    assert got == want and len(got) == 15
+    assert ST.late_rows(spark, out).agg(F.sum("late_rows")).first()[0] == 0
+
+
+def test_daily_upsert_and_late_rows(spark):
+    src = tempfile.mkdtemp(prefix="tw-stream-")
+    out, state = ST.scratch_dirs(spark, "t-late")
+
+    def arrive(name, rows):
+        df = spark.createDataFrame(rows, "ts string, kw string, value double").withColumn("ts", F.to_timestamp("ts"))
+        df.coalesce(1).write.parquet(f"{src}/{name}")
+        stream = spark.readStream.schema(df.schema).option("recursiveFileLookup", "true").parquet(src)
+        ST.run_daily_upserts(ST.stream_daily_keywords(stream), out, state)
+
+    arrive("a", [("2024-01-10 01:00:00", "k", 1.0)])
+    arrive("b", [("2024-01-10 02:00:00", "k", 2.0), ("2024-01-20 00:00:00", "k", 5.0)])
+    arrive("c", [("2024-01-01 00:00:00", "k", 7.0)])  # long past the watermark
+    got = sorted((r.date.isoformat(), r.n, r.value) for r in ST.read_daily(spark, out).collect())
+    assert got == [("2024-01-10", 2, 3.0), ("2024-01-20", 1, 5.0)]
+    assert ST.late_rows(spark, out).agg(F.sum("late_rows")).first()[0] == 1
+
+
+def test_ingest_batches_survives_a_new_state(spark):
+    base = tempfile.mkdtemp(prefix="tw-batches-")
+    registry, items = f"{base}/registry", f"{base}/items"
+
+    def batch(*ids):
+        return spark.createDataFrame([(x, i) for i, x in enumerate(ids)], "aid string, pos long")
+
+    first = ST.ingest_batches(registry, items)
+    first(batch("a", "b", "a"), 0)
+    first(batch("b", "c"), 1)
+    first(batch("b", "c"), 1)  # a replayed epoch
+    second = ST.ingest_batches(registry, items)  # new streaming state: epochs from 0 again
+    second(batch("a", "d"), 0)
+    assert sorted(r.aid for r in spark.read.parquet(items).collect()) == ["a", "b", "c", "d"]
+    assert sorted(r.aid for r in spark.read.parquet(registry).collect()) == ["a", "b", "c", "d"]

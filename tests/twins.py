@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from functools import reduce
 
 
 def char_wb(text: str, lo: int = 2, hi: int = 4) -> Counter:
@@ -39,35 +40,31 @@ def tfidf_sims(corpus: list[str], max_features: int = 5000) -> list[float] | Non
 
 
 def capped_first_wins(sources: list[list[str]], seen: set[str], cap: int) -> list[tuple[int, str]]:
-    taken = set(seen)
-    out = []
-    for s, ids in enumerate(sources):
-        count = 0
-        for aid in ids:
-            if aid in taken:
-                continue
-            taken.add(aid)
-            out.append((s, aid))
-            count += 1
-            if count >= cap:
-                break
-    return out
+    """(source, id) taken when sources choose in turn, each the first ``cap`` ids nobody has."""
+    def choose(state, numbered):
+        owned, (s, ids) = state, numbered
+        fresh = [x for x in dict.fromkeys(ids) if x not in owned]
+        return owned | {x: s for x in fresh[:cap]}
+
+    owners = reduce(choose, enumerate(sources), dict.fromkeys(seen, -1))
+    return [(s, x) for x, s in owners.items() if s >= 0]
 
 
 def keyword_trends(history: list[set[str]], today: set[str], recent_n: int = 5) -> dict[str, list[str]]:
-    if not today:
-        return {"new": [], "rising": [], "fading": []}
-    freq: Counter = Counter()
-    for h in history:
-        freq.update(h)
-    recent = history[-recent_n:] if len(history) >= recent_n else history
-    older = history[:-recent_n] if len(history) > recent_n else []
-    new = sorted(today - set(freq))
-    rising = []
-    for kw in today & set(freq):
-        rr = sum(1 for s in recent if kw in s) / max(len(recent), 1)
-        orate = (sum(1 for s in older if kw in s) if older else 0) / max(len(older), 1)
-        if rr > orate + 0.2:
-            rising.append(kw)
-    fading = [kw for kw in set(freq) - today if freq[kw] >= 3 and not any(kw in s for s in recent)]
-    return {"new": new, "rising": sorted(rising), "fading": sorted(fading)}
+    """Classes from the places (record numbers) at which each keyword occurs."""
+    n = len(history)
+    border = max(0, n - recent_n)  # records from here on are recent
+    places = {kw: [i for i, day in enumerate(history) if kw in day] for kw in today.union(*history)}
+
+    def rate(kw, lo, hi):
+        return sum(lo <= i < hi for i in places[kw]) / (hi - lo) if hi > lo else 0.0
+
+    def kind(kw):
+        if kw not in today:
+            return "fading" if len(places[kw]) >= 3 and places[kw][-1] < border else None
+        if not places[kw]:
+            return "new"
+        return "rising" if rate(kw, border, n) - rate(kw, 0, border) > 0.2 else None
+
+    kinds = {kw: kind(kw) for kw in places} if today else {}
+    return {k: sorted(kw for kw, x in kinds.items() if x == k) for k in ("new", "rising", "fading")}

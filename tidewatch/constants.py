@@ -103,3 +103,9 @@ ABSTRACT_CHARS = 2000
 DESCRIPTION_CHARS = 500
 DIGEST_SUMMARY_CHARS = 400
 TOP_K = 10
+
+# ---- fixed values: messages of the metrics report ----
+NO_TEXT_TODAY = "今日无 arXiv 摘要数据"
+TOO_LITTLE_HISTORY = "历史数据不足（需至少 {need} 天）"
+NO_REPOS_TODAY = "今日无 GitHub 数据"
+NO_MODELS_TODAY = "今日无 HuggingFace 数据"

@@ -47,10 +47,8 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int | None, row_bytes: int = 6
     if max_rows is None:
         return df
     spark = df.sparkSession
-    try:
-        limit = int(str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).rstrip("bB"))
-    except ValueError:
-        limit = 10 * 1024 * 1024
+    limit = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))))
     if limit > 0 and max_rows * row_bytes <= limit:
         return F.broadcast(df)
     return df
@@ -77,24 +75,6 @@ def materialized(df: DataFrame) -> DataFrame:
     return df if getattr(df, "_tw_materialized", False) else cut_lineage(df)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when the scan yields fewer partitions than
-    the cluster can run at once (e.g. one large row group).
-
-    On a large input (thousands of files / row groups) this is a no-op, so it
-    never adds a shuffle of raw data at scale.
-    """
-    spark = df.sparkSession
-    try:
-        want = min_partitions or spark.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave the plan alone
-        return df
-    if have < want:
-        return df.repartition(want)
-    return df
-
-
 def consecutive_index(df: DataFrame, order: list, name: str = "idx", partitions: int | None = None) -> DataFrame:
     """Add a 1-based consecutive row number over a total ``order`` without a
     single-task window.
@@ -116,20 +96,3 @@ def consecutive_index(df: DataFrame, order: list, name: str = "idx", partitions:
     return (local.join(F.broadcast(offsets), "_pid", "inner")
             .withColumn(name, (F.col("_off") + F.col("_local")).cast("bigint"))
             .drop("_pid", "_local", "_off"))
-
-
-def enable_group_limit(spark, limit: int) -> None:
-    """Let the optimizer cut a per-group top-``limit`` window map-side.
-
-    Spark inserts ``WindowGroupLimit`` only for limits up to
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default); the
-    vocabulary keeps up to 5000 terms per corpus.  Raising the threshold only
-    enables the optimisation, it does not change results.
-    """
-    key = "spark.sql.optimizer.windowGroupLimitThreshold"
-    try:
-        current = int(spark.conf.get(key, "1000"))
-    except ValueError:
-        current = 1000
-    if 0 < current < limit:
-        spark.conf.set(key, str(limit))

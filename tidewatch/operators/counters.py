@@ -52,8 +52,12 @@ def counter_growth(fact: DataFrame, day, days: int = C.LOOKBACK_DAYS, key: str =
     ``prev_max > 0``; ``is_new`` when no history value exists.  Keys whose value
     today is null (unparsed) are dropped; history maximum 0 gives neither.
     """
-    st = counter_state(fact, day, days, key, value, date_col, pos)
-    st = st.filter(F.col("value").isNotNull())
+    return growth_of(counter_state(fact, day, days, key, value, date_col, pos), key)
+
+
+def growth_of(state: DataFrame, key: str = "key") -> DataFrame:
+    """Growth rows from the per-key state of :func:`counter_state`."""
+    st = state.filter(F.col("value").isNotNull())
     growth = F.when(F.col("prev_max") > 0,
                     F.round((F.col("value") - F.col("prev_max")) / F.col("prev_max"), 3))
     return st.select(

@@ -6,19 +6,18 @@ source walks its items in position order, skips ids already seen or already
 accepted, and accepts up to ``cap`` ids.  Items beyond the cap are *not*
 marked as seen, so a later source may still take them.
 
-Scalable form of the exact rule:
+Scalable form of the exact rule: the sequential result is the unique matching in
+which every id prefers the earlier source, so it can be found in rounds:
 
 1. first position per ``(source, aid)`` by a partial aggregate (a hot group of
    copies collapses map-side), then anti-join with the registry;
-2. per source keep in-source rank <= ``cap * (src_rank + 1)``: earlier sources
-   accept at most ``cap * src_rank`` ids, so nothing further down can matter
-   (a constant upper bound lets Spark plan ``WindowGroupLimit`` per source, so
-   a source holding a third of all rows is cut map-side);
-3. an item is *free* when no earlier source lists its id; a source surely has
-   ``cap`` acceptances once it passed ``cap`` free items, so later rows drop;
-4. the remainder (bounded by the catalog: at most ``cap * S * (S+1) / 2`` rows
-   for S sources, independent of the data volume) is folded in source order by
-   one ``applyInPandas`` group per run.
+2. every source proposes its first ``cap`` ids that no earlier source has taken from it
+   (a constant limit, so ``WindowGroupLimit`` cuts a source of a third of all rows map-side);
+3. every id keeps the earliest proposing source, the other proposals are rejected; repeat from 2
+   until nothing is rejected.
+
+A round is one per-source top-``cap`` and one aggregate by id over ``cap`` rows a source; no step
+holds a run or a source in one task.
 
 ``mode='global_first'`` is the plain window form (W1 then W2): first source of
 each id by ``(src_rank, pos)``, then the first ``cap`` per source.
@@ -26,12 +25,11 @@ each id by ``(src_rank, pos)``, then the first ``cap`` per source.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F, Window
 
 from tidewatch import constants as C
 from tidewatch.functions.ids import item_id
-from tidewatch.operators._util import broadcast_if_bounded, enable_group_limit
+from tidewatch.operators._util import broadcast_if_bounded, cut_lineage
 
 
 def with_item_id(items: DataFrame, url: str = "url", title: str = "title") -> DataFrame:
@@ -54,61 +52,24 @@ def first_per_source(items: DataFrame, seen: DataFrame | None = None) -> DataFra
     return first
 
 
-def _ranked(fresh: DataFrame, catalog: DataFrame, limit: int, n_sources: int) -> DataFrame:
-    """In-source rank by position with a constant limit (``WindowGroupLimit``)."""
+def _matching(fresh: DataFrame, cap: int) -> DataFrame:
+    """Accepted ``(source, src_rank, aid, pos, rank)`` by rounds of proposals; ``rank`` is the
+    in-source rank by position (everything before an accepted item was proposed once)."""
     w = Window.partitionBy("source").orderBy("pos", "aid")
-    cat = broadcast_if_bounded(catalog.select("source", "src_rank"), n_sources, 64)
-    return (fresh.withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= limit)
-            .join(cat, "source", "inner"))
-
-
-def _fold_pdf(pdf: pd.DataFrame, cap: int) -> pd.DataFrame:
-    """Sequential first-wins with a cap, over the pruned candidates of one run."""
-    pdf = pdf.sort_values(["src_rank", "rank"], kind="stable")
-    taken: set[str] = set()
-    out_src, out_aid = [], []
-    for src_rank, grp in pdf.groupby("src_rank", sort=True):
-        count = 0
-        for aid in grp["aid"]:
-            if count >= cap:
-                break
-            if aid in taken:
-                continue
-            taken.add(aid)
-            out_src.append(src_rank)
-            out_aid.append(aid)
-            count += 1
-    run = int(pdf["run"].iloc[0]) if len(pdf) else 0
-    return pd.DataFrame({"run": [run] * len(out_aid), "src_rank": out_src, "aid": out_aid})
-
-
-#: Largest candidate bound folded by the JVM ``aggregate`` (quadratic in the
-#: candidates); larger catalogs use the linear pandas fold.
-JVM_FOLD_LIMIT = 20000
-
-
-def _fold_jvm(cand: DataFrame, cap: int) -> DataFrame:
-    """The sequential fold as one ``aggregate`` over the sorted candidates
-    (bounded by the catalog), entirely JVM-side."""
-    cs = cand.agg(F.array_sort(F.collect_list(F.struct("src_rank", "rank", "aid"))).alias("cs"))
-    init = F.struct(F.array().cast("array<string>").alias("taken"), F.lit(-1).alias("src"),
-                    F.lit(0).alias("cnt"),
-                    F.array().cast("array<struct<src_rank:int,aid:string>>").alias("out"))
-
-    def step(acc, x):
-        cnt = F.when(x["src_rank"] != acc["src"], F.lit(0)).otherwise(acc["cnt"])
-        take = (cnt < cap) & ~F.array_contains(acc["taken"], x["aid"])
-        return F.struct(
-            F.when(take, F.concat(acc["taken"], F.array(x["aid"]))).otherwise(acc["taken"]).alias("taken"),
-            x["src_rank"].alias("src"),
-            F.when(take, cnt + 1).otherwise(cnt).alias("cnt"),
-            F.when(take, F.concat(acc["out"], F.array(F.struct(x["src_rank"].cast("int").alias("src_rank"),
-                                                                x["aid"].alias("aid")))))
-            .otherwise(acc["out"]).alias("out"))
-
-    return (cs.select(F.explode(F.aggregate("cs", init, step)["out"]).alias("a"))
-            .select("a.src_rank", "a.aid"))
+    rejected = None
+    while True:
+        open_ids = fresh if rejected is None else fresh.join(rejected, ["source", "aid"], "left_anti")
+        proposed = open_ids.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= cap).drop("_n")
+        winner = F.min("src_rank").over(Window.partitionBy("aid"))  # at most one row per source
+        decided = cut_lineage(proposed.withColumn("_kept", winner == F.col("src_rank")))
+        lost = decided.filter(~F.col("_kept")).select("source", "src_rank", "aid", "pos")
+        if lost.isEmpty():
+            break
+        rejected = cut_lineage(lost if rejected is None else rejected.unionByName(lost))
+    accepted = decided.withColumn("_kept", F.lit(True))
+    if rejected is not None:
+        accepted = accepted.unionByName(rejected.withColumn("_kept", F.lit(False)))
+    return accepted.withColumn("rank", F.row_number().over(w)).filter("_kept").drop("_kept")
 
 
 def dedup_capped(items: DataFrame, catalog: DataFrame, seen: DataFrame | None = None,
@@ -126,9 +87,6 @@ def dedup_capped(items: DataFrame, catalog: DataFrame, seen: DataFrame | None =
     keys = items.select("source", "aid", "pos")
     fresh = first_per_source(keys, seen)
     n_sources = catalog.count()  # size of a small dimension: bounds every limit below
-    # per-source windows are cut map-side (WindowGroupLimit) even for large catalogs,
-    # so a source holding a third of all rows never sorts in one task
-    enable_group_limit(items.sparkSession, cap * max(n_sources, 1))
     cat = broadcast_if_bounded(catalog.select("source", "src_rank"), n_sources, 64)
     if mode == "global_first":
         g = fresh.join(cat, "source", "inner")
@@ -137,25 +95,7 @@ def dedup_capped(items: DataFrame, catalog: DataFrame, seen: DataFrame | None =
         w = Window.partitionBy("source").orderBy("pos", "aid")
         acc = firsts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= cap)
     elif mode == "exact":
-        ranked = _ranked(fresh, catalog, cap * max(n_sources, 1), n_sources)
-        cand = ranked.filter(F.col("rank") <= F.lit(cap) * (F.col("src_rank") + 1))
-        # free = no earlier source lists the id; the windows see the bounded candidate set only
-        by_aid = Window.partitionBy("aid")
-        by_src = Window.partitionBy("source").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-        cand = (cand.withColumn("_first_src", F.min("src_rank").over(by_aid))
-                .withColumn("_free", (F.col("_first_src") == F.col("src_rank")).cast("int"))
-                .withColumn("_free_before", F.coalesce(F.sum("_free").over(by_src), F.lit(0)))
-                .filter(F.col("_free_before") < cap)
-                .drop("_first_src", "_free", "_free_before"))
-        bound = cap * n_sources * (n_sources + 1) // 2
-        if bound <= JVM_FOLD_LIMIT:
-            accepted = _fold_jvm(cand.withColumn("src_rank", F.col("src_rank").cast("int")), cap)
-        else:
-            fold_in = cand.select(F.lit(0).alias("run"), "src_rank", "rank", "aid")
-            accepted = (fold_in.groupBy("run")
-                        .applyInPandas(lambda pdf: _fold_pdf(pdf, cap), "run int, src_rank int, aid string")
-                        .drop("run"))
-        acc = cand.withColumn("src_rank", F.col("src_rank").cast("int")).join(accepted, ["src_rank", "aid"], "left_semi")
+        acc = _matching(cut_lineage(fresh.join(cat, "source", "inner")), cap)
     else:
         raise ValueError(f"unknown mode {mode!r}")
     acc = broadcast_if_bounded(acc.select("source", "pos", "aid", "src_rank", "rank"), cap * max(n_sources, 1), 96)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, Window
 
 from tidewatch import constants as C
-from tidewatch.operators._util import broadcast_if_bounded, cut_lineage, day_lit, window_filter
+from tidewatch.operators._util import day_lit, window_filter
 
 
 def record_spine(day_keywords: DataFrame, day, days: int = C.LOOKBACK_DAYS,
@@ -26,25 +26,34 @@ def record_spine(day_keywords: DataFrame, day, days: int = C.LOOKBACK_DAYS,
 def keyword_measures(day_keywords: DataFrame, day, days: int = C.LOOKBACK_DAYS,
                      recent_n: int = C.KEYWORD_RECENT_N, spine: DataFrame | None = None) -> DataFrame:
     """Per keyword of the window: ``kw, today, df, recent_count, older_count,
-    n_hist, n_recent, n_older``."""
+    n_hist, n_recent, n_older``.
+
+    The days of a keyword are one long (bit i: i days ago), or-ed together in one partially
+    aggregated shuffle; counts are bit counts against the masks of the record days.
+    """
+    if days > 62:
+        raise ValueError("the lookback of keyword measures is at most 62 days")
     d = day_lit(day)
-    recs = broadcast_if_bounded(record_spine(day_keywords, day, days, spine), days, 16)
-    pairs = (day_keywords.filter((F.col("date") >= F.date_sub(d, days)) & (F.col("date") <= d))
-             .filter(F.col("kw").isNotNull())
-             .select("date", "kw").distinct())
-    tagged = pairs.join(recs, "date", "left")
-    hist = F.col("rn").isNotNull()
-    per_kw = tagged.groupBy("kw").agg(
-        F.max(F.col("date") == d).alias("today"),
-        F.count_if(hist).alias("df"),
-        F.count_if(hist & (F.col("rn") <= recent_n)).alias("recent_count"),
-        F.count_if(F.col("rn") > recent_n).alias("older_count"),
-    )
-    n_hist = recs.select(F.count("*")).scalar()
-    return (per_kw
-            .withColumn("n_hist", n_hist)
-            .withColumn("n_recent", F.least(F.col("n_hist"), F.lit(recent_n)))
-            .withColumn("n_older", F.greatest(F.col("n_hist") - recent_n, F.lit(0))))
+
+    bit = F.expr("shiftleft(1L, _ago)")
+    rows = day_keywords.filter((F.col("date") >= F.date_sub(d, days)) & (F.col("date") <= d) & F.col("kw").isNotNull())
+    per_kw = (rows.withColumn("_ago", F.datediff(d, F.col("date")))
+              .groupBy("kw").agg(F.bit_or(bit).alias("seen")))
+    recs = record_spine(day_keywords, day, days, spine).withColumn("_ago", F.datediff(d, F.col("date")))
+    masks = recs.agg(F.coalesce(F.bit_or(bit), F.lit(0)).cast("bigint").alias("hist"),
+                     F.coalesce(F.bit_or(F.when(F.col("rn") <= recent_n, bit)), F.lit(0)).cast("bigint").alias("recent"))
+    hist, recent = masks.select("hist").scalar(), masks.select("recent").scalar()
+
+    def count(mask):
+        return F.bit_count(mask).cast("bigint")
+
+    return (per_kw.withColumn("_hist", hist).withColumn("_recent", recent)
+            .select("kw", (F.col("seen").bitwiseAND(F.lit(1)) == 1).alias("today"),
+                    count(F.col("seen").bitwiseAND(F.col("_hist"))).alias("df"),
+                    count(F.col("seen").bitwiseAND(F.col("_recent"))).alias("recent_count"),
+                    (count(F.col("seen").bitwiseAND(F.col("_hist"))) - count(F.col("seen").bitwiseAND(F.col("_recent")))).alias("older_count"),
+                    count(F.col("_hist")).alias("n_hist"), count(F.col("_recent")).alias("n_recent"),
+                    (count(F.col("_hist")) - count(F.col("_recent"))).alias("n_older")))
 
 
 def keyword_trends(day_keywords: DataFrame, day, days: int = C.LOOKBACK_DAYS,
@@ -59,9 +68,7 @@ def keyword_trends(day_keywords: DataFrame, day, days: int = C.LOOKBACK_DAYS,
     * fading: absent today, in at least ``fade_min_df`` records, none of the last ``recent_n``.
     Nothing is reported when the day has no keywords.
     """
-    # one row per keyword, read by the main query and by the "any keyword today"
-    # scalar: materialised once instead of re-deriving it from the source
-    m = cut_lineage(keyword_measures(day_keywords, day, days, recent_n, spine))
+    m = keyword_measures(day_keywords, day, days, recent_n, spine)
     recent_rate = F.col("recent_count") / F.greatest(F.col("n_recent"), F.lit(1))
     older_rate = F.when(F.col("n_older") > 0, F.col("older_count") / F.col("n_older")).otherwise(F.lit(0.0))
     m = m.withColumn("recent_rate", recent_rate).withColumn("older_rate", older_rate)
@@ -69,7 +76,9 @@ def keyword_trends(day_keywords: DataFrame, day, days: int = C.LOOKBACK_DAYS,
             .when(F.col("today") & (F.col("recent_rate") > F.col("older_rate") + rise_delta), F.lit("rising"))
             .when(~F.col("today") & (F.col("df") >= fade_min_df) & (F.col("recent_count") == 0),
                   F.lit("fading")))
-    has_today = m.filter("today").select(F.count("*")).scalar() > 0
+    # only the day's own partition is read for this
+    today = day_keywords.filter((F.col("date") == day_lit(day)) & F.col("kw").isNotNull()).limit(1)
+    has_today = today.select(F.count("*")).scalar() > 0
     return (m.withColumn("kind", kind)
             .filter(F.col("kind").isNotNull() & has_today)
             .select("kind", "kw", F.col("df").cast("bigint").alias("df"),

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, Window
 
 from tidewatch import constants as C
-from tidewatch.operators._util import broadcast_if_bounded, cut_lineage, day_lit, window_filter
+from tidewatch.operators._util import broadcast_if_bounded, day_lit, window_filter
 from tidewatch.operators.detectors import shift_label
 from tidewatch.operators.vectors import tfidf_similarity
 
@@ -26,33 +26,34 @@ def nonblank_days(tf: DataFrame, keys: tuple[str, ...] = ("scope",)) -> DataFram
 def text_shift(tf: DataFrame, today_counts: DataFrame, records: DataFrame, day,
                days: int = C.LOOKBACK_DAYS, min_history: int = C.MIN_HISTORY_DAYS,
                max_features: int = C.MAX_FEATURES) -> DataFrame:
-    """Per scope: ``scope, has_data, history_days, nonblank_history_days,
+    """Per scope: ``scope, has_data, message, history_days, nonblank_history_days,
     text_count, capability_score, mean_similarity, trend`` (M1, P17).
 
     ``today_counts``: ``(scope, text_count)`` of the day's texts (non-empty);
-    ``records``: the existing record days (``date``), blank or not.
-    ``capability_score = round(1 - mean, 3)``; null with trend ``unknown`` when
-    there is no text today or fewer than ``min_history`` non-blank history days.
+    ``records``: the existing record days (``date``), blank or not.  A scope with history
+    but without text today has ``has_data = false``.  With fewer than ``min_history``
+    non-blank history days there is a message, no score, trend ``unknown``, and ``history_days`` are
+    the non-blank ones; else ``history_days`` are all record days.
     """
     d = day_lit(day)
-    # small per-scope tables read by several branches: materialised once
-    hist_nb = cut_lineage(window_filter(nonblank_days(tf), day, days))
+    hist_nb = window_filter(nonblank_days(tf), day, days)
     n_records = window_filter(records.select("date").distinct(), day, days).select(F.count("*")).scalar()
     nb_counts = hist_nb.groupBy("scope").agg(F.count("*").alias("nonblank_history_days"))
-    scopes = cut_lineage(today_counts.filter(F.col("text_count") > 0).select("scope", "text_count")
-                         .join(nb_counts, "scope", "left")
-                         .withColumn("nonblank_history_days", F.coalesce("nonblank_history_days", F.lit(0))))
-    eligible = scopes.filter(F.col("nonblank_history_days") >= min_history).select("scope")
+    scopes = (today_counts.select("scope", "text_count").join(nb_counts, "scope", "full")
+              .select("scope", F.coalesce("text_count", F.lit(0)).alias("text_count"),
+                      F.coalesce("nonblank_history_days", F.lit(0)).alias("nonblank_history_days")))
+    eligible = scopes.filter((F.col("text_count") > 0) & (F.col("nonblank_history_days") >= min_history)).select("scope")
     members = (hist_nb.join(eligible, "scope", "left_semi").withColumn("is_query", F.lit(False))
                .unionByName(eligible.select("scope", d.alias("date"), F.lit(True).alias("is_query"))))
     sims = tfidf_similarity(tf, members, max_features=max_features, min_nonblank=1)
     agg = sims.groupBy("scope").agg(F.avg("sim").alias("mean_sim"))
-    out = scopes.join(agg, "scope", "left")
-    ok = F.col("mean_sim").isNotNull()
+    out = scopes.join(agg, "scope", "left").withColumn("_records", n_records)
+    ok, has_data = F.col("mean_sim").isNotNull(), F.col("text_count") > 0
     novelty = 1.0 - F.col("mean_sim")
     return out.select(
-        "scope", F.lit(True).alias("has_data"),
-        F.lit(n_records).cast("bigint").alias("history_days"),
+        "scope", has_data.alias("has_data"),
+        F.when(~has_data, C.NO_TEXT_TODAY).when(~ok, C.TOO_LITTLE_HISTORY.format(need=min_history)).alias("message"),
+        F.when(ok, F.col("_records")).when(has_data, F.col("nonblank_history_days")).cast("bigint").alias("history_days"),
         F.col("nonblank_history_days").cast("bigint").alias("nonblank_history_days"),
         F.col("text_count").cast("bigint").alias("text_count"),
         F.when(ok, F.round(novelty, 3)).alias("capability_score"),

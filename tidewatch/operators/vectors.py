@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F, Window
 from tidewatch import constants as C
 from tidewatch.functions.ngrams import explode_ngrams
 from tidewatch.functions.text import PY_WHITESPACE_CLASS
-from tidewatch.operators._util import broadcast_if_bounded, day_lit, enable_group_limit, materialized, spread
+from tidewatch.operators._util import broadcast_if_bounded, day_lit, materialized
 
 
 def term_counts(texts: DataFrame, keys: Sequence[str] = ("scope",), date_col: str = "date",
@@ -40,7 +40,8 @@ def term_counts(texts: DataFrame, keys: Sequence[str] = ("scope",), date_col: st
     joined by blanks): n-grams never cross words, so counts just add up.
     """
     keys = list(keys)
-    texts = spread(texts.select(*keys, F.col(date_col).alias("date"), F.col(text_col).alias("text")))
+    # texts grow tenfold as n-grams: even partitions (sized by AQE) before that
+    texts = texts.select(*keys, F.col(date_col).alias("date"), F.col(text_col).alias("text")).hint("rebalance")
     # split before lower-casing (case never changes whitespace): lower() then runs
     # once per distinct word instead of over every character of every text
     split = F.split(F.col("text"), PY_WHITESPACE_CLASS + "+")
@@ -108,15 +109,28 @@ def corpus_sizes(ct: DataFrame, members: DataFrame, corpus_keys: Sequence[str] =
             .filter(F.col("n_nonblank") >= min_nonblank))
 
 
+def _top_terms(stats: DataFrame, ck: list[str], max_features: int, slices: int = 64) -> DataFrame:
+    """The first ``max_features`` terms of each corpus by count, with their ``rank``.
+
+    Two levels: within hash slices of a corpus, then over what is left, so the task of a
+    corpus sorts at most ``slices * max_features`` rows, however many partitions there are.
+    """
+    order = [F.col("ctf").desc(), F.col("term")]
+    piece = F.pmod(F.xxhash64("term"), F.lit(slices))
+    cut = (stats.withColumn("_piece", piece)
+           .withColumn("rank", F.row_number().over(Window.partitionBy(*ck, "_piece").orderBy(*order)))
+           .filter(F.col("rank") <= max_features).drop("_piece"))
+    return (cut.withColumn("rank", F.row_number().over(Window.partitionBy(*ck).orderBy(*order)))
+            .filter(F.col("rank") <= max_features))
+
+
 def _vocab(ct: DataFrame, sizes: DataFrame, ck: list[str], max_features: int) -> DataFrame:
     """Kept terms per corpus with ``idf``, corpus statistics and the query day's count."""
-    enable_group_limit(ct.sparkSession, max_features)
     stats = ct.groupBy(*ck, "term").agg(
         F.sum("tf").alias("ctf"), F.count("*").alias("df"),
         F.max(F.when(F.col("is_query"), F.col("tf"))).alias("qtf"))
-    rank = Window.partitionBy(*ck).orderBy(F.col("ctf").desc(), F.col("term"))
     idf = F.log((F.col("n_docs") + 1.0) / (F.col("df") + 1.0)) + 1.0
-    return (stats.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= max_features)
+    return (_top_terms(stats, ck, max_features)
             .join(sizes.select(*ck, "n_docs"), ck, "inner")
             .select(*ck, "term", "ctf", "df", "rank", idf.alias("idf"),
                     (F.coalesce(F.col("qtf"), F.lit(0)) * idf).alias("wq")))
@@ -159,10 +173,8 @@ def tfidf_similarity(tf: DataFrame, members: DataFrame, text_keys: Sequence[str]
     stats = ct.groupBy(*ck, "term").agg(
         F.sum("tf").alias("ctf"), F.count("*").alias("df"),
         F.max(F.when(F.col("is_query"), F.col("tf"))).alias("qtf"))
-    enable_group_limit(tf.sparkSession, max_features)
-    rank = Window.partitionBy(*ck).orderBy(F.col("ctf").desc(), F.col("term"))
     idf = F.log((F.col("n_docs") + 1.0) / (F.col("df") + 1.0)) + 1.0
-    vocab = (stats.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= max_features)
+    vocab = (_top_terms(stats, ck, max_features)
              .join(n_docs, ck, "inner")
              .select(*ck, "term", idf.alias("idf"), (F.coalesce(F.col("qtf"), F.lit(0)) * idf).alias("wq")))
     vocab = broadcast_if_bounded(vocab, n_corpora * max_features, 64)

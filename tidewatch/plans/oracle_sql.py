@@ -128,14 +128,6 @@ series AS (
   SELECT 'downloads' AS metric, CAST(ts AS DATE) AS date, round(sum(value), 2) AS value FROM events
   WHERE CAST(ts AS DATE) > {COUNTER_DAY} - 30 AND CAST(ts AS DATE) <= {COUNTER_DAY} GROUP BY 2
 )"""
-SQL["daily_series"] = _SERIES + "\nSELECT * FROM series"
-SQL["chart_table"] = _SERIES + """
-SELECT metric, date, value, strftime(date, '%m-%d') AS label,
-       ((rn - 1) % greatest(1, n // 7)) = 0 AS show_tick
-FROM (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY date) AS rn,
-             count(*) OVER (PARTITION BY metric) AS n FROM series) s
-WHERE n >= 2"""
-
 TEXT_DAY = "DATE '2024-01-31'"
 _DAY_TEXTS = """
 day_texts AS (
@@ -152,7 +144,8 @@ WHERE CAST(ts AS DATE) > {COUNTER_DAY} - 30 AND CAST(ts AS DATE) <= {COUNTER_DAY
 
 # ---------------------------------------------------------------- text vectors (V1-V6), detectors
 
-from tidewatch.functions.text import PY_WHITESPACE_CLASS as _WS  # noqa: E402
+# white space as a literal, so that the oracle doesn't lean on the implementation
+_WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 def _tf_sql(days: int = 30, day: str = TEXT_DAY) -> str:
@@ -307,7 +300,7 @@ def _strip(x: str) -> str:
 
 
 SQL["item_ids"] = f"""WITH {_ITEMS}
-SELECT source, pos, aid, substring({_strip('title')}, 1, 80) AS title80,
+SELECT source, pos, aid, {_strip('title')} AS title,
        substring({_strip('title')}, 1, 1000) AS summary1000 FROM items"""
 
 _REL = r"(?i)(machine[^\n]?learning|deep[^\n]?learning|neural|transformer|llm|gpt|diffusion|langchain|rag|agent|vision|nlp|reinforcement|generative|embedding|fine[^\n]?tun|train|inference|model|ai([^\p{L}\p{N}_]|$)|ml([^\p{L}\p{N}_]|$))"
@@ -431,49 +424,76 @@ WHERE regexp_matches(coalesce(title, '') || ' ' || coalesce(description, ''), '{
 
 # ---------------------------------------------------------------- text shift (M1), novelty series (M5)
 
-SQL["text_shift"] = "WITH " + _tf_sql() + f""",
-recs AS (SELECT DISTINCT date FROM day_texts WHERE date >= {TEXT_DAY} - 30 AND date < {TEXT_DAY}),
-today AS (SELECT scope, count(*) AS text_count FROM day_texts WHERE date = {TEXT_DAY} AND length(text) > 0 GROUP BY scope),
-hist_nb AS (SELECT DISTINCT scope, date FROM tf WHERE date < {TEXT_DAY}),
-nb AS (SELECT scope, count(*) AS nonblank_history_days FROM hist_nb GROUP BY scope),
-sc AS (SELECT t.scope, t.text_count, coalesce(nb.nonblank_history_days, 0) AS nonblank_history_days
-       FROM today t LEFT JOIN nb USING (scope)),
-eligible AS (SELECT scope FROM sc WHERE nonblank_history_days >= 3),
+def _shift_sql(day: str, tf: str = "tf", today: str = "SELECT scope, count(*) AS text_count FROM day_texts WHERE date = {day} AND length(text) > 0 GROUP BY scope") -> str:
+    """CTE ``shift``: the text shift of every scope of ``tf`` or of today's texts."""
+    return f""",
+recs AS (SELECT DISTINCT date FROM day_texts WHERE date >= {day} - 30 AND date < {day}),
+today AS ({today.format(day=day)}),
+hist_nb AS (SELECT DISTINCT scope, date FROM {tf} WHERE date < {day}),
+nb AS (SELECT scope, count(*) AS nonblank FROM hist_nb GROUP BY scope),
+sc AS (SELECT scope, coalesce(t.text_count, 0) AS text_count, coalesce(nb.nonblank, 0) AS nonblank_history_days
+       FROM today t FULL JOIN nb USING (scope)),
+eligible AS (SELECT scope FROM sc WHERE text_count > 0 AND nonblank_history_days >= 3),
 members AS (
   SELECT scope, date, false AS is_query FROM hist_nb WHERE scope IN (SELECT scope FROM eligible)
-  UNION ALL SELECT scope, {TEXT_DAY}, true FROM eligible
-),""" + _sims_sql().replace("WHERE coalesce(n_nonblank, 0) >= 2", "WHERE coalesce(n_nonblank, 0) >= 1") + """,
-agg AS (SELECT scope, avg(sim) AS mean_sim FROM sims GROUP BY scope)
-SELECT sc.scope, true AS has_data, (SELECT count(*) FROM recs) AS history_days,
+  UNION ALL SELECT scope, {day}, true FROM eligible
+),""" + _sims_sql(tf=tf).replace("WHERE coalesce(n_nonblank, 0) >= 2", "WHERE coalesce(n_nonblank, 0) >= 1") + """,
+agg AS (SELECT scope, avg(sim) AS mean_sim FROM sims GROUP BY scope),
+shift AS (
+SELECT sc.scope, text_count > 0 AS has_data,
+       CASE WHEN text_count = 0 THEN '今日无 arXiv 摘要数据' WHEN mean_sim IS NULL THEN '历史数据不足（需至少 3 天）' END AS message,
+       CASE WHEN mean_sim IS NOT NULL THEN (SELECT count(*) FROM recs)
+            WHEN text_count > 0 THEN CAST(nonblank_history_days AS BIGINT) END AS history_days,
        CAST(nonblank_history_days AS BIGINT) AS nonblank_history_days, CAST(text_count AS BIGINT) AS text_count,
        round(1.0 - mean_sim, 3) AS capability_score, round(mean_sim, 3) AS mean_similarity,
        CASE WHEN mean_sim IS NULL THEN 'unknown' WHEN 1.0 - mean_sim > 0.4 THEN '跃迁'
             WHEN mean_sim > 0.5 THEN '延续' ELSE '渐进' END AS trend
-FROM sc LEFT JOIN agg USING (scope)"""
+FROM sc LEFT JOIN agg USING (scope))"""
+
+
+SQL["text_shift"] = "WITH " + _tf_sql() + _shift_sql(TEXT_DAY) + " SELECT * FROM shift"
 
-SQL["novelty_series"] = "WITH " + _tf_sql() + f""",
+def _novelty_sql(tf: str = "tf", scopes: str = "SELECT DISTINCT scope FROM day_texts") -> str:
+    return f""",
 recs AS (SELECT DISTINCT date FROM day_texts WHERE date > {TEXT_DAY} - 30 AND date <= {TEXT_DAY}),
-scopes AS (SELECT DISTINCT scope FROM day_texts),
+scopes AS ({scopes}),
 spine AS (SELECT s.scope, r.date, lag(r.date) OVER (PARTITION BY s.scope ORDER BY r.date) AS prev FROM scopes s, recs r),
 pairs AS (SELECT scope, date AS pair_end, prev FROM spine WHERE prev IS NOT NULL),
 members AS (
   SELECT scope, scope || '|' || CAST(pair_end AS VARCHAR) AS pk, pair_end, prev AS date, false AS is_query FROM pairs
   UNION ALL
   SELECT scope, scope || '|' || CAST(pair_end AS VARCHAR), pair_end, pair_end, true FROM pairs
-),""" + _sims_sql(maxf=3000, key="pk") + """
+),""" + _sims_sql(tf=tf, maxf=3000, key="pk") + """,
+novelty AS (
 SELECT p.scope, p.pair_end AS date,
        CASE WHEN s.sim IS NULL THEN 0.0 ELSE round(1.0 - s.sim, 3) END AS novelty
-FROM pairs p LEFT JOIN sims s ON s.pk = p.scope || '|' || CAST(p.pair_end AS VARCHAR)"""
+FROM pairs p LEFT JOIN sims s ON s.pk = p.scope || '|' || CAST(p.pair_end AS VARCHAR))"""
+
+
+SQL["novelty_series"] = "WITH " + _tf_sql() + _novelty_sql() + " SELECT * FROM novelty"
+
+_ALL_SERIES = "WITH " + _tf_sql() + """,
+tfc AS (SELECT '_combined' AS scope, date, term, CAST(sum(tf) AS BIGINT) AS tf FROM tf GROUP BY date, term)""" \
+    + _novelty_sql("tfc", "SELECT '_combined' AS scope") + ", " + _SERIES.removeprefix("WITH ") + """,
+all_series AS (SELECT metric, date, value FROM series UNION ALL SELECT 'novelty', date, novelty FROM novelty)"""
+SQL["daily_series"] = _ALL_SERIES + "\nSELECT * FROM all_series"
+SQL["chart_table"] = _ALL_SERIES + """
+SELECT metric, date, value, strftime(date, '%m-%d') AS label,
+       ((rn - 1) % greatest(1, n // 7)) = 0 AS show_tick
+FROM (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY date) AS rn,
+             count(*) OVER (PARTITION BY metric) AS n FROM all_series) s
+WHERE n >= 2"""
 
 
 # ---------------------------------------------------------------- reports
 
-SQL["digest_lines"] = f"""
+def _digest(cats: str) -> str:
+    return f"""
 WITH items AS (
-  SELECT source, coalesce(lang, 'other') AS category, doc_id AS pos, substring({_strip('text')}, 1, 80) AS title,
+  SELECT source, coalesce(lang, 'other') AS category, doc_id AS pos, {_strip('text')} AS title,
          '' AS url, substring({_strip('text')}, 1, 1000) AS summary FROM documents
 ),
-cats AS (SELECT * FROM (VALUES ('en', 0, 'English'), ('fr', 1, 'Français'), ('de', 2, 'Deutsch')) t(category, cat_rank, label)),
+cats AS (SELECT * FROM (VALUES {cats}) t(category, cat_rank, label)),
 listed AS (SELECT * FROM items JOIN cats USING (category)),
 numbered AS (SELECT *, row_number() OVER (ORDER BY cat_rank, pos, source, title) AS idx FROM listed),
 header AS (
@@ -494,6 +514,11 @@ item_lines AS (
 )
 SELECT * FROM header UNION ALL SELECT * FROM group_lines UNION ALL SELECT * FROM item_lines"""
 
+
+_DIGEST_CATS = "('en', 0, 'English'), ('fr', 1, 'Français'), ('de', 2, 'Deutsch')"
+SQL["digest_lines"] = _digest(_DIGEST_CATS + ", ('es', 3, 'Español')")
+SQL["digest_lines_partial"] = _digest(_DIGEST_CATS)
+
 SQL["reference_list"] = f"""
 WITH catalog AS (
   SELECT source, ['papers', 'company', 'opensource', 'industry'][(row_number() OVER (ORDER BY source) - 1) % 4 + 1] AS category
@@ -502,7 +527,7 @@ WITH catalog AS (
 ev AS (
   SELECT CAST(DATE '2024-01-01' + CAST(doc_id % 31 AS INTEGER) AS DATE) AS date,
          coalesce(CASE lang WHEN 'en' THEN 0 WHEN 'de' THEN 1 WHEN 'fr' THEN 2 WHEN 'es' THEN 3 END, 4) AS dim_rank,
-         doc_id AS pos, substring({_strip('text')}, 1, 80) AS title, source, '' AS url
+         doc_id AS pos, {_strip('text')} AS title, source, '' AS url
   FROM documents
 ),
 cats AS (SELECT * FROM (VALUES ('papers', 0, '论文'), ('company', 1, '公司动态'), ('opensource', 2, '开源生态'),
@@ -526,9 +551,7 @@ SQL["stream_dedup"] = "SELECT DISTINCT substr(sha256('|' || text), 1, 16) AS aid
 SQL["stream_daily"] = """
 SELECT CAST(date_trunc('day', ts) AS DATE) AS date, CAST(user_id AS VARCHAR) || ':' || event_type AS kw,
        count(*) AS n, round(sum(value), 2) AS value
-FROM events GROUP BY 1, 2
--- append mode: a day is emitted once the watermark (max event time - 1 day) passes its end
-HAVING CAST(date_trunc('day', min(ts)) AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"""
+FROM events GROUP BY 1, 2"""
 
 
 # ---------------------------------------------------------------- composite reports
@@ -551,13 +574,50 @@ SELECT {_RD} AS date, n >= 3 AS has_enough_history, n AS history_days,
        CASE WHEN n >= 3 THEN coalesce((SELECT string_agg(kw, ',' ORDER BY kw) FROM lists WHERE kind = 'fading' AND rank <= 10), '') ELSE '' END AS fading_keywords
 FROM hist""")
 
-SQL["run_summary"] = _STATS + """
+_USAGE = """
+usage AS (SELECT CASE WHEN role = 'assistant' THEN 'stage2' ELSE 'stage1' END AS stage, turn + 1 AS prompt_tokens,
+          length(coalesce(text, '')) AS completion_tokens, turn + 1 + length(coalesce(text, '')) AS total_tokens FROM conversations)"""
+SQL["run_summary"] = _STATS + f", {_USAGE}" + """
 SELECT count(*) AS sources, count(*) FILTER (WHERE status = 'ok') AS ok_count,
        count(*) FILTER (WHERE status = 'fail') AS fail_count,
        CAST(coalesce(sum(fetched), 0) AS BIGINT) AS fetched, CAST(coalesce(sum(new), 0) AS BIGINT) AS new,
        round(coalesce(sum(elapsed_s), 0.0), 1) AS fetch_time_s,
-       CAST(0 AS BIGINT) AS stage1_tokens, CAST(0 AS BIGINT) AS stage2_tokens, CAST(0 AS BIGINT) AS total_tokens
+       (SELECT CAST(coalesce(sum(total_tokens) FILTER (stage = 'stage1'), 0) AS BIGINT) FROM usage) AS stage1_tokens,
+       (SELECT CAST(coalesce(sum(total_tokens) FILTER (stage = 'stage2'), 0) AS BIGINT) FROM usage) AS stage2_tokens,
+       (SELECT CAST(coalesce(sum(total_tokens), 0) AS BIGINT) FROM usage) AS total_tokens
 FROM stats"""
+SQL["token_totals"] = f"WITH {_USAGE}" + """
+SELECT stage, CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens, CAST(sum(completion_tokens) AS BIGINT) AS completion_tokens,
+       CAST(sum(total_tokens) AS BIGINT) AS total_tokens FROM usage GROUP BY ROLLUP (stage)"""
+
+SQL["metrics_report_flat"] = "WITH " + _tf_sql(day=_RD) + """,
+tfc AS (SELECT '_combined' AS scope, date, term, CAST(sum(tf) AS BIGINT) AS tf FROM tf GROUP BY date, term)""" \
+    + _shift_sql(_RD, "tfc", "SELECT '_combined' AS scope, count(*) AS text_count FROM day_texts WHERE date = {day} AND length(text) > 0") \
+    + f""", {_STARS}, {_FACT},
+sfact AS (SELECT p.date, 'u' || e.user_id || '/' || e.event_type AS key, p.parsed AS value, p.pos
+          FROM parsed p JOIN events e ON e.event_id = p.pos WHERE p.date >= {_RD} - 30 AND p.date <= {_RD}),
+sst AS (SELECT key, arg_max(value, pos) FILTER (WHERE date = {_RD}) AS value, max(value) FILTER (WHERE date < {_RD}) AS prev_max,
+        min(pos) FILTER (WHERE date = {_RD}) AS pos FROM sfact GROUP BY key HAVING count(*) FILTER (WHERE date = {_RD}) > 0),
+sg AS (SELECT *, round((value - prev_max) / prev_max, 3) AS g FROM sst WHERE value IS NOT NULL),
+dst AS (SELECT key, arg_max(value, pos) FILTER (WHERE date = {_RD}) AS value, max(value) FILTER (WHERE date < {_RD}) AS prev_max,
+        min(pos) FILTER (WHERE date = {_RD}) AS pos FROM fact WHERE date >= {_RD} - 30 AND date <= {_RD}
+        GROUP BY key HAVING count(*) FILTER (WHERE date = {_RD}) > 0),
+dg AS (SELECT *, CASE WHEN prev_max > 0 THEN round((value - prev_max) / prev_max, 3) END AS g FROM dst),
+days AS (SELECT count(DISTINCT date) AS n FROM (SELECT date FROM parsed UNION ALL SELECT date FROM fact UNION ALL SELECT date FROM day_texts)
+         WHERE date >= {_RD} - 30 AND date < {_RD})
+SELECT {_RD} AS date, s.has_data AS papers_has_data, s.message AS papers_message, s.trend AS papers_trend, s.capability_score,
+  CASE WHEN s.mean_similarity IS NOT NULL THEN (SELECT n FROM days) ELSE s.history_days END AS papers_history_days, s.text_count AS paper_count,
+  (SELECT count(*) > 0 FROM sst) AS repos_has_data, (SELECT CAST(coalesce(sum(value), 0) AS BIGINT) FROM sst) AS total_stars_today,
+  (SELECT count(*) FROM sst) AS repo_count,
+  coalesce((SELECT string_agg(key || ':' || value || ':' || prev_max, ',' ORDER BY g DESC, pos, key) FROM
+    (SELECT * FROM sg WHERE prev_max > 0 ORDER BY g DESC, pos, key LIMIT 10)), '') AS repo_growth,
+  coalesce((SELECT string_agg(key, ',' ORDER BY pos, key) FROM (SELECT * FROM sg WHERE prev_max IS NULL ORDER BY pos, key LIMIT 10)), '') AS new_repos,
+  (SELECT n FROM days) AS repos_history_days,
+  (SELECT count(*) > 0 FROM dst) AS models_has_data, (SELECT round(sum(value), 2) FROM dst) AS total_downloads, (SELECT count(*) FROM dst) AS model_count,
+  (SELECT string_agg(key, ',' ORDER BY value DESC, pos, key) FROM (SELECT * FROM dg ORDER BY value DESC, pos, key LIMIT 10)) AS top_models,
+  (SELECT string_agg(key, ',' ORDER BY g DESC, pos, key) FROM (SELECT * FROM dg WHERE g IS NOT NULL ORDER BY g DESC, pos, key LIMIT 10)) AS model_growth,
+  (SELECT n FROM days) AS models_history_days
+FROM shift s"""
 
 
 # ---------------------------------------------------------------- orders by month

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch import constants as C
 from tidewatch.functions.counters import parse_counter, counter_or_zero
-from tidewatch.functions.text import clip, is_relevant
+from tidewatch.functions.text import clip, is_relevant, py_strip
 from tidewatch.operators import analysis as AN
 from tidewatch.operators import counters as CT
 from tidewatch.operators import detectors as DT
@@ -116,6 +116,15 @@ def q_star_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
                      counter_or_zero("stars").alias("parsed_or_zero"))
 
 
+def _novelty_points(spark, sf_dir):
+    """Novelty curve of all texts together (scope ``_combined``)."""
+    texts = B.day_texts(spark, sf_dir)
+    tf = V.merge_scopes(_text_tf(spark, sf_dir))
+    scope = spark.createDataFrame([(C.COMBINED_SCOPE,)], "scope string")
+    s = SH.novelty_series(tf, texts.select("date"), scope, B.TEXT_DAY)
+    return s.select(F.lit("novelty").alias("metric"), "date", F.col("novelty").alias("value"))
+
+
 def _series(spark, sf_dir):
     since = _since(B.COUNTER_DAY, 29)
     stars = B.star_texts(spark, sf_dir, since=since, until=B.COUNTER_DAY)
@@ -123,7 +132,8 @@ def _series(spark, sf_dir):
     s1 = CT.daily_series(stars, B.COUNTER_DAY, counter_or_zero("stars"), metric="stars")
     s2 = CT.daily_series(ev, B.COUNTER_DAY, F.col("value"), metric="downloads")
     s2 = s2.withColumn("value", F.round("value", 2))
-    return s1.withColumn("value", F.col("value").cast("double")).unionByName(s2)
+    s1 = s1.withColumn("value", F.col("value").cast("double"))
+    return s1.unionByName(s2).unionByName(_novelty_points(spark, sf_dir))
 
 
 @register("daily_series")
@@ -256,7 +266,7 @@ def _items(spark, sf_dir):
 @register("item_ids")
 def q_item_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     it = _items(spark, sf_dir)
-    return it.select("source", "pos", "aid", clip("title", 80).alias("title80"),
+    return it.select("source", "pos", "aid", py_strip("title").alias("title"),
                      clip("title", C.SUMMARY_CHARS).alias("summary1000"))
 
 
@@ -358,6 +368,11 @@ def q_digest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RP.digest_lines(B.digest_items(spark, sf_dir), B.TEXT_DAY, B.DIGEST_ORDER, B.DIGEST_LABELS)
 
 
+@register("digest_lines_partial")
+def q_digest_lines_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return RP.digest_lines(B.digest_items(spark, sf_dir), B.TEXT_DAY, B.DIGEST_PARTIAL_ORDER, B.DIGEST_LABELS)
+
+
 @register("reference_list")
 def q_reference_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RP.reference_list(B.evidence(spark, sf_dir), B.source_categories(spark, sf_dir))
@@ -376,8 +391,8 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_daily")
 def q_stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, state = ST.scratch_dirs(spark, "stream-daily")
-    ST.run_available_now(ST.stream_daily_keywords(ST.event_stream(spark, sf_dir)), out, state)
-    return spark.read.parquet(out).select("date", "kw", "n", F.round("value", 2).alias("value"))
+    ST.run_daily_upserts(ST.stream_daily_keywords(ST.event_stream(spark, sf_dir)), out, state)
+    return ST.read_daily(spark, out).select("date", "kw", "n", F.round("value", 2).alias("value"))
 
 
 # ---------------------------------------------------------------- composite reports
@@ -424,6 +439,11 @@ def q_metrics_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metrics_report(spark, sf_dir)
 
 
+@register("metrics_report_flat")
+def q_metrics_report_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PR.flat_metrics_report(_metrics_report(spark, sf_dir))
+
+
 @register("report_bundle")
 def q_report_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     analysis = AN.default_analysis(spark, str(REPORT_DAY))
@@ -433,9 +453,12 @@ def q_report_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("run_summary")
 def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    usage = spark.createDataFrame([], "stage string, model string, prompt_tokens bigint, "
-                                      "completion_tokens bigint, total_tokens bigint")
-    return RP.run_summary(_stats(spark, sf_dir), usage)
+    return RP.run_summary(_stats(spark, sf_dir), B.usage(spark, sf_dir))
+
+
+@register("token_totals")
+def q_token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return RP.token_totals(B.usage(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- second counter fact: orders by month

@@ -96,46 +96,59 @@ def _top(df: DataFrame, cols: list[str], order: list[Column], field: str | None
 
 
 def metrics_report(day, text_tf: DataFrame, text_records: DataFrame, text_counts: DataFrame,
-                   stars: DataFrame, downloads: DataFrame, days: int = C.LOOKBACK_DAYS) -> DataFrame:
+                   stars: DataFrame, downloads: DataFrame, days: int = C.LOOKBACK_DAYS,
+                   snapshot_days: DataFrame | None = None) -> DataFrame:
     """Metrics report of ``day`` (M4): ``date, arxiv_capability, github_stars,
     huggingface_downloads`` structs.
 
     ``text_tf`` / ``text_counts``: term counts and today's text count of the
-    paper corpus (scope ``_combined``); ``stars``: ``(date, repo, stars, pos)``
-    counter texts; ``downloads``: ``(date, key, value, pos)``.
+    paper corpus (one scope); ``stars``: ``(date, repo, stars, pos)``
+    counter texts; ``downloads``: ``(date, key, value, pos)``, a missing count is 0.
+    ``snapshot_days`` are the days with a snapshot, whatever its lists hold (default: days
+    with any fact); their number before ``day`` is the report's ``history_days``.  A part without
+    rows today has ``has_data = false``, a message and empty lists.
     """
     spark = stars.sparkSession
     d = day_lit(day)
-    shift = cut_lineage(SH.text_shift(text_tf, text_counts, text_records, day, days))
-    stars = cut_lineage(window_filter(stars, day, days + 1, inclusive=True))
-    downloads = cut_lineage(window_filter(downloads, day, days + 1, inclusive=True))
-    arxiv = shift.select(F.struct(
-        "has_data", "capability_score", "mean_similarity", "trend", "history_days",
-        F.col("text_count").alias("paper_count")).alias("a")).scalar()
-    hist_days = window_filter(stars.select("date").distinct(), day, days).select(F.count("*")).scalar()
-
+    if snapshot_days is None:
+        snapshot_days = stars.select("date").union(downloads.select("date")).union(text_records.select("date"))
+    hist_days = window_filter(snapshot_days.select("date").distinct(), day, days).select(F.count("*")).scalar()
+    shift = SH.text_shift(text_tf, text_counts, snapshot_days, day, days)
+    arxiv = shift.agg(F.first(F.struct(
+        "has_data", "message", "capability_score", "mean_similarity", "trend", "history_days",
+        F.col("text_count").alias("paper_count"))).alias("a")).scalar()
+    no_text = F.struct(F.lit(False).alias("has_data"), F.lit(C.NO_TEXT_TODAY).alias("message"),
+                       F.lit(None).cast("double").alias("capability_score"), F.lit(None).cast("double").alias("mean_similarity"),
+                       F.lit("unknown").alias("trend"), F.lit(None).cast("bigint").alias("history_days"), F.lit(0).cast("bigint").alias("paper_count"))
+
+    # one conditional aggregate per fact; everything below reads its few rows
     sfact = stars.select("date", F.col("repo").alias("key"), parse_counter("stars").alias("value"), "pos")
     s_state = CT.counter_state(sfact, day, days)
-    s_growth = CT.counter_growth(sfact, day, days)
-    s_tot = s_state.agg(F.coalesce(F.sum("value"), F.lit(0)).alias("t"), F.count("*").alias("n"))
+    s_growth = CT.growth_of(s_state)
+    s_tot = s_state.agg(F.coalesce(F.sum("value"), F.lit(0)).cast("bigint").alias("t"), F.count("*").alias("n"))
+    n_repos = s_tot.select("n").scalar()
     github = F.struct(
-        (s_tot.select("n").scalar() > 0).alias("has_data"),
-        s_tot.select("t").scalar().cast("bigint").alias("total_stars_today"),
-        s_tot.select("n").scalar().alias("repo_count"),
+        (n_repos > 0).alias("has_data"),
+        F.when(n_repos == 0, C.NO_REPOS_TODAY).alias("message"),
+        s_tot.select("t").scalar().alias("total_stars_today"),
+        n_repos.alias("repo_count"),
         _top(CT.top_growth(s_growth).select(
             F.col("key").alias("repo"), F.col("value").alias("stars"), F.col("prev_max").alias("prev_stars"),
             "growth_pct", "pos"), ["repo", "stars", "prev_stars", "growth_pct"],
             [-F.col("growth_pct"), F.col("pos"), F.col("repo")]).alias("top_growth"),
         _top(CT.new_entities(s_growth).select(F.col("key").alias("repo"), "pos"), ["repo"],
              [F.col("pos"), F.col("repo")], "repo").alias("new_repos"),
-        hist_days.alias("history_days"))
+        F.when(n_repos > 0, hist_days).alias("history_days"))
 
-    d_growth = CT.counter_growth(downloads, day, days)
+    d_state = CT.counter_state(downloads.withColumn("value", F.coalesce(F.col("value"), F.lit(0))), day, days)
+    d_growth = CT.growth_of(d_state)
     d_tot = d_growth.agg(F.coalesce(F.sum("value"), F.lit(0)).alias("t"), F.count("*").alias("n"))
+    n_models = d_tot.select("n").scalar()
     hf = F.struct(
-        (d_tot.select("n").scalar() > 0).alias("has_data"),
+        (n_models > 0).alias("has_data"),
+        F.when(n_models == 0, C.NO_MODELS_TODAY).alias("message"),
         d_tot.select("t").scalar().alias("total_downloads"),
-        d_tot.select("n").scalar().alias("model_count"),
+        n_models.alias("model_count"),
         _top(CT.top_values(d_growth).select(F.col("key").alias("model_id"), F.col("value").alias("downloads"), "pos"),
              ["model_id", "downloads"], [-F.col("downloads"), F.col("pos"), F.col("model_id")]).alias("top_downloads"),
         _top(CT.top_growth(d_growth).select(
@@ -143,11 +156,29 @@ def metrics_report(day, text_tf: DataFrame, text_records: DataFrame, text_counts
             F.col("prev_max").alias("prev_downloads"), "growth_pct", "pos"),
             ["model_id", "downloads", "prev_downloads", "growth_pct"],
             [-F.col("growth_pct"), F.col("pos"), F.col("model_id")]).alias("top_growth"),
-        hist_days.alias("history_days"))
-    return spark.range(1).select(d.alias("date"), F.lit(arxiv).alias("arxiv_capability"),
+        F.when(n_models > 0, hist_days).alias("history_days"))
+    return spark.range(1).select(d.alias("date"), F.coalesce(arxiv, no_text).alias("arxiv_capability"),
                                  github.alias("github_stars"), hf.alias("huggingface_downloads"))
 
 
+def flat_metrics_report(report: DataFrame) -> DataFrame:
+    """Scalar form of the metrics report (lists joined by commas)."""
+    a, g, h = F.col("arxiv_capability"), F.col("github_stars"), F.col("huggingface_downloads")
+
+    def joined(rows, *fields):
+        return F.array_join(F.transform(rows, lambda x: F.concat_ws(":", *[x[f].cast("string") for f in fields])), ",")
+
+    return report.select(
+        "date", a["has_data"].alias("papers_has_data"), a["message"].alias("papers_message"), a["trend"].alias("papers_trend"),
+        a["capability_score"].alias("capability_score"), a["history_days"].alias("papers_history_days"), a["paper_count"].alias("paper_count"),
+        g["has_data"].alias("repos_has_data"), g["total_stars_today"].alias("total_stars_today"), g["repo_count"].alias("repo_count"),
+        joined(g["top_growth"], "repo", "stars", "prev_stars").alias("repo_growth"), F.array_join(g["new_repos"], ",").alias("new_repos"),
+        g["history_days"].alias("repos_history_days"),
+        h["has_data"].alias("models_has_data"), F.round(h["total_downloads"], 2).alias("total_downloads"), h["model_count"].alias("model_count"),
+        joined(h["top_downloads"], "model_id").alias("top_models"), joined(h["top_growth"], "model_id").alias("model_growth"),
+        h["history_days"].alias("models_history_days"))
+
+
 def bundle(day, analysis: DataFrame, trend: DataFrame | None = None, metrics: DataFrame | None = None,
            charts: DataFrame | None = None) -> DataFrame:
     """Report bundle (R2): ``date, text`` for one day."""

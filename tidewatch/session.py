@@ -24,6 +24,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # lets the optimizer cut a per-corpus vocabulary (up to 5000 terms) map-side
+        "spark.sql.optimizer.windowGroupLimitThreshold": "5000",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
@@ -32,9 +34,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
         conf.setdefault("spark.driver.memory", os.environ.get("TIDEWATCH_DRIVER_MEMORY", "16g"))
-        # one machine with as many shuffle partitions as cores: coalescing can only
-        # lower parallelism here (on a cluster it merges thousands of small partitions)
-        conf["spark.sql.adaptive.coalescePartitions.enabled"] = "false"
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -46,13 +45,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     The cluster's setting always wins; a folder of our own is set only when the
-    session has none (local tests).
+    session has none and runs on one machine (tests).  Elsewhere a machine-local
+    folder would be lost with its executor, so a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not configured:
         configured = os.path.join(os.environ.get("TMPDIR", "/tmp"), "tidewatch-checkpoints")
     sc.setCheckpointDir(configured)

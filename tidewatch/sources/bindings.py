@@ -1,7 +1,7 @@
 """Bind the driver's test tables to the entities of the data model.
 
 * items       <- ``documents``: source, category = lang, pos = doc_id, url = '',
-                 title = text (id over ``'' | text``), display title = first 80 chars
+                 title = text (id over ``'' | text``)
 * seen_items  <- ids of the ``documents`` rows with ``doc_id % 7 = 0``
 * day_texts   <- ``documents``: day = 2024-01-01 + doc_id % 31, scope = lang,
                  whole text; query day 2024-01-31
@@ -126,30 +126,31 @@ def star_texts(spark: SparkSession, sf_dir: str, since=None, until=None) -> Data
 
 
 # ---- digest and reference-list bindings ----
-# The digest lists these categories (languages) in this order; 'es' is left
-# out on purpose so its items count in the header but are not listed.
-DIGEST_ORDER = ["en", "fr", "de"]
-DIGEST_LABELS = {"en": "English", "fr": "Français", "de": "Deutsch"}
+# The digest lists these categories (languages) in this order.
+DIGEST_ORDER = ["en", "fr", "de", "es"]
+DIGEST_LABELS = {"en": "English", "fr": "Français", "de": "Deutsch", "es": "Español"}
+# Second case: a category outside the order counts in the header but isn't listed.
+DIGEST_PARTIAL_ORDER = DIGEST_ORDER[:3]
 # Evidence of a day is filed under a dimension by language.
 LANG_DIMENSION = {"en": 0, "de": 1, "fr": 2, "es": 3}
 
 
 def digest_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidewatch.functions.text import clip
+    from tidewatch.functions.text import clip, py_strip
     docs = table(spark, sf_dir, "documents")
     return docs.select("source", F.col("lang").alias("category"), F.col("doc_id").alias("pos"),
-                       clip("text", 80).alias("title"), F.lit("").alias("url"),
+                       py_strip("text").alias("title"), F.lit("").alias("url"),
                        clip("text", 1000).alias("summary"))
 
 
 def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evidence rows: every document of a day, filed under a dimension by language."""
-    from tidewatch.functions.text import clip
+    from tidewatch.functions.text import py_strip
     docs = table(spark, sf_dir, "documents")
     dim = F.create_map(*[x for k, v in LANG_DIMENSION.items() for x in (F.lit(k), F.lit(v))])
     return docs.select(F.date_add(F.lit(TEXT_EPOCH), (F.col("doc_id") % TEXT_DAYS).cast("int")).alias("date"),
                        F.coalesce(dim[F.col("lang")], F.lit(4)).alias("dim_rank"),
-                       F.col("doc_id").alias("pos"), clip("text", 80).alias("title"), "source",
+                       F.col("doc_id").alias("pos"), py_strip("text").alias("title"), "source",
                        F.lit("").alias("url"))
 
 
@@ -159,6 +160,15 @@ def source_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_catalog(spark, sf_dir).withColumn("category", F.element_at(cats, (F.col("src_rank") % 4 + 1).cast("int")))
 
 
+def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token usage per call, bound to ``conversations``: assistant turns are calls of
+    stage2, other turns calls of stage1; prompt = turn number + 1, completion = characters."""
+    c = table(spark, sf_dir, "conversations")
+    prompt, completion = (F.col("turn") + 1).cast("bigint"), F.length(F.coalesce("text", F.lit(""))).cast("bigint")
+    return c.select(F.when(F.col("role") == "assistant", "stage2").otherwise("stage1").alias("stage"), F.lit("bound").alias("model"),
+                    prompt.alias("prompt_tokens"), completion.alias("completion_tokens"), (prompt + completion).alias("total_tokens"))
+
+
 # ---- second counter fact: orders by month ----
 ORDER_MONTH = _dt.date(2001, 7, 1)   # last complete month of the orders table
 ORDER_LOOKBACK_DAYS = 365
@@ -167,6 +177,11 @@ ORDER_LOOKBACK_DAYS = 365
 def order_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(date, key, value, pos)``: month, customer, total price of the month, first order key."""
     o = table(spark, sf_dir, "orders")
+    # the lookback as a range on the stored column, so it reaches the scan
+    first = (ORDER_MONTH - _dt.timedelta(days=ORDER_LOOKBACK_DAYS)).replace(day=1)
+    after = (ORDER_MONTH + _dt.timedelta(days=31)).replace(day=1)
+    o = o.filter((F.col("o_orderdate") >= F.lit(first).cast("timestamp_ntz"))
+                 & (F.col("o_orderdate") < F.lit(after).cast("timestamp_ntz")))
     return (o.groupBy(F.trunc(F.to_date("o_orderdate"), "month").alias("date"),
                       F.col("o_custkey").cast("string").alias("key"))
             .agg(F.round(F.sum("o_totalprice"), 2).alias("value"), F.min("o_orderkey").alias("pos")))

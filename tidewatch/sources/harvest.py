@@ -14,11 +14,18 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 from tidewatch import constants as C
 from tidewatch.functions.text import PY_WHITESPACE_CLASS, clip, is_relevant, py_strip, repo_name, repo_path, summary_from_parts
 
-# ---- fixed value: anchor pattern (href in double quotes, inner text) ----
-ANCHOR_PATTERN = r'(?is)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'
+def attribute(name: str) -> str:
+    """Pattern of an attribute in any HTML form; its value is in one of three groups
+    (double-quoted, single-quoted, bare)."""
+    return rf"""\b{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+
+
+# a tag's other attributes may hold ">" inside quotes
+_REST = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
+ANCHOR_PATTERN = rf"(?is)<a\s(?:{_REST}?\s)??{attribute('href')}{_REST}>(.*?)</a>"
 
 # ---- fixed values: named entities decoded in text ----
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
             ("&nbsp;", " "), ("&amp;", "&")]
 
 
@@ -26,11 +33,27 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+ENTITY = r"&(?:#(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7})|[a-z]{2,4});"
+
+
+def _character(entity: Column) -> Column:
+    """The character of one entity: by name, or by number through its UTF-32 bytes."""
+    n = F.when(entity.rlike("^&#[xX]"), F.conv(F.regexp_extract(entity, "([0-9a-fA-F]+);", 1), 16, 10)) \
+        .otherwise(F.regexp_extract(entity, "([0-9]+);", 1)).cast("int")
+    utf32 = F.unhex(F.lpad(F.hex(n.cast("bigint")), 8, "0"))
+    # outside the Unicode range or a surrogate: the replacement character
+    good = n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF)
+    named = F.coalesce(F.create_map(*[F.lit(x) for pair in ENTITIES for x in pair])[entity], entity)
+    return (F.when(entity.isNull(), "").when(~entity.startswith("&#"), named)
+            .when(good, F.decode(utf32, "UTF-32")).otherwise("\ufffd"))
+
+
 def decode_entities(c: str | Column) -> Column:
+    """Named (ENTITIES) and numeric entities of a text, each decoded once."""
     x = _col(c)
-    for ent, ch in ENTITIES:
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    return x
+    gaps, found = F.split(x, ENTITY, -1), F.regexp_extract_all(x, F.lit(ENTITY), F.lit(0))
+    decoded = F.transform(gaps, lambda g, i: F.concat(g, _character(F.get(found, i))))
+    return F.when(F.contains(x, F.lit("&")), F.array_join(decoded, "")).otherwise(x)
 
 
 def html_text(c: str | Column) -> Column:
@@ -43,8 +66,8 @@ def html_text(c: str | Column) -> Column:
 
 def anchors(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """Every ``<a href="...">`` of every page: ``keep..., pos, href, title``."""
-    hrefs = F.regexp_extract_all(F.col(html), F.lit(ANCHOR_PATTERN), 1)
-    inner = F.regexp_extract_all(F.col(html), F.lit(ANCHOR_PATTERN), 2)
+    quoted, single, bare, inner = [F.regexp_extract_all(F.col(html), F.lit(ANCHOR_PATTERN), i) for i in range(1, 5)]
+    hrefs = F.transform(quoted, lambda q, i: F.concat(q, F.get(single, i), F.get(bare, i)))
     z = pages.select(*keep, F.posexplode(F.arrays_zip(hrefs.alias("href"), inner.alias("inner"))).alias("pos", "a"))
     return z.select(*keep, (F.col("pos") + 1).alias("pos"),
                     decode_entities(F.col("a.href")).alias("href"), html_text(F.col("a.inner")).alias("title"))
@@ -135,22 +158,32 @@ def harvest_blocks(pages: DataFrame, block_tag: str = "article", title_tag: str
 
 # ---------------------------------------------------------------- feeds and APIs (in-test payloads)
 
+ATOM_SCHEMA = ("entry ARRAY<STRUCT<title: STRUCT<_VALUE: STRING, _type: STRING>, link: ARRAY<STRUCT<_VALUE: STRING, _href: STRING, _rel: STRING>>, "
+               "summary: STRUCT<_VALUE: STRING, _type: STRING>, content: STRUCT<_VALUE: STRING, _type: STRING>, published: STRING, updated: STRING>>")
 RSS_SCHEMA = ("channel STRUCT<item: ARRAY<STRUCT<title: STRING, link: STRING, description: STRING, "
               "pubDate: STRING>>>")
 
 
 def harvest_feed(payloads: DataFrame, max_items: int = C.FEED_ENTRIES,
                  summary_chars: int = C.SUMMARY_CHARS) -> DataFrame:
-    """RSS payloads ``(source, category, xml)`` to items.
+    """RSS and Atom payloads ``(source, category, xml)`` to items.
 
     Takes the first ``max_items`` entries, *then* drops entries without a title;
     trims title, url, summary; summary cut to 1000 characters.  ``pos`` is the
     entry's place in the feed.
     """
     parsed = payloads.withColumn("_doc", F.from_xml("xml", RSS_SCHEMA, {"rowTag": "rss", "mode": "PERMISSIVE"}))
-    entries = parsed.select("source", "category",
-                            F.posexplode(F.slice(F.coalesce(F.col("_doc.channel.item"), F.array()), 1, max_items))
-                            .alias("pos", "e"))
+    parsed = parsed.withColumn("_atom", F.from_xml("xml", ATOM_SCHEMA, {"rowTag": "feed", "mode": "PERMISSIVE"}))
+
+    def entry(e: Column) -> Column:
+        links = F.coalesce(e["link"], F.array())
+        page = F.filter(links, lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
+        return F.struct(e["title"]["_VALUE"].alias("title"), F.coalesce(F.get(page, 0), F.get(links, 0))["_href"].alias("link"),
+                        F.coalesce(e["summary"]["_VALUE"], e["content"]["_VALUE"]).alias("description"),
+                        F.coalesce(e["published"], e["updated"]).alias("pubDate"))
+
+    listed = F.coalesce(F.col("_doc.channel.item"), F.transform("_atom.entry", entry), F.array())
+    entries = parsed.select("source", "category", F.posexplode(F.slice(listed, 1, max_items)).alias("pos", "e"))
     return (entries.filter(F.coalesce(F.col("e.title"), F.lit("")) != "")
             .select("source", "category",
                     py_strip("e.title").alias("title"),
@@ -181,22 +214,33 @@ def harvest_api(payloads: DataFrame, limit: int = C.FEED_ENTRIES, published: str
                     F.col("m.pipeline_tag").alias("pipeline_tag")))
 
 
-def harvest_repo_blocks(pages: DataFrame, host: str = "https://github.com") -> DataFrame:
-    """Repository blocks (S3 with the original's markup): ``article`` blocks whose
-    ``h2 a[href]`` gives the path, first ``p`` the description, the counter
-    ``span`` the star text; relevance on ``name + ' ' + desc``."""
-    blocks = F.regexp_extract_all(F.col("html"), F.lit(r"(?is)<article[^>]*class=\"[^\"]*Box-row[^\"]*\"[^>]*>(.*?)</article>"), 1)
+def _classes(*names: str) -> str:
+    """Look-aheads: the tag has all these classes, in any order and quoting."""
+    return "".join(rf"""(?={_REST}\bclass\s*=\s*(?:"(?:[^"]*\s)?{n}[\s"]|'(?:[^']*\s)?{n}[\s']|{n}[\s>]))""" for n in names)
+
+
+def _repo_rows(pages: DataFrame, host: str) -> DataFrame:
+    """``page_id, pos, repo, title, url, description, stars`` of every repository block."""
+    blocks = F.regexp_extract_all(F.col("html"), F.lit(rf"(?is)<article\s(?={_classes('Box-row')}){_REST}>(.*?)</article>"), 1)
     b = pages.select("page_id", F.posexplode(blocks).alias("bpos", "block"))
-    href = F.regexp_extract("block", r'(?is)<h2[^>]*>.*?<a\s[^>]*href="([^"]*)"', 1)
-    has_link = F.col("block").rlike(r'(?is)<h2[^>]*>.*?<a\s[^>]*href="')
+    link = rf"(?is)<h2[^>]*>.*?<a\s(?:{_REST}?\s)??{attribute('href')}"
+    href = F.concat(*[F.regexp_extract("block", link, i) for i in (1, 2, 3)])
+    has_link = F.col("block").rlike(link)
     desc = html_text(F.regexp_extract("block", r"(?is)<p(?:\s[^>]*)?>(.*?)</p>", 1))
-    stars = html_text(F.regexp_extract("block", r'(?is)<span[^>]*class="[^"]*d-inline-block[^"]*float-sm-right[^"]*"[^>]*>(.*?)</span>', 1))
+    counter = rf"(?is)<span\s(?={_classes('d-inline-block', 'float-sm-right')}){_REST}>(.*?)</span>"
+    stars = html_text(F.regexp_extract("block", counter, 1))
     path = repo_path(href)
-    out = (b.filter(has_link)
+    return (b.filter(has_link)
            .select("page_id", (F.col("bpos") + 1).cast("bigint").alias("pos"), path.alias("repo"),
                    repo_name(path).alias("title"), F.concat(F.lit(host + "/"), path).alias("url"),
                    desc.alias("description"), stars.alias("stars")))
-    out = out.filter(is_relevant("title", "description"))
+
+
+def harvest_repo_blocks(pages: DataFrame, host: str = "https://github.com") -> DataFrame:
+    """Repository blocks (S3 with the original's markup): ``article`` blocks whose
+    ``h2 a[href]`` gives the path, first ``p`` the description, the counter
+    ``span`` the star text; relevance on ``name + ' ' + desc``."""
+    out = _repo_rows(pages, host).filter(is_relevant("title", "description"))
     summary = F.when(F.col("stars") != "", F.concat(F.col("description"), F.lit("  ⭐ "), F.col("stars"))) \
         .otherwise(F.col("description"))
     return out.withColumn("summary", F.substring(summary, 1, C.SUMMARY_CHARS))
@@ -224,6 +268,13 @@ def paper_texts(papers: DataFrame) -> DataFrame:
     return papers.filter((t != "") | (a != "")).withColumn("text", F.concat(t, F.lit(" "), a))
 
 
+def snapshot_repos(pages: DataFrame, host: str = "https://github.com") -> DataFrame:
+    """Repository facts of the snapshot: relevance on ``path + ' ' + description``, description
+    cut to 500 characters (the item harvest tests the name instead)."""
+    r = _repo_rows(pages, host).filter(is_relevant("repo", "description"))
+    return r.select("repo", "stars", "url", F.substring("description", 1, C.DESCRIPTION_CHARS).alias("description"), "pos")
+
+
 def snapshot(day, papers: DataFrame, repos: DataFrame, models: DataFrame, model_limit: int = 20) -> DataFrame:
     """Nested daily snapshot (S7): ``date, arxiv_papers, github_repos, hf_models``.
 

@@ -1,8 +1,8 @@
 """Date-partitioned stores: seen registry, daily history and metrics.
 
-Writes replace only the partitions they contain (dynamic partition overwrite),
-so a rerun of a day replaces that day; reads prune partitions by the lookback
-predicate.
+A day is replaced as a whole, also by no rows at all (:func:`replace_day`); reads prune
+partitions by the lookback predicate and take an explicit schema, so days
+without rows and stores that don't exist yet are just empty.
 """
 
 from __future__ import annotations
@@ -32,10 +32,36 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_registry(accepted: DataFrame, path: str, run_ts=None) -> None:
-    """Append the ids of accepted items (S9).  Call after the items are written."""
+    """Append the ids of accepted items (S9) and keep the time of the run (``last_run``), also
+    when nothing was accepted.  Call after the items are written."""
     ts = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
     (accepted.select("aid").distinct().withColumn("first_seen", ts)
      .write.mode("append").parquet(path))
+    accepted.sparkSession.range(1).select(ts.alias("last_run")).write.mode("append").parquet(f"{path.rstrip('/')}_runs")
+
+
+def last_run(spark: SparkSession, path: str) -> DataFrame:
+    """One row ``last_run``: the newest run of a registry, null before the first."""
+    runs = f"{path.rstrip('/')}_runs"
+    known = spark.read.schema("last_run timestamp").parquet(runs) if _exists(spark, runs) \
+        else spark.createDataFrame([], "last_run timestamp")
+    return known.agg(F.max("last_run").alias("last_run"))
+
+
+def replace_day(df: DataFrame, path: str, day, date_col: str = "date") -> None:
+    """Replace one day's partition by ``df`` (without the date column); an empty frame empties it."""
+    if date_col in df.columns:
+        df = df.drop(date_col)
+    df.write.mode("overwrite").parquet(f"{path}/{date_col}={day}")
+
+
+def read_store(spark: SparkSession, path: str, schema: str | T.StructType, date_col: str = "date") -> DataFrame:
+    """All days of a store with an explicit schema (with or without the date column)."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    full = T.StructType([f for f in fields if f.name != date_col]).add(date_col, T.DateType() if date_col == "date" else T.StringType())
+    if not _exists(spark, path):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(path)
 
 
 def write_days(df: DataFrame, path: str, date_col: str = "date", fmt: str = "parquet") -> None:
@@ -71,6 +97,11 @@ def write_latest_json(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
+def write_text(lines: DataFrame, path: str, keys: tuple[str, ...] = ("section", "item", "line")) -> None:
+    """Text sink (S17): the lines of a report as text files, in key order over the files."""
+    lines.repartitionByRange(*keys).sortWithinPartitions(*keys).select("text").write.mode("overwrite").text(path)
+
+
 def append_run_log(df: DataFrame, path: str) -> None:
     """Run-log sink."""
     df.write.mode("append").parquet(path)

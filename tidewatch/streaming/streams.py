@@ -2,8 +2,9 @@
 
 The daily poll with remembered ids becomes a stream: items are deduplicated
 by id within a watermark (state is bounded by the delay), and keyword /
-counter facts are tumbling one-day windows emitted in append mode once the
-watermark passes.  Event-time columns must be TIMESTAMP (not TIMESTAMP_NTZ)
+counter facts are tumbling one-day windows in update mode: every micro-batch
+upserts the days it touched, so open days are there too.  Rows that come after
+the watermark are counted in a side table.  Event-time columns must be TIMESTAMP (not TIMESTAMP_NTZ)
 for ``withWatermark``; the helpers cast.
 """
 
@@ -33,6 +34,39 @@ def stream_daily_keywords(events: DataFrame, ts: str = "ts", delay: str = "1 day
             .select(F.to_date(F.col("w.start")).alias("date"), "kw", "n", "value"))
 
 
+def run_daily_upserts(stream: DataFrame, out_dir: str, checkpoint_dir: str) -> None:
+    """Drain a daily aggregate in update mode (trigger ``availableNow``).
+
+    Each epoch writes the groups it changed to its own ``epoch`` partition (a replayed
+    epoch replaces exactly that one); :func:`read_daily` takes the newest row of a
+    group.  ``<out_dir>_late`` gets one row per epoch with the number of rows that
+    the watermark dropped.
+    """
+    spark = stream.sparkSession
+
+    def upsert(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch_id}")
+
+    q = (stream.writeStream.outputMode("update").foreachBatch(upsert)
+         .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+    q.awaitTermination()
+    late = [(p.batchId, sum(s.numRowsDroppedByWatermark for s in p.stateOperators)) for p in q.recentProgress]
+    spark.createDataFrame(late, "epoch long, late_rows long").write.mode("append").parquet(f"{out_dir}_late")
+
+
+def read_daily(spark: SparkSession, out_dir: str, keys: tuple[str, ...] = ("date", "kw")) -> DataFrame:
+    """The newest version of every group written by :func:`run_daily_upserts`."""
+    rows = spark.read.option("recursiveFileLookup", "false").parquet(out_dir)
+    values = [c for c in rows.columns if c not in (*keys, "epoch")]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("epoch")).alias("v"))
+    return newest.select(*keys, "v.*")
+
+
+def late_rows(spark: SparkSession, out_dir: str) -> DataFrame:
+    """``epoch, late_rows`` of a daily stream."""
+    return spark.read.parquet(f"{out_dir}_late")
+
+
 def run_available_now(stream: DataFrame, out_dir: str, checkpoint_dir: str, mode: str = "append") -> None:
     """Drain everything available into parquet files (trigger ``availableNow``)."""
     q = (stream.writeStream.format("parquet").outputMode(mode)
@@ -67,28 +101,31 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "value")
 
 
-def ingest_batches(registry_path: str, items_path: str, key: str = "aid"):
+def ingest_batches(registry_path: str, items_path: str, key: str = "aid", run_id: str | None = None):
     """``foreachBatch`` function for "never again" dedup (X1 with J1 + S9).
 
     Each micro-batch keeps the first row per id (by ``pos``), drops ids
-    registered by *earlier* epochs, then overwrites its own ``epoch``
+    registered by any *other* ``(run, epoch)``, then overwrites its own ``batch``
     partition of the items table and of the registry.  A replayed epoch
     (after a lost executor or driver restart) therefore replaces exactly what
-    it wrote before: the sink is idempotent.
+    it wrote before: the sink is idempotent.  ``run_id`` names the streaming state: keep it
+    over restarts from the same checkpoint, take a new one (the default) for a new
+    state, whose epochs start at 0 again.
     """
     from tidewatch.sources import store as S
 
+    run_id = run_id or uuid.uuid4().hex
+
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
+        name = f"{run_id}-{epoch_id}"
         others = [c for c in batch.columns if c not in (key, "pos")]
         first = batch.groupBy(key).agg(F.min(F.struct("pos", *others)).alias("_r")).select(key, "_r.*")
         if S._exists(spark, registry_path):
-            earlier = spark.read.parquet(registry_path).filter(F.col("epoch") < epoch_id).select(key)
-            first = first.join(earlier, key, "left_anti")
-        fresh = first.withColumn("epoch", F.lit(epoch_id).cast("bigint"))
-        S.write_days(fresh, items_path, date_col="epoch")
-        written = spark.read.parquet(items_path).filter(F.col("epoch") == epoch_id)
-        S.write_days(written.select(key, F.current_timestamp().alias("first_seen"), "epoch"),
-                     registry_path, date_col="epoch")
+            others_seen = spark.read.parquet(registry_path).filter(F.col("batch") != name).select(key)
+            first = first.join(others_seen, key, "left_anti")
+        S.replace_day(first, items_path, name, date_col="batch")
+        written = spark.read.schema(first.schema).parquet(f"{items_path}/batch={name}")
+        S.replace_day(written.select(key, F.current_timestamp().alias("first_seen")), registry_path, name, date_col="batch")
 
     return run
