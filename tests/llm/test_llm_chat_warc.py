@@ -84,8 +84,7 @@ def test_warc_round_trip_with_magic_in_payloads(spark):
     assert nulls == [("response", -1, 1), ("revisit", 6, 2000)]
 
 
-def test_warc_chain_over_blocks_and_splits(spark, monkeypatch):
-    monkeypatch.setattr(W, "BLOCK", 4096)
+def test_warc_chain_over_blocks_and_splits(spark):
     rng = random.Random(2)
     rows = [(i, f"http://h/{i}", "".join(rng.choice(["ab", _fake(4), "\r\n", MAGIC]) for _ in range(rng.randint(0, 60)))) for i in range(150)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
@@ -94,18 +93,17 @@ def test_warc_chain_over_blocks_and_splits(spark, monkeypatch):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
     try:
-        got = W.pages_of(W.read_archive(spark, path)).collect()
+        got = W.pages_of(W.read_archive(spark, path, block=4096)).collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     sha = lambda t: hashlib.sha1(t.encode()).hexdigest()
     assert sorted((r.page_id, r.payload_digest) for r in got) == sorted((i, sha(t)) for i, _, t in rows)
 
 
-def test_reachable_keeps_only_the_chain(spark, monkeypatch):
-    monkeypatch.setattr(W, "BLOCK", 100)
+def test_reachable_keeps_only_the_chain(spark):
     # chain 0 -> 90 -> 250 -> 700 (end); 120 and 300 are decoys, one of which points into the chain
     rows = [("f", 0, 90), ("f", 90, 250), ("f", 250, 700), ("f", 120, 250), ("f", 300, 310), ("g", 0, 50), ("g", 60, 99)]
-    got = W.reachable(spark.createDataFrame(rows, "file string, start long, next long")).collect()
+    got = W.reachable(spark.createDataFrame(rows, "file string, start long, next long"), block=100).collect()
     assert sorted(map(tuple, got)) == [("f", 0), ("f", 90), ("f", 250), ("g", 0)]
 
 

@@ -56,8 +56,9 @@ def write_archive(pages: DataFrame, path: str, key: str = "page_id", url: str =
                         text_or_empty(F.col(f"`{html}`")).alias("html"))
     rows = rows.withColumn("bytes", F.octet_length("html").cast("bigint")).withColumn("digest", F.sha1(F.col("html").cast("binary")))
     long = rows.filter(F.col("bytes") >= least_revisit).select("page_id", "digest")
-    first = (long.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n"))
-             .filter("n > 1 and refers_to is not null"))
+    # written, so that the join below is between two exchanges and a hot digest can be split
+    first = shared_table(long.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n"))
+                         .filter("n > 1 and refers_to is not null"), "warc-first")
     revisits = (long.join(first, "digest").filter(~F.col("page_id").eqNullSafe(F.col("refers_to")))
                 .select(F.coalesce("page_id", F.lit(-1 << 63)).alias("k"), "digest", "refers_to").distinct())
     rows = rows.withColumn("k", F.coalesce("page_id", F.lit(-1 << 63))).join(revisits, ["k", "digest"], "left")
@@ -126,13 +127,15 @@ def _candidates(spark: SparkSession, path: str) -> DataFrame:
     return _stretches(spark, path).mapInArrow(run, _CANDIDATE)
 
 
-def _exits(pdf: pd.DataFrame) -> pd.DataFrame:
-    end = (int(pdf["block"].iloc[0]) + 1) * BLOCK
-    out: dict[int, int | None] = {}
-    for start, nxt in sorted(zip(pdf["start"], pdf["next"]), reverse=True):
-        out[start] = nxt if nxt >= end else out.get(nxt)
-    starts = [s for s, e in out.items() if e is not None]
-    return pd.DataFrame({"file": pdf["file"].iloc[0], "start": starts, "exit": [out[s] for s in starts]})
+def _exits(block: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        end = (int(pdf["block"].iloc[0]) + 1) * block
+        out: dict[int, int | None] = {}
+        for start, nxt in sorted(zip(pdf["start"], pdf["next"]), reverse=True):
+            out[start] = nxt if nxt >= end else out.get(nxt)
+        starts = [s for s, e in out.items() if e is not None]
+        return pd.DataFrame({"file": pdf["file"].iloc[0], "start": starts, "exit": [out[s] for s in starts]})
+    return run
 
 
 def _walk(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -145,10 +148,10 @@ def _walk(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"file": pdf["file"].iloc[0], "start": kept})
 
 
-def reachable(candidates: DataFrame) -> DataFrame:
+def reachable(candidates: DataFrame, block: int = BLOCK) -> DataFrame:
     """(file, start) of the candidates (file, start, next) on the chain from offset 0."""
-    candidates = candidates.select("file", "start", "next", F.floor(F.col("start") / BLOCK).alias("block"))
-    exits = candidates.groupBy("file", "block").applyInPandas(_exits, "file string, start bigint, exit bigint")
+    candidates = candidates.select("file", "start", "next", F.floor(F.col("start") / block).alias("block"))
+    exits = candidates.groupBy("file", "block").applyInPandas(_exits(block), "file string, start bigint, exit bigint")
     entries = exits.select("file", F.col("exit").alias("start")).distinct()
     jump = shared_table(exits.join(entries, ["file", "start"], "left_semi")
                         .unionByName(exits.filter("start = 0")).distinct(), "warc-jumps")
@@ -163,12 +166,12 @@ def reachable(candidates: DataFrame) -> DataFrame:
         onward = jump.select("file", F.col("start").alias("exit"), F.col("exit").alias("beyond"))
         jump = shared_table(jump.join(onward, ["file", "exit"]).select("file", "start", F.col("beyond").alias("exit")), "warc-jumps")
     entry = reach.select("file", "start", F.lit(0).cast("bigint").alias("next"),
-                         F.floor(F.col("start") / BLOCK).alias("block"), F.lit(True).alias("entry"))
+                         F.floor(F.col("start") / block).alias("block"), F.lit(True).alias("entry"))
     return (candidates.withColumn("entry", F.lit(False)).unionByName(entry)
             .groupBy("file", "block").applyInPandas(_walk, "file string, start bigint"))
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
+def read_archive(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
     """One row per true record: file, start, type, id, uri, refers, stated (digest in the header), payload_bytes, payload_digest."""
     found = shared_table(_candidates(spark, path), "warc-candidates")
     sizes = found.groupBy("file", "split").agg(F.sum(F.col("bytes") + len(MAGIC)).alias("size"))
@@ -178,7 +181,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     placed = found.join(bases, ["file", "split"]).select("*", start).filter("start >= 0")
     total = F.col("header") + F.col("length") + len(RECORD_END)
     pointers = placed.filter("length is not null").select("file", "start", (F.col("start") + len(MAGIC) + total).alias("next"))
-    records = shared_table(placed.join(reachable(pointers), ["file", "start"])
+    records = shared_table(placed.join(reachable(pointers, block), ["file", "start"])
                            .select("file", "start", "type", "id", "uri", "refers", "stated", "header", "length", "digest"), "warc-records")
     parted = records.filter("digest is null")
     if not parted.isEmpty():
@@ -186,7 +189,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         head, tail = len(MAGIC), len(RECORD_END)
         spans = parted.select("file", F.col("start").alias("record"), "header", "length",
                               (F.col("start") + head + F.col("header") + F.col("length") + tail).alias("end"))
-        near = BLOCK // 16  # both sides by small stretches of the file, so a join partner is always close
+        near = max(1, block // 16)  # both sides by small stretches of the file, so a join partner is always close
         spans = spans.withColumn("near", F.explode(F.sequence(F.floor(F.col("record") / near), F.floor((F.col("end") - 1) / near))))
         keys = (placed.select("file", "split", "local", "start", F.floor(F.col("start") / near).alias("near")).join(spans, ["file", "near"])
                 .filter("start >= record and start < end").select("file", "split", "local", "start", "record", "header", "length"))
