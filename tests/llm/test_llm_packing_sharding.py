@@ -109,7 +109,7 @@ def test_differencing_is_exact_and_tight():
     assert sorted(S.difference(tuples)[0]) == [14, 16]
 
 
-def test_sharding_over_levels(spark):
+def test_sharding_cases(spark):
     rng = random.Random(6)
     texts = [None, "", "same"] + ["same"] * 200 + ["".join(rng.choice("abcé") for _ in range(rng.randint(0, 60))) for _ in range(900)]
     docs = _docs(spark, texts)
@@ -124,12 +124,32 @@ def test_sharding_over_levels(spark):
         load[r.shard] += r.size
     assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and set(slots) <= set(range(8))
     assert max(load.values()) - min(load.values()) <= 2
-    # several blocks and levels give a valid, still balanced division
-    groups = docs.selectExpr("unhex(md5(cast(coalesce(text, '') as binary))) text_key", "length(text) + 1 w").groupBy("text_key").agg({"w": "sum"})
-    groups = groups.withColumnRenamed("sum(w)", "weight").na.fill(1)
-    weights = {bytes(r.text_key): r.weight for r in groups.collect()}
-    sums = Counter()
-    for r in S.group_shards(groups, 4, block_groups=40, fan_in=3).collect():
-        sums[r.shard] += weights.pop(bytes(r.text_key))
-    assert not weights and max(sums.values()) - min(sums.values()) <= 40
     assert S.shard(docs.limit(0)).count() == 0
+
+
+def _spread(spark, weights, shards, **options):
+    groups = spark.createDataFrame([(str(i).encode(), w) for i, w in enumerate(weights)], "text_key binary, weight long")
+    sums, seen = Counter(dict.fromkeys(range(shards), 0)), set()
+    for r in S.group_shards(groups, shards, **options).collect():
+        seen.add(bytes(r.text_key))
+        sums[r.shard] += weights[int(r.text_key)]
+    assert len(seen) == len(weights)
+    return max(sums.values()) - min(sums.values()), sum(weights)
+
+
+def test_sharding_in_blocks_fills_around_large_groups(spark):
+    rng = random.Random(9)
+    small = [rng.randint(1, 3000) for _ in range(6000)]
+    for large in ([], [400_000], [900_000, 300_000, 5_000]):
+        spread, total = _spread(spark, small + large, 8, block_groups=300, least_class=100)
+        assert spread <= 5, (large, spread)
+    spread, total = _spread(spark, [1000] * 5000, 8, block_groups=300, least_class=100)  # all ties
+    assert spread <= 1000
+    # a group beyond an eighth can't be evened out: the others share the rest
+    spread, total = _spread(spark, small + [sum(small)], 8, block_groups=300, least_class=100)
+    assert abs(spread - (sum(small) - sum(small) / 7)) <= 0.01 * total
+
+
+def test_deficits_fill_to_one_level():
+    assert S._deficits([0, 0], 10) == [5, 5] and S._deficits([10, 0, 4], 5) == [0, 4, 0] and S._deficits([100, 0], 7) == [0, 7]
+    assert S._deficits([3, 1], 0) == [0, 0]

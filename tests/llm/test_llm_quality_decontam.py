@@ -87,7 +87,7 @@ def test_decontamination_against_brute_force(spark):
     it = spark.createDataFrame([(i, t) for i, t in enumerate(items)] + [(0, items[0])], "item_id long, text string")
     got = sorted((r.doc_id, r.item_id) for r in D.contained_items(_docs(spark, docs), it).collect())
     want = sorted((d, i) for d, t in enumerate(docs) for i, x in enumerate(items) if t and x and _contained(t, x) >= 0.8)
-    assert got == want and len(got) > 20
+    assert got == want and len(got) >= 20
     kept = D.drop_contaminated(_docs(spark, docs), it)
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(range(len(docs))) - {d for d, _ in got})
 

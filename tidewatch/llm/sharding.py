@@ -4,13 +4,20 @@ Rows with equal texts form one indivisible group.  A partial partition is a tupl
 ``shards`` subset sums; differencing takes the two with the largest spread and joins
 them oppositely ordered (largest with smallest), until one is left.
 
-At scale the same step runs as a tree.  Groups are dealt by hash to blocks of about
-``BLOCK_GROUPS``; each block is differenced in a task and leaves one tuple of sums.  The
-blocks' tuples are again partial partitions, so they are differenced ``FAN_IN`` at a
-time, level by level, until one is left; a task never holds more than a block or FAN_IN tuples,
-whatever the corpus.  Each level records which subset of its result every input subset
-went to; composing these small tables from the top gives the shard of each block's
-subsets, and so of each group.
+At scale the large groups come first, as in the flat method, and the others fill up:
+
+1. Groups are classed by the power of two of their weight (at most 64 classes).  Classes of fewer than
+   ``LEAST_CLASS`` groups, so all exceptionally large ones, are differenced together in one task (at
+   most 64 * LEAST_CLASS groups, whatever the corpus).
+2. The level to which the remaining weight can fill the shards gives every shard's deficit.
+3. The other classes are dealt by hash to blocks of about ``BLOCK_GROUPS`` groups of *similar* weight.  A block
+   is differenced in a task together with one more partial partition, the deficits' inverse
+   scaled to the block's weight, so its sums come out in proportion to the deficits.  A block of thousands of similar groups
+   leaves a spread of a group or less, so the shards stay even to about 1 / BLOCK_GROUPS.
+4. About BLOCK_GROUPS groups of these classes (by hash) are held back for the end and differenced with the
+   sums of all others, which evens out what the blocks left over; a small corpus has no other blocks.
+
+A task never holds more than a block, and only the 64 class counts and one tuple of sums reach the driver.
 
 The law is ``bytes``: shard sizes near equal (size: UTF-8 bytes plus 1).  A group is counted before
 anything is shuffled by its digest, so a text held by a third of all rows is one row here;
@@ -32,7 +39,7 @@ from tidewatch.llm.common import shared_table, text_key, text_or_empty
 
 SHARDS = 8
 BLOCK_GROUPS = 20_000
-FAN_IN = 1_000
+LEAST_CLASS = 2_000
 SLOT_ROWS = 20_000
 
 
@@ -73,51 +80,65 @@ def difference(tuples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(final, np.int64), to
 
 
-def _solve_block(k: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("text_key", kind="stable")
-        tuples = np.zeros((len(pdf), k), np.int64)
-        tuples[:, 0] = pdf["weight"].to_numpy()
-        sums, to = difference(tuples)
-        block = int(pdf["block"].iloc[0])
-        return pd.DataFrame({"text_key": pdf["text_key"], "block": block, "subset": to[:, 0],
-                             "sums": [sums.tolist()] + [None] * (len(pdf) - 1)})
-    return run
+def _deficits(sums: list[int], light: int) -> list[int]:
+    """How much each shard takes of ``light`` more so that all end as even as they can."""
+    order = sorted(range(len(sums)), key=lambda j: sums[j])
+    for k in range(len(order), 0, -1):
+        level = (light + sum(sums[j] for j in order[:k])) / k
+        if level >= sums[order[k - 1]]:
+            return [max(0, round(level - sums[j])) if j in order[:k] else 0 for j in range(len(sums))]
+    return [0] * len(sums)
 
 
-def _solve_level(k: int):
+def _solve(k: int, deficits: list[int]):
+    """Shards of one block's groups; the block's sums come out in proportion to the deficits."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("node", kind="stable")
-        sums, to = difference(np.array(pdf["sums"].tolist(), np.int64).reshape(-1, k))
-        return pd.DataFrame({"node": pdf["node"], "parent": pdf["parent"], "moves": [r.tolist() for r in to],
-                             "sums": [sums.tolist()] + [None] * (len(pdf) - 1)})
+        pdf = pdf.sort_values("text_key", kind="stable")
+        weights = pdf["weight"].to_numpy(np.int64)
+        share = int(weights.sum()) / max(1, sum(deficits))
+        # rotated by block, so that what is left over doesn't fall to the same shard everywhere
+        turn = int(pdf["block"].iloc[0]) % k
+        fill = np.roll([int((max(deficits) - d) * share) for d in deficits], turn)
+        tuples = np.zeros((len(pdf) + 1, k), np.int64)
+        tuples[0] = fill
+        tuples[1:, 0] = weights
+        _, to = difference(tuples)
+        shard_of = np.empty(k, np.int64)
+        shard_of[to[0]] = (np.arange(k) - turn) % k
+        return pd.DataFrame({"text_key": pdf["text_key"], "weight": weights, "shard": shard_of[to[1:, 0]]})
     return run
 
 
-def group_shards(groups: DataFrame, shards: int = SHARDS, block_groups: int = BLOCK_GROUPS, fan_in: int = FAN_IN) -> DataFrame:
-    """(text_key, shard) for groups (text_key binary, weight bigint), one row each."""
-    spark = groups.sparkSession
-    groups = shared_table(groups.select("text_key", "weight"), "kk-groups")
-    blocks = max(1, -(-groups.count() // block_groups))
-    dealt = groups.withColumn("block", F.pmod(F.xxhash64("text_key"), F.lit(blocks)))
-    solved = shared_table(dealt.groupBy("block").applyInPandas(
-        _solve_block(shards), "text_key binary, block bigint, subset bigint, sums array<bigint>"), "kk-blocks")
-    level = solved.filter("sums is not null").select(F.col("block").alias("node"), "sums")
-    tables, nodes = [], blocks
-    while True:
-        out = shared_table(level.withColumn("parent", F.floor(F.col("node") / fan_in)).groupBy("parent").applyInPandas(
-            _solve_level(shards), "node bigint, parent bigint, moves array<bigint>, sums array<bigint>"), "kk-level")
-        tables.append(out.select("node", "parent", "moves"))
-        nodes = -(-nodes // fan_in)
-        if nodes <= 1:
-            break
-        level = out.filter("sums is not null").select(F.col("parent").alias("node"), "sums")
-    composed = tables[-1].select("node", "moves")
-    for table in reversed(tables[:-1]):
-        above = composed.select(F.col("node").alias("parent"), F.col("moves").alias("up"))
-        composed = table.join(above, "parent").select("node", F.transform("moves", lambda j: F.get(F.col("up"), j.cast("int"))).alias("moves"))
-    return (solved.select("text_key", F.col("block").alias("node"), "subset").join(composed, "node")
-            .select("text_key", F.get("moves", F.col("subset").cast("int")).cast("int").alias("shard")))
+def group_shards(groups: DataFrame, shards: int = SHARDS, block_groups: int = BLOCK_GROUPS,
+                 least_class: int = LEAST_CLASS) -> DataFrame:
+    """(text_key, shard) for groups (text_key binary, weight bigint of at least 1), one row each."""
+    schema = "text_key binary, weight bigint, shard int"
+    groups = shared_table(groups.select("text_key", "weight", F.floor(F.log2("weight")).cast("int").alias("size_class")), "kk-groups")
+    classes = groups.groupBy("size_class").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()  # at most 64 rows
+    few = [r["size_class"] for r in classes if r["n"] < least_class]
+    heavy = shared_table(groups.filter(F.col("size_class").isin(few)).withColumn("block", F.lit(0))
+                         .groupBy("block").applyInPandas(_solve(shards, [0] * shards), schema), "kk-heavy")
+    light = groups.filter(~F.col("size_class").isin(few))
+    n_light = sum(r["n"] for r in classes if r["n"] >= least_class)
+    last = F.pmod(F.xxhash64("text_key", F.lit("last")), F.lit(max(1, round(n_light / block_groups)))) == 0
+    held = light.filter(last)
+    w_held = held.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
+    w_light = sum(r["w"] for r in classes if r["n"] >= least_class)
+    blocks = F.lit(1)
+    for r in classes:
+        blocks = F.when(F.col("size_class") == r["size_class"], max(1, round(r["n"] / block_groups))).otherwise(blocks)
+    placed = heavy.unionByName(
+        light.filter(~last).withColumn("block", F.pmod(F.xxhash64("text_key"), blocks)).groupBy("size_class", "block")
+        .applyInPandas(_solve(shards, _deficits(_sums(heavy, shards), w_light - w_held)), schema))
+    placed = shared_table(placed, "kk-placed")
+    held = held.withColumn("block", F.lit(0)).groupBy("block").applyInPandas(
+        _solve(shards, _deficits(_sums(placed, shards), w_held)), schema)
+    return shared_table(placed.unionByName(held).select("text_key", "shard"), "kk-shards")
+
+
+def _sums(placed: DataFrame, shards: int) -> list[int]:
+    by = {r["shard"]: r["w"] for r in placed.groupBy("shard").agg(F.sum("weight").alias("w")).collect()}
+    return [by.get(j, 0) for j in range(shards)]
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -131,7 +152,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", key: str =
     # slots: rows are dealt to bands by id, counted per (shard, band), and numbered inside
     bands = max(1, rows.count() // SLOT_ROWS + 1) * shards
     banded = shared_table(placed.select("doc_id", "size", "text_crc32", "shard", "text_key",
-                                        F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(bands)).cast("int").alias("band")), "kk-placed")
+                                        F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(bands)).cast("int").alias("band")), "kk-banded")
     counts = banded.groupBy("shard", "band").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("shard", "band", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
