@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -55,23 +56,25 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int | None, row_bytes: int = 6
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` with a reliable checkpoint in the shared folder named by
-    ``spark.checkpoint.dir`` (set only when the session has none).
+    """Write ``df`` as a Parquet table in the shared folder named by
+    ``spark.checkpoint.dir`` (set only when the session has none) and read it back.
 
     Used for intermediates that several branches of one plan read (the term
-    table): they are computed once, and a lost executor re-reads files instead
-    of recomputing the lineage.
+    table): they are computed once, readers take only their columns, and a lost
+    executor re-reads files instead of recomputing the lineage.
     """
     from tidewatch.session import ensure_checkpoint_dir
 
-    ensure_checkpoint_dir(df.sparkSession)
-    out = df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
     out._tw_materialized = True
     return out
 
 
 def materialized(df: DataFrame) -> DataFrame:
-    """``df`` itself when it already comes from :func:`cut_lineage`, else its checkpoint."""
+    """``df`` itself when it already comes from :func:`cut_lineage`, else its table."""
     return df if getattr(df, "_tw_materialized", False) else cut_lineage(df)
 
 
@@ -80,7 +83,7 @@ def consecutive_index(df: DataFrame, order: list, name: str = "idx", partitions:
     single-task window.
 
     Range-partition on the order (hot keys spread over several ranges, since
-    the order is total), freeze the assignment with a reliable checkpoint,
+    the order is total), freeze the assignment in a written table,
     number rows inside each range, and add the counts of all earlier ranges
     (one row per range, broadcast).
     """
