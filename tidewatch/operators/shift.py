@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F, Window
 from tidewatch import constants as C
 from tidewatch.operators._util import broadcast_if_bounded, day_lit, window_filter
 from tidewatch.operators.detectors import shift_label
-from tidewatch.operators.vectors import tfidf_similarity
+from tidewatch.operators.vectors import tfidf_similarity, top_terms
 
 
 def nonblank_days(tf: DataFrame, keys: tuple[str, ...] = ("scope",)) -> DataFrame:
@@ -88,12 +88,26 @@ def day_pairs(records: DataFrame, scopes: DataFrame, day, days: int = C.LOOKBACK
 
 def novelty_series(tf: DataFrame, records: DataFrame, scopes: DataFrame, day, days: int = C.LOOKBACK_DAYS,
                    max_features: int = C.SERIES_MAX_FEATURES) -> DataFrame:
-    """``scope, date, novelty``: ``round(1 - sim(prev, date), 3)``, 0.0 when a side is blank (M5)."""
+    """``scope, date, novelty``: ``round(1 - sim(prev, date), 3)``, 0.0 when a side is blank (M5).
+
+    A pair of days is a corpus of two documents, so one row per (scope, pair, term) holds both
+    counts: one aggregate, a top-``max_features``, and the sums of the dot product and norms.
+    No vocabulary join is needed.
+    """
     members = day_pairs(records, scopes, day, days)
-    sims = tfidf_similarity(tf, members, text_keys=("scope",), corpus_keys=("scope", "pair_end"),
-                            max_features=max_features, min_nonblank=2)
-    ends = members.filter("is_query").select("scope", "pair_end")
-    return (ends.join(sims.select("scope", "pair_end", "sim"), ["scope", "pair_end"], "left")
+    ck = ["scope", "pair_end"]
+    counts = tf.join(members, ["scope", "date"]).groupBy(*ck, "term").agg(
+        F.coalesce(F.sum(F.when(F.col("is_query"), F.col("tf"))), F.lit(0)).alias("cur"),
+        F.coalesce(F.sum(F.when(~F.col("is_query"), F.col("tf"))), F.lit(0)).alias("prev"))
+    sides = counts.groupBy(*ck).agg((F.max(F.col("cur") > 0) & F.max(F.col("prev") > 0)).alias("both"))
+    kept = top_terms(counts.withColumn("ctf", F.col("cur") + F.col("prev")), ck, max_features)
+    df = (F.col("cur") > 0).cast("int") + (F.col("prev") > 0).cast("int")
+    idf2 = F.pow(F.log(3.0 / (df + 1.0)) + 1.0, 2)
+    sums = kept.groupBy(*ck).agg(F.sum(F.col("cur") * F.col("prev") * idf2).alias("dot"),
+                                 F.sum(F.col("cur") * F.col("cur") * idf2).alias("nc"),
+                                 F.sum(F.col("prev") * F.col("prev") * idf2).alias("np"))
+    sim = F.when((F.col("nc") > 0) & (F.col("np") > 0), F.col("dot") / F.sqrt(F.col("nc") * F.col("np"))).otherwise(0.0)
+    ends = members.filter("is_query").select(*ck)
+    return (ends.join(sums.join(sides, ck), ck, "left")
             .select("scope", F.col("pair_end").alias("date"),
-                    F.when(F.col("sim").isNull(), F.lit(0.0)).otherwise(F.round(1.0 - F.col("sim"), 3))
-                    .alias("novelty")))
+                    F.when(F.coalesce("both", F.lit(False)), F.round(1.0 - sim, 3)).otherwise(F.lit(0.0)).alias("novelty")))

@@ -109,7 +109,7 @@ def corpus_sizes(ct: DataFrame, members: DataFrame, corpus_keys: Sequence[str] =
             .filter(F.col("n_nonblank") >= min_nonblank))
 
 
-def _top_terms(stats: DataFrame, ck: list[str], max_features: int, slices: int = 64) -> DataFrame:
+def top_terms(stats: DataFrame, ck: list[str], max_features: int, slices: int = 64) -> DataFrame:
     """The first ``max_features`` terms of each corpus by count, with their ``rank``.
 
     Two levels: within hash slices of a corpus, then over what is left, so the task of a
@@ -130,7 +130,7 @@ def _vocab(ct: DataFrame, sizes: DataFrame, ck: list[str], max_features: int) ->
         F.sum("tf").alias("ctf"), F.count("*").alias("df"),
         F.max(F.when(F.col("is_query"), F.col("tf"))).alias("qtf"))
     idf = F.log((F.col("n_docs") + 1.0) / (F.col("df") + 1.0)) + 1.0
-    return (_top_terms(stats, ck, max_features)
+    return (top_terms(stats, ck, max_features)
             .join(sizes.select(*ck, "n_docs"), ck, "inner")
             .select(*ck, "term", "ctf", "df", "rank", idf.alias("idf"),
                     (F.coalesce(F.col("qtf"), F.lit(0)) * idf).alias("wq")))
@@ -174,7 +174,7 @@ def tfidf_similarity(tf: DataFrame, members: DataFrame, text_keys: Sequence[str]
         F.sum("tf").alias("ctf"), F.count("*").alias("df"),
         F.max(F.when(F.col("is_query"), F.col("tf"))).alias("qtf"))
     idf = F.log((F.col("n_docs") + 1.0) / (F.col("df") + 1.0)) + 1.0
-    vocab = (_top_terms(stats, ck, max_features)
+    vocab = (top_terms(stats, ck, max_features)
              .join(n_docs, ck, "inner")
              .select(*ck, "term", idf.alias("idf"), (F.coalesce(F.col("qtf"), F.lit(0)) * idf).alias("wq")))
     vocab = broadcast_if_bounded(vocab, n_corpora * max_features, 64)

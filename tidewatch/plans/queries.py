@@ -249,7 +249,8 @@ def q_trend_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("overall_novelty")
 def q_overall_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     tf = V.merge_scopes(_text_tf(spark, sf_dir))
-    sims = V.tfidf_similarity(tf, _members(spark, sf_dir, scopes=tf.select("scope").distinct()))
+    scope = spark.createDataFrame([(C.COMBINED_SCOPE,)], "scope string")
+    sims = V.tfidf_similarity(tf, _members(spark, sf_dir, scopes=scope))
     return DT.overall_novelty(sims.select("scope", "date", "sim"))
 
 
