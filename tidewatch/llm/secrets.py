@@ -4,9 +4,9 @@ Everything on the documents is a DataFrame or SQL expression.  A candidate is a
 16 token characters with a digit in it, or a shorter value assigned to a secret-like name.
 Each candidate gets the features of ``FEATURES``: length, character classes and the
 transitions between them, coverage by dictionary words, path-like shape and surroundings, and
-neighbouring words on both sides.  A random forest (``pyspark.ml``, fixed seed), fitted on labelled
-findings, votes; its trees become one SQL expression, so scoring needs no shuffle and
-no second pass: a row's candidates are scored inside the row.
+neighbouring words on both sides.  A random forest (fixed seed) votes; its trees become one SQL
+expression, so scoring needs no shuffle and no second pass: a row's candidates are scored inside
+the row.  Only the fitting is Python, on the driver, from the features of at most ``MAX_FINDINGS`` labelled findings.
 
 Labelled findings are a parameter (``left``, ``value``, ``right``, ``label``).  The given tables label no
 findings, so ``labelled_findings`` generates a bounded set (``FINDINGS``) by rules for what
@@ -22,11 +22,13 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 MARK = "[SECRET]"
 THRESHOLD = 0.5
 FINDINGS = 4_000
+MAX_FINDINGS = 20_000
 TREES = 20
 DEPTH = 7
 SEED = 11
@@ -157,36 +159,56 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
         F.concat(F.when((F.col("label") == 1) & (secret_left == key_left), close).otherwise(empty), F.lit(" "), word[5], F.lit(" ")).alias("right"), "label")
 
 
-def fit_forest(findings: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> str:
-    """The fitted forest as SQL over the features of a struct ``f`` (share of trees that vote secret)."""
-    from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.feature import VectorAssembler
+def fit_forest(findings: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED, most: int = MAX_FINDINGS) -> str:
+    """The fitted forest as SQL over the features of a struct ``f`` (share of trees that vote secret).
 
+    At most about ``most`` findings (a hash sample) come to the driver, as numbers."""
     c = F.struct("value", F.right("left", F.lit(LEFT_CHARS)).alias("before"), F.left("right", F.lit(RIGHT_CHARS)).alias("after"))
-    rows = findings.select(c.alias("c"), "label").select("label", *[F.expr(f"cast({x} as double)").alias(k) for k, x in FEATURES.items()])
-    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows.coalesce(1)).select("label", "features")
-    model = RandomForestClassifier(labelCol="label", numTrees=trees, maxDepth=depth, seed=seed).fit(vectors)
-    return "(" + " + ".join(tree_sql(t.toDebugString) for t in model.trees) + f") / {float(trees)}"
-
-
-def tree_sql(printed: str) -> str:
-    """CASE expression of a printed decision tree."""
-    lines = [x.strip() for x in printed.splitlines()[1:] if x.strip()]
-    names = list(FEATURES)
-    at = 0
-
-    def node() -> str:
-        nonlocal at
-        line = lines[at]
-        at += 1
-        if line.startswith("Predict:"):
-            return f"{float(line.split(':')[1])}D"
-        feature, limit = re.fullmatch(r"If \(feature (\d+) <= (\S+)\)", line).groups()
-        yes = node()
-        at += 1  # the Else line
-        return f"CASE WHEN f.{names[int(feature)]} <= {limit}D THEN {yes} ELSE {node()} END"
-
-    return node()
+    rows = findings.select(c.alias("c"), F.col("label").cast("int").alias("label")).na.drop()
+    n = rows.count()
+    if n > most:
+        rows = rows.filter(F.pmod(F.xxhash64("c"), F.lit(1 << 30)) < int((1 << 30) * most / n))
+    data = np.array([tuple(r) for r in rows.select("label", *[F.expr(f"cast({x} as double)").alias(k) for k, x in FEATURES.items()])
+                     .orderBy("label", *FEATURES).collect()]).reshape(-1, len(FEATURES) + 1)
+    rng = np.random.RandomState(seed)
+    grown = []
+    for _ in range(trees):
+        drawn = data[rng.randint(0, len(data), len(data))] if len(data) else data
+        grown.append(tree_sql(grow(drawn[:, 1:], drawn[:, 0], depth, rng)))
+    return "(" + " + ".join(grown) + f") / {float(trees)}"
+
+
+def grow(x: np.ndarray, y: np.ndarray, depth: int, rng: np.random.RandomState):
+    """A tree as nested (feature, limit, left, right); a leaf is its vote.  Every node tries a random
+    share of the features and takes the cut with the least Gini impurity."""
+    share = y.mean() if len(y) else 0.0
+    if depth == 0 or share in (0.0, 1.0):
+        return float(share >= 0.5)
+    best = None
+    for k in rng.choice(x.shape[1], max(1, x.shape[1] // 3), replace=False):
+        by = np.argsort(x[:, k], kind="stable")
+        v, ones = x[by, k], np.cumsum(y[by])
+        cut = np.flatnonzero(v[1:] > v[:-1])
+        if not len(cut):
+            continue
+        n, total = cut + 1.0, len(y)
+        p, q = ones[cut] / n, (ones[-1] - ones[cut]) / (total - n)
+        impurity = n * p * (1 - p) + (total - n) * q * (1 - q)
+        i = int(np.argmin(impurity))
+        if best is None or impurity[i] < best[0]:
+            best = (impurity[i], k, (v[cut[i]] + v[cut[i] + 1]) / 2)
+    if best is None:
+        return float(share >= 0.5)
+    left = x[:, best[1]] <= best[2]
+    return int(best[1]), float(best[2]), grow(x[left], y[left], depth - 1, rng), grow(x[~left], y[~left], depth - 1, rng)
+
+
+def tree_sql(tree) -> str:
+    """CASE expression of a tree of :func:`grow`."""
+    if isinstance(tree, float):
+        return f"{tree}D"
+    feature, limit, left, right = tree
+    return f"CASE WHEN f.{list(FEATURES)[feature]} <= {limit!r}D THEN {tree_sql(left)} ELSE {tree_sql(right)} END"
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None, text: str = "text") -> DataFrame:
