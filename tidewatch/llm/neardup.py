@@ -14,7 +14,7 @@ The similarity is the weighted Jaccard  sum min / sum max.
    is drawn, together with t).  Two texts of similarity s agree in a sample with probability s, so they
    share at least one of 8 bands of 2 samples with probability 0.9997 at s = 0.8.
 3. Texts meet per band value, in blocks of at most BLOCK: a task compares all texts of a block exactly
-   and emits a spanning forest of the links found, never the pairs.
+   and emits a star per class found (each text with the class's least one), never the pairs.
    First band 0; then the other bands, but only values whose members are not in one class yet
    (no link could change anything elsewhere); last, for values of several blocks, pairs of blocks
    that are still of different classes.  So every pair that shares a band is compared unless its
@@ -191,9 +191,10 @@ def similarities(sets: list[tuple[np.ndarray, np.ndarray]], tfs: list[np.ndarray
     return common / np.maximum(total[:, None] + total[None, :] - common, 1e-12)
 
 
-def forest(linked: np.ndarray, labels: list) -> list[tuple[int, int]]:
-    """Spanning forest of the links; items with equal labels count as joined already."""
-    up = list(range(len(labels)))
+def stars(linked: np.ndarray, nodes: list, labels: list) -> list[tuple]:
+    """(node, least node of its component) for the nodes that a link joins to others; nodes with
+    equal labels count as joined already."""
+    up = list(range(len(nodes)))
 
     def root(i):
         while up[i] != i:
@@ -203,17 +204,22 @@ def forest(linked: np.ndarray, labels: list) -> list[tuple[int, int]]:
     seen: dict = {}
     for i, label in enumerate(labels):
         up[root(i)] = root(seen.setdefault(label, i))
-    out = []
+    joined = False
     for i, j in zip(*np.nonzero(np.triu(linked, 1))):
         a, b = root(int(i)), root(int(j))
         if a != b:
-            up[a] = b
-            out.append((int(i), int(j)))
-    return out
+            up[a], joined = b, True
+    if not joined:
+        return []
+    least: dict = {}
+    for i, node in enumerate(nodes):
+        least[root(i)] = min(node, least.get(root(i), node))
+    return [(node, least[root(i)]) for i, node in enumerate(nodes) if least[root(i)] != node]
 
 
 def _compare(grouped: DataFrame, idf, threshold: float) -> DataFrame:
-    """Links (a, b) found inside each group of (group, node, label, text) rows."""
+    """Links found inside each group of (group, node, label, text) rows: (a, b), b the least
+    node of a's component there."""
     def solve(rows):
         if len(rows) < 2 or len({r[1] for r in rows}) < 2:
             return []
@@ -222,7 +228,7 @@ def _compare(grouped: DataFrame, idf, threshold: float) -> DataFrame:
             h, tf = np.unique(shingles(t), return_counts=True)
             sets.append((h, tf * idf.value[_bucket(h)]))
             tfs.append(tf)
-        return [(rows[i][0], rows[j][0]) for i, j in forest(similarities(sets, tfs) >= threshold - 1e-6, [r[1] for r in rows])]
+        return stars(similarities(sets, tfs) >= threshold - 1e-6, [r[0] for r in rows], [r[1] for r in rows])
 
     def run(batches):
         group, rows = None, []
@@ -260,11 +266,9 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame | None:
-    """Labels after further links between nodes."""
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after further links between nodes (a node without a label is its own)."""
     links = shared_table(links, "dup-found")
-    if labels is None:
-        return None if links.isEmpty() else components(links)
     if links.isEmpty():
         return labels
     def lifted(c):
@@ -289,7 +293,8 @@ def near_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", thres
     rows = shared_table(_signatures(narrow, idf), "dup-signatures")
     nodes = rows.groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("first"), F.first("bands").alias("bands"))
     spread = nodes.filter("bands is not null").select("node", "first", F.posexplode("bands").alias("band", "value"))
-    shared = spread.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1")
+    # written, so that the join below is between two exchanges and a hot value can be split
+    shared = shared_table(spread.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1"), "dup-values")
     members = shared_table(spread.join(shared, ["band", "value"]).select(
         "band", "value", "n", "node", "first", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / block)).alias("block")), "dup-members")
     wanted = members.select("node", "first").distinct()
@@ -297,21 +302,21 @@ def near_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", thres
                          .join(wanted, ["node", "first"]).groupBy("node").agg(F.first("text").alias("text")), "dup-texts")
     members = members.drop("first")
 
-    def with_labels(m: DataFrame, labels: DataFrame | None) -> DataFrame:
-        if labels is None:
-            return m.withColumn("label", F.col("node"))
+    def with_labels(m: DataFrame, labels: DataFrame) -> DataFrame:
         return m.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
     def mixed(m: DataFrame, *by: str) -> DataFrame:
         """The members of groups that aren't of one class yet."""
         several = m.groupBy(*by).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select(*by)
-        return m.join(several, list(by), "left_semi")
+        return m.join(shared_table(several, "dup-mixed"), list(by), "left_semi")
 
     def compared(m: DataFrame, *by: str) -> DataFrame:
         grouped = m.select(F.xxhash64(*by).alias("group"), "node", "label")
         return _compare(grouped.join(texts, "node"), idf, threshold)
 
-    labels = _joined(None, compared(with_labels(members.filter("band = 0"), None), "band", "value", "block"))
+    # a node is in one block of band 0, so what a block finds there are its classes already
+    labels = shared_table(compared(members.filter("band = 0").withColumn("label", F.col("node")), "band", "value", "block")
+                          .select(F.col("a").alias("node"), F.col("b").alias("label")), "dup-labels")
     rest = mixed(with_labels(members.filter("band > 0"), labels), "band", "value", "block")
     labels = _joined(labels, compared(rest, "band", "value", "block"))
     # values of several blocks: pairs of blocks (i < j) that aren't of one class
@@ -321,8 +326,6 @@ def near_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", thres
         pairs = (large.select("band", "value", "node", "label", "block", other).filter("other <> block")
                  .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")))
         labels = _joined(labels, compared(mixed(pairs, "band", "value", "i", "j"), "band", "value", "i", "j"))
-    if labels is None:
-        labels = spark.createDataFrame([], "node binary, label binary")
     return rows.select("node", "doc_id"), labels
 
 
@@ -330,7 +333,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", th
     """doc_id, class_id (least doc_id of the class), class_rows, kept: one row per document row."""
     rows, labels = near_classes(docs, text, key, threshold)
     labelled = shared_table(rows.join(labels, "node", "left").select("doc_id", "node", F.coalesce("label", "node").alias("label")), "dup-rows")
-    classes = labelled.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_rows"))
+    classes = shared_table(labelled.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_rows")), "dup-classes")
     return (labelled.join(classes, "label")
             .select("doc_id", "class_id", "class_rows", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept")))
 
