@@ -181,7 +181,7 @@ def assign(numbered: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 + [pa.array(t[at, 3] + rank - t[at, 1], pa.int64()), pa.array(t[at, 4], pa.int64())],
                 names=columns + ["sequence_id", "offset"])
 
-    ranked = (numbered.join(offsets.select("length", "part", "first"), ["length", "part"])
+    ranked = (numbered.join(offsets.select("length", "part", "first").hint("merge"), ["length", "part"])
               .select(*columns, (F.col("first") + F.col("nth")).alias("rank")))
     fields = ", ".join(f"{c} {dict(numbered.dtypes)[c]}" for c in columns)
     return ranked.mapInArrow(run, f"{fields}, sequence_id bigint, offset bigint")
