@@ -12,21 +12,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.llm import decontaminate, neardup, packing, quality, secrets
-from tidewatch.llm.common import shared_folder
+from tidewatch.llm.common import shared_folder, ship_package
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: documents that the rules reject go."""
+    ship_package(spark)
     return quality.keep_good(docs)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: one document of each class of copies and near copies stays."""
+    ship_package(spark)
     return neardup.keep_one(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: documents that contain a benchmark item go."""
+    ship_package(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -37,6 +40,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: the kept documents as pieces of sequences, with their token ids."""
+    ship_package(spark)
     return packing.pack(docs, with_ids=True)
 
 

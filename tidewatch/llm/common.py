@@ -3,6 +3,7 @@ shingle hashing inside tasks, and the JVM-side text digest."""
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from collections.abc import Iterable
@@ -20,6 +21,16 @@ MEMO_ENTRIES = 400_000  # words kept in a worker's memo before it is emptied
 BATCH_ROWS = 512
 
 
+def ship_package(spark) -> None:
+    """Let Python workers import this package from where the driver has it, whatever the working
+    folder (on a cluster the package is installed or sent with ``--py-files``; this changes nothing there)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def text_or_empty(c: str | Column = "text") -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")).cast("string")
 
