@@ -95,6 +95,28 @@ def test_counterfactual_penalty_evens_out_identity_terms():
     assert gap(fair) < 0.3 * gap(free) and fair["vile"] > 1
 
 
+def test_swaps_are_feature_differences():
+    text = "Muslims met here. Two muslims and a muslimah left!"
+    whole = {(tuple(sorted(T.features(a) - T.features(b))), tuple(sorted(T.features(b) - T.features(a))))
+             for a, b in ((x, x.lower().replace("muslims", "christians")) for x in [text, *text.split(".")])}
+    assert set(T.swapped(text)) == whole and any("muslims#2" in lost for lost, _ in whole) and any("^musli" in lost for lost, _ in whole)
+    assert not T.swapped(None) and not T.swapped("no group here")
+
+
+def test_counterfactual_penalty_covers_beginnings_and_counts(spark):
+    rng = random.Random(5)
+    plain = [" ".join(f"w{rng.randrange(3000)}" for _ in range(40)) for _ in range(400)]
+    # the toxic texts name one group, twice; the clean ones another
+    texts = [t + (" vile stuff. muslims and muslims" if i % 2 else " fine stuff. christians and christians") for i, t in enumerate(plain)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    b, weights = T.fit(docs, labels)
+    logit = lambda t: b + sum(weights.get(f, 0.0) for f in T.features(t))
+    assert abs(logit("muslims met") - logit("christians met")) < 0.5
+    assert abs(logit("muslims and muslims") - logit("christians and christians")) < 0.5
+    assert logit("vile") - logit("fine") > 2
+
+
 def test_toxicity_cases(spark):
     rng = random.Random(1)
     plain = [" ".join(f"w{rng.randrange(3000)}" for _ in range(60)) for _ in range(240)]

@@ -4,10 +4,11 @@ Features are a text's distinct words and their beginnings, by how often they occ
 
     mean logloss + L2 |w|^2 + FAIR * mean over pairs (score(x) - score(x'))^2
 
-where x' is a labelled sentence x with its identity term swapped for another one
-(IDENTITY_TERMS), so the score can't lean on which group a sentence mentions.  Identity
-terms of swapped pairs are always features, other words enter if they differ more between
-the classes than chance allows for as many words (z of the log odds, with a least support).
+where x' is a labelled text or sentence x with every mention of an identity term swapped for
+another one (IDENTITY_TERMS), so the score can't lean on which group a text mentions.  The
+difference is over all keys a swap changes: words, their beginnings and occurrence counts.
+These keys are always features, others enter if they differ more between the classes than
+chance allows for as many words (z of the log odds, with a least support).
 Copies and near copies of a text count once a label (they share one of a few MinHash values), else
 the chance label of one copied text would make its words look toxic.
 
@@ -78,6 +79,10 @@ def features(text: str | None, keys_of=keys) -> set[str]:
     return {k if level == 1 else f"{k}#{level}" for k, n in counts.items() for level in LEVELS if n >= level}
 
 
+# every key that a swap can change
+_SWAP_KEYS = {k if level == 1 else f"{k}#{level}" for t in _SWAP for k in keys(t) for level in LEVELS}
+
+
 def counterfactuals(text: str | None) -> list[tuple[str, str]]:
     """(term, other term) for every identity term in every sentence of a text."""
     out = []
@@ -86,6 +91,31 @@ def counterfactuals(text: str | None) -> list[tuple[str, str]]:
     return out
 
 
+def swapped(text: str | None) -> Counter[tuple[tuple[str, ...], tuple[str, ...]]]:
+    """How often a swap in a text (each of its sentences, and the whole if it has more) loses
+    some keys and gains others: the difference of ``features(x)`` and ``features(x')``."""
+    out: Counter[tuple[tuple[str, ...], tuple[str, ...]]] = Counter()
+    sentences = [w for w in map(_LETTERS.findall, _SENTENCE.split(text.lower())) if w] if text else []
+    parts = [w for w in sentences if _SWAP.keys() & w]
+    if len(sentences) > 1 and parts:
+        parts.append([x for w in sentences for x in w])
+    for words in parts:
+        counts: Counter[str] = Counter()
+        for word, n in (found := Counter(words)).items():
+            for k in keys(word):
+                counts[k] += n
+        for word in sorted(found.keys() & _SWAP.keys()):
+            after = Counter({k: counts[k] for k in (*keys(word), *keys(_SWAP[word]))})
+            before = after.copy()
+            for k in keys(word):
+                after[k] -= found[word]
+            for k in keys(_SWAP[word]):
+                after[k] += found[word]
+            x, y = ({k if level == 1 else f"{k}#{level}" for k, n in c.items() for level in LEVELS if n >= level} for c in (before, after))
+            out[tuple(sorted(x - y)), tuple(sorted(y - x))] += 1
+    return out
+
+
 def _difference(a: Column, n1: int, b: Column, n0: int) -> Column:
     """Signed root of the likelihood ratio of "a of n1 and b of n0" against one common rate
     (standard normal if the word is unrelated to the class)."""
@@ -120,13 +150,17 @@ def fingerprint(text: str | None) -> list[int]:
     return [int(h[i] >> np.uint64(1)) if i < len(h) else -1 - k for k, i in enumerate(at)] if len(h) else []
 
 
-def train(rows: list[set[str]], toxic: list[int], chosen: list[str], swaps: list[tuple[str, str]]) -> tuple[float, dict[str, float]]:
-    """(intercept, weights) of the regularised model over the chosen features."""
+def train(rows: list[set[str]], toxic: list[int], chosen: list[str], swaps: list[tuple]) -> tuple[float, dict[str, float]]:
+    """(intercept, weights) of the regularised model over the chosen features and all keys of the
+    swaps; a swap is (keys lost, keys gained) or (..., how often); a single key may be a string."""
     y = np.array(toxic, float)
     n1, n0 = y.sum(), len(y) - y.sum()
     if not n1 or not n0:
         return (math.log(9) if n1 else -math.log(9)), {}
-    names = sorted({*chosen, *(t for pair in swaps for t in pair)})
+    pairs: Counter[tuple] = Counter()
+    for lost, gained, *n in swaps:
+        pairs[tuple((s,) if isinstance(s, str) else tuple(s) for s in (lost, gained))] += n[0] if n else 1
+    names = sorted({*chosen, *(t for pair in pairs for side in pair for t in side)})
     index = {w: i for i, w in enumerate(names)}
     docs, cols = [], []
     for i, ws in enumerate(rows):
@@ -134,8 +168,9 @@ def train(rows: list[set[str]], toxic: list[int], chosen: list[str], swaps: list
             docs.append(i)
             cols.append(index[w])
     docs, cols = np.array(docs, np.int64), np.array(cols, np.int64)
-    left = np.array([index[a] for a, _ in swaps], np.int64)
-    right = np.array([index[b] for _, b in swaps], np.int64)
+    changes = [(i, index[t], sign) for i, pair in enumerate(pairs) for side, sign in zip(pair, (1, -1)) for t in side]
+    pair_of, key_of, sign_of = np.array(changes, np.int64).reshape(-1, 3).T
+    often = np.array(list(pairs.values()), float)
     k = len(names)
     w, b = np.zeros(k), math.log(n1 / n0)
     m, v = np.zeros(k + 1), np.zeros(k + 1)
@@ -143,9 +178,9 @@ def train(rows: list[set[str]], toxic: list[int], chosen: list[str], swaps: list
         p = 1 / (1 + np.exp(-(b + np.bincount(docs, w[cols], minlength=len(y)))))
         r = (p - y) / len(y)
         g = np.bincount(cols, r[docs], minlength=k) + 2 * L2 * w
-        if len(left):  # a swap changes the score by w[left] - w[right]
-            d = 2 * FAIR * (w[left] - w[right]) / len(left)
-            g += np.bincount(left, d, minlength=k) - np.bincount(right, d, minlength=k)
+        if len(often):  # a swap changes the score by the weights it loses less those it gains
+            d = 2 * FAIR * np.bincount(pair_of, sign_of * w[key_of], minlength=len(often)) * often / often.sum()
+            g += np.bincount(key_of, sign_of * d[pair_of], minlength=k)
         g = np.r_[g, r.sum()]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.05 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
@@ -195,22 +230,23 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[float, dict[str, float]]:
         top = (tallies.withColumn("z", _difference(F.col("a"), n1, F.col("n") - F.col("a"), n0)).filter(F.abs("z") >= least)
                .orderBy(F.abs("z").desc(), "feature").limit(MAX_FEATURES).select("feature").collect())
         chosen = [r["feature"] for r in top]
-    wanted = set(chosen)
+    wanted = {*chosen, *_SWAP_KEYS}
+    swap = pa.struct([("lost", pa.list_(pa.string())), ("gained", pa.list_(pa.string())), ("n", pa.float64())])
 
     def kept(batches):
         for b in slices(batches):
             texts = b.column(1).to_pylist()
-            swaps = [[list(x) for x in counterfactuals(t)] for t in texts]
+            swaps = [[{"lost": lost, "gained": gained, "n": n} for (lost, gained), n in swapped(t).items()] for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([sorted(wanted & features(t)) for t in texts], pa.list_(pa.string())),
-                 pa.array(swaps, pa.list_(pa.list_(pa.string())))], names=["toxic", "features", "swaps"])
+                 pa.array(swaps, pa.list_(swap))], names=["toxic", "features", "swaps"])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        swaps = [tuple(x) for s in pdf["swaps"] for x in s]
+        swaps = [(x["lost"], x["gained"], x["n"]) for s in pdf["swaps"] for x in s]
         b, weights = train([set(x) for x in pdf["features"]], pdf["toxic"].tolist(), chosen, swaps)
         return pd.DataFrame({"feature": [None, *weights], "weight": [b, *weights.values()]})
 
-    fitted = (rows.select("toxic", "text").mapInArrow(kept, "toxic int, features array<string>, swaps array<array<string>>")
+    fitted = (rows.select("toxic", "text").mapInArrow(kept, "toxic int, features array<string>, swaps array<struct<lost:array<string>,gained:array<string>,n:double>>")
               .groupBy(F.lit(0).alias("all")).applyInPandas(run, "feature string, weight double").collect())
     weights = {r["feature"]: r["weight"] for r in fitted}
     return weights.pop(None, -math.log(9)), weights
