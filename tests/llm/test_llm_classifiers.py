@@ -117,6 +117,32 @@ def test_counterfactual_penalty_covers_beginnings_and_counts(spark):
     assert logit("vile") - logit("fine") > 2
 
 
+def test_a_shared_passage_makes_no_near_copies():
+    rng = random.Random(2)
+    words = lambda n: " ".join(f"u{rng.randrange(10 ** 9)}" for _ in range(n))
+    passage, base = words(50), words(400)
+    texts = [f"{passage} {words(50)}" for _ in range(300)] + [f"one {i}" for i in range(20)]
+    copies = [f"{base} {words(3)}" for _ in range(30)] + [base, base]
+    got = T.near_copies([T.fingerprint(t) for t in texts + copies])
+    assert len(set(got[:320])) == 320 and len(set(got[320:])) == 1 and got[320] == 320
+
+
+def test_near_copies_share_one_weight(spark):
+    rows, toxic, chosen = [{"a"}] * 4 + [{"b"}], [1, 1, 1, 1, 0], ["a", "b"]
+    halved = T.train(rows, toxic, chosen, [], [0.25] * 4 + [1])
+    alone = T.train(rows[3:], toxic[3:], chosen, [])
+    assert np.isclose(halved[0], alone[0]) and all(np.isclose(halved[1][k], alone[1][k]) for k in chosen)
+    # toxic texts of one long shared passage, each with the same insult: all of them count
+    rng = random.Random(6)
+    passage = " ".join(f"p{i}" for i in range(40))
+    plain = [" ".join(f"w{rng.randrange(3000)}" for _ in range(60)) for _ in range(200)]
+    texts = [f"{t} {passage} blockhead" if i % 4 == 0 else t for i, t in enumerate(plain)]
+    docs = spark.createDataFrame([*enumerate(texts), (200, "you blockhead")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in T.classify(docs, labels, F.lit(True)).collect()}
+    assert all((got[i] >= 0.5) == (i % 4 == 0) for i in range(200))
+
+
 def test_toxicity_cases(spark):
     rng = random.Random(1)
     plain = [" ".join(f"w{rng.randrange(3000)}" for _ in range(60)) for _ in range(240)]

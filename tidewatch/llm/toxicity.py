@@ -9,8 +9,9 @@ another one (IDENTITY_TERMS), so the score can't lean on which group a text ment
 difference is over all keys a swap changes: words, their beginnings and occurrence counts.
 These keys are always features, others enter if they differ more between the classes than
 chance allows for as many words (z of the log odds, with a least support).
-Copies and near copies of a text count once a label (they share one of a few MinHash values), else
-the chance label of one copied text would make its words look toxic.
+Copies and near copies of a text (Jaccard similarity of at least NEAR to the first of their class) share
+the weight of one row a label, else the chance label of one copied text would make its words look
+toxic.  No row is left out.
 
 Fitted on a bounded sample of labelled rows (MAX_TOXIC, MAX_CLEAN: expected sizes of a hash sample), so the
 broadcasts of its ids (about 12,000 rows) and the single tasks that group its near copies and run the
@@ -27,13 +28,14 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.llm.common import MEMO_ENTRIES, shared_table, shingles, slices
+from tidewatch.llm.common import MEMO_ENTRIES, mix64, shared_table, shingles, slices
 from tidewatch.llm.language import hash_share
 
 MAX_TOXIC = 4_000
@@ -41,7 +43,10 @@ MAX_CLEAN = 8_000
 MAX_FEATURES = 2_000
 LEAST_SUPPORT = 5
 Z_MARGIN = 0.4              # above sqrt(2 ln m), the largest z that m unrelated words reach by chance
-PRINTS = 8                  # minima of the near-copy test in training
+PRINTS = 8                  # minima that find near copies in training
+EQUAL = 6                   # of them equal: compared
+NEAR = 0.8                  # Jaccard similarity of near copies
+SKETCH = 256                # smallest shingle hashes of a text; up to so many shingles the similarity is exact
 L2 = 5e-5
 FAIR = 1.0
 STEPS = 400
@@ -120,41 +125,58 @@ def _difference(a: Column, n1: int, b: Column, n0: int) -> Column:
     """Signed root of the likelihood ratio of "a of n1 and b of n0" against one common rate
     (standard normal if the word is unrelated to the class)."""
     def loss(k, n, p):
-        return F.when(k > 0, k * F.log(p)).otherwise(0.0) + F.when(k < n, (F.lit(n) - k) * F.log(1 - p)).otherwise(0.0)
+        return F.when((k > 0) & (p > 0), k * F.log(p)).otherwise(0.0) + F.when((k < n) & (p < 1), (F.lit(n) - k) * F.log(1 - p)).otherwise(0.0)
 
     both = (a + b) / (n1 + n0)
     ratio = loss(a, n1, a / n1) + loss(b, n0, b / n0) - loss(a, n1, both) - loss(b, n0, both)
     return F.signum(a / n1 - b / n0) * F.sqrt(F.greatest(F.lit(0.0), 2 * ratio))
 
 
-def near_copies(prints: list[list[int]]) -> list[int]:
-    """A class for each text: texts that share any minimum (of PRINTS) belong together."""
-    up = list(range(len(prints)))
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two texts by their fingerprints."""
+    either, n = np.unique(np.concatenate([a, b]), return_counts=True)
+    if max(len(a), len(b)) >= SKETCH:  # the smallest of the union, a sample of it
+        n = n[:SKETCH]
+    return float((n == 2).mean()) if len(either) else 0.0
 
-    def root(i):
-        while up[i] != i:
-            up[i] = i = up[up[i]]
-        return i
 
-    first: dict[tuple[int, int], int] = {}
-    for i, p in enumerate(prints):
-        for k in enumerate(p):
-            up[root(i)] = root(first.setdefault(k, i))
-    return [root(i) for i in range(len(prints))]
+def near_copies(prints: list[list[int]]) -> list[int]:
+    """A class for each text, by fingerprints: that of the first text with a similarity of at least NEAR that heads a class
+    and has EQUAL of PRINTS minima in common, else its own.  Members needn't be near one another, but no class is a chain."""
+    salts = mix64(np.arange(1, PRINTS + 1, dtype=np.uint64))
+    sketches = [np.array(p, np.uint64) for p in prints]
+    heads: dict[tuple, list[int]] = {}
+    same: dict[bytes, int] = {}
+    out = []
+    for i, a in enumerate(sketches):
+        if not len(a):
+            out.append(i)
+            continue
+        exact = a.tobytes()
+        if exact not in same:
+            least = mix64(a[:, None] ^ salts).min(axis=0).tolist()
+            subsets = list(combinations(enumerate(least), EQUAL))
+            tried = sorted({h for k in subsets for h in heads.get(k, ())})
+            same[exact] = next((h for h in tried if similarity(a, sketches[h]) >= NEAR), i)
+            if same[exact] == i:
+                for k in subsets:
+                    heads.setdefault(k, []).append(i)
+        out.append(same[exact])
+    return out
 
 
 def fingerprint(text: str | None) -> list[int]:
-    """The smallest shingle hash in each of PRINTS ranges (one-permutation MinHash)."""
-    h = np.sort(shingles(text))
-    at = np.searchsorted(h, (np.arange(PRINTS, dtype=np.uint64) << np.uint64(64 - PRINTS.bit_length() + 1)))
-    return [int(h[i] >> np.uint64(1)) if i < len(h) else -1 - k for k, i in enumerate(at)] if len(h) else []
+    """The SKETCH smallest distinct shingle hashes, in order."""
+    return (np.unique(shingles(text))[:SKETCH] >> np.uint64(1)).astype(np.int64).tolist()
 
 
-def train(rows: list[set[str]], toxic: list[int], chosen: list[str], swaps: list[tuple]) -> tuple[float, dict[str, float]]:
+def train(rows: list[set[str]], toxic: list[int], chosen: list[str], swaps: list[tuple],
+          share: list[float] | None = None) -> tuple[float, dict[str, float]]:
     """(intercept, weights) of the regularised model over the chosen features and all keys of the
-    swaps; a swap is (keys lost, keys gained) or (..., how often); a single key may be a string."""
+    swaps; a swap is (keys lost, keys gained) or (..., how often); a single key may be a string.  ``share``: the weight of each row (1)."""
     y = np.array(toxic, float)
-    n1, n0 = y.sum(), len(y) - y.sum()
+    part = np.ones(len(y)) if share is None else np.array(share, float)
+    n1, n0 = (part * y).sum(), (part * (1 - y)).sum()
     if not n1 or not n0:
         return (math.log(9) if n1 else -math.log(9)), {}
     pairs: Counter[tuple] = Counter()
@@ -176,7 +198,7 @@ def train(rows: list[set[str]], toxic: list[int], chosen: list[str], swaps: list
     m, v = np.zeros(k + 1), np.zeros(k + 1)
     for step in range(1, STEPS + 1):
         p = 1 / (1 + np.exp(-(b + np.bincount(docs, w[cols], minlength=len(y)))))
-        r = (p - y) / len(y)
+        r = part * (p - y) / part.sum()
         g = np.bincount(cols, r[docs], minlength=k) + 2 * L2 * w
         if len(often):  # a swap changes the score by the weights it loses less those it gains
             d = 2 * FAIR * np.bincount(pair_of, sign_of * w[key_of], minlength=len(often)) * often / often.sum()
@@ -197,33 +219,37 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[float, dict[str, float]]:
     ids = one.filter(hash_share(F.col("doc_id"), "toxicity") < share)  # about 12,000 rows at most
     sample = shared_table(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), "toxicity-sample")
 
-    # one text of each group of near copies and label
+    # the texts of a group of near copies and label share one weight
     def prints(batches):
         for b in slices(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([fingerprint(t) for t in b.column(2).to_pylist()], pa.list_(pa.int64()))],
                                              names=["doc_id", "toxic", "print"])
 
-    def first_of_class(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "toxic"], kind="stable")
+    def shares(pdf: pd.DataFrame) -> pd.DataFrame:
+        # by the fingerprint after the id, so that repeated ids come in a fixed order
+        pdf["print"] = pdf["print"].map(tuple)
+        pdf = pdf.sort_values(["doc_id", "toxic", "print"], kind="stable")
         pdf["class"] = near_copies(pdf["print"].tolist())
-        return pdf.drop_duplicates(["class", "toxic"])[["doc_id", "toxic"]]
+        pdf["share"] = 1 / pdf.groupby(["class", "toxic"])["doc_id"].transform("size")
+        return pdf.groupby(["doc_id", "toxic"], as_index=False)["share"].mean()
 
-    distinct = (sample.select("doc_id", "toxic", "text").mapInArrow(prints, "doc_id bigint, toxic int, print array<bigint>")
-                .groupBy(F.lit(0).alias("all")).applyInPandas(first_of_class, "doc_id bigint, toxic int"))
-    rows = shared_table(sample.join(F.broadcast(distinct), ["doc_id", "toxic"]), "toxicity-rows")
-    size = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    weighed = (sample.select("doc_id", "toxic", "text").mapInArrow(prints, "doc_id bigint, toxic int, print array<bigint>")
+               .groupBy(F.lit(0).alias("all")).applyInPandas(shares, "doc_id bigint, toxic int, share double"))
+    rows = shared_table(sample.join(F.broadcast(weighed), ["doc_id", "toxic"]), "toxicity-rows")
+    # sums are rounded, as their last digits depend on the order of the tasks
+    size = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.round(F.sum("share"), 6).alias("n")).collect()}
 
     def featured(batches):
         for b in slices(batches):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([sorted(features(t)) for t in b.column(1).to_pylist()], pa.list_(pa.string()))],
-                                             names=["toxic", "features"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([sorted(features(t)) for t in b.column(1).to_pylist()], pa.list_(pa.string())),
+                                              b.column(2)], names=["toxic", "features", "share"])
 
     n1, n0 = size.get(1, 0), size.get(0, 0)
     chosen: list[str] = []
     if n1 and n0:
-        tallies = (rows.select("toxic", "text").mapInArrow(featured, "toxic int, features array<string>")
-                   .select("toxic", F.explode("features").alias("feature"))
-                   .groupBy("feature").agg(F.sum("toxic").alias("a"), F.count("*").alias("n"))
+        tallies = (rows.select("toxic", "text", "share").mapInArrow(featured, "toxic int, features array<string>, share double")
+                   .select("toxic", "share", F.explode("features").alias("feature"))
+                   .groupBy("feature").agg(F.round(F.sum(F.col("toxic") * F.col("share")), 6).alias("a"), F.round(F.sum("share"), 6).alias("n"))
                    .filter(F.col("n") >= LEAST_SUPPORT))
         tallies = shared_table(tallies, "toxicity-tallies")
         least = math.sqrt(2 * math.log(max(2, tallies.count()))) + Z_MARGIN
@@ -239,14 +265,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[float, dict[str, float]]:
             swaps = [[{"lost": lost, "gained": gained, "n": n} for (lost, gained), n in swapped(t).items()] for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([sorted(wanted & features(t)) for t in texts], pa.list_(pa.string())),
-                 pa.array(swaps, pa.list_(swap))], names=["toxic", "features", "swaps"])
+                 pa.array(swaps, pa.list_(swap)), b.column(2)], names=["toxic", "features", "swaps", "share"])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        swaps = [(x["lost"], x["gained"], x["n"]) for s in pdf["swaps"] for x in s]
-        b, weights = train([set(x) for x in pdf["features"]], pdf["toxic"].tolist(), chosen, swaps)
+        swaps = [(x["lost"], x["gained"], x["n"] * part) for s, part in zip(pdf["swaps"], pdf["share"]) for x in s]
+        b, weights = train([set(x) for x in pdf["features"]], pdf["toxic"].tolist(), chosen, swaps, pdf["share"].tolist())
         return pd.DataFrame({"feature": [None, *weights], "weight": [b, *weights.values()]})
 
-    fitted = (rows.select("toxic", "text").mapInArrow(kept, "toxic int, features array<string>, swaps array<struct<lost:array<string>,gained:array<string>,n:double>>")
+    fitted = (rows.select("toxic", "text", "share")
+              .mapInArrow(kept, "toxic int, features array<string>, swaps array<struct<lost:array<string>,gained:array<string>,n:double>>, share double")
               .groupBy(F.lit(0).alias("all")).applyInPandas(run, "feature string, weight double").collect())
     weights = {r["feature"]: r["weight"] for r in fitted}
     return weights.pop(None, -math.log(9)), weights
