@@ -76,3 +76,17 @@ def test_ingest_batches_survives_a_new_state(spark):
     second(batch("a", "d"), 0)
     assert sorted(r.aid for r in spark.read.parquet(items).collect()) == ["a", "b", "c", "d"]
     assert sorted(r.aid for r in spark.read.parquet(registry).collect()) == ["a", "b", "c", "d"]
+
+
+def test_streams_read_folders_of_part_files(spark):
+    from tidewatch.plans.queries import REGISTRY
+
+    single, base = "/root/testdata/sf0.001", tempfile.mkdtemp(prefix="tw-parts-")
+    spark.read.parquet(f"{single}/documents.parquet").repartition(6).write.parquet(f"{base}/documents.parquet")
+    spark.read.parquet(f"{single}/events.parquet").repartition(6).write.partitionBy("event_type").parquet(f"{base}/events.parquet")
+    for name in ("stream_dedup", "stream_daily"):
+        want, got = ([tuple(r) for r in REGISTRY[name](spark, d).collect()] for d in (single, base))
+        assert len(got) == len(want) > 0
+    key = ["date", "kw", "n"]
+    want, got = (sorted(map(tuple, REGISTRY["stream_daily"](spark, d).select(*key).collect())) for d in (single, base))
+    assert got == want

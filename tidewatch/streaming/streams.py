@@ -82,11 +82,24 @@ def scratch_dirs(spark: SparkSession, name: str) -> tuple[str, str]:
     return os.path.join(base, run, "out"), os.path.join(base, run, "state")
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a file stream: one Parquet file or a folder of part files.
+
+    All files that are there make one epoch: the rows of a table come in no order, so with
+    several epochs the watermark of an early one would drop rows of a later one.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
+        return reader.parquet(path)
+    # a file stream takes folders only
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
 def document_stream(spark: SparkSession, sf_dir: str, epoch: str = "2024-01-01", days: int = 31) -> DataFrame:
     """``documents`` as an item stream (file source): ``ts`` = epoch + doc_id % days."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").schema
-    docs = (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
-            .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    docs = table_stream(spark, sf_dir, "documents")
     ts = F.timestamp_add("DAY", (F.col("doc_id") % days).cast("int"), F.lit(epoch).cast("timestamp"))
     return docs.select(item_id(F.lit(""), F.col("text")).alias("aid"), "source", F.col("doc_id").alias("pos"),
                        ts.alias("ts"))
@@ -94,8 +107,7 @@ def document_stream(spark: SparkSession, sf_dir: str, epoch: str = "2024-01-01",
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a stream with ``kw = user_id:event_type``."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
-    ev = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    ev = table_stream(spark, sf_dir, "events")
     return ev.select(F.col("ts").cast("timestamp").alias("ts"),
                      F.concat_ws(":", F.col("user_id").cast("string"), F.col("event_type")).alias("kw"),
                      "value")
