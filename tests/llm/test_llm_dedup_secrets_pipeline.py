@@ -128,6 +128,29 @@ def test_secrets_are_masked_and_look_alikes_stay(spark):
     assert S.report(docs.limit(0)).count() == 0
 
 
+# text, the value in it
+ASSIGNED = [('{"password": "hunter2x9!"}', "hunter2x9!"), ('{"api_key":"k3y-9aZ!pQ"}', "k3y-9aZ!pQ"), ('"token":"album512!Ab3xYz"', "album512!Ab3xYz"),
+            ("access_key = Zx81kQp0aa", "Zx81kQp0aa"), ("client_credential: Zx81kQp0aa", "Zx81kQp0aa"), ("api-key: Zx81kQp0aa", "Zx81kQp0aa"),
+            ("Authorization: Bearer Zx81kQp0aa", "Zx81kQp0aa"), ("private_key=album512!Ab3xYz", "album512!Ab3xYz"), ("see ?token=Zx81kQp0aa&page=2 here", "Zx81kQp0aa"),
+            ("(password: hunter2x9a).", "hunter2x9a"), ('x="0123456789abcdef0123=="', "0123456789abcdef0123=="), ("sessions_id=Zx81kQp0aa", "Zx81kQp0aa")]
+
+
+def test_assigned_values_are_whole_candidates(spark):
+    docs = _docs(spark, [t for t, _ in ASSIGNED] + ["author: somebodyelse, the bearer presents it", "token=" + "a1" * 100_000])
+    found = docs.select("doc_id", S.candidates(F.col("text"), F.split("text", S.CANDIDATE, -1)).alias("c")).collect()
+    got = {r.doc_id: [c.value for c in r.c] for r in found}
+    assert [got[i] for i in range(len(ASSIGNED))] == [[v] for _, v in ASSIGNED]
+    assert got[len(ASSIGNED)] == [] and got[len(ASSIGNED) + 1] == ["a1" * 100_000]
+    masked = {r.doc_id: r.text for r in S.redact(docs).collect()}
+    assert all(masked[i] == t.replace(v, S.MARK) for i, (t, v) in enumerate(ASSIGNED[:9]))
+
+
+def test_findings_are_learned_as_the_scan_cuts_them(spark):
+    found = S.labelled_findings(spark, 600)
+    whole = S.found_candidates(found.filter("label = 1").withColumn("v", F.col("value")))
+    assert whole.count() >= 300 and whole.filter("c.value like '%token=%'").count() == 0
+
+
 def _vote(tree, row):
     while not isinstance(tree, float):
         feature, limit, left, right = tree

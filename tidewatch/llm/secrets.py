@@ -1,12 +1,13 @@
 r"""Secret scans: candidates by pattern, false positives removed by a random forest.
 
 Everything on the documents is a DataFrame or SQL expression.  A candidate is a run of at least
-16 token characters with a digit in it, or a shorter value assigned to a secret-like name.
+16 token characters with a digit in it, or a shorter value assigned to a secret-like name (``name = value``, quoted
+or not, ``Bearer value``).  A name and its sign aren't part of the value.
 Each candidate gets the features of ``FEATURES``: length, character classes and the
 transitions between them, coverage by dictionary words, path-like shape and surroundings, and
 neighbouring words on both sides.  A random forest (fixed seed) votes; its trees become one SQL
 expression, so scoring needs no shuffle and no second pass: a row's candidates are scored inside
-the row.  Only the fitting is Python, on the driver, from the features of at most ``MAX_FINDINGS`` labelled findings.
+the row.  Findings are cut into candidates by the same expression before they are learned from.  Only the fitting is Python, on the driver, from the features of at most ``MAX_FINDINGS`` labelled findings.
 
 Labelled findings are a parameter (``left``, ``value``, ``right``, ``label``).  The given tables label no
 findings, so ``labelled_findings`` generates a bounded set (``FINDINGS``) by rules for what
@@ -34,13 +35,22 @@ DEPTH = 7
 SEED = 11
 LEFT_CHARS, RIGHT_CHARS = 40, 20
 
-_TOKEN = "A-Za-z0-9_+/=~-"
-_NAMES = "api[_-]?key|access[_-]?key|secret|token|password|passwd|pwd|credential|auth|bearer|private[_-]?key"
+_TOKEN = "A-Za-z0-9_+/~-"  # and up to two '=' at the end
+_NAMES = r"api[_\s-]?key|access[_\s-]?key|secret|token|password|passwd|pwd|credential|auth|authorization|bearer|private[_\s-]?key"
 _BENIGN = "commit|sha-?1|sha-?256|md5|checksum|digest|uuid|guid|hash|build|revision|etag|isbn|phone|tel|call|version|license|example|sample|page|file|path|see"
-_ASSIGNED = r"[=:][\s\"']{0,4}"
-# the first lookbehind is the cheap one: few places follow an assignment sign
-CANDIDATE = (rf"(?<![{_TOKEN}])(?=[A-Za-z_+/=~-]*[0-9])[{_TOKEN}]{{16,}}"
-             rf"|(?<={_ASSIGNED})(?<=(?i:secret|token|password|passwd|pwd|api_?key)\s{{0,2}}{_ASSIGNED})[^\s\"'<>,;]{{8,}}")
+_OPEN = r"[\s\"'`\\]"
+_ASSIGNED = rf"[=:]{{1,2}}>?{_OPEN}{{0,4}}"
+_SCHEME = r"(?i:bearer|basic|token)\s{1,2}"
+_VALUE = r"[^\s\"'<>,;]"
+_END = r"(?=[\s\"'<>,;]|\z|&\w{1,40}=|[.:)\]}`\\]{1,8}(?:[\s\"'<>,;]|\z))"
+_DIGIT = r"(?=[A-Za-z_+/~-]*[0-9])"
+# the assigned value first, so that a value isn't cut at its first other character; the first
+# lookbehinds are the cheap ones: few places follow an assignment sign
+CANDIDATE = (rf"(?<=[=:>\s\"'`\\])(?![=:>`\\])(?:(?<={_ASSIGNED}(?:{_SCHEME})?)(?<=(?i:{_NAMES})s?[\s\"'`\\-]{{0,4}}{_ASSIGNED}(?:{_SCHEME})?)"
+             rf"|(?<=(?i:bearer)\s{{1,2}})(?=[a-z]*[^a-z\s\"'<>,;.])){_VALUE}{{8,}}?{_END}"
+             # after the '=' of a run of 16
+             rf"|(?<==)(?<=(?<![={_TOKEN}])(?=[={_TOKEN}]{{16}})[={_TOKEN}]{{1,200}}=){_DIGIT}[{_TOKEN}]{{8,}}(?:={{1,2}}(?![={_TOKEN}]))?"
+             rf"|(?<![{_TOKEN}]){_DIGIT}[{_TOKEN}]{{16,}}(?:={{1,2}}(?![={_TOKEN}]))?")
 
 # fixed values: words that names, paths and placeholders are made of
 DICTIONARY = (
@@ -159,12 +169,19 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
         F.concat(F.when((F.col("label") == 1) & (secret_left == key_left), close).otherwise(empty), F.lit(" "), word[5], F.lit(" ")).alias("right"), "label")
 
 
+def found_candidates(findings: DataFrame) -> DataFrame:
+    """(c, label): the candidates that the scan makes of the findings' values."""
+    body = findings.select("value", F.col("label").cast("int").alias("label"), F.concat("left", "value", "right").alias("text")).na.drop()
+    return (body.select("value", "label", F.explode(candidates(F.col("text"), F.split("text", CANDIDATE, -1))).alias("c"))
+            .filter(F.contains("value", F.col("c.value")) | F.contains(F.col("c.value"), F.col("value"))).select("c", "label"))
+
+
 def fit_forest(findings: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED, most: int = MAX_FINDINGS) -> str:
     """The fitted forest as SQL over the features of a struct ``f`` (share of trees that vote secret).
 
-    At most about ``most`` findings (a hash sample) come to the driver, as numbers."""
-    c = F.struct("value", F.right("left", F.lit(LEFT_CHARS)).alias("before"), F.left("right", F.lit(RIGHT_CHARS)).alias("after"))
-    rows = findings.select(c.alias("c"), F.col("label").cast("int").alias("label")).na.drop()
+    At most about ``most`` findings (a hash sample) come to the driver, as numbers.  A finding is learned as the candidates
+    that the scan would make of its value; one without any is never scored."""
+    rows = found_candidates(findings)
     n = rows.count()
     if n > most:
         rows = rows.filter(F.pmod(F.xxhash64("c"), F.lit(1 << 30)) < int((1 << 30) * most / n))
