@@ -91,3 +91,96 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
 FROM m
 """
+
+
+def _code_rounds(parts: int, entries: int, scale: int, rounds: int) -> str:
+    """Plain assignment and means, round by round, over (row, part) pairs."""
+    w = f"(len(v) // {parts})"
+    steps = [f"""
+WITH k AS (SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * {scale})::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT rid, part, list_slice(v, part * {w} + 1, (part + 1) * {w}) AS x FROM k, range({parts}) AS r(part)),
+f AS (SELECT rid, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS entry FROM k),
+c0 AS (SELECT part, entry, x AS c FROM p JOIN f USING (rid) WHERE entry < {entries})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS (SELECT rid, part, any_value(x) AS x, min(struct_pack(d := list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, e := entry)) AS m
+  FROM p JOIN c{r} USING (part) GROUP BY rid, part)""")
+        if r < rounds:
+            steps.append(f"""
+s{r} AS (SELECT part, entry, i, sum(y) AS s, count(*) AS n FROM (
+    SELECT part, m.e AS entry, unnest(range(1, len(x) + 1)) AS i, unnest(x) AS y FROM a{r}) GROUP BY part, entry, i),
+m{r} AS (SELECT part, entry, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS c FROM s{r} GROUP BY part, entry),
+c{r + 1} AS (SELECT c{r}.part, c{r}.entry, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} USING (part, entry))""")
+    return ",".join(steps)
+
+
+SQL["op11_vector_codes"] = _code_rounds(16, 64, 256, 2) + """,
+h AS (SELECT sha256(string_agg(y::VARCHAR, ',' ORDER BY part, entry, i)) AS codebooks_sha256 FROM (
+  SELECT part, entry, unnest(range(1, len(c) + 1)) AS i, unnest(c) AS y FROM c2)),
+o AS (SELECT rid, string_agg(printf('%02x', m.e), '' ORDER BY part) AS code, sum(m.d)::BIGINT AS error FROM a2 GROUP BY rid)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM k JOIN o USING (rid), h
+"""
+
+# Edits row by row: the cheapest way into each state of the role sequence (0 nothing yet, 1 after system, 2 after
+# user, 3 after assistant), ties by the least audit, with up to two inserts before a row; all other ways into the state
+# are dropped after each row.  DuckDB has no crc32, so the byte table is made first.
+SQL["op12_conversation_repair"] = r"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), b)) AS t),
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+src AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(list_transform(string_split(k, ''), lambda x: ord(x)::BIGINT),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) % 20 AS kind FROM keyed, tab),
+dam AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM src WHERE kind <> 0),
+num AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id) AS ck,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+    rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS seen, left(role, 1) AS ini FROM dam),
+fault AS (
+  SELECT *, CASE WHEN seen = '' THEN 'b' WHEN row_number() OVER (PARTITION BY ck, role, text ORDER BY i) > 1 THEN 'd'
+      WHEN right(seen, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '-' END AS f,
+    lag(ini) OVER (PARTITION BY ck ORDER BY i) AS before FROM num),
+sizes AS (SELECT ck, any_value(conv_id) AS conv_id, max(i) AS n FROM num GROUP BY ck),
+path AS (
+  SELECT ck, 0::BIGINT AS i, 0 AS st, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS lines FROM sizes
+  UNION ALL
+  SELECT ck, i, st, cost, audit, lines FROM (
+    SELECT *, row_number() OVER (PARTITION BY ck, st ORDER BY cost, audit) AS rank FROM (
+      SELECT ck, r_i AS i, CASE op WHEN 'D' THEN pre WHEN 'K' THEN CASE ini WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END
+          ELSE CASE WHEN pre = 2 THEN 3 ELSE 2 END END AS st,
+        cost + CASE op WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + CASE WHEN op <> 'D' AND f = 't' THEN 5 ELSE 0 END AS cost,
+        audit || op AS audit,
+        CASE op WHEN 'D' THEN lines WHEN 'K' THEN list_append(lines, role || ':' || text)
+          ELSE list_append(lines, CASE WHEN pre = 2 THEN 'assistant:' ELSE 'user:' END || text) END AS lines
+      FROM (
+        SELECT p.ck, r.i AS r_i, r.ini, r.f, r.role, r.text, ins.n,
+          CASE ins.n WHEN 0 THEN p.st WHEN 1 THEN CASE WHEN p.st = 2 THEN 3 ELSE 2 END ELSE CASE WHEN p.st = 2 THEN 2 ELSE 3 END END AS pre,
+          p.cost + 5 * ins.n AS cost, p.audit || repeat('I', ins.n) AS audit,
+          list_concat(p.lines, CASE WHEN p.st = 2 THEN ['assistant:', 'user:'][1:ins.n] ELSE ['user:', 'assistant:'][1:ins.n] END) AS lines
+        FROM path p JOIN fault r ON r.ck = p.ck AND r.i = p.i + 1, (VALUES (0), (1), (2)) AS ins(n)) w,
+        (VALUES ('D'), ('K'), ('R')) AS ops(op)
+      WHERE op = 'D' OR f NOT IN ('b', 'd') AND (op = 'R' OR ini = 's' AND pre = 0 OR ini = 'u' AND pre <> 2 OR ini = 'a' AND pre = 2)))
+  WHERE rank = 1),
+ended AS (
+  SELECT ck, cost + 5 * n AS cost, audit || repeat('I', n) AS audit,
+    list_concat(lines, CASE WHEN st = 2 THEN ['assistant:'] ELSE ['user:', 'assistant:'][1:n] END) AS lines
+  FROM (SELECT p.*, CASE p.st WHEN 0 THEN 0 WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE 0 END AS n FROM path p JOIN sizes s ON s.ck = p.ck AND s.n = p.i)),
+best AS (SELECT * FROM ended QUALIFY row_number() OVER (PARTITION BY ck ORDER BY cost, audit) = 1),
+facts AS (
+  SELECT ck, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (f = 'b') AS blank,
+    count(*) FILTER (f = 'd') AS duplicate, count(*) FILTER (f = 't') AS truncated,
+    count(*) FILTER (i > 1 AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal FROM fault GROUP BY ck),
+done AS (SELECT s.conv_id, facts.*, cost, audit, sha256(array_to_string(lines, chr(10))) AS sha
+  FROM sizes s JOIN facts USING (ck) JOIN best USING (ck))
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN done ON o.conv_id IS NOT DISTINCT FROM done.conv_id
+"""

@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import chat, decontaminate, language, neardup, packing, quality, secrets, sharding, toxicity, warc
+from tidewatch.llm import (chat, codes, decontaminate, language, neardup, packing, quality, repair, secrets, sharding,
+                           toxicity, warc)
 from tidewatch.llm.common import ship_package
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +87,14 @@ def op9_decontamination(spark, sf_dir):
 @register
 def op10_sharding(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@register
+def op11_vector_codes(spark, sf_dir):
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op12_conversation_repair(spark, sf_dir):
+    given = table(spark, sf_dir, "conversations")
+    return repair.report(given, repair.repair(repair.damage(given)))
