@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import (chat, codes, decontaminate, language, neardup, packing, quality, repair, secrets, sharding,
-                           toxicity, warc)
+from tidewatch.llm import (chat, codes, decontaminate, language, lm, neardup, packing, quality, repair, secrets,
+                           sharding, toxicity, warc)
 from tidewatch.llm.common import ship_package
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,9 @@ def op11_vector_codes(spark, sf_dir):
 def op12_conversation_repair(spark, sf_dir):
     given = table(spark, sf_dir, "conversations")
     return repair.report(given, repair.repair(repair.damage(given)))
+
+
+@register
+def op13_lm_scoring(spark, sf_dir):
+    scored = lm.score(table(spark, sf_dir, "documents"), fold(7) != 2)
+    return scored.withColumn("held_out", F.coalesce(fold(7) == 2, F.lit(False))).drop("train")
