@@ -59,3 +59,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = os.path.join(os.environ.get("TMPDIR", "/tmp"), "tidewatch-checkpoints")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, whatever the working folder
+    (on a cluster the package is installed or sent with ``--py-files``; this changes nothing there)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])

@@ -2,9 +2,10 @@
 
 Payloads arrive as tables (one row per fetched page / feed / API response);
 every job is a row-local expression plus explode, so it scales with the number
-of payloads.  Malformed payloads give null structs (``from_xml`` /
-``from_json`` in PERMISSIVE mode), hence no rows, and the source shows up as
-``fail`` in the ingest statistics (P20).
+of payloads.  Pages are scanned once by the linear scanner of ``functions.markup``;
+rules, orders and limits are Spark expressions over its elements.  A payload that
+gives nothing usable gives no rows, the source shows up as ``fail`` in the ingest
+statistics, and ``rejected_*`` list it with the reason (P20).
 """
 
 from __future__ import annotations
@@ -12,17 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from tidewatch import constants as C
+from tidewatch.functions.markup import Selector, joined_text, scanned
 from tidewatch.functions.text import PY_WHITESPACE_CLASS, clip, is_relevant, py_strip, repo_name, repo_path, summary_from_parts
-
-def attribute(name: str) -> str:
-    """Pattern of an attribute in any HTML form; its value is in one of three groups
-    (double-quoted, single-quoted, bare)."""
-    return rf"""\b{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-
-
-# a tag's other attributes may hold ">" inside quotes
-_REST = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
-ANCHOR_PATTERN = rf"(?is)<a\s(?:{_REST}?\s)??{attribute('href')}{_REST}>(.*?)</a>"
+from tidewatch.session import ship_package
 
 # ---- fixed values: named entities decoded in text ----
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
@@ -64,13 +57,17 @@ def html_text(c: str | Column) -> Column:
     return py_strip(decode_entities(no_tags))
 
 
-def anchors(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
-    """Every ``<a href="...">`` of every page: ``keep..., pos, href, title``."""
-    quoted, single, bare, inner = [F.regexp_extract_all(F.col(html), F.lit(ANCHOR_PATTERN), i) for i in range(1, 5)]
-    hrefs = F.transform(quoted, lambda q, i: F.concat(q, F.get(single, i), F.get(bare, i)))
-    z = pages.select(*keep, F.posexplode(F.arrays_zip(hrefs.alias("href"), inner.alias("inner"))).alias("pos", "a"))
-    return z.select(*keep, (F.col("pos") + 1).alias("pos"),
-                    decode_entities(F.col("a.href")).alias("href"), html_text(F.col("a.inner")).alias("title"))
+ANCHOR = Selector("a", "a")
+
+
+def anchors(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url"), title_chars: int | None = None) -> DataFrame:
+    """Every ``<a href>`` element of every page: ``keep..., pos, href, title`` (the first ``title_chars`` characters)."""
+    ship_package(pages.sparkSession)
+    page = pages.select(*keep, scanned(html, [ANCHOR]).alias("_page"))
+    linked = F.filter("_page.elements", lambda e: e["href"].isNotNull())
+    z = page.select(*keep, F.col("_page.texts").alias("_texts"), F.posexplode(linked).alias("pos", "a"))
+    return z.select(*keep, (F.col("pos") + 1).alias("pos"), F.col("a.href").alias("href"),
+                    joined_text(F.col("_texts"), F.col("a"), title_chars).alias("title"))
 
 
 def page_origin(url: str | Column = "url") -> Column:
@@ -97,7 +94,7 @@ def harvest_links(pages: DataFrame, rule: str, value: str, base: str | Column |
     ``(page, href)`` and the cap a per-page ``WindowGroupLimit``.
     """
     base_c = page_origin("url") if base is None else (F.lit(base) if isinstance(base, str) else base)
-    a = anchors(pages).withColumn("_base", base_c)
+    a = anchors(pages, title_chars=max(title_chars, min_title)).withColumn("_base", base_c)
     if rule == "prefix":
         a = a.filter(F.col("href").startswith(value) & (F.col("href") != value))
     elif rule == "contains":
@@ -125,30 +122,39 @@ def harvest_links(pages: DataFrame, rule: str, value: str, base: str | Column |
                     F.substring("title", 1, title_chars).alias("title"), "url"))
 
 
+def _blocks(pages: DataFrame, keep: tuple[str, ...], wanted: list[Selector], block: Selector, closed_by_next: list[str]) -> DataFrame:
+    """Block elements with the text of the first element of each selector inside them (null: none):
+    ``keep..., pos`` and per label its text and ``<label>_href``."""
+    ship_package(pages.sparkSession)
+    page = pages.select(*keep, scanned("html", wanted, block, closed_by_next).alias("_page"))
+    b = page.select(*keep, F.col("_page.texts").alias("_texts"), F.col("_page.elements").alias("_elements"),
+                    F.posexplode("_page.blocks").alias("bpos", "_found"))
+    columns = []
+    for i, selector in enumerate(wanted):
+        element = F.get("_elements", F.col("_found")[i])  # null for -1
+        columns += [F.when(F.col("_found")[i] >= 0, joined_text(F.col("_texts"), element)).alias(selector.label),
+                    element["href"].alias(f"{selector.label}_href")]
+    return b.select(*keep, (F.col("bpos") + 1).cast("bigint").alias("pos"), *columns)
+
+
 def harvest_blocks(pages: DataFrame, block_tag: str = "article", title_tag: str = "h1",
                    desc_tag: str = "p", counter_tag: str | None = None, relevance: bool = True,
                    desc_chars: int = C.SUMMARY_CHARS) -> DataFrame:
     """Block harvest (S3): one item per ``<block_tag>`` element that has a title.
 
     Title = text of the first ``<title_tag>``; description = text of the first
-    ``<desc_tag>`` up to its close or the next ``<desc_tag>``; counter text =
+    ``<desc_tag>`` (the next ``<desc_tag>`` closes an open one); counter text =
     text of the first ``<counter_tag>`` (optional).  Blocks without a title are
     skipped; with ``relevance`` the P2 filter runs on ``title + ' ' + desc``.
     Summary = ``desc + '  ⭐ ' + counter`` when a counter is present.
     """
-    blocks = F.regexp_extract_all(F.col("html"), F.lit(f"(?is)<{block_tag}[\\s>](.*?)</{block_tag}>"), 1)
-    b = pages.select("page_id", "url", F.posexplode(blocks).alias("bpos", "block"))
-
-    def first(tag: str, stop: str) -> Column:
-        return F.regexp_extract(F.col("block"), f"(?is)<{tag}(?:\\s[^>]*)?>(.*?)(?:{stop})", 1)
-
-    title = html_text(first(title_tag, f"</{title_tag}>"))
-    has_title = F.col("block").rlike(f"(?is)<{title_tag}(?:\\s[^>]*)?>.*?</{title_tag}>")
-    desc = html_text(first(desc_tag, f"</{desc_tag}>|<{desc_tag}[\\s>]|$"))
-    counter = html_text(first(counter_tag, f"</{counter_tag}>")) if counter_tag else F.lit("")
-    out = b.filter(has_title).select(
-        "page_id", (F.col("bpos") + 1).cast("bigint").alias("pos"), "url",
-        title.alias("title"), desc.alias("description"), counter.alias("counter"))
+    wanted = [Selector("title", title_tag), Selector("description", desc_tag)]
+    if counter_tag:
+        wanted.append(Selector("counter", counter_tag))
+    out = _blocks(pages, ("page_id", "url"), wanted, Selector("block", block_tag), [desc_tag])
+    out = out.filter(F.col("title").isNotNull()).select(
+        "page_id", "pos", "url", "title", F.coalesce("description", F.lit("")).alias("description"),
+        (F.coalesce("counter", F.lit("")) if counter_tag else F.lit("")).alias("counter"))
     if relevance:
         out = out.filter(is_relevant("title", "description"))
     summary = F.when(F.col("counter") != "", F.concat(F.col("description"), F.lit("  ⭐ "), F.col("counter"))) \
@@ -164,6 +170,11 @@ RSS_SCHEMA = ("channel STRUCT<item: ARRAY<STRUCT<title: STRING, link: STRING, de
               "pubDate: STRING>>>")
 
 
+def _parsed_feeds(payloads: DataFrame) -> DataFrame:
+    parsed = payloads.withColumn("_doc", F.from_xml("xml", RSS_SCHEMA, {"rowTag": "rss", "mode": "PERMISSIVE"}))
+    return parsed.withColumn("_atom", F.from_xml("xml", ATOM_SCHEMA, {"rowTag": "feed", "mode": "PERMISSIVE"}))
+
+
 def harvest_feed(payloads: DataFrame, max_items: int = C.FEED_ENTRIES,
                  summary_chars: int = C.SUMMARY_CHARS) -> DataFrame:
     """RSS and Atom payloads ``(source, category, xml)`` to items.
@@ -172,8 +183,7 @@ def harvest_feed(payloads: DataFrame, max_items: int = C.FEED_ENTRIES,
     trims title, url, summary; summary cut to 1000 characters.  ``pos`` is the
     entry's place in the feed.
     """
-    parsed = payloads.withColumn("_doc", F.from_xml("xml", RSS_SCHEMA, {"rowTag": "rss", "mode": "PERMISSIVE"}))
-    parsed = parsed.withColumn("_atom", F.from_xml("xml", ATOM_SCHEMA, {"rowTag": "feed", "mode": "PERMISSIVE"}))
+    parsed = _parsed_feeds(payloads)
 
     def entry(e: Column) -> Column:
         links = F.coalesce(e["link"], F.array())
@@ -214,26 +224,19 @@ def harvest_api(payloads: DataFrame, limit: int = C.FEED_ENTRIES, published: str
                     F.col("m.pipeline_tag").alias("pipeline_tag")))
 
 
-def _classes(*names: str) -> str:
-    """Look-aheads: the tag has all these classes, in any order and quoting."""
-    return "".join(rf"""(?={_REST}\bclass\s*=\s*(?:"(?:[^"]*\s)?{n}[\s"]|'(?:[^']*\s)?{n}[\s']|{n}[\s>]))""" for n in names)
+REPO_BLOCK = Selector("block", "article", ("Box-row",))
+REPO_PARTS = [Selector("link", "a", within="h2"), Selector("description", "p"),
+              Selector("stars", "span", ("d-inline-block", "float-sm-right"))]
 
 
 def _repo_rows(pages: DataFrame, host: str) -> DataFrame:
     """``page_id, pos, repo, title, url, description, stars`` of every repository block."""
-    blocks = F.regexp_extract_all(F.col("html"), F.lit(rf"(?is)<article\s(?={_classes('Box-row')}){_REST}>(.*?)</article>"), 1)
-    b = pages.select("page_id", F.posexplode(blocks).alias("bpos", "block"))
-    link = rf"(?is)<h2[^>]*>.*?<a\s(?:{_REST}?\s)??{attribute('href')}"
-    href = F.concat(*[F.regexp_extract("block", link, i) for i in (1, 2, 3)])
-    has_link = F.col("block").rlike(link)
-    desc = html_text(F.regexp_extract("block", r"(?is)<p(?:\s[^>]*)?>(.*?)</p>", 1))
-    counter = rf"(?is)<span\s(?={_classes('d-inline-block', 'float-sm-right')}){_REST}>(.*?)</span>"
-    stars = html_text(F.regexp_extract("block", counter, 1))
-    path = repo_path(href)
-    return (b.filter(has_link)
-           .select("page_id", (F.col("bpos") + 1).cast("bigint").alias("pos"), path.alias("repo"),
+    b = _blocks(pages, ("page_id",), REPO_PARTS, REPO_BLOCK, [])
+    path = repo_path(F.coalesce("link_href", F.lit("")))
+    return (b.filter(F.col("link").isNotNull())
+           .select("page_id", "pos", path.alias("repo"),
                    repo_name(path).alias("title"), F.concat(F.lit(host + "/"), path).alias("url"),
-                   desc.alias("description"), stars.alias("stars")))
+                   F.coalesce("description", F.lit("")).alias("description"), F.coalesce("stars", F.lit("")).alias("stars")))
 
 
 def harvest_repo_blocks(pages: DataFrame, host: str = "https://github.com") -> DataFrame:
@@ -246,6 +249,34 @@ def harvest_repo_blocks(pages: DataFrame, host: str = "https://github.com") -> D
     return out.withColumn("summary", F.substring(summary, 1, C.SUMMARY_CHARS))
 
 
+# ---------------------------------------------------------------- rejected payloads (P20)
+
+def rejected_pages(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
+    """Pages of which the scanner makes nothing: ``keep..., reason``."""
+    ship_package(pages.sparkSession)
+    page = pages.select(*keep, scanned(html, []).getField("reject").alias("reason"))
+    return page.filter(F.col("reason").isNotNull())
+
+
+def rejected_feeds(payloads: DataFrame, keep: tuple[str, ...] = ("source",)) -> DataFrame:
+    """Feed payloads that give no entries: ``keep..., reason``."""
+    blank = F.coalesce(py_strip("xml"), F.lit("")) == ""
+    parsed = _parsed_feeds(payloads).select(*keep, "xml", "_doc", "_atom")
+    root = F.regexp_extract("xml", r"<([A-Za-z][\w:.-]*)", 1)
+    reason = (F.when(blank, "empty payload").when(F.col("_doc.channel").isNull() & F.col("_atom.entry").isNull(),
+              F.when(root.isin("rss", "feed"), "not well-formed, or without a channel or entries").otherwise(F.concat(F.lit("not a feed: "), root))))
+    return parsed.select(*keep, reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
+def rejected_lists(payloads: DataFrame, keep: tuple[str, ...] = ("source",)) -> DataFrame:
+    """Model-list payloads that are no JSON array of objects: ``keep..., reason``."""
+    blank = F.coalesce(py_strip("body"), F.lit("")) == ""
+    listed = F.from_json("body", MODEL_SCHEMA, {"mode": "PERMISSIVE"})
+    reason = (F.when(blank, "empty payload").when(~py_strip("body").startswith("["), "not a list")
+              .when(listed.isNull(), "not well-formed JSON"))
+    return payloads.select(*keep, reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
 # ---------------------------------------------------------------- metrics snapshot
 
 def catalog_frame(spark) -> DataFrame:
