@@ -85,6 +85,26 @@ def test_kept_rows(spark):
     assert N.near_duplicates(docs.limit(0)).count() == 0 and N.keep_one(docs.limit(0)).count() == 0
 
 
+def test_callers_columns_come_back_as_they_were(spark):
+    texts = ["a b c d e f g h"] * 3 + [SECRETS[0] + " and more words here", "x y z"]
+    names = ["_found", "_gaps", "_id", "_node", "_one", "row", "node", "id", "one", "label", "a.b", "f", "value"]
+    docs = _docs(spark, texts, [5, 3, 3, 4, 6]).withColumns({n: F.concat(F.lit(n), F.lit("-"), F.col("doc_id").cast("string")) for n in names})
+    docs = docs.withColumn("value", F.monotonically_increasing_id()).withColumn("m", F.create_map(F.lit("k"), F.lit(1)))
+    rows = {(r["doc_id"], r["value"]): r.asDict() for r in docs.collect()}
+    masked = S.redact(docs)
+    assert masked.schema.simpleString() == docs.schema.simpleString()
+    for r in masked.collect():
+        want = rows[r["doc_id"], r["value"]]
+        assert {k: v for k, v in r.asDict().items() if k != "text"} == {k: v for k, v in want.items() if k != "text"}
+        assert (S.MARK in r["text"]) == (r["doc_id"] == 4)
+    kept = N.keep_one(docs)
+    assert kept.schema.simpleString() == docs.schema.simpleString()
+    got = kept.collect()
+    assert sorted(r["doc_id"] for r in got) == [3, 4, 6]
+    assert all(r.asDict() == rows[r["doc_id"], r["value"]] for r in got)
+    assert next(r["value"] for r in got if r["doc_id"] == 3) == min(v for d, v in rows if d == 3)  # the first by the other columns
+
+
 def test_sampling_estimates_the_weighted_jaccard():
     rng = np.random.RandomState(0)
     shared, own = [rng.randint(0, 1 << 62, n).astype(np.uint64) for n in (300, 100)]

@@ -57,6 +57,16 @@ def plain(df: DataFrame, **columns: str | Column) -> DataFrame:
     return df.select(*[(F.col(f"`{c}`") if isinstance(c, str) else c).alias(k) for k, c in columns.items()])
 
 
+def whole_rows(df: DataFrame) -> DataFrame:
+    """The caller's rows as one struct ``row``: whatever its columns are called, they can't clash with an operator's own."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+
+
+def row_columns(names: list[str], **replaced: Column) -> list[Column]:
+    """The columns of :func:`whole_rows` again, some of them replaced."""
+    return [replaced.get(c, F.col("row").getField(c)).alias(c) for c in names]
+
+
 def text_key(c: str | Column = "text") -> Column:
     """128-bit digest of a text (null: as empty), JVM side."""
     return F.unhex(F.md5(text_or_empty(c).cast("binary")))

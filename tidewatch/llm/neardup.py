@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidewatch.llm.common import mix64, shared_table, shingles, slices, text_key, text_or_empty
+from tidewatch.llm.common import mix64, row_columns, shared_table, shingles, slices, text_key, text_or_empty, whole_rows
 
 THRESHOLD = 0.8
 IDF_SHARE = 0.25
@@ -343,8 +343,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     rows, labels = near_classes(docs)
     last = F.lit((1 << 63) - 1)
     labelled = rows.join(labels, "node", "left").select(F.coalesce("doc_id", last).alias("id"), "node", F.coalesce("label", "node").alias("label"))
-    kept = labelled.groupBy("label").agg(F.min(F.struct("id", "node")).alias("k")).select(F.col("k.id").alias("_id"), F.col("k.node").alias("_node"))
-    tagged = docs.withColumn("_node", text_key(F.col("text"))).withColumn("_id", F.coalesce(F.col("doc_id").cast("bigint"), last))
-    chosen = tagged.join(kept, ["_node", "_id"], "left_semi")
-    one = F.row_number().over(Window.partitionBy("_node", "_id").orderBy(F.lit(0)))
-    return chosen.withColumn("_one", one).filter("_one = 1").select(*[f"`{c}`" for c in docs.columns])
+    kept = labelled.groupBy("label").agg(F.min(F.struct("id", "node")).alias("k")).select("k.id", "k.node")
+    row = F.col("row")
+    tagged = whole_rows(docs).withColumns({"node": text_key(row.getField("text")),
+                                           "id": F.coalesce(row.getField("doc_id").cast("bigint"), last)})
+    chosen = tagged.join(kept, ["node", "id"], "left_semi")
+    # rows of the same id and text: the first by all columns that have an order, so that a rerun keeps the same one
+    ordered = [row.getField(f.name) for f in docs.schema if f.dataType.typeName() not in ("map", "variant") and f.name not in ("doc_id", "text")]
+    one = F.row_number().over(Window.partitionBy("node", "id").orderBy(*ordered or [F.lit(0)]))
+    return chosen.withColumn("one", one).filter("one = 1").select(*row_columns(docs.columns))

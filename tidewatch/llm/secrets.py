@@ -16,7 +16,7 @@ words, placeholders) look like.
 
 Defined cases: null text gives no candidates and stays null, empty text too; copies and repeated candidates
 are each judged by their own neighbours; an empty table gives an empty result; other
-columns pass through :func:`redact` untouched.
+columns pass through :func:`redact` untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ import re
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidewatch.llm.common import row_columns, whole_rows
+
 MARK = "[SECRET]"
 THRESHOLD = 0.5
 FINDINGS = 4_000
@@ -247,7 +249,8 @@ def redacted(threshold: float = THRESHOLD) -> Column:
 
 def redact(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
     """``docs`` with the secrets in ``text`` masked; columns as before."""
-    return scan(docs, findings).withColumn("text", redacted()).select(*[f"`{c}`" for c in docs.columns])
+    rows = whole_rows(docs)
+    return scan(rows.withColumn("text", rows["row"].getField("text")), findings).select(*row_columns(docs.columns, text=redacted()))
 
 
 def report(docs: DataFrame, findings: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
