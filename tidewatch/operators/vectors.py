@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, Window
+from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from tidewatch import constants as C
 from tidewatch.functions.ngrams import explode_ngrams
@@ -109,6 +109,11 @@ def corpus_sizes(ct: DataFrame, members: DataFrame, corpus_keys: Sequence[str] =
             .filter(F.col("n_nonblank") >= min_nonblank))
 
 
+def term_pieces(term: str, slices: int = 64) -> Column:
+    """Hash slice of a term: large corpora are ranked slice by slice first."""
+    return F.pmod(F.xxhash64(term), F.lit(slices))
+
+
 def top_terms(stats: DataFrame, ck: list[str], max_features: int, slices: int = 64) -> DataFrame:
     """The first ``max_features`` terms of each corpus by count, with their ``rank``.
 
@@ -116,8 +121,7 @@ def top_terms(stats: DataFrame, ck: list[str], max_features: int, slices: int =
     corpus sorts at most ``slices * max_features`` rows, however many partitions there are.
     """
     order = [F.col("ctf").desc(), F.col("term")]
-    piece = F.pmod(F.xxhash64("term"), F.lit(slices))
-    cut = (stats.withColumn("_piece", piece)
+    cut = (stats.withColumn("_piece", term_pieces("term", slices))
            .withColumn("rank", F.row_number().over(Window.partitionBy(*ck, "_piece").orderBy(*order)))
            .filter(F.col("rank") <= max_features).drop("_piece"))
     return (cut.withColumn("rank", F.row_number().over(Window.partitionBy(*ck).orderBy(*order)))
@@ -145,13 +149,15 @@ def _sizes(members: DataFrame, ck: list[str]) -> tuple[int, int]:
 
 def tfidf_similarity(tf: DataFrame, members: DataFrame, text_keys: Sequence[str] = ("scope",),
                      corpus_keys: Sequence[str] = ("scope",), max_features: int = C.MAX_FEATURES,
-                     min_nonblank: int = 2) -> DataFrame:
+                     min_nonblank: int = 2, state: DataFrame | None = None) -> DataFrame:
     """Cosine similarity of the query document of each corpus with every other member (V6).
 
     ``members``: ``(corpus_keys..., text_keys..., date, is_query)``, one query row
     per corpus.  Returns ``(corpus_keys..., date, sim, n_docs, n_nonblank)`` for the
     non-query members of corpora with at least ``min_nonblank`` non-blank
-    documents; a blank or vocabulary-less member has ``sim = 0``.
+    documents; a blank or vocabulary-less member has ``sim = 0``.  ``state`` gives the corpora's
+    ``(corpus_keys..., term, ctf, df)`` where they are kept (``operators.rolling``): then only the query
+    documents are added to it, and the window's counts are not aggregated again.
 
     Plan: ``tf`` (materialise it when it comes from a long lineage) is read by
     two aggregations only: corpus statistics (which also carry the query day's
@@ -170,9 +176,14 @@ def tfidf_similarity(tf: DataFrame, members: DataFrame, text_keys: Sequence[str]
     ct = tf.join(mem_b, tk + ["date"], "inner").select(*ck, "date", "is_query", "term", "tf")
     n_docs = mem.groupBy(*ck).agg(F.count("*").alias("n_docs"))
 
-    stats = ct.groupBy(*ck, "term").agg(
-        F.sum("tf").alias("ctf"), F.count("*").alias("df"),
-        F.max(F.when(F.col("is_query"), F.col("tf"))).alias("qtf"))
+    if state is None:
+        stats = ct.groupBy(*ck, "term").agg(
+            F.sum("tf").alias("ctf"), F.count("*").alias("df"),
+            F.max(F.when(F.col("is_query"), F.col("tf"))).alias("qtf"))
+    else:
+        query = ct.filter("is_query").select(*ck, "term", F.lit(0).alias("ctf"), F.lit(0).alias("df"), F.col("tf").alias("qtf"))
+        kept = state.select(*ck, "term", "ctf", "df", F.lit(None).cast("bigint").alias("qtf"))
+        stats = kept.unionByName(query).groupBy(*ck, "term").agg(*[F.sum(c).alias(c) for c in ("ctf", "df", "qtf")])
     idf = F.log((F.col("n_docs") + 1.0) / (F.col("df") + 1.0)) + 1.0
     vocab = (top_terms(stats, ck, max_features)
              .join(n_docs, ck, "inner")

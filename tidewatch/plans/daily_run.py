@@ -13,9 +13,9 @@ after the accepted items are stored):
 5. trend report from the history store **before** the day is written, then the
    day's history record and its term counts are written (a rerun replaces the
    day).  Term counts of past days never change, so they are kept in a
-   date-partitioned term store: a run tokenizes only its own day and reads
-   the 30-day window of counts (partition-pruned) instead of re-tokenizing
-   the whole history;
+   date-partitioned term store: a run tokenizes only its own day.  The corpus statistics
+   (counts and document frequencies) are a stored state: a run adds its day and takes
+   back the day that leaves; the window's counts are read only where they meet the vocabulary;
 6. chart table from the metrics store (window includes the day);
 7. bundle and run summary, appended to the run log; digest and reference list as text, the
    reports as the latest JSON.
@@ -38,6 +38,7 @@ from tidewatch.operators import analysis as AN
 from tidewatch.operators import counters as CT
 from tidewatch.operators import ingest as IG
 from tidewatch.operators import reports as RP
+from tidewatch.operators import rolling as RL
 from tidewatch.operators import shift as SH
 from tidewatch.operators import vectors as V
 from tidewatch.operators._util import cut_lineage, window_filter
@@ -119,7 +120,9 @@ def daily_run(spark: SparkSession, day: str, paths: RunPaths, items: DataFrame,
     tf = _terms_window(spark, paths.terms, day).unionByName(today_tf.select("scope", "date", "term", "tf"))
     records = hist_dates.unionByName(today_texts.select("date"))
     keywords = hist_kw.unionByName(AN.day_keywords(analysis))
-    trend = cut_lineage(PR.trend_report(tf, records, keywords, day))
+    every_term = S.read_store(spark, paths.terms, "scope string, term string, tf bigint").select("scope", "date", "term", "tf")
+    state = RL.update_state(every_term, today_tf, paths.term_state, day)
+    trend = cut_lineage(PR.trend_report(tf, records, keywords, day, state=state))
     S.replace_day(record, paths.history, day)
     S.replace_day(today_tf, paths.terms, day)
 

@@ -281,6 +281,27 @@ tf_all AS (SELECT '_combined' AS scope, date, term, CAST(sum(tf) AS BIGINT) AS t
 SELECT scope, round(1.0 - avg(sim), 3) AS novelty, count(*) AS history_days FROM sims GROUP BY scope"""
 
 
+# Every day's corpus spelled out: the documents of its window are joined to it.
+_ALL_DAYS = "WITH " + _tf_sql() + """,
+recs AS (SELECT DISTINCT date FROM day_texts),
+every AS (SELECT s.scope, q.date AS day, r.date, r.date = q.date AS is_query
+  FROM (SELECT DISTINCT scope FROM day_texts) s, recs q, recs r WHERE r.date BETWEEN q.date - 30 AND q.date),
+corpora AS (SELECT scope, day, strftime(day, '%Y-%m-%d') || '/' || scope AS corpus, date, is_query FROM every),""" + \
+    _sims_sql(members="corpora", key="corpus")
+SQL["similarity_backfill"] = _ALL_DAYS + """
+SELECT c.scope, c.day, c.date, round(sim, 9) AS sim FROM sims JOIN corpora c USING (corpus, date)"""
+SQL["trend_backfill"] = _ALL_DAYS + _measures_sql(source="(SELECT corpus AS scope, date, sim FROM sims)") + """
+SELECT substr(scope, 12) AS scope, CAST(substr(scope, 1, 10) AS DATE) AS day, history_days, recent_sim, older_sim, max_sim, mean_sim,
+  up_steps, trend_days, monotonic_ratio, spike, continuous, emerging, spike_confidence, novelty_score FROM measures"""
+SQL["vocabulary_by_state"] = SQL["vocabulary"]
+SQL["rolling_vocabulary"] = "WITH " + _tf_sql() + """,
+recs AS (SELECT DISTINCT date AS day FROM day_texts),
+stats AS (SELECT scope, day, term, CAST(sum(tf) AS BIGINT) AS ctf, count(*) AS df
+  FROM tf JOIN recs ON tf.date BETWEEN day - 30 AND day GROUP BY ALL)
+SELECT scope, day, term, ctf, df FROM stats
+QUALIFY row_number() OVER (PARTITION BY scope, day ORDER BY ctf DESC, term) <= 5000"""
+
+
 # ---------------------------------------------------------------- ingest
 
 _ITEMS = """

@@ -15,11 +15,13 @@ from tidewatch import constants as C
 from tidewatch.functions.counters import parse_counter, counter_or_zero
 from tidewatch.functions.text import clip, is_relevant, py_strip
 from tidewatch.operators import analysis as AN
+from tidewatch.operators import backfill as BF
 from tidewatch.operators import counters as CT
 from tidewatch.operators import detectors as DT
 from tidewatch.operators import ingest as IG
 from tidewatch.operators import keywords as KW
 from tidewatch.operators import reports as RP
+from tidewatch.operators import rolling as RL
 from tidewatch.operators import shift as SH
 from tidewatch.operators import vectors as V
 from tidewatch.operators._util import window_filter
@@ -254,6 +256,47 @@ def q_overall_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DT.overall_novelty(sims.select("scope", "date", "sim"))
 
 
+def _all_days_tf(spark, sf_dir):
+    """Term counts of all record days (the days of the binding are one window)."""
+    return _text_tf(spark, sf_dir)
+
+
+def _backfill(spark, sf_dir):
+    texts = B.day_texts(spark, sf_dir)
+    return BF.similarity_backfill(_all_days_tf(spark, sf_dir), texts.select("date"), texts.select("scope").distinct())
+
+
+@register("similarity_backfill")
+def q_similarity_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _backfill(spark, sf_dir).select("scope", "day", "date", F.round("sim", 9).alias("sim"))
+
+
+@register("trend_backfill")
+def q_trend_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detector measures of every day."""
+    return DT.trend_measures(_backfill(spark, sf_dir).select("scope", "day", "date", "sim"), ("scope", "day"))
+
+
+@register("rolling_vocabulary")
+def q_rolling_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vocabulary, count and document frequency of the corpus of every day."""
+    return BF.sliding_vocabulary(_all_days_tf(spark, sf_dir), B.day_texts(spark, sf_dir).select("date")).select(
+        "scope", "day", "term", F.col("ctf").cast("bigint").alias("ctf"), F.col("df").cast("bigint").alias("df"))
+
+
+@register("vocabulary_by_state")
+def q_vocabulary_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The query day's vocabulary from the state of the day before and the two days that come in and go out."""
+    import datetime as _dt
+    tf, day, one = _text_tf(spark, sf_dir), B.TEXT_DAY, _dt.timedelta(days=1)
+    empty = tf.limit(0)
+    yesterday = RL.advance(spark.createDataFrame([], RL.STATE), tf.filter(F.col("date") < F.lit(day)), empty)
+    gone = day - (C.LOOKBACK_DAYS + 1) * one
+    state = RL.advance(yesterday, tf.filter(F.col("date") == F.lit(day)), tf.filter(F.col("date") == F.lit(gone)))
+    sizes = _members(spark, sf_dir).groupBy("scope").agg(F.count("*").alias("n_docs"))
+    return RL.state_vocabulary(state, sizes).select("scope", "term", "ctf", "df", F.round("idf", 9).alias("idf"), F.col("rank").cast("bigint").alias("rank"))
+
+
 FLAGSHIP = "trend_measures"
 
 

@@ -27,14 +27,15 @@ _SIGNAL_FIELDS = ["type", "dimension", "description", "confidence", "recent_simi
 
 def trend_report(tf: DataFrame, records: DataFrame, day_keywords: DataFrame, day,
                  days: int = C.LOOKBACK_DAYS, params: DT.TrendParams = DT.TrendParams(),
-                 scopes: DataFrame | None = None, label: Column | None = None) -> DataFrame:
+                 scopes: DataFrame | None = None, label: Column | None = None, state: DataFrame | None = None) -> DataFrame:
     """Trend report of ``day`` (T6): ``date, has_enough_history, history_days,
     overall_novelty, signals, keyword_trends, message``.
 
     ``tf``: term counts by ``(scope, date)`` including the ``_combined`` scope;
     ``records``: existing record days (``date``).  Fewer than ``min_history``
     history days give the default report (no signals, empty keyword lists,
-    novelty 1.0, a message).  Must run before the day itself is stored.
+    novelty 1.0, a message).  Must run before the day itself is stored.  ``state``: the stored corpus
+    statistics of the day (``operators.rolling``), if they are kept.
     """
     d = day_lit(day)
     spark = tf.sparkSession
@@ -45,7 +46,7 @@ def trend_report(tf: DataFrame, records: DataFrame, day_keywords: DataFrame, day
         scopes = tf.select("scope").distinct()
     members = V.day_members(records.select("date"), scopes, day, days)
     # per-day similarities are tiny (scopes x days) and feed three branches
-    sims = cut_lineage(V.tfidf_similarity(tf, members).select("scope", "date", "sim"))
+    sims = cut_lineage(V.tfidf_similarity(tf, members, state=state).select("scope", "date", "sim"))
     measures = DT.trend_measures(sims.filter(F.col("scope") != C.COMBINED_SCOPE), params=params, keep_raw=True)
     signals = DT.trend_signals(measures, label)
     sig = signals.agg(F.transform(

@@ -7,6 +7,8 @@ without rows and stores that don't exist yet are just empty.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidewatch.operators._util import window_filter
@@ -55,6 +57,29 @@ def replace_day(df: DataFrame, path: str, day, date_col: str = "date") -> None:
     df.write.mode("overwrite").parquet(f"{path}/{date_col}={day}")
 
 
+def _partitions(spark: SparkSession, path: str, date_col: str):
+    """(day, Hadoop path) of a store's partitions."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return fs, []
+    found = [(f.getPath().getName(), f.getPath()) for f in fs.listStatus(at) if f.isDirectory()]
+    return fs, [(_dt.date.fromisoformat(n.split("=", 1)[1]), p) for n, p in found if n.startswith(f"{date_col}=")]
+
+
+def stored_days(spark: SparkSession, path: str, date_col: str = "date") -> list[_dt.date]:
+    """The days of a store, from its folder names."""
+    return sorted(d for d, _ in _partitions(spark, path, date_col)[1])
+
+
+def drop_days_after(spark: SparkSession, path: str, day, date_col: str = "date") -> None:
+    """Remove the days after ``day`` (derived data that an older day's rerun makes stale)."""
+    fs, found = _partitions(spark, path, date_col)
+    for d, p in found:
+        if d > (day if isinstance(day, _dt.date) else _dt.date.fromisoformat(str(day))):
+            fs.delete(p, True)
+
+
 def read_store(spark: SparkSession, path: str, schema: str | T.StructType, date_col: str = "date") -> DataFrame:
     """All days of a store with an explicit schema (with or without the date column)."""
     fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
