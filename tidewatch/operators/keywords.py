@@ -9,7 +9,7 @@ aggregated once per keyword.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, Window
+from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from tidewatch import constants as C
 from tidewatch.operators._util import day_lit, window_filter
@@ -44,16 +44,29 @@ def keyword_measures(day_keywords: DataFrame, day, days: int = C.LOOKBACK_DAYS,
                      F.coalesce(F.bit_or(F.when(F.col("rn") <= recent_n, bit)), F.lit(0)).cast("bigint").alias("recent"))
     hist, recent = masks.select("hist").scalar(), masks.select("recent").scalar()
 
+    return counted(per_kw.withColumn("_hist", hist).withColumn("_recent", recent), "_hist", "_recent")
+
+
+def lowest_bits(mask: str, n: int) -> Column:
+    """The ``n`` lowest set bits of a mask."""
+    rest, kept = F.col(mask), F.lit(0).cast("bigint")
+    for _ in range(n):
+        low = rest.bitwiseAND(-rest)
+        kept, rest = kept.bitwiseOR(low), rest.bitwiseXOR(low)
+    return kept
+
+
+def counted(per_kw: DataFrame, hist: str, recent: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Measures of keywords from their days (``seen``, bit i: i days ago) and the masks of the records."""
     def count(mask):
         return F.bit_count(mask).cast("bigint")
 
-    return (per_kw.withColumn("_hist", hist).withColumn("_recent", recent)
-            .select("kw", (F.col("seen").bitwiseAND(F.lit(1)) == 1).alias("today"),
-                    count(F.col("seen").bitwiseAND(F.col("_hist"))).alias("df"),
-                    count(F.col("seen").bitwiseAND(F.col("_recent"))).alias("recent_count"),
-                    (count(F.col("seen").bitwiseAND(F.col("_hist"))) - count(F.col("seen").bitwiseAND(F.col("_recent")))).alias("older_count"),
-                    count(F.col("_hist")).alias("n_hist"), count(F.col("_recent")).alias("n_recent"),
-                    (count(F.col("_hist")) - count(F.col("_recent"))).alias("n_older")))
+    seen, h, r = F.col("seen"), F.col(hist), F.col(recent)
+    return per_kw.select(
+        *keep, "kw", (seen.bitwiseAND(F.lit(1)) == 1).alias("today"),
+        count(seen.bitwiseAND(h)).alias("df"), count(seen.bitwiseAND(r)).alias("recent_count"),
+        (count(seen.bitwiseAND(h)) - count(seen.bitwiseAND(r))).alias("older_count"),
+        count(h).alias("n_hist"), count(r).alias("n_recent"), (count(h) - count(r)).alias("n_older"))
 
 
 def keyword_trends(day_keywords: DataFrame, day, days: int = C.LOOKBACK_DAYS,
@@ -68,22 +81,25 @@ def keyword_trends(day_keywords: DataFrame, day, days: int = C.LOOKBACK_DAYS,
     * fading: absent today, in at least ``fade_min_df`` records, none of the last ``recent_n``.
     Nothing is reported when the day has no keywords.
     """
-    m = keyword_measures(day_keywords, day, days, recent_n, spine)
+    kinds = classified(keyword_measures(day_keywords, day, days, recent_n, spine), rise_delta, fade_min_df)
+    # only the day's own partition is read for this
+    today = day_keywords.filter((F.col("date") == day_lit(day)) & F.col("kw").isNotNull()).limit(1)
+    has_today = today.select(F.count("*")).scalar() > 0
+    return kinds.filter(has_today)
+
+
+def classified(m: DataFrame, rise_delta: float = C.KEYWORD_RISE_DELTA, fade_min_df: int = C.KEYWORD_FADE_MIN_DF,
+               keep: tuple[str, ...] = ()) -> DataFrame:
+    """``keep..., kind, kw, df, recent_rate, older_rate`` of keywords that are new, rising or fading."""
     recent_rate = F.col("recent_count") / F.greatest(F.col("n_recent"), F.lit(1))
     older_rate = F.when(F.col("n_older") > 0, F.col("older_count") / F.col("n_older")).otherwise(F.lit(0.0))
     m = m.withColumn("recent_rate", recent_rate).withColumn("older_rate", older_rate)
     kind = (F.when(F.col("today") & (F.col("df") == 0), F.lit("new"))
             .when(F.col("today") & (F.col("recent_rate") > F.col("older_rate") + rise_delta), F.lit("rising"))
-            .when(~F.col("today") & (F.col("df") >= fade_min_df) & (F.col("recent_count") == 0),
-                  F.lit("fading")))
-    # only the day's own partition is read for this
-    today = day_keywords.filter((F.col("date") == day_lit(day)) & F.col("kw").isNotNull()).limit(1)
-    has_today = today.select(F.count("*")).scalar() > 0
-    return (m.withColumn("kind", kind)
-            .filter(F.col("kind").isNotNull() & has_today)
-            .select("kind", "kw", F.col("df").cast("bigint").alias("df"),
-                    F.round("recent_rate", 6).alias("recent_rate"),
-                    F.round("older_rate", 6).alias("older_rate")))
+            .when(~F.col("today") & (F.col("df") >= fade_min_df) & (F.col("recent_count") == 0), F.lit("fading")))
+    return (m.withColumn("kind", kind).filter(F.col("kind").isNotNull())
+            .select(*keep, "kind", "kw", F.col("df").cast("bigint").alias("df"),
+                    F.round("recent_rate", 6).alias("recent_rate"), F.round("older_rate", 6).alias("older_rate")))
 
 
 def keyword_lists(trends: DataFrame, top: int = C.KEYWORD_TOP) -> DataFrame:

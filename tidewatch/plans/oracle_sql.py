@@ -99,6 +99,24 @@ WHERE rank <= 10"""
 SQL["keyword_lists"] = _kw(30, _KW_LISTS)
 SQL["keyword_lists_5"] = _kw(5, _KW_LISTS)
 
+SQL["stream_keyword_trends"] = """
+WITH kwd AS (SELECT DISTINCT CAST(ts AS DATE) AS date, CAST(user_id AS VARCHAR) || ':' || event_type AS kw FROM events),
+days AS (SELECT DISTINCT date AS day FROM kwd WHERE kw IS NOT NULL AND date IS NOT NULL),
+recs AS (SELECT q.day, r.day AS date, row_number() OVER (PARTITION BY q.day ORDER BY r.day DESC) AS rn
+  FROM days q JOIN days r ON r.day >= q.day - 30 AND r.day < q.day),
+n AS (SELECT q.day, least(count(r.rn), 5) AS n_recent, greatest(count(r.rn) - 5, 0) AS n_older FROM days q LEFT JOIN recs r USING (day) GROUP BY q.day),
+m AS (
+  SELECT q.day, k.kw, bool_or(k.date = q.day) AS today, count(r.rn) AS df,
+         count(*) FILTER (WHERE r.rn <= 5) AS recent_count, count(*) FILTER (WHERE r.rn > 5) AS older_count
+  FROM days q JOIN kwd k ON k.date BETWEEN q.day - 30 AND q.day LEFT JOIN recs r ON r.day = q.day AND r.date = k.date
+  WHERE k.kw IS NOT NULL GROUP BY q.day, k.kw),
+c AS (SELECT m.*, recent_count / greatest(n_recent, 1) AS recent_rate,
+             CASE WHEN n_older > 0 THEN older_count / n_older ELSE 0.0 END AS older_rate FROM m JOIN n USING (day))
+SELECT day AS date, kind, kw, df, round(recent_rate, 6) AS recent_rate, round(older_rate, 6) AS older_rate FROM (
+  SELECT *, CASE WHEN today AND df = 0 THEN 'new' WHEN today AND recent_rate > older_rate + 0.2 THEN 'rising'
+                 WHEN NOT today AND df >= 3 AND recent_count = 0 THEN 'fading' END AS kind FROM c) t
+WHERE kind IS NOT NULL"""
+
 _STAR_PAT = r"(?i)([\d,\.]+)\s*(k|K)?\s*stars?"
 
 _STARS = f"""

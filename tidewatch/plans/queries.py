@@ -29,6 +29,7 @@ from tidewatch.plans import reports as PR
 from tidewatch.sources import bindings as B
 from tidewatch.sources import harvest as HV
 from tidewatch.streaming import streams as ST
+from tidewatch.streaming import trends as TR
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -432,6 +433,15 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("aid")
 
 
+@register("stream_keyword_trends")
+def q_stream_keyword_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 of every day from the masks that the event stream leaves."""
+    out, state = ST.scratch_dirs(spark, "stream_keywords")
+    rows = ST.event_stream(spark, sf_dir).select(F.to_date("ts").alias("date"), "kw")
+    TR.run_keyword_stream(rows, out, state)
+    return TR.keyword_trends_by_day(TR.read_masks(spark, out))
+
+
 @register("stream_daily")
 def q_stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, state = ST.scratch_dirs(spark, "stream-daily")

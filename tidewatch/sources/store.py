@@ -8,6 +8,7 @@ without rows and stores that don't exist yet are just empty.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -57,27 +58,32 @@ def replace_day(df: DataFrame, path: str, day, date_col: str = "date") -> None:
     df.write.mode("overwrite").parquet(f"{path}/{date_col}={day}")
 
 
-def _partitions(spark: SparkSession, path: str, date_col: str):
-    """(day, Hadoop path) of a store's partitions."""
+def partitions(spark: SparkSession, path: str, date_col: str = "date") -> list:
+    """(value, Hadoop path) of a store's partitions, from the folder names."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(at):
-        return fs, []
+        return []
     found = [(f.getPath().getName(), f.getPath()) for f in fs.listStatus(at) if f.isDirectory()]
-    return fs, [(_dt.date.fromisoformat(n.split("=", 1)[1]), p) for n, p in found if n.startswith(f"{date_col}=")]
+    return [(n.split("=", 1)[1], p) for n, p in found if n.startswith(f"{date_col}=")]
+
+
+def drop_partitions(spark: SparkSession, path: str, date_col: str, values: Iterable[str]) -> None:
+    """Remove partitions by their values."""
+    values = set(values)
+    for value, at in partitions(spark, path, date_col):
+        if value in values:
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def stored_days(spark: SparkSession, path: str, date_col: str = "date") -> list[_dt.date]:
-    """The days of a store, from its folder names."""
-    return sorted(d for d, _ in _partitions(spark, path, date_col)[1])
+    """The days of a store."""
+    return sorted(_dt.date.fromisoformat(value) for value, _ in partitions(spark, path, date_col))
 
 
 def drop_days_after(spark: SparkSession, path: str, day, date_col: str = "date") -> None:
     """Remove the days after ``day`` (derived data that an older day's rerun makes stale)."""
-    fs, found = _partitions(spark, path, date_col)
-    for d, p in found:
-        if d > (day if isinstance(day, _dt.date) else _dt.date.fromisoformat(str(day))):
-            fs.delete(p, True)
+    drop_partitions(spark, path, date_col, [str(d) for d in stored_days(spark, path, date_col) if str(d) > str(day)])
 
 
 def read_store(spark: SparkSession, path: str, schema: str | T.StructType, date_col: str = "date") -> DataFrame:
