@@ -1,6 +1,10 @@
 import datetime as dt
+import os
 import tempfile
 
+import pytest
+from pyspark.sql import functions as F
+
 from tidewatch.sources import store as S
 
 
@@ -74,3 +78,51 @@ def test_last_run_is_kept(spark):
     S.append_registry(empty, path, "2024-01-01 00:00:00")
     assert S.last_run(spark, path).first().last_run == dt.datetime(2024, 1, 2)
     assert S.read_registry(spark, path).count() == 0
+
+
+def test_failed_write_leaves_the_old_day(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="tw-commit-"), "days")
+    schema = "v bigint"
+    S.replace_day(spark.createDataFrame([(1,), (2,)], schema), path, "2024-01-01")
+    broken = spark.range(4).select(F.when(F.col("id") < 3, F.col("id")).otherwise(F.raise_error(F.lit("lost"))).cast("bigint").alias("v"))
+    with pytest.raises(Exception, match="lost"):
+        S.replace_day(broken, path, "2024-01-01")
+    read = lambda: sorted(r.v for r in S.read_store(spark, path, schema).collect())
+    assert read() == [1, 2]
+    S.replace_day(spark.createDataFrame([(7,)], schema), path, "2024-01-01")
+    assert read() == [7]
+    S.replace_day(spark.createDataFrame([], schema), path, "2024-01-01")
+    assert read() == [] and [str(d) for d in S.stored_days(spark, path)] == ["2024-01-01"]
+
+
+@pytest.mark.parametrize("fails", [1, 2])
+def test_failure_between_write_and_commit(spark, monkeypatch, fails):
+    path = os.path.join(tempfile.mkdtemp(prefix="tw-commit-"), "days")
+    schema = "v bigint"
+    S.replace_day(spark.createDataFrame([(1,)], schema), path, "2024-01-01")
+    real, calls = S._rename, []
+
+    def rename(*a):
+        calls.append(a)
+        if len(calls) == fails:
+            raise OSError("lost")
+        return real(*a)
+
+    with monkeypatch.context() as m:
+        m.setattr(S, "_rename", rename)
+        with pytest.raises(OSError, match="lost"):
+            S.replace_day(spark.createDataFrame([(2,)], schema), path, "2024-01-01")
+    S.recover_days(spark, path)
+    assert [r.v for r in S.read_store(spark, path, schema).collect()] == [1]
+    S.replace_day(spark.createDataFrame([(3,)], schema), path, "2024-01-02")
+    S.replace_day(spark.createDataFrame([(2,)], schema), path, "2024-01-01")
+    assert sorted(r.v for r in S.read_store(spark, path, schema).collect()) == [2, 3]
+
+
+def test_later_days_and_partitions(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="tw-days-"), "days")
+    assert S.stored_days(spark, path) == [] and S.partitions(spark, path) == []
+    for d in ("2024-01-01", "2024-01-02", "2024-01-05"):
+        S.replace_day(spark.createDataFrame([(1,)], "v bigint"), path, d)
+    S.drop_days_after(spark, path, "2024-01-02")
+    assert [str(d) for d in S.stored_days(spark, path)] == ["2024-01-01", "2024-01-02"]

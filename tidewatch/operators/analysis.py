@@ -2,8 +2,11 @@
 records, default document (P8-P14, S10).
 
 An analysis document is one row per day: ``date, title, core_insight,
-keywords, dimensions`` with the five dimensions as structs (own text keys,
-``has_change``, ``intensity``, ``evidence``).
+keywords, dimensions``.  The dimensions come in two forms, and every function here takes either:
+
+* schema-free (:func:`parse_documents`): a map from each dimension's name to its JSON text, as a model wrote
+  it.  Every text key counts, in document order, whatever its name; other values are skipped;
+* structs with the fixed keys (:func:`parse_analysis`: own text keys, ``has_change``, ``intensity``, ``evidence``).
 """
 
 from __future__ import annotations
@@ -46,6 +49,45 @@ def parse_analysis(raw: DataFrame, col: str = "raw") -> tuple[DataFrame, DataFra
     return good, bad
 
 
+DOCUMENT = "date STRING, title STRING, core_insight STRING, keywords ARRAY<STRING>, dimensions MAP<STRING, STRING>"
+NO_TEXT_KEYS = ("has_change", "intensity", "evidence")
+
+
+def parse_documents(raw: DataFrame, col: str = "raw", keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Schema-free documents (P13): ``(documents, rejected)``.
+
+    ``documents``: ``keep..., date, title, core_insight, keywords, dimensions`` (map of JSON texts, in document
+    order).  ``rejected``: ``keep..., <col>, reason`` of payloads that are empty, no JSON object, or without a date."""
+    body = F.col(f"`{col}`").cast("string")
+    parsed = raw.select(*[F.col(f"`{c}`") for c in keep], body.alias(col), F.from_json(body, DOCUMENT, {"mode": "PERMISSIVE"}).alias("_doc"))
+    text = F.col(f"`{col}`")
+    reason = (F.when(F.coalesce(F.trim(text), F.lit("")) == "", "empty payload")
+              .when(F.json_object_keys(text).isNull(), "not a JSON object")
+              .when(F.try_to_date("_doc.date").isNull(), "no date"))
+    names = [f"`{c}`" for c in keep]
+    good = parsed.filter(reason.isNull()).select(*names, F.try_to_date("_doc.date").alias("date"), "_doc.title", "_doc.core_insight",
+                                                 "_doc.keywords", "_doc.dimensions")
+    return good, parsed.select(*names, f"`{col}`", reason.alias("reason")).filter("reason is not null")
+
+
+def free_dimension_text(dim: Column) -> Column:
+    """Flatten one dimension's JSON text (P8): its non-empty text values in document order, then the evidence
+    titles (missing or not a text: ''), joined by a blank; '' if it is missing or no object."""
+    entries = F.map_entries(F.from_json(dim, "map<string, variant>"))
+    is_text = lambda v: F.schema_of_variant(v) == "STRING"
+    texts = F.transform(F.filter(entries, lambda e: ~e["key"].isin(*NO_TEXT_KEYS) & is_text(e["value"])), lambda e: e["value"].cast("string"))
+    listed = F.filter(entries, lambda e: e["key"] == "evidence")
+    evidence = F.coalesce(F.try_variant_get(F.get(listed, 0)["value"], "$", "array<variant>"), F.array().cast("array<variant>"))
+    title = lambda v: F.try_variant_get(v, "$.title", "variant")
+    titles = F.transform(F.filter(evidence, lambda v: F.schema_of_variant(v).startswith("OBJECT")),
+                         lambda v: F.when(is_text(title(v)), title(v).cast("string")).otherwise(""))
+    return F.coalesce(F.concat_ws(" ", F.filter(texts, lambda t: t != ""), titles), F.lit(""))
+
+
+def is_schema_free(analysis: DataFrame) -> bool:
+    return isinstance(analysis.schema["dimensions"].dataType, T.MapType)
+
+
 def dimension_text(dim: Column, dimension: str) -> Column:
     """Flatten one dimension (P8): non-empty text values in key order, then the
     evidence titles (missing title as ''), joined by a blank."""
@@ -56,20 +98,29 @@ def dimension_text(dim: Column, dimension: str) -> Column:
     return F.when(dim.isNull(), F.lit("")).otherwise(F.concat_ws(" ", texts, titles))
 
 
+def text_columns(analysis: DataFrame) -> dict[str, Column]:
+    """The text of each dimension and ``_combined`` (P9), as columns over ``analysis``."""
+    free = is_schema_free(analysis)
+    cols = {d: free_dimension_text(F.col("dimensions")[d]) if free
+            else dimension_text(F.col("dimensions")[d], d) for d in C.DIMENSIONS}
+    combined = F.concat_ws(" ", F.coalesce("core_insight", F.lit("")), F.coalesce("title", F.lit("")), *cols.values())
+    return cols | {C.COMBINED_SCOPE: combined}
+
+
 def dimension_texts(analysis: DataFrame) -> DataFrame:
     """``date`` plus one text column per dimension and ``_combined``."""
-    cols = {d: dimension_text(F.col("dimensions")[d], d) for d in C.DIMENSIONS}
-    combined = F.concat_ws(" ", F.coalesce("core_insight", F.lit("")), F.coalesce("title", F.lit("")),
-                           *cols.values())
-    return analysis.select("date", *[c.alias(d) for d, c in cols.items()], combined.alias(C.COMBINED_SCOPE))
+    return analysis.select("date", *[c.alias(d) for d, c in text_columns(analysis).items()])
 
 
-def day_texts(analysis: DataFrame) -> DataFrame:
-    """Long form ``(date, scope, text)`` of all six scopes."""
-    wide = dimension_texts(analysis)
-    scopes = C.DIMENSIONS + [C.COMBINED_SCOPE]
-    pairs = F.array(*[F.struct(F.lit(s).alias("scope"), F.col(s).alias("text")) for s in scopes])
-    return wide.select("date", F.explode(pairs).alias("p")).select("date", "p.scope", "p.text")
+def day_texts(analysis: DataFrame, keep: tuple[str, ...] = ("date",), extra: bool = False) -> DataFrame:
+    """Long form ``(date, scope, text)`` of the five dimensions and ``_combined``; with ``extra`` also of the
+    further dimensions of schema-free documents (they are no part of ``_combined``)."""
+    pairs = F.array(*[F.struct(F.lit(s).alias("scope"), c.alias("text")) for s, c in text_columns(analysis).items()])
+    if extra and is_schema_free(analysis):
+        more = F.filter(F.map_entries(F.coalesce("dimensions", F.create_map().cast("map<string,string>"))),
+                        lambda e: ~e["key"].isin(*C.DIMENSIONS, C.COMBINED_SCOPE))
+        pairs = F.concat(pairs, F.transform(more, lambda e: F.struct(e["key"].alias("scope"), free_dimension_text(e["value"]).alias("text"))))
+    return analysis.select(*keep, F.explode(pairs).alias("p")).select(*keep, "p.scope", "p.text")
 
 
 def day_keywords(analysis: DataFrame) -> DataFrame:
@@ -78,15 +129,11 @@ def day_keywords(analysis: DataFrame) -> DataFrame:
 
 
 def history_records(analysis: DataFrame) -> DataFrame:
-    """History record per day (S10): ``date, title, core_insight, dimension_texts, keywords``."""
-    wide = dimension_texts(analysis)
-    scopes = C.DIMENSIONS + [C.COMBINED_SCOPE]
-    texts = F.map_from_arrays(F.array(*[F.lit(s) for s in scopes]), F.array(*[F.col(s) for s in scopes]))
-    return (analysis.select("date", F.coalesce("title", F.lit("")).alias("title"),
-                            F.coalesce("core_insight", F.lit("")).alias("core_insight"),
-                            F.coalesce("keywords", F.array().cast("array<string>")).alias("keywords"))
-            .join(wide.select("date", texts.alias("dimension_texts")), "date", "inner")
-            .select("date", "title", "core_insight", "dimension_texts", "keywords"))
+    """History record per document (S10): ``date, title, core_insight, dimension_texts, keywords``; one pass."""
+    cols = text_columns(analysis)
+    texts = F.map_from_arrays(F.array(*[F.lit(s) for s in cols]), F.array(*cols.values()))
+    return analysis.select("date", F.coalesce("title", F.lit("")).alias("title"), F.coalesce("core_insight", F.lit("")).alias("core_insight"),
+                           texts.alias("dimension_texts"), F.coalesce("keywords", F.array().cast("array<string>")).alias("keywords"))
 
 
 def dimension_map(analysis: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, Window
 
 from tidewatch import constants as C
+from tidewatch.functions.rounding import py_round
 from tidewatch.functions.counters import counter_or_zero
 from tidewatch.operators._util import day_lit, window_filter
 
@@ -59,7 +60,7 @@ def growth_of(state: DataFrame, key: str = "key") -> DataFrame:
     """Growth rows from the per-key state of :func:`counter_state`."""
     st = state.filter(F.col("value").isNotNull())
     growth = F.when(F.col("prev_max") > 0,
-                    F.round((F.col("value") - F.col("prev_max")) / F.col("prev_max"), 3))
+                    py_round((F.col("value") - F.col("prev_max")) / F.col("prev_max"), 3))
     return st.select(
         F.col(key).alias("key"), "value", "prev_max",
         growth.alias("growth_pct"),

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from tidewatch import constants as C
+from tidewatch.functions.rounding import py_round
 
 
 @dataclass(frozen=True)
@@ -73,18 +74,18 @@ def trend_measures(sims: DataFrame, corpus_keys: Sequence[str] = ("scope",),
     return agg.select(
         *ck,
         n.cast("bigint").alias("history_days"),
-        F.round(recent, 3).alias("recent_sim"),
-        F.round(older, 3).alias("older_sim"),
-        F.round("max_sim_raw", 3).alias("max_sim"),
-        F.round("mean_sim_raw", 3).alias("mean_sim"),
+        py_round(recent, 3).alias("recent_sim"),
+        py_round(older, 3).alias("older_sim"),
+        py_round("max_sim_raw", 3).alias("max_sim"),
+        py_round("mean_sim_raw", 3).alias("mean_sim"),
         up.cast("bigint").alias("up_steps"),
         (steps + 1).cast("bigint").alias("trend_days"),
-        F.round(ratio, 2).alias("monotonic_ratio"),
+        py_round(ratio, 2).alias("monotonic_ratio"),
         F.coalesce(spike, F.lit(False)).alias("spike"),
         F.coalesce(continuous, F.lit(False)).alias("continuous"),
         F.coalesce(emerging, F.lit(False)).alias("emerging"),
-        F.round(F.least((recent - older) / p.spike_scale, F.lit(1.0)), 2).alias("spike_confidence"),
-        F.round(1.0 - F.col("max_sim_raw"), 2).alias("novelty_score"),
+        py_round(F.least((recent - older) / p.spike_scale, F.lit(1.0)), 2).alias("spike_confidence"),
+        py_round(1.0 - F.col("max_sim_raw"), 2).alias("novelty_score"),
         *raw,
     )
 
@@ -157,7 +158,7 @@ def overall_novelty(sims: DataFrame, corpus_keys: Sequence[str] = ("scope",)) ->
     are absent here; the report fills them with 1.0.
     """
     ck = list(corpus_keys)
-    return sims.groupBy(*ck).agg(F.round(1.0 - F.avg("sim"), 3).alias("novelty"),
+    return sims.groupBy(*ck).agg(py_round(1.0 - F.avg("sim"), 3).alias("novelty"),
                                  F.count("*").cast("bigint").alias("history_days"))
 
 

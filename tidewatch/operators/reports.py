@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch import constants as C
+from tidewatch.operators.analysis import is_schema_free
 from tidewatch.operators._util import consecutive_index
 
 
@@ -78,11 +79,21 @@ def render(lines: DataFrame, keys: tuple[str, ...] = ("section", "item", "line")
         F.array_sort(F.collect_list(F.struct(*keys, "text"))), lambda s: s["text"])).alias("text"))
 
 
+def evidence_of(analysis: DataFrame, dimension: str) -> Column:
+    """Evidence entries of a dimension; of schema-free documents those that are objects."""
+    dim = F.col("dimensions")[dimension]
+    if not is_schema_free(analysis):
+        return dim["evidence"]
+    listed = F.from_json(dim, "evidence ARRAY<VARIANT>")["evidence"]
+    text = lambda v, k: F.try_variant_get(v, f"$.{k}", "string").alias(k)
+    return F.transform(F.filter(listed, lambda v: F.schema_of_variant(v).startswith("OBJECT")),
+                       lambda v: F.struct(text(v, "title"), text(v, "source"), text(v, "url")))
+
+
 def evidence_rows(analysis: DataFrame) -> DataFrame:
-    """Long form of the evidence of every dimension of nested analysis documents:
+    """Long form of the evidence of every dimension of analysis documents (either form):
     ``date, dim_rank, dimension, pos, title, source, url``."""
-    dims = F.array(*[F.struct(F.lit(i).alias("dim_rank"), F.lit(d).alias("dimension"),
-                              F.col("dimensions")[d]["evidence"].alias("ev"))
+    dims = F.array(*[F.struct(F.lit(i).alias("dim_rank"), F.lit(d).alias("dimension"), evidence_of(analysis, d).alias("ev"))
                      for i, d in enumerate(C.DIMENSIONS)])
     x = analysis.select("date", F.explode(dims).alias("d"))
     return (x.select("date", "d.dim_rank", "d.dimension", F.posexplode(F.coalesce("d.ev", F.array())).alias("pos", "e"))
@@ -155,10 +166,12 @@ def run_summary(stats: DataFrame, usage: DataFrame, trend: DataFrame | None = No
         F.coalesce(F.sum("fetched"), F.lit(0)).cast("bigint").alias("fetched"),
         F.coalesce(F.sum("new"), F.lit(0)).cast("bigint").alias("new"),
         F.round(F.coalesce(F.sum("elapsed_s"), F.lit(0.0)), 1).alias("fetch_time_s"))
-    tok = usage.agg(
-        F.coalesce(F.sum(F.when(F.col("stage") == "stage1", F.col("total_tokens"))), F.lit(0)).cast("bigint").alias("stage1_tokens"),
-        F.coalesce(F.sum(F.when(F.col("stage") == "stage2", F.col("total_tokens"))), F.lit(0)).cast("bigint").alias("stage2_tokens"),
-        F.coalesce(F.sum("total_tokens"), F.lit(0)).cast("bigint").alias("total_tokens"))
+    def stage(name: str, column: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("stage") == name, F.col(column))), F.lit(0)).cast("bigint")
+
+    tok = usage.agg(*[stage(f"stage{i}", f"{kind}_tokens").alias(f"stage{i}_{kind}_tokens") for i in (1, 2) for kind in ("prompt", "completion")],
+                    *[stage(f"stage{i}", "total_tokens").alias(f"stage{i}_tokens") for i in (1, 2)],
+                    F.coalesce(F.sum("total_tokens"), F.lit(0)).cast("bigint").alias("total_tokens"), F.min("model").alias("model"))
     out = totals.withColumns({c: tok.select(c).scalar() for c in tok.columns})
     if trend is not None:
         out = out.withColumns({c: trend.select(c).scalar() for c in trend.columns})

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, Window
 
 from tidewatch import constants as C
+from tidewatch.functions.rounding import py_round
 from tidewatch.operators._util import broadcast_if_bounded, day_lit, window_filter
 from tidewatch.operators.detectors import shift_label
 from tidewatch.operators.vectors import tfidf_similarity, top_terms
@@ -56,8 +57,8 @@ def text_shift(tf: DataFrame, today_counts: DataFrame, records: DataFrame, day,
         F.when(ok, F.col("_records")).when(has_data, F.col("nonblank_history_days")).cast("bigint").alias("history_days"),
         F.col("nonblank_history_days").cast("bigint").alias("nonblank_history_days"),
         F.col("text_count").cast("bigint").alias("text_count"),
-        F.when(ok, F.round(novelty, 3)).alias("capability_score"),
-        F.when(ok, F.round("mean_sim", 3)).alias("mean_similarity"),
+        F.when(ok, py_round(novelty, 3)).alias("capability_score"),
+        F.when(ok, py_round("mean_sim", 3)).alias("mean_similarity"),
         F.when(ok, shift_label(novelty, F.col("mean_sim"))).otherwise(F.lit("unknown")).alias("trend"),
     )
 
@@ -110,4 +111,4 @@ def novelty_series(tf: DataFrame, records: DataFrame, scopes: DataFrame, day, da
     ends = members.filter("is_query").select(*ck)
     return (ends.join(sums.join(sides, ck), ck, "left")
             .select("scope", F.col("pair_end").alias("date"),
-                    F.when(F.coalesce("both", F.lit(False)), F.round(1.0 - sim, 3)).otherwise(F.lit(0.0)).alias("novelty")))
+                    F.when(F.coalesce("both", F.lit(False)), py_round(1.0 - sim, 3)).otherwise(F.lit(0.0)).alias("novelty")))

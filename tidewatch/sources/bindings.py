@@ -185,3 +185,45 @@ def order_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (o.groupBy(F.trunc(F.to_date("o_orderdate"), "month").alias("date"),
                       F.col("o_custkey").cast("string").alias("key"))
             .agg(F.round(F.sum("o_totalprice"), 2).alias("value"), F.min("o_orderkey").alias("pos")))
+
+
+# ---- payloads built from documents: one model-written analysis, feed and model list per document ----
+
+def analysis_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(pos, raw)``: JSON documents with text keys that no schema knows and values that are no texts; a document
+    in Spanish has no date, one without a language is no object."""
+    d = table(spark, sf_dir, "documents")
+    text, source, lang = [F.coalesce(c, F.lit("")) for c in ("text", "source", "lang")]
+    named = lambda **c: F.struct(*[v.alias(k) for k, v in c.items()])
+    evidence = F.parse_json(F.concat(F.lit('[{"title": '), F.to_json(F.array(lang)).substr(F.lit(2), F.length(F.to_json(F.array(lang))) - 2),
+                                     F.lit(', "url": "u"}, {"url": "v", "title": null}, "plain", 7]')))
+    dimensions = named(
+        risk=named(zz_note=source, intensity=F.lit("high"), count=F.lit(3), aa_note=lang),
+        weather=named(sky=text, evidence=F.lit("none")),
+        technology=named(has_change=F.lit(True), own_words=text, n=F.col("n_chars"), nested=named(a=F.lit("b")), empty=F.lit(""),
+                         model_capability=source, evidence=evidence))
+    date = F.when(F.col("lang") != "es", F.date_format(F.date_add(F.lit(TEXT_EPOCH), (F.col("doc_id") % TEXT_DAYS).cast("int")), "yyyy-MM-dd"))
+    body = F.to_json(named(date=date, title=lang, core_insight=source, keywords=F.array(lang), dimensions=dimensions))
+    return d.select(F.col("doc_id").alias("pos"), F.when(F.col("lang").isNull(), F.concat(F.lit("["), body)).otherwise(body).alias("raw"))
+
+
+def feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(source, category, xml)``: a feed with an untitled entry and the document as the second one."""
+    d = table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    for sign, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        text = F.replace(text, F.lit(sign), F.lit(entity))
+    xml = F.concat(F.lit("<rss><channel><title>f</title><item><title></title><link>https://feed.example/none</link></item><item><title>"), text,
+                   F.lit("</title><link> https://feed.example/"), F.col("doc_id").cast("string"), F.lit(" </link><description>"), text,
+                   F.lit("</description><pubDate>2024-01-01</pubDate></item></channel></rss>"))
+    return d.select("source", F.lit("papers").alias("category"), xml.alias("xml"))
+
+
+def list_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(source, category, body)``: a model list with an entry without id."""
+    d = table(spark, sf_dir, "documents")
+    entry = F.struct(F.concat(F.lit("org/"), F.col("doc_id").cast("string")).alias("id"), F.col("lang").alias("pipeline_tag"),
+                     F.col("n_chars").alias("downloads"), F.col("doc_id").alias("likes"))
+    empty = F.struct(F.lit("").alias("id"), F.lit(None).cast("string").alias("pipeline_tag"), F.lit(1).cast("bigint").alias("downloads"),
+                     F.lit(1).cast("bigint").alias("likes"))
+    return d.select("source", F.lit("opensource").alias("category"), F.to_json(F.array(empty, entry)).alias("body"))

@@ -52,10 +52,47 @@ def last_run(spark: SparkSession, path: str) -> DataFrame:
 
 
 def replace_day(df: DataFrame, path: str, day, date_col: str = "date") -> None:
-    """Replace one day's partition by ``df`` (without the date column); an empty frame empties it."""
+    """Replace one day's partition by ``df`` (without the date column); an empty frame empties it.
+
+    The new day is written beside the store (a hidden folder, which readers skip) and takes the day's place when it is
+    complete: a failed write leaves the old day as it was, and no reader sees a half day.  A failure between the two
+    renames is mended by the next call, or by :func:`recover_days`."""
+    spark = df.sparkSession
     if date_col in df.columns:
         df = df.drop(date_col)
-    df.write.mode("overwrite").parquet(f"{path}/{date_col}={day}")
+    recover_days(spark, path, date_col)
+    staged, target, old = [f"{path}/{prefix}{date_col}={day}" for prefix in (".new-", "", ".old-")]
+    df.write.mode("overwrite").parquet(staged)
+    fs, (new, at, before) = _folders(spark, staged, target, old)
+    if fs.exists(at):
+        _rename(fs, at, before)
+    _rename(fs, new, at)
+    fs.delete(before, True)
+
+
+def _folders(spark: SparkSession, *paths: str):
+    at = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return at[0].getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _rename(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"can't rename {source} to {target}")
+
+
+def recover_days(spark: SparkSession, path: str, date_col: str = "date") -> None:
+    """Give a day back its old rows if a replacement ended between its two renames."""
+    fs, (root,) = _folders(spark, path)
+    if not fs.exists(root):
+        return
+    for f in fs.listStatus(root):
+        name = f.getPath().getName()
+        if name.startswith(f".old-{date_col}="):
+            _, (day,) = _folders(spark, f"{path}/{name.removeprefix('.old-')}")
+            if fs.exists(day):
+                fs.delete(f.getPath(), True)
+            else:
+                _rename(fs, f.getPath(), day)
 
 
 def partitions(spark: SparkSession, path: str, date_col: str = "date") -> list:
