@@ -2,10 +2,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidewatch.llm import decontaminate as D
 from tidewatch.llm import quality as Q
-from tidewatch.llm.common import shingles
+from tidewatch.llm.common import shingles, words_of
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, extra string"
 
@@ -66,8 +67,38 @@ def test_very_long_text(spark):
 
 
 def _contained(text, item):
-    a, b = set(shingles(text).tolist()), set(shingles(item).tolist())
-    return len(a & b) / len(b) if b else 0.0
+    words, inside = words_of(text), words_of(item)
+    width = min(5, len(inside))
+    windows = lambda ws: {tuple(ws[i:i + width]) for i in range(len(ws) - width + 1)}
+    return len(windows(words) & windows(inside)) / len(windows(inside)) if inside else 0.0
+
+
+def test_short_items_inside_long_documents(spark):
+    docs = ["one two red green blue three four five six", "Red, green; BLUE", "red green", "green blue red", "x " * 5000 + "red green blue " + "y " * 5000, "red", None]
+    items = spark.createDataFrame([(1, "red green blue"), (2, "red"), (3, "blue three"), (4, "six seven")], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.n_shared, r.n_item) for r in D.contained_items(_docs(spark, docs), items).collect())
+    assert [g[:2] for g in got] == [(0, 1), (0, 2), (0, 3), (1, 1), (1, 2), (2, 2), (3, 2), (4, 1), (4, 2), (5, 2)]
+    assert {g[2:] for g in got} == {(1, 1)}
+    assert [r.doc_id for r in D.drop_contaminated(_docs(spark, docs).withColumn("found", F.lit(1)), items).collect()] == [6]
+
+
+def test_only_candidates_are_verified():
+    """The sketch picks the contained items out of many, some of which share a few shingles with the document."""
+    rng = random.Random(3)
+    texts = [_words(60, 1000 + i) for i in range(200)]
+    for i in range(100, 200):
+        texts[i][:8] = texts[i - 100][:8]  # four shingles in common
+    items = [(i, np.unique(shingles(" ".join(t)))) for i, t in enumerate(texts)]
+    block = D.ItemBlock(items)
+    verified = found = 0
+    for k in range(50):
+        inside = rng.sample(range(100), 2)
+        document = " ".join(_words(2000, 5000 + k) + texts[inside[0]] + _words(500, 6000 + k) + texts[inside[1]])
+        candidates = block.candidates(np.unique(shingles(document)), np.empty(0, np.uint64)).tolist()
+        verified += len(candidates)
+        found += len(set(inside) & set(candidates))
+        assert sorted(i for i, _ in block.matches(document, 0.8)) == sorted(inside)
+    assert found == 100 and verified <= 200  # of 10,000 pairs
 
 
 def test_decontamination_against_brute_force(spark):

@@ -41,14 +41,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, cove
 FROM m
 """
 
-# Five-word shingles of lower-cased word runs; a shorter text is one shingle.
+# Five-word shingles of lower-cased word runs; a shorter text is one shingle, and documents are also cut into windows of
+# the widths of shorter items.
 SQL["op9_decontamination"] = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS ws FROM documents),
 b AS (SELECT row_number() OVER () AS iid, item_id, ws FROM (
   SELECT DISTINCT item_id, text, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS ws FROM benchmark)),
 ds AS (SELECT DISTINCT rid, doc_id, g FROM (
   SELECT rid, doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [ws]
-    ELSE list_transform(range(1, len(ws) - 3), lambda i: list_slice(ws, i, i + 4)) END) AS g FROM d)),
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: list_slice(ws, i, i + 4)) END) AS g FROM d
+  UNION ALL SELECT rid, doc_id, unnest(list_transform(range(1, len(ws) - w + 2), lambda i: list_slice(ws, i, i + w - 1))) AS g
+  FROM d, (SELECT DISTINCT len(ws) AS w FROM b WHERE len(ws) BETWEEN 1 AND 4) WHERE len(d.ws) > w)),
 bs AS (SELECT DISTINCT iid, item_id, g FROM (
   SELECT iid, item_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [ws]
     ELSE list_transform(range(1, len(ws) - 3), lambda i: list_slice(ws, i, i + 4)) END) AS g FROM b)),
