@@ -17,7 +17,7 @@ def _segmentations(word, index, other, p):
     if not word:
         return 1.0
     total = 0.0
-    for n in range(1, min(len(word), L.LONGEST_PIECE) + 1):
+    for n in range(1, len(word) + 1):
         piece = index.get(word[:n], other if n == 1 else None)
         if piece is not None:
             total += p[piece] * _segmentations(word[n:], index, other, p)
@@ -31,17 +31,41 @@ def test_forward_sums_all_segmentations():
     lat = L.lattice()
     sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(L.VOCABULARY))
     pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
-    index = {x: i for i, x in enumerate(x for x in pieces if len(x) <= L.LONGEST_PIECE)}
+    index = {x: i for i, x in enumerate(pieces)}
     assert len(index) == lat.other
     p = np.random.RandomState(1).rand(lat.size) * 1e-2
     words = ["the", "straße", "a", "ą一z", "internation", "x" * 12]
     got = lat.log_likelihoods(words, p[:, None])[:, 0]
     want = [np.log(_segmentations("▁" + w, index, lat.other, p)) for w in words]
     assert np.allclose(got, want)
-    # a long word is the product of its stretches
-    long = "ab" * 40
-    assert np.isclose(lat.log_likelihoods([long], p[:, None])[0, 0],
-                      sum(np.log(lat.forward([s], p[:, None])[0, len(s), 0]) for s in L.stretches(long)))
+    # long words: no cuts, no underflow; the plain recursion in logarithms
+    for long in ("ab" * 40, "internation" * 300, "中" * 2000, "straße" * 7):
+        word, logs = "▁" + long, [0.0]
+        for end in range(1, len(word) + 1):
+            terms = [logs[end - n] + np.log(p[i]) for n in range(1, min(end, 40) + 1)
+                     if (i := index.get(word[end - n:end], lat.other if n == 1 else None)) is not None]
+            logs.append(np.logaddexp.reduce(terms))
+        assert np.isclose(lat.log_likelihoods(["a", long, "the"], p[:, None])[1, 0], logs[-1])
+
+
+def test_em_counts_in_plain_python():
+    """One round of expected counts on long and short words against forward and backward sums in logarithms."""
+    from collections import Counter
+
+    lat, counts = L.lattice(), Counter({"banana": 3, "na" * 60: 2, "ą": 1})
+    p, words = lat.fit(counts, 0), ["▁" + w for w in counts]
+    expected = np.zeros(lat.size)
+    for w, c in zip(words, counts.values()):
+        e = lat.edges([w])[:, 1:]
+        a, b = np.full(len(w) + 1, -np.inf), np.full(len(w) + 1, -np.inf)
+        a[0] = b[len(w)] = 0
+        for s, t, i in sorted(e.tolist(), key=lambda x: x[1]):
+            a[t] = np.logaddexp(a[t], a[s] + np.log(p[i]))
+        for s, t, i in sorted(e.tolist(), key=lambda x: -x[0]):
+            b[s] = np.logaddexp(b[s], b[t] + np.log(p[i]))
+        for s, t, i in e.tolist():
+            expected[i] += c * np.exp(a[s] + np.log(p[i]) + b[t] - a[len(w)])
+    assert np.allclose(lat.fit(counts, 1), lat._normal(expected))
 
 
 def test_em_raises_the_likelihood():

@@ -11,9 +11,10 @@ Scoring is one pass without a shuffle: the model (languages x vocabulary floats)
 broadcast; a worker keeps the scores of words it has met in a bounded memo.
 
 Defined cases: null text or text without a letter is ``und`` with score 0; letters outside the
-vocabulary have a floor probability; words longer than ``CUT`` letters are
-scored in stretches of CUT; ties go to the language first in order; with no
-labelled text at all everything is ``und``; an empty table gives an empty result.
+vocabulary have a floor probability; a word of any length is summed over all segmentations into
+pieces of any length (in logarithms, so nothing underflows; words go in batches of bounded size);
+ties go to the language first in order; with no
+labelled text at all everything is ``und``; an empty table gives an empty result.  Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -33,8 +34,7 @@ DOCS_PER_LANGUAGE = 400     # bound of the training sample per language (expecte
 ROUNDS = 3                  # EM rounds
 SMOOTH = 0.05               # added to each expected count
 FLOOR = 1e-7                # probability of a letter that is no piece
-CUT = 30
-LONGEST_PIECE = 16
+BATCH_CELLS = 1_000_000     # words times places summed at once
 MEMO_WORDS = 400_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -45,9 +45,20 @@ def words_in(text: str | None) -> list[str]:
     return _LETTERS.findall(text.lower()) if text else []
 
 
-def stretches(word: str) -> list[str]:
-    """A word marked with the vocabulary's word start, cut at CUT letters."""
-    return ["▁" + word[:CUT], *(word[i:i + CUT] for i in range(CUT, len(word), CUT))]
+def marked(word: str) -> str:
+    """A word with the vocabulary's word start."""
+    return "▁" + word
+
+
+def batches(words: list[str]):
+    """Places of words of similar length, at most BATCH_CELLS cells (or one word) at a time."""
+    by, lo = sorted(range(len(words)), key=lambda i: len(words[i])), 0
+    while lo < len(by):
+        hi = lo + 1
+        while hi < len(by) and (hi + 1 - lo) * (len(words[by[hi]]) + 2) <= BATCH_CELLS:
+            hi += 1
+        yield by[lo:hi]
+        lo = hi
 
 
 def _roll(h: np.ndarray, letter: np.ndarray) -> np.ndarray:
@@ -68,7 +79,7 @@ class Lattice:
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())
                   if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
-        pieces = [p for p in pieces if len(p) <= LONGEST_PIECE]
+        self.longest = max(map(len, pieces))
         self.size = len(pieces) + 1  # the last stands for any other letter
         self.other = len(pieces)
         # pieces by a hash of their letters; a bitmap answers most of the misses
@@ -93,8 +104,10 @@ class Lattice:
         start = np.arange(len(letters)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         room = sizes[owner] - start
         at, h, found = np.arange(len(letters)), np.zeros(len(letters), np.uint64), []
-        for length in range(1, LONGEST_PIECE + 1):
+        for length in range(1, self.longest + 1):
             inside = room[at] >= length
+            if not inside.any():
+                break
             at, h = at[inside], _roll(h[inside], letters[at[inside] + length - 1])
             hit = np.flatnonzero(self.bitmap[h >> np.uint64(42)])
             place = np.minimum(np.searchsorted(self.keys, h[hit]), len(self.keys) - 1)
@@ -108,60 +121,59 @@ class Lattice:
         e = np.concatenate(found) if found else np.zeros((0, 4), np.int64)
         return e[np.argsort(e[:, 2], kind="stable")]
 
-    def forward(self, words: list[str], probability: np.ndarray, edges: np.ndarray | None = None) -> np.ndarray:
-        """alpha[word, place, model]: sum over all segmentations up to that place."""
+    def forward(self, words: list[str], logs: np.ndarray, edges: np.ndarray | None = None) -> np.ndarray:
+        """log alpha[word, place, model]: the sum over all segmentations up to that place; ``logs``: log probabilities."""
         e = self.edges(words) if edges is None else edges
         width = max(map(len, words), default=0) + 1
-        alpha = np.zeros((len(words), width, probability.shape[1]))
-        alpha[:, 0] = 1.0
+        alpha = np.zeros((len(words), width, logs.shape[1]))
         cuts = np.searchsorted(e[:, 2], np.arange(1, width + 1))
         for end in range(1, width):
             x = e[cuts[end - 1]:cuts[end]]
             if len(x):
-                np.add.at(alpha[:, end], x[:, 0], alpha[x[:, 0], x[:, 1]] * probability[x[:, 3]])
+                self._add(alpha, end, end - 1, x[:, 0], x[:, 1], logs[x[:, 3]])
         return alpha
 
+    @staticmethod
+    def _add(table: np.ndarray, to: int, near: int, word: np.ndarray, place: np.ndarray, logs: np.ndarray) -> None:
+        """table[word, to] = log of the sum of exp(table[word, place] + logs), relative to the place ``near``."""
+        ref = table[:, near]
+        total = np.zeros_like(ref)
+        np.add.at(total, word, np.exp(table[word, place] - ref[word] + logs))
+        met = np.unique(word)
+        table[met, to] = ref[met] + np.log(total[met])
+
     def log_likelihoods(self, words: list[str], probability: np.ndarray) -> np.ndarray:
-        """(word, model) log of the sum over all segmentations, 20,000 words at a time."""
+        """(word, model) log of the sum over all segmentations."""
         out = np.zeros((len(words), probability.shape[1]))
-        for lo in range(0, len(words), 20_000):
-            cut = [stretches(w) for w in words[lo:lo + 20_000]]
-            parts = [x for c in cut for x in c]
-            alpha = self.forward(parts, probability)
-            ends = np.fromiter(map(len, parts), np.int64, len(parts))
-            logs = np.log(np.maximum(alpha[np.arange(len(parts)), ends], 1e-300))
-            np.add.at(out, np.repeat(np.arange(lo, lo + len(cut)), [len(c) for c in cut]), logs)
+        logs = np.log(probability.astype(np.float64))
+        for part in batches(words):
+            some = [marked(words[i]) for i in part]
+            out[part] = self.forward(some, logs)[np.arange(len(some)), [len(w) for w in some]]
         return out
 
     def fit(self, counts: Counter, rounds: int = ROUNDS) -> np.ndarray:
         """Piece probabilities by EM over word counts (all segmentations weighted)."""
-        cut: Counter = Counter()
-        for w, k in counts.items():
-            for x in stretches(w):
-                cut[x] += k
-        words = sorted(cut)
-        n = np.array([cut[w] for w in words], float)
+        words = sorted(counts)
+        groups = [([marked(words[i]) for i in part], np.array([counts[words[i]] for i in part], float)) for part in batches(words)]
+        lattices = [self.edges(ws) for ws, _ in groups]
         expected = np.zeros(self.size)
-        batches = [(words[i:i + 20_000], n[i:i + 20_000]) for i in range(0, len(words), 20_000)]
-        lattices = [self.edges(ws) for ws, _ in batches]
-        for e, (_, c) in zip(lattices, batches):  # start: how often a piece could be used
+        for e, (_, c) in zip(lattices, groups):  # start: how often a piece could be used
             np.add.at(expected, e[:, 3], c[e[:, 0]])
         p = self._normal(expected)
         for _ in range(rounds):
-            expected = np.zeros(self.size)
-            for e, (ws, c) in zip(lattices, batches):
-                a = self.forward(ws, p[:, None], e)[:, :, 0]
-                ends = np.fromiter(map(len, ws), np.int64, len(ws))
-                beta = np.zeros_like(a)
-                beta[np.arange(len(ws)), ends] = 1.0
+            expected, logs = np.zeros(self.size), np.log(p)[:, None]
+            for e, (ws, c) in zip(lattices, groups):
+                alpha = self.forward(ws, logs, e)
+                beta = np.zeros_like(alpha)
                 by = e[np.argsort(-e[:, 1], kind="stable")]
-                cuts = np.searchsorted(-by[:, 1], np.arange(-a.shape[1] + 1, 2))
-                for k, start in enumerate(range(a.shape[1] - 1, -1, -1)):
+                cuts = np.searchsorted(-by[:, 1], np.arange(-alpha.shape[1] + 1, 2))
+                for k, start in enumerate(range(alpha.shape[1] - 1, -1, -1)):
                     x = by[cuts[k]:cuts[k + 1]]
                     if len(x):
-                        np.add.at(beta[:, start], x[:, 0], beta[x[:, 0], x[:, 2]] * p[x[:, 3]])
-                total = np.maximum(a[np.arange(len(ws)), ends], 1e-300)
-                np.add.at(expected, e[:, 3], c[e[:, 0]] * a[e[:, 0], e[:, 1]] * p[e[:, 3]] * beta[e[:, 0], e[:, 2]] / total[e[:, 0]])
+                        self._add(beta, start, start + 1, x[:, 0], x[:, 2], logs[x[:, 3]])
+                whole = beta[e[:, 0], 0, 0]
+                share = np.exp(alpha[e[:, 0], e[:, 1], 0] + logs[e[:, 3], 0] + beta[e[:, 0], e[:, 2], 0] - whole)
+                np.add.at(expected, e[:, 3], c[e[:, 0]] * share)
             p = self._normal(expected)
         return p
 
