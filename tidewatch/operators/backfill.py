@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F, Window
 
 from tidewatch import constants as C
 from tidewatch.operators._util import materialized
-from tidewatch.operators.vectors import term_pieces
+from tidewatch.operators.vectors import above_cut, histogram_cuts
 
 KEY = ["scope", "term"]
 
@@ -58,12 +58,7 @@ def vocabulary_cuts(intervals: DataFrame, records: DataFrame, max_features: int
     counts = steps.select(*level, F.col("at").alias("start"), F.lead("at").over(by).alias("until"),
                           F.sum("d").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("terms")).filter("terms > 0")
     daily = counts.select(*level, "terms", F.explode(F.sequence("start", F.date_sub("until", 1))).alias("day")).join(record_days(records), "day", "left_semi")
-    down = Window.partitionBy("scope", "day").orderBy(F.col("ctf").desc())
-    ranked = daily.withColumn("upto", F.sum("terms").over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    last = F.col("upto") >= max_features
-    return ranked.groupBy("scope", "day").agg(
-        F.coalesce(F.max(F.when(last, F.col("ctf"))), F.lit(0)).alias("cut"),
-        F.coalesce(F.max_by(F.when(last, F.col("upto") - F.col("terms")), F.when(last, F.col("ctf"))), F.lit(0)).alias("above"))
+    return histogram_cuts(daily, ["scope", "day"], max_features)
 
 
 def sliding_vocabulary(tf: DataFrame, records: DataFrame, days: int = C.LOOKBACK_DAYS, max_features: int = C.MAX_FEATURES) -> DataFrame:
@@ -77,15 +72,8 @@ def sliding_vocabulary(tf: DataFrame, records: DataFrame, days: int = C.LOOKBACK
     daily = (open_.select(*KEY, "ctf", "df", "arrived", "start", F.explode(F.sequence("start", until)).alias("day"))
              .join(cuts, ["scope", "day"]).filter(F.col("ctf") >= F.col("cut"))
              .select("scope", "day", "term", "ctf", "df", F.when(F.col("day") == F.col("start"), F.col("arrived")).otherwise(0).alias("qtf"),
-                     (F.col("ctf") == F.col("cut")).alias("tie"), (F.lit(max_features) - F.col("above")).alias("room")))
-    columns = ["scope", "day", "term", "ctf", "df", "qtf"]
-    ties = daily.filter("tie")
-    # two levels: a corpus with very many ties is ranked in pieces first
-    first = Window.partitionBy("scope", "day", "_piece").orderBy("term")
-    kept = (ties.withColumn("_piece", term_pieces("term")).withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= max_features)
-            .withColumn("_rank", F.row_number().over(Window.partitionBy("scope", "day").orderBy("term")))
-            .filter((F.col("_rank") <= max_features) & (F.col("_rank") <= F.col("room"))))
-    return daily.filter("not tie").select(*columns).unionByName(kept.select(*columns))
+                     "cut", "above"))
+    return above_cut(daily, ["scope", "day"], max_features)
 
 
 def corpus_days(tf: DataFrame, records: DataFrame, scopes: DataFrame, days: int = C.LOOKBACK_DAYS) -> DataFrame:

@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, functions as F, Window
 
 from tidewatch import constants as C
 from tidewatch.functions.rounding import py_round
-from tidewatch.operators._util import broadcast_if_bounded, day_lit, window_filter
+from tidewatch.operators._util import broadcast_if_bounded, cut_lineage, day_lit, materialized, window_filter
 from tidewatch.operators.detectors import shift_label
-from tidewatch.operators.vectors import tfidf_similarity, top_terms
+from tidewatch.operators.vectors import above_cut, histogram_cuts, tfidf_similarity
 
 
 def nonblank_days(tf: DataFrame, keys: tuple[str, ...] = ("scope",)) -> DataFrame:
@@ -91,24 +91,38 @@ def novelty_series(tf: DataFrame, records: DataFrame, scopes: DataFrame, day, da
                    max_features: int = C.SERIES_MAX_FEATURES) -> DataFrame:
     """``scope, date, novelty``: ``round(1 - sim(prev, date), 3)``, 0.0 when a side is blank (M5).
 
-    A pair of days is a corpus of two documents, so one row per (scope, pair, term) holds both
-    counts: one aggregate, a top-``max_features``, and the sums of the dot product and norms.
-    No vocabulary join is needed.
+    A pair of days is a corpus of two documents.  The counts of a term are put in the order of the record days once
+    (one shuffle by scope and term); a row then sees the row before it, so both counts of a pair
+    are in one row without a join.  The vocabulary is cut by a histogram of counts; only ties are ranked.
     """
-    members = day_pairs(records, scopes, day, days)
+    members = materialized(day_pairs(records, scopes, day, days))
     ck = ["scope", "pair_end"]
-    counts = tf.join(members, ["scope", "date"]).groupBy(*ck, "term").agg(
-        F.coalesce(F.sum(F.when(F.col("is_query"), F.col("tf"))), F.lit(0)).alias("cur"),
-        F.coalesce(F.sum(F.when(~F.col("is_query"), F.col("tf"))), F.lit(0)).alias("prev"))
+    ends = members.filter("is_query").select(*ck)
+    # each day's pair as its end and, if there is a next record day, that day's pair as its other side
+    prev = members.filter("not is_query").select("scope", "date", F.col("pair_end").alias("next_end"))
+    own = ends.select("scope", F.col("pair_end").alias("date"), F.col("pair_end").alias("own_end"))
+    place = own.join(prev, ["scope", "date"], "full")
+    by = Window.partitionBy("scope", "term").orderBy("date")
+    rows = (tf.select("scope", "date", "term", "tf").join(broadcast_if_bounded(place, max(1, members.count()), 32), ["scope", "date"])
+            .withColumns({"before": F.lag(F.struct("next_end", "tf")).over(by), "after": F.lead("own_end").over(by)}))
+    shared = F.when(F.col("before.next_end") == F.col("own_end"), F.col("before.tf")).otherwise(F.lit(0))
+    mine = F.struct(F.col("own_end").alias("pair_end"), F.col("tf").alias("cur"), shared.alias("prev"))
+    gone = F.struct(F.col("next_end").alias("pair_end"), F.lit(0).cast("bigint").alias("cur"), F.col("tf").alias("prev"))
+    # the next record day lacks the term: a row of its own
+    lacks = F.col("next_end").isNotNull() & ~F.coalesce(F.col("after") == F.col("next_end"), F.lit(False))
+    counts = (rows.select("scope", "term", F.explode(F.filter(F.array(F.when(F.col("own_end").isNotNull(), mine), F.when(lacks, gone)),
+                                                              lambda x: x.isNotNull())).alias("x"))
+              .select("scope", "term", "x.*").withColumn("ctf", F.col("cur") + F.col("prev")))
+    counts = cut_lineage(counts)
     sides = counts.groupBy(*ck).agg((F.max(F.col("cur") > 0) & F.max(F.col("prev") > 0)).alias("both"))
-    kept = top_terms(counts.withColumn("ctf", F.col("cur") + F.col("prev")), ck, max_features)
+    cuts = histogram_cuts(counts.groupBy(*ck, "ctf").agg(F.count("*").alias("terms")), ck, max_features)
+    kept = above_cut(counts.join(cuts, ck).filter(F.col("ctf") >= F.col("cut")), ck, max_features)
     df = (F.col("cur") > 0).cast("int") + (F.col("prev") > 0).cast("int")
     idf2 = F.pow(F.log(3.0 / (df + 1.0)) + 1.0, 2)
     sums = kept.groupBy(*ck).agg(F.sum(F.col("cur") * F.col("prev") * idf2).alias("dot"),
                                  F.sum(F.col("cur") * F.col("cur") * idf2).alias("nc"),
                                  F.sum(F.col("prev") * F.col("prev") * idf2).alias("np"))
     sim = F.when((F.col("nc") > 0) & (F.col("np") > 0), F.col("dot") / F.sqrt(F.col("nc") * F.col("np"))).otherwise(0.0)
-    ends = members.filter("is_query").select(*ck)
     return (ends.join(sums.join(sides, ck), ck, "left")
             .select("scope", F.col("pair_end").alias("date"),
                     F.when(F.coalesce("both", F.lit(False)), py_round(1.0 - sim, 3)).otherwise(F.lit(0.0)).alias("novelty")))

@@ -128,6 +128,29 @@ def top_terms(stats: DataFrame, ck: list[str], max_features: int, slices: int =
             .filter(F.col("rank") <= max_features))
 
 
+def histogram_cuts(counts: DataFrame, ck: list[str], max_features: int) -> DataFrame:
+    """``ck..., cut, above`` from ``(ck..., ctf, terms)``, the number of terms of each count: the count of the last of the
+    ``max_features`` most frequent terms and how many terms have a larger one (``cut`` 0: all terms fit)."""
+    down = Window.partitionBy(*ck).orderBy(F.col("ctf").desc())
+    ranked = counts.withColumn("upto", F.sum("terms").over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    last = F.col("upto") >= max_features
+    return ranked.groupBy(*ck).agg(
+        F.coalesce(F.max(F.when(last, F.col("ctf"))), F.lit(0)).alias("cut"),
+        F.coalesce(F.max_by(F.when(last, F.col("upto") - F.col("terms")), F.when(last, F.col("ctf"))), F.lit(0)).alias("above"))
+
+
+def above_cut(terms: DataFrame, ck: list[str], max_features: int) -> DataFrame:
+    """Of ``terms`` with their corpus' ``cut`` and ``above`` joined, the ``max_features`` most frequent, ties by term.  Only
+    ties are ranked, in two levels, so a corpus with very many of them is no single task."""
+    columns = [c for c in terms.columns if c not in ("cut", "above")]
+    first = Window.partitionBy(*ck, "_piece").orderBy("term")
+    ties = (terms.filter("ctf = cut").withColumn("_piece", term_pieces("term"))
+            .withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= max_features)
+            .withColumn("_rank", F.row_number().over(Window.partitionBy(*ck).orderBy("term")))
+            .filter((F.col("_rank") <= max_features) & (F.col("_rank") <= max_features - F.col("above"))))
+    return terms.filter("ctf > cut").select(*columns).unionByName(ties.select(*columns))
+
+
 def _vocab(ct: DataFrame, sizes: DataFrame, ck: list[str], max_features: int) -> DataFrame:
     """Kept terms per corpus with ``idf``, corpus statistics and the query day's count."""
     stats = ct.groupBy(*ck, "term").agg(

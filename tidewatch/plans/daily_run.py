@@ -44,6 +44,7 @@ from tidewatch.operators import vectors as V
 from tidewatch.operators._util import cut_lineage, window_filter
 from tidewatch.plans import reports as PR
 from tidewatch.sources import harvest as HV
+from tidewatch.sources import registry as RG
 from tidewatch.sources import store as S
 
 
@@ -74,7 +75,7 @@ def daily_run(spark: SparkSession, day: str, paths: RunPaths, items: DataFrame,
     d = F.to_date(F.lit(day))
     # 1 ingest
     raw = IG.with_item_id(items)
-    seen = S.read_registry(spark, paths.registry)
+    seen = RG.read_ids(spark, paths.registry)
     accepted = IG.dedup_capped(raw, catalog, seen, cap=cap)
     # items of every run are kept (a rerun of the day may accept items that were
     # beyond a source's cap before); the registry is appended after they are stored
@@ -82,7 +83,8 @@ def daily_run(spark: SparkSession, day: str, paths: RunPaths, items: DataFrame,
     stored = accepted.withColumn("run_id", F.lit(run_id))
     stored.write.mode("append").parquet(f"{paths.items}/date={day}")
     written = S.read_store(spark, paths.items, stored.schema).filter((F.col("date") == d) & (F.col("run_id") == run_id))
-    S.append_registry(written, paths.registry)
+    RG.append_ids(written, paths.registry)
+    RG.merge_if_needed(spark, paths.registry)
     stats = IG.ingest_stats(raw, written, catalog)
 
     # 2 snapshot facts of the day
