@@ -110,3 +110,16 @@ def test_reachable_keeps_only_the_chain(spark):
 def test_warc_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert W.round_trip(df).count() == 0
+
+
+def test_bit_map_keeps_every_key(spark, monkeypatch):
+    """Rows of the keys are all among those that may match; few others are, and with a full map all of them."""
+    rows = spark.range(4000).select(F.col("id").alias("k"), F.sha1(F.col("id").cast("string").cast("binary")).alias("digest"), F.lit("x").alias("html"))
+    keys = rows.filter("k % 7 = 3").select("k", "digest")
+    wanted = {r.k for r in keys.collect()}
+    for bits, most in ((W.REVISIT_BITS, 20), (1 << 15, 200), (8, 4000)):
+        monkeypatch.setattr(W, "REVISIT_BITS", bits)
+        maybe, others = W._split_by_bits(rows, keys)
+        a, b = [{r.k for r in x.collect()} for x in (maybe, others)]
+        assert wanted <= a and a | b == set(range(4000)) and not a & b and len(a - wanted) <= most
+    assert W._split_by_bits(rows, keys.limit(0))[0].count() == 0

@@ -4,7 +4,9 @@ Writing.  A record is one row; Spark's text writer puts CR LF CR LF behind it, w
 the format's record end.  Of equal payloads of at least ``LEAST_REVISIT`` bytes the one with the
 largest page_id is the response, the others are revisits without a payload.  Only
 (digest, page_id) pairs are grouped and joined, so a payload that a third of all pages
-share moves as short rows.
+share moves as short rows.  The revisits' keys make a bit map of ``REVISIT_BITS`` bits, which goes to all tasks: a page without a bit
+there is written straight from its scan.  Only pages with one (the revisits, and others by chance: n / REVISIT_BITS of them for n
+revisits) meet the table of revisits by shuffle.
 
 Reading.  Files are cut at every occurrence of the magic ``WARC/1.0 CR LF`` by the text reader
 (splittable, by any path Spark reads).  The magic may occur inside payloads, so each occurrence is only a
@@ -39,6 +41,7 @@ from tidewatch.llm.common import shared_folder, shared_table, slices, text_or_em
 MAGIC = "WARC/1.0\r\n"
 RECORD_END = "\r\n\r\n"
 LEAST_REVISIT = 1000
+REVISIT_BITS = 1 << 23          # 1 MB
 BLOCK = 4 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"   # the pages table has no crawl time
@@ -59,9 +62,11 @@ def write_archive(pages: DataFrame, path: str, key: str = "page_id", url: str =
     # written, so that the join below is between two exchanges and a hot digest can be split
     first = shared_table(long.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n"))
                          .filter("n > 1 and refers_to is not null"), "warc-first")
-    revisits = (long.join(first, "digest").filter(~F.col("page_id").eqNullSafe(F.col("refers_to")))
-                .select(F.coalesce("page_id", F.lit(-1 << 63)).alias("k"), "digest", "refers_to").distinct())
-    rows = rows.withColumn("k", F.coalesce("page_id", F.lit(-1 << 63))).join(revisits, ["k", "digest"], "left")
+    revisits = shared_table(long.join(first, "digest").filter(~F.col("page_id").eqNullSafe(F.col("refers_to")))
+                            .select(F.coalesce("page_id", F.lit(-1 << 63)).alias("k"), "digest", "refers_to").distinct(), "warc-revisits")
+    rows = rows.withColumn("k", F.coalesce("page_id", F.lit(-1 << 63)))
+    maybe, others = _split_by_bits(rows, revisits)
+    rows = maybe.join(revisits, ["k", "digest"], "left").unionByName(others.withColumn("refers_to", F.lit(None).cast("bigint")))
     is_revisit = F.col("refers_to").isNotNull()
 
     def line(name, value):
@@ -82,6 +87,18 @@ def write_archive(pages: DataFrame, path: str, key: str = "page_id", url: str =
     rows.select(record.alias("value")).write.option("lineSep", RECORD_END).text(path)
 
 
+def _split_by_bits(rows: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose (k, digest) may be among ``keys``, and those whose isn't, by a bit map of fixed size."""
+    place = F.pmod(F.xxhash64("k", "digest"), F.lit(REVISIT_BITS))
+    bit = F.bitmap_bit_position(place)
+    maps = keys.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    marked = rows.withColumn("bucket", F.bitmap_bucket_number(place)).join(F.broadcast(maps), "bucket", "left")  # at most REVISIT_BITS bits
+    byte = F.conv(F.hex(F.substring("bits", (bit / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    is_set = F.coalesce(byte.bitwiseAND(F.pow(F.lit(2), F.pmod(bit, F.lit(8))).cast("int")) != 0, F.lit(False))
+    columns = rows.columns
+    return marked.filter(is_set).select(*columns), marked.filter(~is_set).select(*columns)
+
+
 def _stretches(spark: SparkSession, path: str) -> DataFrame:
     """Bytes between magics with the split they were read in, in file order inside a task."""
     return (spark.read.option("lineSep", MAGIC).text(path)
