@@ -90,3 +90,39 @@ def test_streams_read_folders_of_part_files(spark):
     key = ["date", "kw", "n"]
     want, got = (sorted(map(tuple, REGISTRY["stream_daily"](spark, d).select(*key).collect())) for d in (single, base))
     assert got == want
+
+
+def test_late_rows_of_the_dedup_stream(spark):
+    src = tempfile.mkdtemp(prefix="tw-stream-")
+    out, state = ST.scratch_dirs(spark, "t-dedup-late")
+
+    def arrive(name, rows):
+        df = spark.createDataFrame(rows, "aid string, ts string").withColumn("ts", F.to_timestamp("ts"))
+        df.coalesce(1).write.parquet(f"{src}/{name}")
+        stream = spark.readStream.schema(df.schema).option("recursiveFileLookup", "true").parquet(src)
+        ST.run_available_now(ST.stream_dedup(stream, delay="1 day"), out, state)
+
+    arrive("a", [("x", "2024-01-10 00:00:00"), ("y", "2024-01-20 00:00:00"), ("x", "2024-01-10 01:00:00")])
+    arrive("b", [("z", "2024-01-01 00:00:00"), ("w", "2024-01-02 00:00:00"), ("v", "2024-01-20 01:00:00")])
+    assert sorted(r.aid for r in spark.read.parquet(out).collect()) == ["v", "x", "y"]
+    assert ST.late_rows(spark, out).agg(F.sum("late_rows")).first()[0] == 2
+
+
+def test_late_rows_are_taken_while_the_query_runs():
+    """More epochs than a query keeps progress of."""
+    class Progress:
+        def __init__(self, i):
+            self.batchId, self.stateOperators = i, [type("S", (), {"numRowsDroppedByWatermark": i % 3})()]
+
+    class Query:
+        at = 0
+
+        def awaitTermination(self, seconds):
+            self.at = min(250, self.at + 60)
+            return self.at == 250
+
+        @property
+        def recentProgress(self):
+            return [Progress(i) for i in range(max(0, self.at - 100), self.at)]
+
+    assert ST._drained(Query()) == {i: i % 3 for i in range(250)}

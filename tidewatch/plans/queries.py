@@ -171,35 +171,37 @@ def _texts(spark, sf_dir, day=None, days=30):
     return window_filter(texts, day, days + 1, inclusive=True)
 
 
-_TERM_TABLES: dict[tuple, DataFrame] = {}
+_DERIVED: dict[tuple, tuple[tuple, DataFrame]] = {}
+
+
+def _kept(spark, sf_dir, key: tuple, make) -> DataFrame:
+    """A derived table of ``documents``, made once per application and again when the table's files change."""
+    from tidewatch.operators._util import cut_lineage
+    from tidewatch.sources.store import file_state
+    key, state = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), *key), file_state(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
+    if _DERIVED.get(key, (None,))[0] != state:
+        _DERIVED[key] = (state, cut_lineage(make()))
+    return _DERIVED[key][1]
+
+
 
 
 def _text_tf(spark, sf_dir, day=None, days=30):
     """The day-text term table of the window, materialised once per application
     (checkpoint in the shared folder) and shared by every text analytic, like
     the derived term table a daily job keeps next to its history."""
-    from tidewatch.operators._util import cut_lineage
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), str(day or B.TEXT_DAY), days)
-    if key not in _TERM_TABLES:
-        _TERM_TABLES[key] = cut_lineage(V.term_counts(_texts(spark, sf_dir, day, days)))
-    return _TERM_TABLES[key]
-
-
-_MEMBERS: dict[tuple, DataFrame] = {}
+    return _kept(spark, sf_dir, ("terms", str(day or B.TEXT_DAY), days), lambda: V.term_counts(_texts(spark, sf_dir, day, days)))
 
 
 def _members(spark, sf_dir, day=None, days=30, scopes=None):
     """Corpus membership of the day texts (record days x scopes); the default
     form is materialised once per application, like the term table."""
-    from tidewatch.operators._util import cut_lineage
     day = day or B.TEXT_DAY
     texts = B.day_texts(spark, sf_dir)
     if scopes is not None:
         return V.day_members(texts.select("date"), scopes, day, days)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), str(day), days)
-    if key not in _MEMBERS:
-        _MEMBERS[key] = cut_lineage(V.day_members(texts.select("date"), texts.select("scope").distinct(), day, days))
-    return _MEMBERS[key]
+    return _kept(spark, sf_dir, ("members", str(day), days),
+                 lambda: V.day_members(texts.select("date"), texts.select("scope").distinct(), day, days))
 
 
 def _lang_sims(spark, sf_dir):

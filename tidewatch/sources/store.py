@@ -80,6 +80,13 @@ def _rename(fs, source, target) -> None:
         raise OSError(f"can't rename {source} to {target}")
 
 
+def file_state(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of a table's files (a file, or a folder's direct children)."""
+    fs, (at,) = _folders(spark, path)
+    files = [fs.getFileStatus(at)] + (list(fs.listStatus(at)) if fs.getFileStatus(at).isDirectory() else [])
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
+
+
 def recover_days(spark: SparkSession, path: str, date_col: str = "date") -> None:
     """Give a day back its old rows if a replacement ended between its two renames."""
     fs, (root,) = _folders(spark, path)

@@ -49,9 +49,24 @@ def run_daily_upserts(stream: DataFrame, out_dir: str, checkpoint_dir: str) -> N
 
     q = (stream.writeStream.outputMode("update").foreachBatch(upsert)
          .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
-    q.awaitTermination()
-    late = [(p.batchId, sum(s.numRowsDroppedByWatermark for s in p.stateOperators)) for p in q.recentProgress]
-    spark.createDataFrame(late, "epoch long, late_rows long").write.mode("append").parquet(f"{out_dir}_late")
+    _write_late_rows(spark, _drained(q), out_dir)
+
+
+def _drained(q) -> dict[int, int]:
+    """Wait for a query's end; rows dropped behind the watermark by epoch.  A query keeps its last 100
+    progress records only, so they are taken while it runs."""
+    late: dict[int, int] = {}
+    done = False
+    while not done:
+        done = q.awaitTermination(1)
+        for p in q.recentProgress:
+            late[p.batchId] = max(late.get(p.batchId, 0), sum(s.numRowsDroppedByWatermark for s in p.stateOperators))
+    return late
+
+
+def _write_late_rows(spark: SparkSession, late: dict[int, int], out_dir: str) -> None:
+    """One file a run: its epochs with their late rows."""
+    spark.createDataFrame(sorted(late.items()), "epoch long, late_rows long").coalesce(1).write.mode("append").parquet(f"{out_dir}_late")
 
 
 def read_daily(spark: SparkSession, out_dir: str, keys: tuple[str, ...] = ("date", "kw")) -> DataFrame:
@@ -63,16 +78,17 @@ def read_daily(spark: SparkSession, out_dir: str, keys: tuple[str, ...] = ("date
 
 
 def late_rows(spark: SparkSession, out_dir: str) -> DataFrame:
-    """``epoch, late_rows`` of a daily stream."""
-    return spark.read.parquet(f"{out_dir}_late")
+    """``epoch, late_rows`` of a drained stream (of several runs, the largest count of an epoch)."""
+    return spark.read.parquet(f"{out_dir}_late").groupBy("epoch").agg(F.max("late_rows").alias("late_rows"))
 
 
 def run_available_now(stream: DataFrame, out_dir: str, checkpoint_dir: str, mode: str = "append") -> None:
-    """Drain everything available into parquet files (trigger ``availableNow``)."""
+    """Drain everything available into parquet files (trigger ``availableNow``); rows that the watermark drops are
+    counted in ``<out_dir>_late``."""
     q = (stream.writeStream.format("parquet").outputMode(mode)
          .option("path", out_dir).option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())
-    q.awaitTermination()
+    _write_late_rows(stream.sparkSession, _drained(q), out_dir)
 
 
 def scratch_dirs(spark: SparkSession, name: str) -> tuple[str, str]:
