@@ -2,7 +2,12 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as
 Parquet and read again as the next stage's documents.  All but the last return the
-columns of ``documents``.
+columns of ``documents``, further columns of any name included.
+
+Defined cases: null, blank and short texts fail the quality rules and go; a null doc_id is an id; of
+repeated rows and near copies one row stays, the least id (null last), rows of equal id and text by their other
+columns; a document of which 0.8 of a benchmark item's shingles are found goes (a tie goes); texts may have any
+length; an empty table gives an empty result with all columns.
 """
 
 from __future__ import annotations
@@ -35,7 +40,10 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: secrets in the texts are masked; every document stays."""
-    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    clean = secrets.redact(docs)
+    if "n_chars" not in docs.columns:
+        return clean
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
