@@ -241,3 +241,34 @@ def test_pipeline_against_brute_force(spark):
     assert len({r.sequence_id for r in out}) == len({b + k for _, _, c, b, _ in P.plan(Counter(min(P.CAPACITY, n - s) for n in length.values() for s in range(0, n, P.CAPACITY))) for k in range(c)})
     assert D.THRESHOLD == 0.8 and all(words_of(masked[i]) for i in left)
     assert any(S.MARK in t for t in masked.values()) or not any("token =" in texts[i].lower() for i in left)
+
+
+def test_pipeline_stages_on_odd_rows(spark, tmp_path):
+    import corpus_pipeline as P
+
+    rng = random.Random(12)
+    good = lambda: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(80)) + "."
+    a, b, c = good(), good(), good()
+    item = " ".join(f"b{i}" for i in range(40))
+    texts = [(1, a), (1, a), (2, a), (None, b), (3, None), (4, ""), (5, "too short"), (6, c + " " + item + " " + good()), (7, c + " " + SECRETS[0] + " end"),
+             (8, " ".join(f"long{i}" for i in range(30_000)))]
+    clash = ["_found", "row", "node", "label", "block", "length"]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0 if t is None else len(t)) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({n: F.lit(n) for n in clash})
+    spark.createDataFrame([(1, item), (1, item), (None, None), (2, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = docs
+    for k, (name, stage) in enumerate(P.STAGES[:4]):
+        stage(spark, out, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        out = spark.read.parquet(f"{tmp_path}/{name}")
+        assert out.columns == docs.columns, name
+        assert all(r[n] == n for r in out.collect() for n in clash), name
+    kept = {r.doc_id: r for r in out.collect()}
+    assert set(kept) == {1, None, 7, 8} and out.count() == 4
+    assert kept[7].text == c + f' token = "{S.MARK}" end' and kept[7].n_chars == len(kept[7].text)
+    packed = P.STAGES[4][1](spark, out, str(tmp_path))
+    assert {r.doc_id for r in packed.collect()} == set(kept)
+    empty = docs.limit(0)
+    for name, stage in P.STAGES:
+        empty = stage(spark, empty, str(tmp_path)).select("*")
+        assert empty.count() == 0, name
+        empty = docs.limit(0)
