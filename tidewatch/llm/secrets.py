@@ -26,7 +26,7 @@ import re
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewatch.llm.common import row_columns, whole_rows
+from tidewatch.llm.common import row_columns, shared_table, whole_rows
 
 MARK = "[SECRET]"
 THRESHOLD = 0.5
@@ -183,7 +183,9 @@ def fit_forest(findings: DataFrame, trees: int = TREES, depth: int = DEPTH, seed
 
     At most about ``most`` findings (a hash sample) come to the driver, as numbers.  A finding is learned as the candidates
     that the scan would make of its value; one without any is never scored."""
-    rows = found_candidates(findings)
+    # written in steps: as one plan, the generator, the scan and the features are too large to compile, which
+    # costs the driver hundreds of megabytes
+    rows = shared_table(found_candidates(shared_table(findings, "secret-findings")), "secret-candidates")
     n = rows.count()
     if n > most:
         rows = rows.filter(F.pmod(F.xxhash64("c"), F.lit(1 << 30)) < int((1 << 30) * most / n))
