@@ -30,6 +30,7 @@ from tidewatch.sources.harvest import rejected_feeds, rejected_lists, rejected_p
 from tidewatch.sources.registry import append_ids, merge as merge_registry, read_ids  # noqa: F401
 from tidewatch.sources.store import (append_registry, append_run_log, read_days, read_json_history,  # noqa: F401
                                      read_registry, write_days, write_latest_json)
+from tidewatch.streaming.capped import accepted as stream_accepted, run_capped_stream, write_candidates  # noqa: F401
 from tidewatch.streaming.streams import (ingest_batches, stream_daily_keywords as stream_daily,  # noqa: F401
                                          stream_dedup)
 from tidewatch.streaming.trends import (keyword_trends_by_day, merge_masks, read_masks,  # noqa: F401

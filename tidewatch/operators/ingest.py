@@ -11,13 +11,15 @@ which every id prefers the earlier source, so it can be found in rounds:
 
 1. first position per ``(source, aid)`` by a partial aggregate (a hot group of
    copies collapses map-side), then anti-join with the registry;
-2. every source proposes its first ``cap`` ids that no earlier source has taken from it
-   (a constant limit, so ``WindowGroupLimit`` cuts a source of a third of all rows map-side);
-3. every id keeps the earliest proposing source, the other proposals are rejected; repeat from 2
+2. a source with ``r`` sources before it keeps its first ``cap * (r + 1)`` ids, as those accept at most ``cap * r``
+   (:func:`within_reach`: a constant limit, so ``WindowGroupLimit`` cuts a source of a third of all rows map-side);
+3. every source proposes its first ``cap`` ids that no earlier source has taken from it;
+4. every id keeps the earliest proposing source, the other proposals are rejected; repeat from 3
    until nothing is rejected.
 
-A round is one per-source top-``cap`` and one aggregate by id over ``cap`` rows a source; no step
-holds a run or a source in one task.
+A round is one per-source top-``cap`` and one aggregate by id over ``cap`` rows a source; what the rounds read is
+bounded by the catalog, not by the items.  In the worst case (all sources carry one list) each round settles one source.
+No step holds a run or a source in one task.
 
 ``mode='global_first'`` is the plain window form (W1 then W2): first source of
 each id by ``(src_rank, pos)``, then the first ``cap`` per source.
@@ -52,17 +54,29 @@ def first_per_source(items: DataFrame, seen: DataFrame | None = None) -> DataFra
     return first
 
 
-def _matching(fresh: DataFrame, cap: int) -> DataFrame:
-    """Accepted ``(source, src_rank, aid, pos, rank)`` by rounds of proposals; ``rank`` is the
+def within_reach(fresh: DataFrame, cap: int, n_sources: int) -> DataFrame:
+    """The ids that the exact rule can accept: of one row per ``(source, aid)`` with ``src_rank`` (0-based) and ``pos``, the first
+    ``cap * (src_rank + 1)`` of each source.  The earlier sources accept at most ``cap * src_rank`` of them, so
+    ``cap`` are left.  Nothing that the rule would take is lost; ``rank`` of the kept ids doesn't change either."""
+    n = F.row_number().over(Window.partitionBy("source").orderBy("pos", "aid"))
+    return (fresh.withColumn("_n", n).filter(F.col("_n") <= cap * max(n_sources, 1))
+            .filter(F.col("_n") <= cap * (F.col("src_rank").cast("bigint") + 1)).drop("_n"))
+
+
+def matching(fresh: DataFrame, cap: int) -> DataFrame:
+    """Accepted ``(source, src_rank, aid, pos, ..., rank)`` by rounds of proposals; ``rank`` is the
     in-source rank by position (everything before an accepted item was proposed once)."""
     w = Window.partitionBy("source").orderBy("pos", "aid")
     rejected = None
     while True:
-        open_ids = fresh if rejected is None else fresh.join(rejected, ["source", "aid"], "left_anti")
+        open_ids = fresh
+        if rejected is not None:
+            gone = rejected.select(F.col("source").alias("_source"), F.col("aid").alias("_aid"))
+            open_ids = fresh.join(gone, (F.col("source") == F.col("_source")) & F.col("aid").eqNullSafe(F.col("_aid")), "left_anti")
         proposed = open_ids.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= cap).drop("_n")
         winner = F.min("src_rank").over(Window.partitionBy("aid"))  # at most one row per source
         decided = cut_lineage(proposed.withColumn("_kept", winner == F.col("src_rank")))
-        lost = decided.filter(~F.col("_kept")).select("source", "src_rank", "aid", "pos")
+        lost = decided.filter(~F.col("_kept")).drop("_kept")
         if lost.isEmpty():
             break
         rejected = cut_lineage(lost if rejected is None else rejected.unionByName(lost))
@@ -95,7 +109,7 @@ def dedup_capped(items: DataFrame, catalog: DataFrame, seen: DataFrame | None =
         w = Window.partitionBy("source").orderBy("pos", "aid")
         acc = firsts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= cap)
     elif mode == "exact":
-        acc = _matching(cut_lineage(fresh.join(cat, "source", "inner")), cap)
+        acc = matching(cut_lineage(within_reach(fresh.join(cat, "source", "inner"), cap, n_sources)), cap)
     else:
         raise ValueError(f"unknown mode {mode!r}")
     acc = broadcast_if_bounded(acc.select("source", "pos", "aid", "src_rank", "rank"), cap * max(n_sources, 1), 96)

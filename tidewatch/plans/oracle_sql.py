@@ -587,6 +587,7 @@ SELECT cat_rank, item, 0, '- [' || coalesce(title, '') || '](' || coalesce(url,
 # ---------------------------------------------------------------- streaming twins (batch equivalents)
 
 SQL["stream_dedup"] = "SELECT DISTINCT substr(sha256('|' || text), 1, 16) AS aid FROM documents"
+SQL["stream_dedup_capped"] = SQL["dedup_capped_exact"]
 SQL["stream_daily"] = """
 SELECT CAST(date_trunc('day', ts) AS DATE) AS date, CAST(user_id AS VARCHAR) || ':' || event_type AS kw,
        count(*) AS n, round(sum(value), 2) AS value

@@ -28,6 +28,7 @@ from tidewatch.operators._util import window_filter
 from tidewatch.plans import reports as PR
 from tidewatch.sources import bindings as B
 from tidewatch.sources import harvest as HV
+from tidewatch.streaming import capped as CP
 from tidewatch.streaming import streams as ST
 from tidewatch.streaming import trends as TR
 
@@ -435,6 +436,15 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("aid")
 
 
+@register("stream_dedup_capped")
+def q_stream_dedup_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 over the document stream: the accepted items after its last epoch."""
+    out, state = ST.scratch_dirs(spark, "stream-dedup-capped")
+    CP.run_capped_stream(ST.document_stream(spark, sf_dir), out, state, B.source_catalog(spark, sf_dir), B.seen_items(spark, sf_dir))
+    return CP.accepted(spark, out).select("source", F.col("src_rank").cast("bigint").alias("src_rank"), "pos", "aid",
+                                          F.col("rank").cast("bigint").alias("rank"))
+
+
 @register("stream_keyword_trends")
 def q_stream_keyword_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4 of every day from the masks that the event stream leaves."""
