@@ -141,6 +141,35 @@ def test_counterfactual_penalty_covers_beginnings_and_counts(spark):
     assert logit("vile") - logit("fine") > 2
 
 
+def test_neutral_phrases_give_pairs_to_texts_without_a_mention():
+    text = "Nothing said here. Immigration and asiatic trade!"
+    pairs = T.carried(text)
+    assert len(pairs) == len(T._LISTS) and {t for _, t in pairs} <= T._SWAP.keys()
+    for words, term in pairs:
+        x, y = T.features(" ".join(words)), T.features(" ".join(T._SWAP[term] if w == term else w for w in words))
+        assert T.changes([(words, term)]) == {(tuple(sorted(x - y)), tuple(sorted(y - x))): 1}
+    assert T.carried(None) == T.carried("") == T.carried("... 12") == T.carried("the women met. all") == []
+    assert all(a != b and b in T._SWAP for a, b in T._SWAP.items())
+
+
+def test_score_gap_of_held_out_texts_with_and_without_the_penalty(spark):
+    rng = random.Random(8)
+    # no text names a group, but beginnings of the terms go with one class
+    plain = [" ".join(f"w{rng.randrange(3000)}" for _ in range(40)) for _ in range(700)]
+    texts = [t + (" immigration muslimgate blindly vile" if i % 2 else " refuge christianity fine") for i, t in enumerate(plain[:400])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    held = spark.createDataFrame([*enumerate(plain[400:]), (300, None), (301, "the muslims met")], "doc_id long, text string")
+    gap = {}
+    for fair in (0.0, T.FAIR):
+        model = T.fit(docs, labels, fair)
+        rows = T.swap_gap(held, model).collect()
+        assert all((r.gap is None) == (r.pairs == 0) == (r.doc_id == 300) for r in rows)
+        gap[fair] = np.mean([r.gap for r in rows if r.gap is not None])
+        assert all((r.score >= 0.5) == r.doc_id % 2 for r in T.score(docs, model).collect())
+    assert gap[T.FAIR] < 0.5 * gap[0.0] and gap[0.0] > 0.05
+
+
 def test_a_shared_passage_makes_no_near_copies():
     rng = random.Random(2)
     words = lambda n: " ".join(f"u{rng.randrange(10 ** 9)}" for _ in range(n))

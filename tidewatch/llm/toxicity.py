@@ -5,8 +5,10 @@ Features are a text's distinct words and their beginnings, by how often they occ
     mean logloss + L2 |w|^2 + FAIR * mean over pairs (score(x) - score(x'))^2
 
 where x' is a labelled text or sentence x with every mention of an identity term swapped for
-another one (IDENTITY_TERMS), so the score can't lean on which group a text mentions.  The
-difference is over all keys a swap changes: words, their beginnings and occurrence counts.
+another one (IDENTITY_TERMS, IDENTITY_SINGULARS), so the score can't lean on which group a text mentions.  A labelled text that names no
+group gives pairs, too: a neutral phrase with a term (CARRIERS) is put into one of its sentences, and into x' with the other term.
+If a sample has both kinds of pairs, each kind has a mean and a penalty of its own.  The
+difference is over all keys a swap changes: words, their beginnings and occurrence counts.  ``swap_gap`` measures what is left of it.
 These keys are always features, others enter if they differ more between the classes than
 chance allows for as many words (z of the log odds, with a least support).
 Copies and near copies of a text (Jaccard similarity of at least NEAR to the first of their class) share
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from itertools import combinations
 
@@ -65,7 +68,27 @@ IDENTITY_TERMS = {
     "es": ["mujeres", "hombres", "musulmanes", "cristianos", "judíos", "hindúes", "budistas", "inmigrantes", "refugiados",
            "gais", "lesbianas", "negros", "blancos", "asiáticos", "discapacitados", "sordos", "ciegos", "ancianos"],
 }
-_SWAP = {t: terms[(i + 1) % len(terms)] for terms in IDENTITY_TERMS.values() for i, t in enumerate(terms)}
+IDENTITY_SINGULARS = {
+    "en": ["woman", "man", "muslim", "christian", "jew", "hindu", "buddhist", "atheist", "immigrant", "refugee"],
+    "de": ["frau", "mann", "muslim", "muslimin", "christ", "christin", "jude", "jüdin", "hindu", "buddhist", "migrant", "migrantin", "flüchtling",
+           "lesbe", "asiate", "behinderter", "gehörloser", "blinder", "seniorin"],
+    "fr": ["femme", "homme", "musulman", "musulmane", "chrétien", "chrétienne", "juif", "juive", "hindou", "bouddhiste", "immigré", "immigrée",
+           "réfugié", "réfugiée", "lesbienne", "asiatique", "handicapé", "sourd", "aveugle", "aîné"],
+    "es": ["mujer", "hombre", "musulmán", "musulmana", "cristiano", "cristiana", "judío", "judía", "hindú", "budista", "inmigrante",
+           "refugiado", "refugiada", "lesbiana", "asiático", "discapacitado", "sordo", "ciego", "anciano", "anciana"],
+}
+# fixed values: neutral phrases that name a group or one of it
+CARRIERS = {
+    "en": ("the people here are {}", "my neighbour is a {}"),
+    "de": ("die leute hier sind {}", "jemand von nebenan ist {}"),
+    "fr": ("les gens ici sont {}", "la personne ici est {}"),
+    "es": ("las personas aquí son {}", "la persona de al lado es {}"),
+}
+_LISTS = [(CARRIERS[lang][one], terms) for one, table in enumerate((IDENTITY_TERMS, IDENTITY_SINGULARS)) for lang, terms in table.items()]
+_SWAP: dict[str, str] = {}
+for _, _terms in _LISTS:
+    for _i, _t in enumerate(_terms):
+        _SWAP.setdefault(_t, _terms[(_i + 1) % len(_terms)])  # a word of two languages swaps within the first
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[.!?\n]+")
 
@@ -96,31 +119,51 @@ def counterfactuals(text: str | None) -> list[tuple[str, str]]:
     return out
 
 
-def swapped(text: str | None) -> Counter[tuple[tuple[str, ...], tuple[str, ...]]]:
-    """How often a swap in a text (each of its sentences, and the whole if it has more) loses
-    some keys and gains others: the difference of ``features(x)`` and ``features(x')``."""
-    out: Counter[tuple[tuple[str, ...], tuple[str, ...]]] = Counter()
+def mentions(text: str | None) -> list[tuple[list[str], str]]:
+    """(words, term) for every identity term of each sentence, and of the whole text if it has more sentences."""
     sentences = [w for w in map(_LETTERS.findall, _SENTENCE.split(text.lower())) if w] if text else []
     parts = [w for w in sentences if _SWAP.keys() & w]
     if len(sentences) > 1 and parts:
         parts.append([x for w in sentences for x in w])
-    for words in parts:
-        counts: Counter[str] = Counter()
-        for word, n in (found := Counter(words)).items():
-            for k in keys(word):
-                counts[k] += n
-        for word in sorted(found.keys() & _SWAP.keys()):
-            after = Counter({k: counts[k] for k in (*keys(word), *keys(_SWAP[word]))})
-            before = after.copy()
-            for k in keys(word):
-                after[k] -= found[word]
-            for k in keys(_SWAP[word]):
-                after[k] += found[word]
-            x, y = ({k if level == 1 else f"{k}#{level}" for k, n in c.items() for level in LEVELS if n >= level} for c in (before, after))
-            out[tuple(sorted(x - y)), tuple(sorted(y - x))] += 1
+    return [(words, term) for words in parts for term in sorted(_SWAP.keys() & words)]
+
+
+def carried(text: str | None) -> list[tuple[list[str], str]]:
+    """(words, term) for a text that names no group: one of its sentences with a neutral phrase on a term of each
+    list, both chosen by a checksum of the text.  None for a text without words or with a mention."""
+    sentences = [w for w in map(_LETTERS.findall, _SENTENCE.split(text.lower())) if w] if text else []
+    if not sentences or any(_SWAP.keys() & w for w in sentences):
+        return []
+    at = zlib.crc32(text.encode("utf-8", "surrogatepass"))
+    sentence = sentences[at % len(sentences)]
+    return [(sentence + phrase.format(terms[at % len(terms)]).split(), terms[at % len(terms)]) for phrase, terms in _LISTS]
+
+
+def changes(pairs: list[tuple[list[str], str]]) -> Counter[tuple[tuple[str, ...], tuple[str, ...]]]:
+    """How often swapping a term in its words loses some keys and gains others: the difference
+    of ``features(x)`` and ``features(x')``."""
+    out: Counter[tuple[tuple[str, ...], tuple[str, ...]]] = Counter()
+    for words, term in pairs:
+        near, n = {*keys(term), *keys(_SWAP[term])}, words.count(term)
+        before: Counter[str] = Counter(dict.fromkeys(near, 0))
+        for word, times in Counter(words).items():
+            for k in near.intersection(keys(word)):
+                before[k] += times
+        after = before.copy()
+        for k in keys(term):
+            after[k] -= n
+        for k in keys(_SWAP[term]):
+            after[k] += n
+        x, y = ({k if level == 1 else f"{k}#{level}" for k, n in c.items() for level in LEVELS if n >= level} for c in (before, after))
+        out[tuple(sorted(x - y)), tuple(sorted(y - x))] += 1
     return out
 
 
+def swapped(text: str | None) -> Counter[tuple[tuple[str, ...], tuple[str, ...]]]:
+    """``changes`` of the swaps of a text's own mentions."""
+    return changes(mentions(text))
+
+
 def _difference(a: Column, n1: int, b: Column, n0: int) -> Column:
     """Signed root of the likelihood ratio of "a of n1 and b of n0" against one common rate
     (standard normal if the word is unrelated to the class)."""
@@ -171,7 +214,7 @@ def fingerprint(text: str | None) -> list[int]:
 
 
 def train(rows: list[set[str]], toxic: list[int], chosen: list[str], swaps: list[tuple],
-          share: list[float] | None = None) -> tuple[float, dict[str, float]]:
+          share: list[float] | None = None, fair: float = FAIR) -> tuple[float, dict[str, float]]:
     """(intercept, weights) of the regularised model over the chosen features and all keys of the
     swaps; a swap is (keys lost, keys gained) or (..., how often); a single key may be a string.  ``share``: the weight of each row (1)."""
     y = np.array(toxic, float)
@@ -201,7 +244,7 @@ def train(rows: list[set[str]], toxic: list[int], chosen: list[str], swaps: list
         r = part * (p - y) / part.sum()
         g = np.bincount(cols, r[docs], minlength=k) + 2 * L2 * w
         if len(often):  # a swap changes the score by the weights it loses less those it gains
-            d = 2 * FAIR * np.bincount(pair_of, sign_of * w[key_of], minlength=len(often)) * often / often.sum()
+            d = 2 * fair * np.bincount(pair_of, sign_of * w[key_of], minlength=len(often)) * often / often.sum()
             g += np.bincount(key_of, sign_of * d[pair_of], minlength=k)
         g = np.r_[g, r.sum()]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
@@ -210,7 +253,7 @@ def train(rows: list[set[str]], toxic: list[int], chosen: list[str], swaps: list
     return float(b), {x: float(w[i]) for x, i in index.items() if abs(w[i]) > 1e-3}
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[float, dict[str, float]]:
+def fit(docs: DataFrame, labels: DataFrame, fair: float = FAIR) -> tuple[float, dict[str, float]]:
     """Model from (doc_id, text) and (doc_id, toxic) rows."""
     one = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["n"] for r in one.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -257,23 +300,27 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[float, dict[str, float]]:
                .orderBy(F.abs("z").desc(), "feature").limit(MAX_FEATURES).select("feature").collect())
         chosen = [r["feature"] for r in top]
     wanted = {*chosen, *_SWAP_KEYS}
-    swap = pa.struct([("lost", pa.list_(pa.string())), ("gained", pa.list_(pa.string())), ("n", pa.float64())])
+    swap = pa.struct([("lost", pa.list_(pa.string())), ("gained", pa.list_(pa.string())), ("n", pa.float64()), ("own", pa.bool_())])
 
     def kept(batches):
         for b in slices(batches):
             texts = b.column(1).to_pylist()
-            swaps = [[{"lost": lost, "gained": gained, "n": n} for (lost, gained), n in swapped(t).items()] for t in texts]
+            swaps = [[{"lost": lost, "gained": gained, "n": n, "own": own}
+                      for own, found in ((True, mentions(t)), (False, carried(t))) for (lost, gained), n in changes(found).items()] for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([sorted(wanted & features(t)) for t in texts], pa.list_(pa.string())),
                  pa.array(swaps, pa.list_(swap)), b.column(2)], names=["toxic", "features", "swaps", "share"])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        swaps = [(x["lost"], x["gained"], x["n"] * part) for s, part in zip(pdf["swaps"], pdf["share"]) for x in s]
-        b, weights = train([set(x) for x in pdf["features"]], pdf["toxic"].tolist(), chosen, swaps, pdf["share"].tolist())
+        found = [(x, x["n"] * part) for s, part in zip(pdf["swaps"], pdf["share"]) for x in s]
+        total = {own: sum(n for x, n in found if x["own"] == own) for own in (True, False)}
+        kinds = sum(n > 0 for n in total.values())
+        swaps = [(x["lost"], x["gained"], n / total[x["own"]]) for x, n in found]
+        b, weights = train([set(x) for x in pdf["features"]], pdf["toxic"].tolist(), chosen, swaps, pdf["share"].tolist(), fair * kinds)
         return pd.DataFrame({"feature": [None, *weights], "weight": [b, *weights.values()]})
 
     fitted = (rows.select("toxic", "text", "share")
-              .mapInArrow(kept, "toxic int, features array<string>, swaps array<struct<lost:array<string>,gained:array<string>,n:double>>, share double")
+              .mapInArrow(kept, "toxic int, features array<string>, swaps array<struct<lost:array<string>,gained:array<string>,n:double,own:boolean>>, share double")
               .groupBy(F.lit(0).alias("all")).applyInPandas(run, "feature string, weight double").collect())
     weights = {r["feature"]: r["weight"] for r in fitted}
     return weights.pop(None, -math.log(9)), weights
@@ -303,6 +350,26 @@ def score(docs: DataFrame, model: tuple[float, dict[str, float]]) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, score double")
 
 
+def swap_gap(docs: DataFrame, model: tuple[float, dict[str, float]]) -> DataFrame:
+    """doc_id, pairs, gap for (doc_id, text) rows: how many swaps a text gives (its own mentions, else the neutral phrases) and
+    the largest difference of the scores of x and x' (null without a pair)."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        b0, weights = shared.value
+
+        def one(words):
+            return 1 / (1 + math.exp(-(b0 + sum(weights[f] for f in sorted(features(" ".join(words)) & weights.keys())))))
+
+        for b in slices(batches):
+            found = [mentions(t) or carried(t) for t in b.column(1).to_pylist()]
+            gaps = [max((abs(one(words) - one([_SWAP[term] if w == term else w for w in words])) for words, term in f), default=None) for f in found]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(f) for f in found], pa.int64()), pa.array(gaps, pa.float64())],
+                                             names=["doc_id", "pairs", "gap"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, pairs bigint, gap double")
+
+
 def classify(docs: DataFrame, labels: DataFrame, learn_from: Column, text: str = "text", key: str = "doc_id",
              label: str = "toxic", label_key: str = "doc_id") -> DataFrame:
     """Fit on labels where ``learn_from`` (over doc_id) holds; score every document."""
