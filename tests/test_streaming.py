@@ -3,6 +3,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from tidewatch.sources import store as S
 from tidewatch.streaming import streams as ST
 
 
@@ -58,6 +59,15 @@ def test_daily_upsert_and_late_rows(spark):
     arrive("c", [("2024-01-01 00:00:00", "k", 7.0)])  # long past the watermark
     got = sorted((r.date.isoformat(), r.n, r.value) for r in ST.read_daily(spark, out).collect())
     assert got == [("2024-01-10", 2, 3.0), ("2024-01-20", 1, 5.0)]
+    arrive("d", [("2024-01-20 03:00:00", "k", 1.0)])
+    before = sorted(map(tuple, ST.read_daily(spark, out).collect()))
+    epochs = len(S.partitions(spark, out, "epoch"))
+    ST.merge_daily(spark, out)
+    ST.merge_daily(spark, out)  # nothing left to merge
+    assert len(S.partitions(spark, out, "epoch")) == 2 < epochs
+    assert sorted(map(tuple, ST.read_daily(spark, out).collect())) == before
+    arrive("e", [("2024-01-20 04:00:00", "k", 1.0)])  # the stream goes on
+    assert ("2024-01-20", 3, 7.0) in [(r.date.isoformat(), r.n, r.value) for r in ST.read_daily(spark, out).collect()]
     assert ST.late_rows(spark, out).agg(F.sum("late_rows")).first()[0] == 1
 
 

@@ -109,3 +109,18 @@ NO_TEXT_TODAY = "今日无 arXiv 摘要数据"
 TOO_LITTLE_HISTORY = "历史数据不足（需至少 {need} 天）"
 NO_REPOS_TODAY = "今日无 GitHub 数据"
 NO_MODELS_TODAY = "今日无 HuggingFace 数据"
+
+# ---- fixed values: wording of the digest (group heading: before and after the number) ----
+DIGEST_DATE = "今日日期: "
+DIGEST_COUNT = "信息条目数: "
+DIGEST_INTRO = "以下是今日新增的AI信息列表（按来源分类）："
+DIGEST_GROUP = ("（", " 条）")
+DIGEST_URL = "   URL: "
+DIGEST_SUMMARY = "   摘要: "
+
+# ---- fixed values: headings of the report bundle ----
+BUNDLE_ANALYSIS = "## 今日结构分析\n\n"
+BUNDLE_TREND = "\n\n## 趋势对比报告\n\n"
+BUNDLE_NO_TREND = "\n\n## 趋势对比\n"
+BUNDLE_METRICS = "\n\n## 数据洞察报告 (metrics_report)\n\n"
+BUNDLE_CHARTS = "\n\n## 趋势图路径 (chart_paths)\n\n"

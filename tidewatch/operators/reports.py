@@ -45,16 +45,16 @@ def digest_lines(items: DataFrame, day, order: list[str] | None = None,
     header = spark.range(5).select(
         F.lit(-1).alias("section"), F.lit(0).cast("bigint").alias("item"), F.col("id").cast("int").alias("line"))
     header = header.select("section", "item", "line", F.element_at(F.array(
-        F.concat(F.lit("今日日期: "), day_s),
-        F.concat(F.lit("信息条目数: "), total.cast("string")),
-        F.lit(""), F.lit("以下是今日新增的AI信息列表（按来源分类）："), F.lit("")), F.col("line") + 1).alias("text"))
+        F.concat(F.lit(C.DIGEST_DATE), day_s),
+        F.concat(F.lit(C.DIGEST_COUNT), total.cast("string")),
+        F.lit(""), F.lit(C.DIGEST_INTRO), F.lit("")), F.col("line") + 1).alias("text"))
 
     groups = listed.groupBy("cat_rank", "label").agg(F.count("*").alias("n"))
     group_lines = groups.select(
         F.col("cat_rank").alias("section"), F.lit(0).cast("bigint").alias("item"),
         F.explode(F.array(
-            F.struct(F.lit(0).alias("line"), F.concat(F.lit("### "), F.col("label"), F.lit("（"),
-                                                       F.col("n").cast("string"), F.lit(" 条）")).alias("text")),
+            F.struct(F.lit(0).alias("line"), F.concat(F.lit("### "), F.col("label"), F.lit(C.DIGEST_GROUP[0]),
+                                                       F.col("n").cast("string"), F.lit(C.DIGEST_GROUP[1])).alias("text")),
             F.struct(F.lit(1).alias("line"), F.lit("").alias("text")))).alias("l")
     ).select("section", "item", "l.line", "l.text")
 
@@ -64,9 +64,9 @@ def digest_lines(items: DataFrame, day, order: list[str] | None = None,
         F.explode(F.array(
             F.struct(F.lit(0).alias("line"), F.concat(F.col("idx").cast("string"), F.lit(". ["), F.col("source"),
                                                        F.lit("] "), F.col("title")).alias("text")),
-            F.struct(F.lit(1).alias("line"), F.concat(F.lit("   URL: "), F.coalesce("url", F.lit(""))).alias("text")),
+            F.struct(F.lit(1).alias("line"), F.concat(F.lit(C.DIGEST_URL), F.coalesce("url", F.lit(""))).alias("text")),
             F.struct(F.lit(2).alias("line"),
-                     F.when(summary != "", F.concat(F.lit("   摘要: "), F.substring(summary, 1, summary_chars)))
+                     F.when(summary != "", F.concat(F.lit(C.DIGEST_SUMMARY), F.substring(summary, 1, summary_chars)))
                      .alias("text")),
             F.struct(F.lit(3).alias("line"), F.lit("").alias("text")))).alias("l")
     ).select("section", "item", "l.line", "l.text").filter(F.col("text").isNotNull())
@@ -143,16 +143,16 @@ def report_bundle(analysis_json: Column, with_trend: bool = False, metrics_json:
     """
     df = base
     if with_trend:
-        trend_part = F.when(F.col("has_enough_history"), F.concat(F.lit("\n\n## 趋势对比报告\n\n"), F.col("trend_json"))) \
-            .when(F.col("message").isNotNull(), F.concat(F.lit("\n\n## 趋势对比\n"), F.col("message")))
+        trend_part = F.when(F.col("has_enough_history"), F.concat(F.lit(C.BUNDLE_TREND), F.col("trend_json"))) \
+            .when(F.col("message").isNotNull(), F.concat(F.lit(C.BUNDLE_NO_TREND), F.col("message")))
     else:
         trend_part = F.lit(None).cast("string")
-    parts = [F.concat(F.lit("## 今日结构分析\n\n"), analysis_json), trend_part]
+    parts = [F.concat(F.lit(C.BUNDLE_ANALYSIS), analysis_json), trend_part]
     if metrics_json is not None:
-        parts.append(F.concat(F.lit("\n\n## 数据洞察报告 (metrics_report)\n\n"), metrics_json))
+        parts.append(F.concat(F.lit(C.BUNDLE_METRICS), metrics_json))
     if charts_json is not None:
         parts.append(F.when(F.coalesce(F.size(F.from_json(charts_json, "array<string>")), F.lit(0)) > 0,
-                            F.concat(F.lit("\n\n## 趋势图路径 (chart_paths)\n\n"), charts_json)))
+                            F.concat(F.lit(C.BUNDLE_CHARTS), charts_json)))
     return df.select("date", F.concat_ws("\n", *parts).alias("text"))
 
 
@@ -172,10 +172,10 @@ def run_summary(stats: DataFrame, usage: DataFrame, trend: DataFrame | None = No
     tok = usage.agg(*[stage(f"stage{i}", f"{kind}_tokens").alias(f"stage{i}_{kind}_tokens") for i in (1, 2) for kind in ("prompt", "completion")],
                     *[stage(f"stage{i}", "total_tokens").alias(f"stage{i}_tokens") for i in (1, 2)],
                     F.coalesce(F.sum("total_tokens"), F.lit(0)).cast("bigint").alias("total_tokens"), F.min("model").alias("model"))
-    out = totals.withColumns({c: tok.select(c).scalar() for c in tok.columns})
-    if trend is not None:
-        out = out.withColumns({c: trend.select(c).scalar() for c in trend.columns})
-    return out
+    for part in (tok,) if trend is None else (tok, trend):  # one row each, one subquery each
+        row = part.select(F.struct(*part.columns)).scalar()
+        totals = totals.withColumn("_row", row).select("*", "_row.*").drop("_row")
+    return totals
 
 
 def token_totals(usage: DataFrame) -> DataFrame:

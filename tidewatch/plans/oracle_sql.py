@@ -6,6 +6,8 @@ the Spark code.
 
 from __future__ import annotations
 
+from tidewatch import constants as C
+
 COUNTER_DAY = "DATE '2024-01-30'"
 
 _FACT = """
@@ -342,7 +344,8 @@ SQL["item_ids"] = f"""WITH {_ITEMS}
 SELECT source, pos, aid, {_strip('title')} AS title,
        substring({_strip('title')}, 1, 1000) AS summary1000 FROM items"""
 
-_REL = r"(?i)(machine[^\n]?learning|deep[^\n]?learning|neural|transformer|llm|gpt|diffusion|langchain|rag|agent|vision|nlp|reinforcement|generative|embedding|fine[^\n]?tun|train|inference|model|ai([^\p{L}\p{N}_]|$)|ml([^\p{L}\p{N}_]|$))"
+# RE2 knows neither a dot without line ends here nor Unicode word ends, so both are spelled out
+_REL = "(?i)(" + "|".join(t.replace(".?", r"[^\n]?").replace(r"\b", r"([^\p{L}\p{N}_]|$)") for t in C.RELEVANCE_TERMS) + ")"
 SQL["relevance_filter"] = f"""
 SELECT source, doc_id AS pos, lang AS category FROM documents
 WHERE regexp_matches(coalesce(source, '') || ' ' || coalesce(text, ''), '{_REL}')"""

@@ -71,12 +71,29 @@ def _write_late_rows(spark: SparkSession, late: dict[int, int], out_dir: str) ->
 
 def read_daily(spark: SparkSession, out_dir: str, keys: tuple[str, ...] = ("date", "kw")) -> DataFrame:
     """The newest version of every group written by :func:`run_daily_upserts`."""
-    rows = spark.read.option("recursiveFileLookup", "false").parquet(out_dir)
+    return _newest(spark.read.option("recursiveFileLookup", "false").parquet(out_dir), keys)
+
+
+def _newest(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     values = [c for c in rows.columns if c not in (*keys, "epoch")]
     newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("epoch")).alias("v"))
     return newest.select(*keys, "v.*")
 
 
+def merge_daily(spark: SparkSession, out_dir: str, keys: tuple[str, ...] = ("date", "kw")) -> None:
+    """Merge all epochs but the last (which a restart may replay) into one, so that a reader's work follows the groups, not
+    the number of epochs.  The merged epoch is written before the others go: a failure in between leaves the same result.
+    Not to be run while the stream writes."""
+    from tidewatch.sources import store as S
+
+    epochs = sorted(int(value) for value, _ in S.partitions(spark, out_dir, "epoch"))
+    if len(epochs) < 3:
+        return
+    rows = spark.read.parquet(out_dir).filter(F.col("epoch") < epochs[-1])
+    S.replace_day(_newest(rows, keys), out_dir, epochs[-2], date_col="epoch")
+    S.drop_partitions(spark, out_dir, "epoch", [str(e) for e in epochs[:-2]])
+
+
 def late_rows(spark: SparkSession, out_dir: str) -> DataFrame:
     """``epoch, late_rows`` of a drained stream (of several runs, the largest count of an epoch)."""
     return spark.read.parquet(f"{out_dir}_late").groupBy("epoch").agg(F.max("late_rows").alias("late_rows"))
