@@ -66,3 +66,13 @@ def test_shift_label_gradual_unreachable(spark):
     df = spark.createDataFrame([(0.5, 0.5), (0.3, 0.7), (0.45, 0.55)], "nov double, mean double")
     got = [r[0] for r in df.select(DT.shift_label(F.col("nov"), F.col("mean"))).collect()]
     assert got == ["跃迁", "延续", "跃迁"]
+
+
+def test_signal_ranks_break_ties_in_production_order(spark):
+    rows = [("sudden_spike", "risk", None, 4, 0), ("emerging_topic", "technology", None, 0, 2), ("continuous_trend", "risk", 0.7, 4, 1),
+            ("sudden_spike", "technology", 0.7, 0, 0), ("sudden_spike", "capital", 0.9, 3, 0)]
+    signals = spark.createDataFrame(rows, "type string, dimension string, confidence double, dim_rank int, type_rank int")
+    got = [(r.type, r.dimension) for r in DT.signal_ranks(signals).orderBy("rank").collect()]
+    assert got == [("sudden_spike", "capital"), ("sudden_spike", "technology"), ("continuous_trend", "risk"),
+                   ("emerging_topic", "technology"), ("sudden_spike", "risk")]
+    assert [(r.type, r.dimension) for r in DT.signal_order(signals).collect()] == got

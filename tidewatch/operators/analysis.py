@@ -123,9 +123,9 @@ def day_texts(analysis: DataFrame, keep: tuple[str, ...] = ("date",), extra: boo
     return analysis.select(*keep, F.explode(pairs).alias("p")).select(*keep, "p.scope", "p.text")
 
 
-def day_keywords(analysis: DataFrame) -> DataFrame:
-    """``(date, kw)``; a document without keywords has none (P10)."""
-    return analysis.select("date", F.explode(F.coalesce("keywords", F.array().cast("array<string>"))).alias("kw"))
+def day_keywords(analysis: DataFrame, keep: tuple[str, ...] = ("date",)) -> DataFrame:
+    """``(keep..., kw)``; a document without keywords has none (P10)."""
+    return analysis.select(*keep, F.explode(F.coalesce("keywords", F.array().cast("array<string>"))).alias("kw"))
 
 
 def history_records(analysis: DataFrame) -> DataFrame:

@@ -148,7 +148,16 @@ def trend_signals(measures: DataFrame, label: Column | None = None) -> DataFrame
 def signal_order(signals: DataFrame) -> DataFrame:
     """Sort signals: confidence (missing = 0) descending; ties keep the order in
     which they are produced (dimension order, then spike, continuous, emerging)."""
-    return signals.orderBy(F.coalesce(F.col("confidence"), F.lit(0.0)).desc(), "dim_rank", "type_rank", "dimension")
+    return signals.orderBy(*_signal_keys())
+
+
+def _signal_keys() -> list[Column]:
+    return [F.coalesce(F.col("confidence"), F.lit(0.0)).desc(), F.col("dim_rank"), F.col("type_rank"), F.col("dimension")]
+
+
+def signal_ranks(signals: DataFrame) -> DataFrame:
+    """Signals with their 1-based ``rank`` in the report (K5): at most three rows a scope, so one window over all of them."""
+    return signals.withColumn("rank", F.row_number().over(Window.orderBy(*_signal_keys())).cast("bigint"))
 
 
 def overall_novelty(sims: DataFrame, corpus_keys: Sequence[str] = ("scope",)) -> DataFrame:

@@ -295,6 +295,10 @@ SELECT 'emerging_topic', 2, 5, scope,
 FROM measures WHERE emerging"""
 SQL["trend_signals"] = _TEXT_SIMS + _measures_sql("-1.0", "0.0", "0.5", "1.01", "1.01") + _SIGNALS
 
+SQL["signal_order"] = f"""
+SELECT row_number() OVER (ORDER BY coalesce(confidence, 0.0) DESC, dim_rank, type_rank, dimension) AS rank, type, dimension, confidence
+FROM ({SQL["trend_signals"]}) s"""
+
 SQL["overall_novelty"] = "WITH " + _tf_sql() + """,
 tf_all AS (SELECT '_combined' AS scope, date, term, CAST(sum(tf) AS BIGINT) AS tf FROM tf GROUP BY date, term),""" + \
     _members_sql(scopes="SELECT '_combined' AS scope") + "," + _sims_sql(tf="tf_all") + """
@@ -707,6 +711,11 @@ texts AS (
   UNION ALL SELECT pos, 'weather', coalesce(extra, '') FROM parts
   UNION ALL SELECT pos, '_combined', s || ' ' || l || ' ' || technology || '    ' || concat_ws(' ', nullif(s, ''), nullif(l, '')) FROM parts)
 SELECT pos, scope, length(text)::BIGINT AS chars, md5(text) AS digest FROM texts"""
+SQL["document_keywords"] = """
+SELECT doc_id AS pos, DATE '2024-01-01' + CAST(doc_id % 31 AS INTEGER) AS date, lang AS kw FROM documents WHERE lang <> 'es'"""
+SQL["repo_names"] = """
+SELECT pos, path, replace(path, '/', ' / ') AS name
+FROM (SELECT doc_id AS pos, trim('//' || coalesce(source, '') || '/' || coalesce(lang, '') || '/', '/') AS path FROM documents) t"""
 SQL["document_rejects"] = """
 SELECT doc_id AS pos, CASE WHEN lang = 'es' THEN 'no date' ELSE 'not a JSON object' END AS reason
 FROM documents WHERE lang IS NULL OR lang = 'es'"""

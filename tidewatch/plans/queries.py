@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch import constants as C
 from tidewatch.functions.counters import parse_counter, counter_or_zero
-from tidewatch.functions.text import clip, is_relevant, py_strip
+from tidewatch.functions.text import clip, is_relevant, py_strip, repo_name, repo_path
 from tidewatch.operators import analysis as AN
 from tidewatch.operators import backfill as BF
 from tidewatch.operators import counters as CT
@@ -252,6 +252,11 @@ def q_trend_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DT.trend_signals(m)
 
 
+@register("signal_order")
+def q_signal_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DT.signal_ranks(q_trend_signals(spark, sf_dir)).select("rank", "type", "dimension", "confidence")
+
+
 @register("overall_novelty")
 def q_overall_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     tf = V.merge_scopes(_text_tf(spark, sf_dir))
@@ -536,6 +541,19 @@ def q_document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select("pos", "scope", F.length("text").cast("bigint").alias("chars"), F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
+@register("document_keywords")
+def q_document_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = AN.parse_documents(B.analysis_payloads(spark, sf_dir), keep=("pos",))
+    return AN.day_keywords(good, keep=("pos", "date"))
+
+
+@register("repo_names")
+def q_repo_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = B.table(spark, sf_dir, "documents")
+    href = F.concat(F.lit("//"), F.coalesce("source", F.lit("")), F.lit("/"), F.coalesce("lang", F.lit("")), F.lit("/"))
+    return docs.select(F.col("doc_id").alias("pos"), repo_path(href).alias("path"), repo_name(repo_path(href)).alias("name"))
+
+
 @register("document_rejects")
 def q_document_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, bad = AN.parse_documents(B.analysis_payloads(spark, sf_dir), keep=("pos",))
