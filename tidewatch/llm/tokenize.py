@@ -16,7 +16,7 @@ import re
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
-MEMO_PIECES = 500_000
+MEMO_PIECES = 100_000  # some 10 MB a worker, which stays between tasks
 
 # fixed values: the pre-tokenizer's pattern, for lower-cased Latin-1 text
 _PIECES = re.compile(
