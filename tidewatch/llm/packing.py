@@ -170,8 +170,9 @@ def assign(numbered: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     def run(batches):
         t = shared.value
         wide = int(t[:, 1].max()) + int(t[:, 2].max()) + 1 if len(t) else 1
-        keys = t[:, 0].astype(object) * wide + t[:, 1].astype(object)
-        keys = np.array(keys, np.float64) if wide > 2**49 else keys.astype(np.int64)
+        if len(t) and (int(t[:, 0].max()) + 1) * wide >= 2**63:
+            raise OverflowError("too many pieces of one length for exact places")
+        keys = t[:, 0] * wide + t[:, 1]
         for b in batches:
             length = b.column("length").to_numpy(zero_copy_only=False)
             rank = b.column("rank").to_numpy(zero_copy_only=False)
