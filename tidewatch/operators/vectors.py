@@ -3,11 +3,11 @@
 Long form throughout: a "document" is one ``(corpus, date)``; a corpus is a
 scope (dimension, language, ...) or any other key such as a day pair.
 
-Plan (one job graph, no Python in the hot path):
+Plan (one job graph):
 
-1. words of every text, counted per ``(scope, date, word)`` (map-side combine
-   collapses hot words before the shuffle);
-2. n-grams generated from *distinct* words, summed per ``(scope, date, term)`` -> ``tf``;
+1. texts dealt out by ``(scope, date)``, so a task has few documents and counts the longest n-gram of every place
+   in integers (``functions.ngrams.window_counts``): what leaves it grows with distinct n-grams, not with words;
+2. the shorter n-grams are their prefixes, summed per ``(scope, date, term)`` -> ``tf``;
 3. corpus statistics per ``(corpus, term)``: total count and document frequency;
 4. vocabulary = top ``max_features`` terms per corpus (``WindowGroupLimit`` keeps
    only that many per partition before the shuffle);
@@ -27,8 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from tidewatch import constants as C
-from tidewatch.functions.ngrams import explode_ngrams
-from tidewatch.functions.text import PY_WHITESPACE_CLASS
+from tidewatch.functions.ngrams import explode_prefixes, window_counts
 from tidewatch.operators._util import broadcast_if_bounded, day_lit, materialized
 
 
@@ -40,16 +39,11 @@ def term_counts(texts: DataFrame, keys: Sequence[str] = ("scope",), date_col: st
     joined by blanks): n-grams never cross words, so counts just add up.
     """
     keys = list(keys)
-    # texts grow tenfold as n-grams: even partitions (sized by AQE) before that
-    texts = texts.select(*keys, F.col(date_col).alias("date"), F.col(text_col).alias("text")).hint("rebalance")
-    # split before lower-casing (case never changes whitespace): lower() then runs
-    # once per distinct word instead of over every character of every text
-    split = F.split(F.col("text"), PY_WHITESPACE_CLASS + "+")
-    w = (texts.select(*keys, "date", F.explode(split).alias("word"))
-         .filter(F.col("word") != ""))
-    wc = w.groupBy(*keys, "date", "word").agg(F.count("*").alias("n"))
-    wc = wc.select(*keys, "date", F.lower("word").alias("word"), "n")
-    grams = explode_ngrams(wc, "word", lo, hi, keep=[*keys, "date", "n"])
+    # by document, in even partitions (sized and split by AQE)
+    texts = (texts.select(*keys, F.col(date_col).alias("date"), F.col(text_col).alias("text"))
+             .hint("rebalance", *[F.col(k) for k in (*keys, "date")]))
+    windows = window_counts(texts, [*keys, "date"], "text", lo, hi)
+    grams = explode_prefixes(windows, "window", lo, hi, keep=[*keys, "date", "n"])
     return grams.groupBy(*keys, "date", "term").agg(F.sum("n").alias("tf"))
 
 
