@@ -187,11 +187,19 @@ def _kept(spark, sf_dir, key: tuple, make) -> DataFrame:
 
 
 
+#: The days that text queries ask about: one term table covers their windows.
+TEXT_QUERY_DAYS = (B.TEXT_DAY, B.COUNTER_DAY)
+
+
 def _text_tf(spark, sf_dir, day=None, days=30):
-    """The day-text term table of the window, materialised once per application
-    (checkpoint in the shared folder) and shared by every text analytic, like
+    """The day-text term table of the window: its days of one table, which holds the windows of all query days, is
+    materialised once per application (checkpoint in the shared folder) and shared by every text analytic, like
     the derived term table a daily job keeps next to its history."""
-    return _kept(spark, sf_dir, ("terms", str(day or B.TEXT_DAY), days), lambda: V.term_counts(_texts(spark, sf_dir, day, days)))
+    day = day or B.TEXT_DAY
+    first, last = min(day, *TEXT_QUERY_DAYS), max(day, *TEXT_QUERY_DAYS)
+    width = days + (last - first).days
+    terms = _kept(spark, sf_dir, ("terms", str(last), width), lambda: V.term_counts(_texts(spark, sf_dir, last, width)))
+    return window_filter(terms, day, days + 1, inclusive=True)
 
 
 def _members(spark, sf_dir, day=None, days=30, scopes=None):
